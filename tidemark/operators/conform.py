@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,11 +51,14 @@ class Field:
 
 @dataclass(frozen=True)
 class Derived:
-    """One output column computed from columns already conformed, placed after `after`."""
+    """One output column computed from columns already conformed, placed after `after`.
+
+    The expression is a function because a Column needs a running session.
+    """
 
     name: str
     after: str
-    expression: Column
+    expression: Callable[[], Column]
 
 
 def fields(kind: str, *names: str | tuple[str, str]) -> list[Field]:
@@ -83,4 +86,4 @@ def conform(
     order = [f.name for f in spec]
     for extra in derived:
         order.insert(order.index(extra.after) + 1, extra.name)
-    return typed.withColumns({d.name: d.expression for d in derived}).select(*order, "load_id")
+    return typed.withColumns({d.name: d.expression() for d in derived}).select(*order, "load_id")

@@ -30,10 +30,10 @@ def unsettled(periods: DataFrame, key: str = "id") -> DataFrame:
 
 
 def _parts(specs: DataFrame, key: str, spec: str) -> DataFrame:
-    part = F.trim(F.explode(F.split(spec, ",")))
     ends = F.split("part", "-", 2)
     return (
-        specs.select(key, part.alias("part"))
+        specs.select(key, F.explode(F.split(spec, ",")).alias("part"))
+        .withColumn("part", F.trim("part"))
         .filter(F.col("part") != "")
         .withColumn("is_range", F.contains(F.col("part"), F.lit("-")))
         .withColumn("lo", F.trim(ends[0]).try_cast("int"))

@@ -280,16 +280,16 @@ MODELS: dict[str, Model] = {
         "events",
         GAMEWEEKS,
         # Points are final only once checked; finished alone means the matches are over.
-        [Derived("is_settled", "is_data_checked", F.expr("is_finished and is_data_checked"))],
+        [Derived("is_settled", "is_data_checked", lambda: F.col("is_finished") & F.col("is_data_checked"))],
     ),
     "stg_fpl__fixtures": Model("fixtures", FIXTURES),
     "stg_fpl__players": Model(
         "elements",
         PLAYERS,
         [
-            Derived("full_name", "second_name", joined_text(F.col("first_name"), " ", F.col("second_name"))),
-            Derived("now_cost_gbp_m", "now_cost_tenths", scaled(F.col("now_cost_tenths"))),
-            Derived("is_available", "status", F.col("status") == AVAILABLE_STATUS),
+            Derived("full_name", "second_name", lambda: joined_text(F.col("first_name"), " ", F.col("second_name"))),
+            Derived("now_cost_gbp_m", "now_cost_tenths", lambda: scaled(F.col("now_cost_tenths"))),
+            Derived("is_available", "status", lambda: F.col("status") == AVAILABLE_STATUS),
         ],
     ),
     "stg_fpl__chips": Model("chips", CHIPS),
@@ -300,7 +300,7 @@ MODELS: dict[str, Model] = {
             Derived(
                 "gameweek_count",
                 "last_gameweek_id",
-                span_length(F.col("first_gameweek_id"), F.col("last_gameweek_id")),
+                lambda: span_length(F.col("first_gameweek_id"), F.col("last_gameweek_id")),
             )
         ],
     ),
@@ -308,7 +308,7 @@ MODELS: dict[str, Model] = {
     "stg_fpl__game_settings": Model(
         "game_meta",
         GAME_SETTINGS,
-        [Derived("budget_gbp_m", "budget_tenths", scaled(F.col("budget_tenths")))],
+        [Derived("budget_gbp_m", "budget_tenths", lambda: scaled(F.col("budget_tenths")))],
     ),
 }
 
