@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tidemark.functions.columns import nested_text, strict_number
 from tidemark.operators.snapshot import LOAD_ID, snapshot_rows
 
 # How a raw value becomes a typed one. "number_text" is a decimal that arrives as text;
@@ -33,32 +31,32 @@ class Field:
     name: str
     kind: str
 
-    def column(self, types: dict[str, str]) -> Column:
-        """`types` holds the raw frame's column types by lower-cased name."""
+    def expression(self, types: dict[str, str]) -> str:
+        """The column as SQL text; `types` holds the raw column types by lower-cased name."""
         target = KINDS[self.kind]
         parent, _, path = self.source.partition(".")
         if parent.lower() not in types:
-            return F.lit(None).cast(target).alias(self.name)
-        raw = F.col(self.source) if types[parent.lower()] != "variant" or not path else F.variant_get(
-            parent, f"$.{path}", "variant" if self.kind == "json" else target
-        )
+            return f"CAST(NULL AS {target}) AS `{self.name}`"
+        value = f"`{parent}`"
+        if path and types[parent.lower()] == "variant":
+            inside = "variant" if self.kind == "json" else target
+            value = f"variant_get({value}, '$.{path}', '{inside}')"
+        elif path:
+            value = f"{value}.`{path}`"
         if self.kind == "number_text":
-            return strict_number(raw).alias(self.name)
+            value = f"nullif(trim({value}), '')"
         if self.kind == "json":
-            return nested_text(raw).alias(self.name)
-        return raw.cast(target).alias(self.name)
+            return f"to_json({value}, map('ignoreNullFields', 'false')) AS `{self.name}`"
+        return f"CAST({value} AS {target}) AS `{self.name}`"
 
 
 @dataclass(frozen=True)
 class Derived:
-    """One output column computed from columns already conformed, placed after `after`.
-
-    The expression is a function because a Column needs a running session.
-    """
+    """One output column computed from conformed ones, as SQL text, placed after `after`."""
 
     name: str
     after: str
-    expression: Callable[[], Column]
+    expression: str
 
 
 def fields(kind: str, *names: str | tuple[str, str]) -> list[Field]:
@@ -75,15 +73,17 @@ def conform(
 ) -> DataFrame:
     """One load of a raw table as a typed table: rename, cast, derive, keep the load id.
 
-    Fields the raw frame lacks come out as typed NULLs, so the output schema never moves.
+    Fields the raw frame lacks come out as typed NULLs, so the output schema never moves. Casts
+    are strict: text that is not a number, a date or a time stops the build.
     """
     types = {f.name.lower(): f.dataType.simpleString() for f in raw.schema}
-    typed = snapshot_rows(raw, load_id).select(
-        *[f.column(types) for f in spec], F.col(LOAD_ID).alias("load_id")
+    typed = snapshot_rows(raw, load_id).selectExpr(
+        *[f.expression(types) for f in spec], f"`{LOAD_ID}` AS load_id"
     )
     if not derived:
         return typed
     order = [f.name for f in spec]
     for extra in derived:
         order.insert(order.index(extra.after) + 1, extra.name)
-    return typed.withColumns({d.name: d.expression() for d in derived}).select(*order, "load_id")
+    extras = {d.name: f"{d.expression} AS `{d.name}`" for d in derived}
+    return typed.selectExpr(*[extras.get(n, f"`{n}`") for n in order], "load_id")

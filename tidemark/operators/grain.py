@@ -106,6 +106,19 @@ def rolling_outlook(
     return grid.withColumns(out)
 
 
+def text_in_order(first_seen: str, label: str, separator: str = ", ") -> Column:
+    """An aggregate: the labels of a group as one text, ordered by when each was first seen."""
+    in_order = F.array_sort(F.collect_list(F.struct(F.col(first_seen), F.col(label).alias("label"))))
+    return F.nullif(
+        F.array_join(F.transform(in_order, lambda e: e["label"]), separator), F.lit("")
+    )
+
+
+def first_seen(order: str, tie_break: str) -> Column:
+    """An aggregate: the earliest (order, tie break) of a group, unknown times last."""
+    return F.min(F.struct(F.col(order).isNull().alias("unknown"), F.col(order), F.col(tie_break)))
+
+
 def ordered_labels(
     facts: DataFrame,
     keys: Sequence[str],
@@ -121,11 +134,9 @@ def ordered_labels(
     the label vocabulary and a key with very many facts is never gathered in one task. In a
     fixture list a pairing occurs once per period, so the reduction leaves it whole.
     """
-    first_seen = F.min(F.struct(F.col(order).isNull(), F.col(order), F.col(tie_break)))
-    distinct = facts.filter(F.col(label).isNotNull()).groupBy(*keys, label).agg(
-        first_seen.alias("first_seen")
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("first_seen", F.col(label).alias("label"))))
-    return distinct.groupBy(*keys).agg(
-        F.array_join(F.transform(in_order, lambda e: e["label"]), separator).alias(name)
+    distinct = (
+        facts.filter(F.col(label).isNotNull())
+        .groupBy(*keys, label)
+        .agg(first_seen(order, tie_break).alias("first_seen"))
     )
+    return distinct.groupBy(*keys).agg(text_in_order("first_seen", label, separator).alias(name))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
@@ -22,27 +22,30 @@ def split_points(df: DataFrame, values: Sequence[str], buckets: int = BUCKETS) -
 
     These few numbers become literals, so a recomputed task cuts the values the same way.
     """
-    shares = [i / buckets for i in range(1, buckets)]
+    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     sketches = [
-        F.percentile_approx(F.col(v).cast("double"), shares, 20 * buckets).alias(f"q{i}")
+        F.expr(f"percentile_approx(CAST(`{v}` AS DOUBLE), array({shares}), {20 * buckets}) AS q{i}")
         for i, v in enumerate(values)
     ]
     row = df.agg(*sketches).first()
     return {v: sorted(set(row[f"q{i}"] or [])) for i, v in enumerate(values)}
 
 
-def _bucket(value: Column, points: list, descending: bool) -> Column:
-    """The bucket number in rank order; NULLs form the last bucket."""
-    if not points:
-        return F.when(value.isNull(), F.lit(1)).otherwise(F.lit(0))
-    cuts = F.array(*[F.lit(float(p)) for p in points])
-    below = F.size(F.filter(cuts, lambda p: p <= value.cast("double")))
-    rank_order = F.lit(len(points)) - below if descending else below
-    return F.when(value.isNull(), F.lit(len(points) + 1)).otherwise(rank_order)
+def _bucket(value: str, points: list, descending: bool) -> str:
+    """The bucket number in rank order as SQL text; NULLs form the last bucket."""
+    cuts = ", ".join(f"{float(p)!r}D" for p in points)
+    below = f"size(filter(array({cuts}), p -> p <= CAST(`{value}` AS DOUBLE)))" if points else "0"
+    place = f"{len(points)} - {below}" if descending else below
+    return f"CASE WHEN `{value}` IS NULL THEN {len(points) + 1} ELSE {place} END AS bucket"
 
 
-def _rank_order(column: str, descending: bool) -> Column:
-    return F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _same_row(columns: Sequence[str]) -> str:
+    """Null-safe equality of columns with their underscored copies."""
+    return " AND ".join(f"`{c}` <=> `_{c}`" for c in columns)
 
 
 def value_positions(
@@ -52,7 +55,8 @@ def value_positions(
     descending: bool = False,
     points: list | None = None,
 ) -> DataFrame:
-    """One row per (keys, value): `ties` rows have it, `before` rows precede it, of `group_rows`.
+    """One row per (keys, value): `ties` rows have it and `before` rows precede it, of
+    `group_rows` rows in the group, `value_rows` of which have a value.
 
     Works for no keys at all, which is the global case. No window covers more than one bucket of
     distinct values, or one row per bucket.
@@ -62,71 +66,81 @@ def value_positions(
         points = split_points(df, [value])[value]
     counted = (
         df.groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("bucket", _bucket(F.col(value), points, descending))
+        .agg(F.expr("count(1) AS ties"))
+        .selectExpr("*", _bucket(value, points, descending))
     )
 
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    earlier_buckets = (
-        Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    group = _names(keys) or "0"
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     offsets = (
         counted.groupBy(*keys, "bucket")
-        .agg(F.sum("ties").alias("in_bucket"))
-        .select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            F.col("bucket").alias("_bucket"),
-            F.coalesce(F.sum("in_bucket").over(earlier_buckets), F.lit(0)).alias("offset"),
-            F.sum("in_bucket").over(Window.partitionBy(*group)).alias("group_rows"),
+        .agg(
+            F.expr("sum(ties) AS in_bucket"),
+            F.expr(f"sum(if(`{value}` IS NULL, 0, ties)) AS known"),
+        )
+        .selectExpr(
+            *[f"`{k}` AS `_{k}`" for k in keys],
+            "bucket AS _bucket",
+            f"coalesce(sum(in_bucket) OVER (PARTITION BY {group} ORDER BY bucket {earlier}), 0)"
+            " AS offset",
+            f"sum(in_bucket) OVER (PARTITION BY {group}) AS group_rows",
+            f"sum(known) OVER (PARTITION BY {group}) AS value_rows",
         )
     )
 
-    within_bucket = (
-        Window.partitionBy(*keys, "bucket")
-        .orderBy(_rank_order(value, descending))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    direction = "DESC NULLS LAST" if descending else "ASC NULLS LAST"
+    inside = (
+        f"sum(ties) OVER (PARTITION BY {_names([*keys, 'bucket'])}"
+        f" ORDER BY `{value}` {direction} {earlier})"
     )
-    placed = counted.withColumn("inside", F.coalesce(F.sum("ties").over(within_bucket), F.lit(0)))
-    same = F.col("bucket") == F.col("_bucket")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return placed.join(offsets, same).select(
-        *keys, value, "ties", (F.col("offset") + F.col("inside")).alias("before"), "group_rows"
+    return (
+        counted.selectExpr("*", f"coalesce({inside}, 0) AS inside")
+        .join(offsets, F.expr(_same_row([*keys, "bucket"])))
+        .selectExpr(
+            *[f"`{c}`" for c in [*keys, value]],
+            "ties",
+            "offset + inside AS before",
+            "group_rows",
+            "value_rows",
+        )
     )
 
 
-def rank_column() -> Column:
-    return F.col("before") + F.lit(1)
+# Rank-like outputs over value positions, as SQL text.
+RANK = "before + 1"
+# (rank - 1) / (rows - 1); zero in a group of one row, as SQL defines it.
+PERCENT_RANK = "coalesce(try_divide(CAST(before AS DOUBLE), CAST(group_rows - 1 AS DOUBLE)), 0D)"
 
 
-def percent_rank_column() -> Column:
-    """(rank - 1) / (rows - 1); zero in a group of one row, as SQL defines it."""
-    return F.coalesce(ratio(F.col("before"), F.col("group_rows") - 1), F.lit(0.0))
+def reverse_rank(value: str) -> str:
+    """The rank in the opposite order, NULLs still last, from the same positions."""
+    return f"if(`{value}` IS NULL, before, value_rows - before - ties) + 1"
 
 
 def with_positions(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    outputs: dict[str, Column],
+    outputs: dict[str, str],
     descending: bool = False,
     points: list | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Add rank-like columns computed from the (keys, value) table.
+    """Add rank-like columns (name to SQL text) computed from the (keys, value) table.
+
+    `source` is the frame to take the positions from when `df` is the same rows further along;
+    several rankings in a row then all start from the one source.
 
     The way back is a null-safe equality join with that table, one row per pair: small tables
     are sent to every task by Spark's own size check, larger ones meet in a shuffle whose hot
     pairs the skew-join rule splits.
     """
-    keys = list(keys)
-    table = value_positions(df, keys, value, descending, points).select(
-        *[F.col(c).alias(f"_{c}") for c in [*keys, value]],
-        *[expr.alias(name) for name, expr in outputs.items()],
+    pair = [*keys, value]
+    positions = value_positions(df if source is None else source, keys, value, descending, points)
+    ranks = positions.selectExpr(
+        *[f"`{c}` AS `_{c}`" for c in pair], *[f"{e} AS `{n}`" for n, e in outputs.items()]
     )
-    same = F.col(value).eqNullSafe(F.col(f"_{value}"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return df.join(table, same, "left").drop(*[f"_{c}" for c in [*keys, value]])
+    return df.join(ranks, F.expr(_same_row(pair)), "left").drop(*[f"_{c}" for c in pair])
 
 
 def with_rank(
@@ -138,7 +152,7 @@ def with_rank(
     points: list | None = None,
 ) -> DataFrame:
     """rank(): ties share a rank and leave a gap after it; NULLs come last and tie."""
-    return with_positions(df, keys, value, {name: rank_column()}, descending, points)
+    return with_positions(df, keys, value, {name: RANK}, descending, points)
 
 
 def with_percent_rank(
@@ -149,22 +163,19 @@ def with_percent_rank(
     descending: bool = False,
     points: list | None = None,
 ) -> DataFrame:
-    return with_positions(df, keys, value, {name: percent_rank_column()}, descending, points)
+    return with_positions(df, keys, value, {name: PERCENT_RANK}, descending, points)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """The exact median of each group, from the value positions; NULLs are ignored."""
-    keys = list(keys)
-    positions = value_positions(df.filter(F.col(value).isNotNull()), keys, value)
+    positions = value_positions(df.filter(f"`{value}` IS NOT NULL"), keys, value)
 
-    def at(position: Column) -> Column:
-        covers = (F.col("before") <= position) & (position < F.col("before") + F.col("ties"))
-        return F.max(F.when(covers, F.col(value)))
+    def at(place: str) -> str:
+        return f"max(if(before <= {place} AND {place} < before + ties, `{value}`, NULL))"
 
-    lower = F.floor((F.col("group_rows") - 1) / 2).cast("long")
-    upper = F.floor(F.col("group_rows") / 2).cast("long")
-    middle = (at(lower) + at(upper)) / F.lit(2.0)
-    return positions.groupBy(*keys).agg(middle.alias(name))
+    lower, upper = "(group_rows - 1) DIV 2", "group_rows DIV 2"
+    middle = f"({at(lower)} + {at(upper)}) / 2.0D AS `{name}`"
+    return positions.groupBy(*keys).agg(F.expr(middle))
 
 
 def extreme_fill(
@@ -185,13 +196,16 @@ def extreme_fill(
     """
     if most_slots is None:
         most_slots = candidates.agg(F.max(slots)).first()[0] or 0
-    by_price = Window.partitionBy(group).orderBy(_rank_order(price, dearest), F.asc(tie_break))
+    direction = "DESC NULLS LAST" if dearest else "ASC NULLS LAST"
+    place = (
+        f"row_number() OVER (PARTITION BY `{group}` ORDER BY `{price}` {direction},"
+        f" `{tie_break}`) AS place"
+    )
     return (
-        candidates.select(group, price, tie_break, slots)
-        .withColumn("place", F.row_number().over(by_price))
-        .filter((F.col("place") <= F.lit(int(most_slots))) & (F.col("place") <= F.col(slots)))
+        candidates.selectExpr(f"`{group}`", f"`{price}`", f"`{slots}`", place)
+        .filter(f"place <= {int(most_slots)} AND place <= `{slots}`")
         .groupBy(group)
-        .agg(F.sum(price).alias(name))
+        .agg(F.expr(f"sum(`{price}`) AS `{name}`"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,3 +135,20 @@ def daily_indicators(
         .withColumn("duration_alert", F.col("duration_share_of_cap") > DURATION_ALERT_SHARE)
         .drop("day_number")
     )
+
+
+RECORDS = "ops_runs"
+
+
+def append_run_records(records: DataFrame, root: str) -> None:
+    """Append run records, one JSON line each and uncompressed, below their load date.
+
+    Call it once for starts and once for finishes: the two never share a file, so a finish can
+    not overwrite a start.
+    """
+    records.write.mode("append").partitionBy("load_date").json(f"{root}/{RECORDS}")
+
+
+def read_run_records(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    dated = T.StructType(schema.fields + [T.StructField("load_date", T.DateType())])
+    return spark.read.schema(dated).option("mode", "FAILFAST").json(f"{root}/{RECORDS}")

@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import facet_mean, joined_text, ratio, scaled
 from tidemark.operators.grain import (
     dense_grid,
+    first_seen,
     fold_onto_grid,
-    ordered_labels,
     own_and_opponent,
     rolling_outlook,
+    text_in_order,
     unpivot_sides,
 )
 from tidemark.operators.ranking import (
+    PERCENT_RANK,
     exact_median,
     extreme_fill,
+    reverse_rank,
     split_points,
-    with_percent_rank,
-    with_rank,
+    with_positions,
     with_share_of_total,
 )
 
@@ -208,32 +210,37 @@ def mart_team_fixture_run(
     clubs = teams.select("team_id", "team_name", "team_short_name")
     cell = ["team_id", "gameweek_id"]
     scheduled = team_fixtures.filter(F.col("gameweek_id").isNotNull())
-    per_cell = scheduled.groupBy(*cell).agg(
-        F.count("fixture_id").alias("fixture_count"),
-        F.count_if("is_home").alias("home_fixture_count"),
-        F.avg("difficulty").alias("avg_difficulty"),
-        F.sum("difficulty").alias("total_difficulty"),
-        F.min("difficulty").alias("easiest_difficulty"),
-        F.max("difficulty").alias("hardest_difficulty"),
+    # One shuffle of the facts, to one row per pairing in a cell; cells are then small sums.
+    pairings = scheduled.groupBy(*cell, "opponent_team_id", "venue").agg(
+        F.count("fixture_id").alias("n"),
+        F.count_if("is_home").alias("n_home"),
+        F.count("difficulty").alias("n_rated"),
+        F.sum("difficulty").alias("total"),
+        F.min("difficulty").alias("easiest"),
+        F.max("difficulty").alias("hardest"),
+        first_seen("kickoff_time", "fixture_id").alias("first_seen"),
     )
     opponent = teams.select(
         F.col("team_id").alias("opponent_team_id"), F.col("team_short_name").alias("opponent_name")
     )
-    # Reduced to distinct pairings before names are looked up.
-    pairings = scheduled.groupBy(*cell, "opponent_team_id", "venue").agg(
-        F.min(F.struct("kickoff_time", "fixture_id")).alias("first")
-    )
-    labelled = pairings.join(opponent, "opponent_team_id", "left").select(
-        *cell,
-        F.col("first.kickoff_time").alias("kickoff_time"),
-        F.col("first.fixture_id").alias("fixture_id"),
-        joined_text(F.col("opponent_name"), " (", F.col("venue"), ")").alias("label"),
+    label = joined_text(F.col("opponent_name"), " (", F.col("venue"), ")")
+    per_cell = (
+        pairings.join(opponent, "opponent_team_id", "left")
+        .withColumn("label", label)
+        .groupBy(*cell)
+        .agg(
+            F.sum("n").alias("fixture_count"),
+            F.sum("n_home").alias("home_fixture_count"),
+            ratio(F.sum("total"), F.sum("n_rated")).alias("avg_difficulty"),
+            F.sum("total").alias("total_difficulty"),
+            F.min("easiest").alias("easiest_difficulty"),
+            F.max("hardest").alias("hardest_difficulty"),
+            text_in_order("first_seen", "label").alias("opponents"),
+        )
     )
-    opponents = ordered_labels(labelled, cell, "label", "kickoff_time", "fixture_id", "opponents")
-
     grid = dense_grid(clubs, calendar, "gameweek_id")
     filled = fold_onto_grid(grid, per_cell, cell, ["fixture_count", "home_fixture_count"])
-    folded = filled.join(opponents, cell, "left").withColumns(
+    folded = filled.withColumns(
         {"is_blank": F.col("fixture_count") == 0, "is_double": F.col("fixture_count") > 1}
     )
     outlook = rolling_outlook(
@@ -287,11 +294,12 @@ def points_are_prior_season(gameweeks: DataFrame, players: DataFrame) -> Column:
     return (finished == 0) & (most_minutes > 0)
 
 
-_VALUE_RANKS = {
-    "value_rank_in_position": "points_per_million",
-    "form_value_rank_in_position": "form_per_million",
-    "price_rank_in_position": "now_cost_gbp_m",
-    "ownership_rank_in_position": "selected_by_percent",
+# The ranks within a position, all descending, and the value each one orders by.
+_POSITION_RANKS = {
+    "points_per_million": "value_rank_in_position",
+    "form_per_million": "form_value_rank_in_position",
+    "now_cost_gbp_m": "price_rank_in_position",
+    "selected_by_percent": "ownership_rank_in_position",
 }
 
 
@@ -312,9 +320,24 @@ def mart_player_value(
         c("is_blank").alias("is_blank_next_gameweek"),
         c("is_double").alias("is_double_next_gameweek"),
     )
-    valued = (
-        players.join(outlook, "team_id", "left")
+    cost = c("now_cost_gbp_m")
+    ratios = {
+        "points_per_million": ratio(c("total_points"), cost),
+        "form_per_million": ratio(c("form"), cost),
+        "expected_points_next_per_million": ratio(c("expected_points_next"), cost),
+        "points_per_90": ratio(c("total_points") * F.lit(90.0), c("minutes")),
+    }
+    priced = players.withColumns(ratios)
+    return (
+        priced.join(value_ranks(priced), "player_id")
+        .join(outlook, "team_id", "left")
         .withColumn("points_are_prior_season", points_are_prior_season(gameweeks, players))
+        .withColumn(
+            "is_differential",
+            (c("selected_by_percent") < DIFFERENTIAL_OWNERSHIP)
+            & (c("value_percentile_in_position") >= DIFFERENTIAL_PERCENTILE)
+            & c("is_pickable"),
+        )
         .select(
             "player_id",
             "player_code",
@@ -342,10 +365,7 @@ def mart_player_value(
             "selected_by_percent",
             "net_transfers_event",
             "is_first_choice_penalties",
-            ratio(c("total_points"), c("now_cost_gbp_m")).alias("points_per_million"),
-            ratio(c("form"), c("now_cost_gbp_m")).alias("form_per_million"),
-            ratio(c("expected_points_next"), c("now_cost_gbp_m")).alias("expected_points_next_per_million"),
-            ratio(c("total_points") * F.lit(90.0), c("minutes")).alias("points_per_90"),
+            *ratios,
             "expected_goal_involvements_per_90",
             "expected_goals",
             "expected_assists",
@@ -355,33 +375,35 @@ def mart_player_value(
             "bps",
             "defensive_contribution",
             *[n for n in outlook.columns if n != "team_id"],
+            "value_rank_overall",
+            *_POSITION_RANKS.values(),
+            "value_percentile_in_position",
+            "is_differential",
         )
     )
-    return with_value_ranks(valued)
 
 
-def with_value_ranks(valued: DataFrame) -> DataFrame:
-    """The ranks, the value percentile and the differential flag, split points read in one pass."""
-    c = F.col
-    points = split_points(valued, list(_VALUE_RANKS.values()))
-    ranked = with_rank(
-        valued, [], "points_per_million", "value_rank_overall", points=points["points_per_million"]
-    )
-    for name, value in _VALUE_RANKS.items():
-        ranked = with_rank(ranked, ["position_id"], value, name, points=points[value])
-    ranked = with_percent_rank(
-        ranked,
-        ["position_id"],
-        "points_per_million",
-        "value_percentile_in_position",
-        points=points["points_per_million"],
-    )
-    return ranked.withColumn(
-        "is_differential",
-        (c("selected_by_percent") < DIFFERENTIAL_OWNERSHIP)
-        & (c("value_percentile_in_position") >= DIFFERENTIAL_PERCENTILE)
-        & c("is_pickable"),
+def value_ranks(priced: DataFrame) -> DataFrame:
+    """Every rank of every player, worked out on the key and the ranked values alone.
+
+    Wide rows travel once, in the caller's join on the player, and not once per ranking. All
+    split points come from one pass, and both rank directions from the same positions.
+    """
+    values = list(_POSITION_RANKS)
+    narrow = priced.select("player_id", "position_id", *values)
+    points = split_points(narrow, values)
+    main = "points_per_million"
+    ranked = with_positions(
+        narrow, [], main, {"value_rank_overall": reverse_rank(main)}, points=points[main]
     )
+    for value, name in _POSITION_RANKS.items():
+        outputs = {name: reverse_rank(value)}
+        if value == main:
+            outputs["value_percentile_in_position"] = PERCENT_RANK
+        ranked = with_positions(
+            ranked, ["position_id"], value, outputs, points=points[value], source=narrow
+        )
+    return ranked.drop("position_id", *values)
 
 
 def mart_position_scarcity(

@@ -6,10 +6,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import joined_text, scaled, span_length
 from tidemark.operators.conform import Derived, Field, conform, fields
 
 
@@ -276,39 +274,29 @@ AVAILABLE_STATUS = "a"
 MODELS: dict[str, Model] = {
     "stg_fpl__teams": Model("teams", TEAMS),
     "stg_fpl__positions": Model("element_types", POSITIONS),
+    # Points are final only once checked; finished alone means the matches are over.
     "stg_fpl__gameweeks": Model(
-        "events",
-        GAMEWEEKS,
-        # Points are final only once checked; finished alone means the matches are over.
-        [Derived("is_settled", "is_data_checked", lambda: F.col("is_finished") & F.col("is_data_checked"))],
+        "events", GAMEWEEKS, [Derived("is_settled", "is_data_checked", "is_finished AND is_data_checked")]
     ),
     "stg_fpl__fixtures": Model("fixtures", FIXTURES),
     "stg_fpl__players": Model(
         "elements",
         PLAYERS,
         [
-            Derived("full_name", "second_name", lambda: joined_text(F.col("first_name"), " ", F.col("second_name"))),
-            Derived("now_cost_gbp_m", "now_cost_tenths", lambda: scaled(F.col("now_cost_tenths"))),
-            Derived("is_available", "status", lambda: F.col("status") == AVAILABLE_STATUS),
+            Derived("full_name", "second_name", "first_name || ' ' || second_name"),
+            Derived("now_cost_gbp_m", "now_cost_tenths", "now_cost_tenths / 10.0D"),
+            Derived("is_available", "status", f"status = '{AVAILABLE_STATUS}'"),
         ],
     ),
     "stg_fpl__chips": Model("chips", CHIPS),
     "stg_fpl__phases": Model(
         "phases",
         PHASES,
-        [
-            Derived(
-                "gameweek_count",
-                "last_gameweek_id",
-                lambda: span_length(F.col("first_gameweek_id"), F.col("last_gameweek_id")),
-            )
-        ],
+        [Derived("gameweek_count", "last_gameweek_id", "last_gameweek_id - first_gameweek_id + 1")],
     ),
     "stg_fpl__stat_types": Model("element_stats", STAT_TYPES),
     "stg_fpl__game_settings": Model(
-        "game_meta",
-        GAME_SETTINGS,
-        [Derived("budget_gbp_m", "budget_tenths", lambda: scaled(F.col("budget_tenths")))],
+        "game_meta", GAME_SETTINGS, [Derived("budget_gbp_m", "budget_tenths", "budget_tenths / 10.0D")]
     ),
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The settings a session needs for the semantics and the skew handling.
 # ANSI makes bad casts fail; AQE sizes joins and shuffles at run time and splits skewed join
@@ -37,3 +37,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """A frame written to the shared folder and read back, for results that are read many times.
+
+    Later steps scan the written columns instead of recomputing, and a lost executor costs
+    nothing but the scan.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from tidemark.operators.snapshot import LOAD_ID, latest_committed_load
 from tidemark.plans.silver import MODELS
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its file listing and schema are looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -401,8 +404,8 @@ def _raw_expressions(model: str) -> dict[str, tuple[str, str]]:
 
 def raw_frame(spark: SparkSession, sf_dir: str, model: str, *loads: str) -> DataFrame:
     """The raw table, appended whole once per load."""
-    columns = [F.expr(e).alias(n) for n, (e, _) in _raw_expressions(model).items()]
-    rows = RAW[model].base(spark, sf_dir).select(*columns)
+    columns = [f"{e} AS `{n}`" for n, (e, _) in _raw_expressions(model).items()]
+    rows = RAW[model].base(spark, sf_dir).selectExpr(*columns)
     if len(loads) == 1:
         return rows.withColumn(LOAD_ID, F.lit(loads[0]))
     return rows.withColumn(LOAD_ID, F.explode(F.array(*[F.lit(x) for x in loads])))
@@ -470,16 +473,6 @@ def portable(df: DataFrame) -> DataFrame:
             changes[f.name] = F.col(f.name).cast("string")
         elif kind == "timestamp":
             changes[f.name] = F.unix_timestamp(f.name)
+        elif kind == "timestamp_ntz":
+            changes[f.name] = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return df.withColumns(changes) if changes else df
-
-
-def portable_sql(columns: list[str], dates: tuple[str, ...] = (), times: tuple[str, ...] = ()) -> str:
-    out = []
-    for c in columns:
-        if c in dates:
-            out.append(f"CAST({c} AS VARCHAR) AS {c}")
-        elif c in times:
-            out.append(f"CAST(epoch({c}) AS BIGINT) AS {c}")
-        else:
-            out.append(c)
-    return ", ".join(out)
