@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import running_total, with_rank
+from tidemark.session import staged
 
 # ---- Fixed values of the game. ----
 STARTING_BUDGET_TENTHS = 1000
@@ -114,15 +115,16 @@ def sell_price(bought_tenths: Column, current_tenths: Column) -> Column:
 def bank_balance(
     transfers: DataFrame,
     manager: str,
-    gameweek: str,
+    bucket: str,
     order: list[str],
     budget_tenths: int = STARTING_BUDGET_TENTHS,
 ) -> DataFrame:
     """Each transfer with the bank after it and whether the bank stays at or above zero.
 
-    `transfers` has `amount_tenths`, sales positive and purchases negative.
+    `transfers` has `amount_tenths`, sales positive and purchases negative; `bucket` is a coarse
+    time that splits a manager with very many transfers.
     """
-    spent = running_total(transfers, [manager], gameweek, order, "amount_tenths", "flow_tenths")
+    spent = running_total(transfers, [manager], bucket, order, "amount_tenths", "flow_tenths")
     bank = F.lit(budget_tenths) + F.col("flow_tenths")
     return spent.withColumn("bank_tenths", bank).withColumn("is_valid", bank >= 0).drop("flow_tenths")
 
@@ -289,7 +291,7 @@ def league_table(scores: DataFrame, phases: DataFrame, manager: str, gameweek: s
         .groupBy("phase_id", manager)
         .agg(F.sum("points").alias("points"))
     )
-    return with_rank(totals, ["phase_id"], "points", "league_rank")
+    return with_rank(staged(totals, "league"), ["phase_id"], "points", "league_rank")
 
 
 def points_of(stats: DataFrame, role: str = "role") -> Column:

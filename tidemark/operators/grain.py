@@ -39,25 +39,63 @@ def own_and_opponent(**pairs: tuple[str, str, str, str]) -> dict[str, tuple[str,
     return mirrored
 
 
-def dense_grid(entities: DataFrame, calendar: DataFrame, period: str, step: str = "1") -> DataFrame:
+# A calendar has one row per period. Up to this many rows it is sent to every task.
+BROADCAST_PERIODS = 20_000
+
+
+def _spread(
+    entities: DataFrame, calendar: DataFrame, period: str, step: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """Entities unfolded over the calendar's span, and the calendar ready to be joined.
+
+    One small job reads the first and last period and the row count; the count decides whether
+    the calendar may be broadcast, or joins by shuffle like any other table.
+    """
+    lo, hi, rows = calendar.agg(F.min(period), F.max(period), F.count(F.lit(1))).first()
+    kind = calendar.schema[period].dataType
+    ends = [F.lit(lo).cast(kind), F.lit(hi).cast(kind)]
+    every = F.sequence(*ends, *([F.expr(step)] if step else []))
+    if lo is None:
+        every = F.array().cast(f"array<{kind.simpleString()}>")
+    small = F.broadcast(calendar) if rows <= BROADCAST_PERIODS else calendar
+    return entities.withColumn(period, F.explode(every)), small
+
+
+def dense_grid(
+    entities: DataFrame, calendar: DataFrame, period: str, step: str | None = None
+) -> DataFrame:
     """Every entity in every period of the calendar, without a cross join.
 
-    The calendar's first and last period are one scalar; each entity row expands to the periods
-    between them and then meets the calendar on an equality, which drops period numbers the
-    calendar does not have and adds the calendar's attributes. The size of the result is
-    entities x periods by definition.
+    Each entity row unfolds over the calendar's span and then meets the calendar on an equality,
+    which drops period numbers the calendar lacks and adds the calendar's attributes. The size
+    of the result is entities x periods by definition; it is not shuffled.
     """
-    bounds = calendar.agg(
-        F.struct(F.min(period).alias("lo"), F.max(period).alias("hi")).alias("bounds")
-    )
-    lo, hi = F.col("bounds.lo"), F.col("bounds.hi")
-    every = F.sequence(lo, hi, F.expr(step)) if step != "1" else F.sequence(lo, hi)
-    spread = (
-        entities.withColumn("bounds", bounds.scalar())
-        .withColumn(period, F.explode(every))
-        .drop("bounds")
-    )
-    return spread.join(calendar, period)
+    spread, small = _spread(entities, calendar, period, step)
+    return spread.join(small, period)
+
+
+def dense_cells(
+    entities: DataFrame,
+    cells: DataFrame,
+    calendar: DataFrame,
+    entity: str,
+    period: str,
+    counts: Sequence[str],
+    step: str | None = None,
+) -> DataFrame:
+    """The dense grid with facts laid on it; a missing count is zero, other measures are NULL.
+
+    `cells` are facts already reduced to one row per entity and period. They move as one map per
+    entity, at most as long as the calendar, and the grid unfolds after that shuffle. So the
+    grid's rows are never shuffled, and a window over an entity's periods needs no exchange.
+    """
+    measures = [c for c in cells.columns if c not in (entity, period)]
+    entry = F.struct(F.col(period), F.struct(*measures).alias("cell"))
+    maps = cells.groupBy(entity).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+    spread, small = _spread(entities.join(maps, entity, "left"), calendar, period, step)
+    laid = spread.withColumn("cell", F.try_element_at("cells", F.col(period)))
+    grid = laid.select(*entities.columns, period, "cell.*").na.fill(0, subset=list(counts))
+    return grid.join(small, period)
 
 
 def day_calendar(events: DataFrame, time: str, day: str = "day") -> DataFrame:
@@ -68,13 +106,6 @@ def day_calendar(events: DataFrame, time: str, day: str = "day") -> DataFrame:
     )
 
 
-def fold_onto_grid(
-    grid: DataFrame, facts: DataFrame, keys: Sequence[str], counts: Sequence[str]
-) -> DataFrame:
-    """Facts already reduced to the grid's keys, laid on it; a missing count is zero."""
-    return grid.join(facts, list(keys), "left").na.fill(0, subset=list(counts))
-
-
 def rolling_outlook(
     grid: DataFrame,
     entity: str,
@@ -106,17 +137,12 @@ def rolling_outlook(
     return grid.withColumns(out)
 
 
-def text_in_order(first_seen: str, label: str, separator: str = ", ") -> Column:
-    """An aggregate: the labels of a group as one text, ordered by when each was first seen."""
-    in_order = F.array_sort(F.collect_list(F.struct(F.col(first_seen), F.col(label).alias("label"))))
-    return F.nullif(
-        F.array_join(F.transform(in_order, lambda e: e["label"]), separator), F.lit("")
-    )
-
-
-def first_seen(order: str, tie_break: str) -> Column:
-    """An aggregate: the earliest (order, tie break) of a group, unknown times last."""
-    return F.min(F.struct(F.col(order).isNull().alias("unknown"), F.col(order), F.col(tie_break)))
+def text_in_order(label: str, *order: str, separator: str = ", ") -> Column:
+    """An aggregate: the labels of a group as one text, by the order columns, unknown ones last."""
+    keys = [k for c in order for k in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    in_order = F.array_sort(F.collect_list(F.struct(*keys, F.col(label).alias("label"))))
+    text = F.array_join(F.transform(in_order, lambda e: e["label"]), separator)
+    return F.nullif(text, F.lit(""))
 
 
 def ordered_labels(
@@ -130,13 +156,14 @@ def ordered_labels(
 ) -> DataFrame:
     """The labels of each key as one text, in the order of their first occurrence.
 
-    Facts are first reduced to one row per key and label, map-side, so the text is as long as
-    the label vocabulary and a key with very many facts is never gathered in one task. In a
-    fixture list a pairing occurs once per period, so the reduction leaves it whole.
+    Facts are first reduced to one row per key and label, map-side and by hash, so the text is
+    as long as the label vocabulary and a key with very many facts is never gathered in one
+    task. In a fixture list a pairing occurs once per period, so the reduction leaves it whole.
     """
     distinct = (
         facts.filter(F.col(label).isNotNull())
         .groupBy(*keys, label)
-        .agg(first_seen(order, tie_break).alias("first_seen"))
+        .agg(F.min(order).alias("first_order"), F.min(tie_break).alias("first_tie"))
     )
-    return distinct.groupBy(*keys).agg(text_in_order("first_seen", label, separator).alias(name))
+    text = text_in_order(label, "first_order", "first_tie", separator=separator)
+    return distinct.groupBy(*keys).agg(text.alias(name))

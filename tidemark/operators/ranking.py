@@ -215,6 +215,16 @@ def with_share_of_total(df: DataFrame, value: str, total: str, share: str) -> Da
     return df.withColumn(total, whole).withColumn(share, ratio(F.col(value), F.col(total)))
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame:
+    """Keys with more than `at_least` rows and more than a thousandth of all rows.
+
+    The second condition bounds the answer to a thousand keys, so it may be broadcast.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    total = counts.agg(F.sum("rows")).scalar()
+    return counts.filter((F.col("rows") > at_least) & (F.col("rows") * 1000 > total)).select(*keys)
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -222,28 +232,37 @@ def running_total(
     order: Sequence[str],
     value: str,
     name: str,
+    heavy_rows: int = 1_000_000,
 ) -> DataFrame:
-    """A cumulative sum per key whose history may be very long.
+    """A cumulative sum per key, of which any may have a very long history.
 
-    `bucket` must not decrease along `order` (a month of a timestamp, for instance). One task
-    sums one bucket of one key; the buckets before it come in as a single number.
+    Most keys are one window each. A heavy key is split by `bucket`, which must not decrease
+    along `order` (the day of a timestamp, for instance): one task sums one bucket, and the
+    buckets before it come in as a single number.
     """
     keys = list(keys)
-    totals = df.groupBy(*keys, bucket).agg(F.sum(value).alias("in_bucket"))
+    heavy = heavy_keys(df, keys, heavy_rows).withColumn("is_heavy", F.lit(True))
+    marked = df.join(F.broadcast(heavy), keys, "left").withColumn(
+        "part", F.when(F.col("is_heavy"), F.col(bucket))
+    )
     earlier = (
-        Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        marked.filter("is_heavy")
+        .groupBy(*keys, "part")
+        .agg(F.sum(value).alias("in_part"))
+        .select(*keys, "part", F.sum("in_part").over(earlier).alias("offset"))
     )
-    offsets = totals.withColumn(
-        "offset", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0))
-    ).drop("in_bucket")
     inside = (
-        Window.partitionBy(*keys, bucket)
+        Window.partitionBy(*keys, "part")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        df.withColumn("inside", F.sum(value).over(inside))
-        .join(offsets, [*keys, bucket])
-        .withColumn(name, F.col("offset") + F.col("inside"))
-        .drop("inside", "offset")
+        marked.withColumn("inside", F.sum(value).over(inside))
+        .join(offsets, [*keys, "part"], "left")
+        .withColumn(name, F.coalesce(F.col("offset"), F.lit(0)) + F.col("inside"))
+        .drop("inside", "offset", "part", "is_heavy")
+        .select(*df.columns, name)
     )

@@ -43,18 +43,18 @@ def latest_committed_load(ledger: DataFrame) -> str | None:
     return newest_load(ledger).first()["load_id"]
 
 
-def load_dates(load_id: str) -> tuple[str, str]:
+def load_dates(load_id: str) -> list[str]:
     """The partition dates a load can have written: its start day, and a day either side."""
     started = datetime.fromtimestamp(float(load_id), tz=timezone.utc).date()
-    return str(started - timedelta(days=1)), str(started + timedelta(days=1))
+    return [str(started + timedelta(days=d)) for d in (-1, 0, 1)]
 
 
 def snapshot_rows(table: DataFrame, load_id: str, load_column: str = LOAD_ID) -> DataFrame:
     """Every row of one load. Where the table has `load_date`, only three dates are read."""
     rows = table
     if "load_date" in table.columns:
-        first, last = load_dates(load_id)
-        rows = rows.filter(F.col("load_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
+        days = [F.to_date(F.lit(d)) for d in load_dates(load_id)]
+        rows = rows.filter(F.col("load_date").isin(*days))
     return rows.filter(F.col(load_column) == load_id)
 
 

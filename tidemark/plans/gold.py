@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import facet_mean, joined_text, ratio, scaled
 from tidemark.operators.grain import (
-    dense_grid,
-    first_seen,
-    fold_onto_grid,
+    dense_cells,
     own_and_opponent,
     rolling_outlook,
     text_in_order,
@@ -195,8 +193,8 @@ def mart_team_fixture_run(
 ) -> DataFrame:
     """Every team in every gameweek, with what it plays there and over the next `horizon`.
 
-    The fixtures are reduced to the grid's keys on their own, so the grid joins at most one row
-    per cell; the rolling window then counts gameweeks, blanks included.
+    The fixtures are reduced to one row per team and gameweek on their own and then laid on the
+    dense grid; the rolling window counts gameweeks, blanks included.
     """
     calendar = gameweeks.select(
         "gameweek_id",
@@ -218,7 +216,8 @@ def mart_team_fixture_run(
         F.sum("difficulty").alias("total"),
         F.min("difficulty").alias("easiest"),
         F.max("difficulty").alias("hardest"),
-        first_seen("kickoff_time", "fixture_id").alias("first_seen"),
+        F.min("kickoff_time").alias("first_kickoff"),
+        F.min("fixture_id").alias("first_fixture"),
     )
     opponent = teams.select(
         F.col("team_id").alias("opponent_team_id"), F.col("team_short_name").alias("opponent_name")
@@ -235,12 +234,11 @@ def mart_team_fixture_run(
             F.sum("total").alias("total_difficulty"),
             F.min("easiest").alias("easiest_difficulty"),
             F.max("hardest").alias("hardest_difficulty"),
-            text_in_order("first_seen", "label").alias("opponents"),
+            text_in_order("label", "first_kickoff", "first_fixture").alias("opponents"),
         )
     )
-    grid = dense_grid(clubs, calendar, "gameweek_id")
-    filled = fold_onto_grid(grid, per_cell, cell, ["fixture_count", "home_fixture_count"])
-    folded = filled.withColumns(
+    counts = ["fixture_count", "home_fixture_count"]
+    folded = dense_cells(clubs, per_cell, calendar, *cell, counts).withColumns(
         {"is_blank": F.col("fixture_count") == 0, "is_double": F.col("fixture_count") > 1}
     )
     outlook = rolling_outlook(

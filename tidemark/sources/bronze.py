@@ -33,14 +33,18 @@ LEDGER_SCHEMA = T.StructType(
 ROWS_PER_FILE = 1_000_000
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    """True when the path exists, read through Spark's own file listing."""
+def _read_json(
+    spark: SparkSession, schema: T.StructType, path: str, base: str | None = None
+) -> DataFrame:
+    """JSON lines under a declared schema, or an empty frame of it where there are no files."""
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    if base is not None:
+        reader = reader.option("basePath", base)
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return True
+        return reader.json(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return spark.createDataFrame([], schema)
         raise
 
 
@@ -51,29 +55,26 @@ def read_table(
 
     A declared schema needs no inference pass, gives typed NULLs for fields that some or all
     files lack, and with FAILFAST a value of the wrong JSON type stops the read. With a load id
-    only the partitions that load can have written are listed into the scan.
+    only the directories that load can have written are listed and read, however long the
+    history is.
     """
-    lineage = [T.StructField(LOAD_ID, T.StringType()), T.StructField(ROW_ID, T.StringType())]
     known = set(schema.fieldNames())
-    full = T.StructType(schema.fields + [f for f in lineage if f.name not in known])
+    lineage = [T.StructField(LOAD_ID, T.StringType()), T.StructField(ROW_ID, T.StringType())]
+    full = T.StructType(
+        schema.fields
+        + [f for f in lineage if f.name not in known]
+        + [T.StructField("load_date", T.DateType())]
+    )
     path = f"{root}/{table}"
-    if not _has_files(spark, path):
-        return spark.createDataFrame([], full.add("load_date", T.DateType()))
-    with_date = T.StructType(full.fields + [T.StructField("load_date", T.DateType())])
-    rows = spark.read.schema(with_date).option("mode", "FAILFAST").json(path)
     if load_id is None:
-        return rows
-    first, last = load_dates(load_id)
-    return rows.filter(
-        F.col("load_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
-    ).filter(F.col(LOAD_ID) == load_id)
+        return _read_json(spark, full, path)
+    days = ",".join(load_dates(load_id))
+    rows = _read_json(spark, full, f"{path}/load_date={{{days}}}", base=path)
+    return rows.filter(F.col(LOAD_ID) == load_id)
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    path = f"{root}/{LEDGER}"
-    if not _has_files(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).option("mode", "FAILFAST").json(path)
+    return _read_json(spark, LEDGER_SCHEMA, f"{root}/{LEDGER}")
 
 
 def append_rows(df: DataFrame, root: str, table: str) -> None:

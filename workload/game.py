@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import game
-from tidemark.operators.grain import dense_grid
+from tidemark.operators.grain import dense_cells
 from workload.inputs import MONTH, table
 from workload.registry import query
 
@@ -99,7 +99,7 @@ def transfer_economy(spark, sf_dir):
         )
         .join(managers, "l_orderkey")
     )
-    return game.bank_balance(transfers, "manager_id", "gameweek_id", LINE_ORDER).drop("l_shipdate")
+    return game.bank_balance(transfers, "manager_id", "l_shipdate", LINE_ORDER).drop("l_shipdate")
 
 
 @query(
@@ -128,8 +128,8 @@ def transfer_hits(spark, sf_dir):
     )
     made = orders.groupBy("manager_id", "gameweek_id").agg(F.count(F.lit(1)).alias("transfers"))
     calendar = orders.select("gameweek_id").distinct()
-    grid = dense_grid(orders.select("manager_id").distinct(), calendar, "gameweek_id")
-    weekly = grid.join(made, ["manager_id", "gameweek_id"], "left").na.fill(0, ["transfers"])
+    managers = orders.select("manager_id").distinct()
+    weekly = dense_cells(managers, made, calendar, "manager_id", "gameweek_id", ["transfers"])
     return game.transfer_hits(weekly, "manager_id", "gameweek_id")
 
 
