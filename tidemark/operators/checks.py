@@ -16,23 +16,27 @@ FLOOR_SHARE = 0.85
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once. NULLs are not values."""
-    return unique_combination(df.filter(F.col(column).isNotNull()), [column])
+    return unique_combination(df.filter(f"`{column}` IS NOT NULL"), [column])
+
+
+def unique_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`unique` for several columns of a table from one scan and one shuffle."""
+    values = ", ".join(f"struct('{c}' AS column_name, CAST(`{c}` AS STRING) AS value)" for c in columns)
+    each = df.selectExpr(f"inline(array({values}))").filter("value IS NOT NULL")
+    return unique_combination(each, ["column_name", "value"])
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("duplicate_count"))
-        .filter(F.col("duplicate_count") > 1)
-    )
+    counted = df.groupBy(*columns).agg(F.expr("count(1) AS duplicate_count"))
+    return counted.filter("duplicate_count > 1")
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null counts of all the columns from one pass over the table, one row per bad column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.unpivot([], list(columns), "column_name", "null_count").filter(
-        F.col("null_count") > 0
+    counted = ", ".join(
+        f"struct('{c}' AS column_name, count_if(`{c}` IS NULL) AS null_count)" for c in columns
     )
+    return df.agg(F.expr(f"inline(array({counted}))")).filter("null_count > 0")
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -41,21 +45,29 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column:
     Rows are counted per key first, so the join meets each key once however often it occurs.
     """
     used = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column))
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        df.filter(f"`{column}` IS NOT NULL").groupBy(column).agg(F.expr("count(1) AS row_count"))
     )
-    known = parent.select(F.col(parent_column).alias(column))
+    known = parent.selectExpr(f"`{parent_column}` AS `{column}`")
     return used.join(known, column, "left_anti")
 
 
 def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .filter(~F.col(column).isin(*values))
+    """Values outside a vocabulary, and how many rows carry them. NULL is left to `not_null`."""
+    counted = df.groupBy(column).agg(F.expr("count(1) AS row_count"))
+    return counted.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+
+
+def accepted_columns(df: DataFrame, accepted: Mapping[str, Iterable]) -> DataFrame:
+    """`accepted_values` for several columns of a table from one scan."""
+    cells = [
+        f"struct('{c}' AS column_name, CAST(`{c}` AS STRING) AS value,"
+        f" array({', '.join(repr(str(v)) for v in values)}) AS vocabulary)"
+        for c, values in accepted.items()
+    ]
+    outside = df.selectExpr(f"inline(array({', '.join(cells)}))").filter(
+        "value IS NOT NULL AND NOT array_contains(vocabulary, value)"
     )
+    return outside.groupBy("column_name", "value").agg(F.expr("count(1) AS row_count"))
 
 
 def column_types(frames: Mapping[str, DataFrame], expected: Mapping[str, str]) -> DataFrame:

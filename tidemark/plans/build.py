@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,9 @@ from tidemark.sources.bronze import read_ledger, read_table
 from tidemark.sources.layers import Lake
 
 
+CONCURRENT_WRITES = 4
+
+
 class NoCommittedLoad(RuntimeError):
     """There is no load a snapshot could be taken from."""
 
@@ -39,11 +43,16 @@ def build(spark: SparkSession, raw_root: str, lake: Lake) -> dict[str, DataFrame
         built[name] = lake.read(spark, layer, name)
         return built[name]
 
-    put("silver", "stg_fpl__loads", conform_ledger(ledger))
-    for name, model in MODELS.items():
+    def put_typed(name: str) -> None:
+        model = MODELS[name]
         raw = read_table(spark, raw_root, model.raw, raw_schema(model), load_id)
         put("silver", name, model.build(raw, load_id))
 
+    # The typed tables do not depend on each other; small ones fill the gaps of large ones.
+    put("silver", "stg_fpl__loads", conform_ledger(ledger))
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        list(pool.map(put_typed, MODELS))
+
     silver = {name.removeprefix("stg_fpl__"): df for name, df in built.items()}
     teams = put("gold", "dim_team", gold.dim_team(silver["teams"], silver["players"]))
     players = put(

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Recording the Python line of every expression costs more than building the expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
