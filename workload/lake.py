@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +24,16 @@ from tidemark.operators.snapshot import (
     committed_rows,
     conform_ledger,
     latest_per_key,
+    load_dates,
     newest_load,
     snapshot_rows,
     value_changes,
 )
 from tidemark.plans.gold import planning_gameweek, points_are_prior_season
+from tidemark.plans import build as lake_plan
+from tidemark.plans.checks import model_checks, violations
 from tidemark.plans.silver import MODELS
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, staged
 from tidemark.sources import bronze
 from tidemark.sources.envelope import envelope_meta, split_envelope, stamp_parent
 from tidemark.sources.layers import Lake
@@ -597,3 +603,79 @@ def price_changes(spark, sf_dir):
         F.floor(F.max("value") / 50).cast("bigint").alias("price")
     )
     return value_changes(history, "user_id", "load_time", "price")
+
+
+# ---- The whole build, from raw files to checked marts. ----
+
+_BUILT = ["teams", "positions", "gameweeks", "fixtures", "players", "chips", "phases", "stat_types", "game_settings"]
+_MODEL_COUNTS = {
+    "stg_fpl__loads": "SELECT COUNT(*) FROM ledger WHERE status = 0",
+    **{f"stg_fpl__{m}": f"SELECT COUNT(*) FROM {m}" for m in _BUILT},
+    "dim_team": "SELECT COUNT(*) FROM teams",
+    "dim_player": "SELECT COUNT(*) FROM players JOIN teams USING (team_id) JOIN positions USING (position_id)",
+    "fct_team_fixture": "SELECT 2 * COUNT(*) FROM fixtures",
+    "mart_team_fixture_run": "SELECT (SELECT COUNT(*) FROM teams) * (SELECT COUNT(*) FROM gameweeks)",
+    "mart_player_value": "SELECT COUNT(*) FROM players JOIN teams USING (team_id) JOIN positions USING (position_id)",
+    "mart_position_scarcity": "SELECT COUNT(*) FROM positions",
+}
+
+
+@query(
+    "lake_build",
+    with_typed(*_BUILT)
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS model_name, CAST(({sql}) AS BIGINT) AS row_count"
+        for name, sql in _MODEL_COUNTS.items()
+    ),
+)
+def lake_build(spark, sf_dir):
+    """All raw tables landed as one committed load, then every model built and written."""
+    root = scratch_path(spark, "build")
+    raw_root = f"{root}/bronze"
+    ledger = raw_ledger(spark, sf_dir).filter("status = 0")
+    load_id = newest_load(ledger).first()["load_id"]
+    day = load_dates(load_id)[1]
+    for name, model in MODELS.items():
+        rows = raw_frame(spark, sf_dir, name, load_id).drop(LOAD_ID)
+        bronze.append_load(rows, raw_root, model.raw, load_id, day)
+    bronze.append_ledger(ledger, raw_root)
+    built = lake_plan.build(spark, raw_root, Lake(root))
+    parts = [
+        df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS model_name", "row_count")
+        for name, df in built.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+@query(
+    "lake_checks",
+    with_typed("players", "gameweeks", "stat_types", "positions", "teams")
+    + """
+    SELECT * FROM (
+      SELECT 'stg_fpl__gameweeks.unique' AS check_name,
+             (SELECT COUNT(*) FROM (SELECT gameweek_id FROM gameweeks GROUP BY 1 HAVING COUNT(*) > 1)) AS violations
+      UNION ALL SELECT 'stg_fpl__players.position_id.parent',
+             (SELECT COUNT(DISTINCT position_id) FROM players WHERE position_id NOT IN (SELECT position_id FROM positions))
+      UNION ALL SELECT 'stg_fpl__players.accepted',
+             (SELECT COUNT(DISTINCT status) FROM players WHERE status NOT IN ('a', 'd', 'i', 's', 'u'))
+      UNION ALL SELECT 'stg_fpl__players.not_null',
+             (SELECT CAST(COUNT(opta_code) < COUNT(*) AS BIGINT) FROM players)
+      UNION ALL SELECT 'stg_fpl__players.team_id.parent',
+             (SELECT COUNT(DISTINCT team_id) FROM players WHERE team_id NOT IN (SELECT team_id FROM teams WHERE team_id > 3)))
+    WHERE violations > 0""",
+)
+def lake_checks(spark, sf_dir):
+    """The rules of the players and gameweeks, with some clubs and codes taken away."""
+    players, gameweeks, positions, teams = typed(
+        spark, sf_dir, "players", "gameweeks", "positions", "teams"
+    )
+    frames = {
+        "stg_fpl__players": staged(players.withColumn("display_name", F.col("opta_code")), "players"),
+        "stg_fpl__gameweeks": gameweeks,
+        "stg_fpl__positions": positions,
+        "stg_fpl__teams": teams.filter("team_id > 3"),
+    }
+    found = {}
+    for model in ("stg_fpl__players", "stg_fpl__gameweeks"):
+        found.update(model_checks(model, frames))
+    return violations(found)
