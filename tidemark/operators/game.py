@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import running_total, with_rank
@@ -146,27 +146,28 @@ def transfer_hits(
 
     def play(done: Column, week: Column) -> Column:
         free = done["free"]
-        used = F.least(free, week["transfers"])
-        extra = week["transfers"] - used
-        row = F.struct(
-            week[gameweek].alias("gameweek"),
-            week["transfers"].alias("transfers"),
-            free.alias("free_transfers"),
-            (extra * F.lit(-HIT_POINTS)).alias("hit_points"),
-        )
+        left = free - F.least(free, week["transfers"]) + F.lit(FREE_PER_GAMEWEEK)
         return F.struct(
-            F.least(free - used + FREE_PER_GAMEWEEK, F.lit(banked_most).cast("long")).alias("free"),
-            F.concat(done["rows"], F.array(row)).alias("rows"),
+            F.least(left, F.lit(banked_most)).cast("long").alias("free"),
+            F.concat(done["history"], F.array(free)).alias("history"),
         )
 
-    empty = F.array().cast(
-        f"array<struct<gameweek:{per_gameweek.schema[gameweek].dataType.simpleString()},"
-        "transfers:bigint,free_transfers:bigint,hit_points:bigint>>"
+    start = F.struct(
+        F.lit(FREE_PER_GAMEWEEK).cast("long").alias("free"),
+        F.array().cast("array<bigint>").alias("history"),
     )
-    start = F.struct(F.lit(FREE_PER_GAMEWEEK).cast("long").alias("free"), empty.alias("rows"))
-    played = F.aggregate("weeks", start, play, lambda done: done["rows"])
-    return per_manager.select(manager, F.explode(played).alias("w")).select(
-        manager, F.col("w.gameweek").alias(gameweek), "w.transfers", "w.free_transfers", "w.hit_points"
+    history = F.aggregate("weeks", start, play, lambda done: done["history"])
+    each = F.explode(F.arrays_zip(F.col("weeks").alias("week"), history.alias("free"))).alias("w")
+    extra = F.greatest(F.col("transfers") - F.col("free_transfers"), F.lit(0))
+    return (
+        per_manager.select(manager, each)
+        .select(
+            manager,
+            F.col(f"w.week.{gameweek}").alias(gameweek),
+            F.col("w.week.transfers").alias("transfers"),
+            F.col("w.free").alias("free_transfers"),
+        )
+        .withColumn("hit_points", extra * F.lit(-HIT_POINTS))
     )
 
 
@@ -294,34 +295,32 @@ def league_table(scores: DataFrame, phases: DataFrame, manager: str, gameweek: s
     return with_rank(staged(totals, "league"), ["phase_id"], "points", "league_rank")
 
 
-def points_of(stats: DataFrame, role: str = "role") -> Column:
-    """A player's points in one gameweek from the raw match statistics; absent ones count zero."""
-    have = set(stats.columns)
+def scoring_table(spark: SparkSession) -> DataFrame:
+    """What every action is worth, one row per role."""
+    worth = {**ACTION_POINTS, **{name: points for name, (_, points) in GROUPED_POINTS.items()}}
+    rows = [(role, *(int(points[i]) for points in worth.values())) for i, role in enumerate(ROLES)]
+    names = ", ".join(f"worth_{name} int" for name in worth)
+    return spark.createDataFrame(rows, f"role string, {names}")
 
-    def by_role(values: tuple[int, ...]) -> Column:
-        if len(set(values)) == 1:
-            return F.lit(values[0])
-        worth = F.lit(0)
-        for name, points in zip(ROLES, values):
-            worth = F.when(F.col(role) == name, points).otherwise(worth)
-        return worth
 
-    def amount(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).cast("long")
+def with_points(stats: DataFrame, name: str = "computed_points") -> DataFrame:
+    """A player's points in one gameweek from the raw match statistics; absent ones count zero.
 
-    minutes = amount("minutes")
-    total = F.when(minutes >= FULL_MATCH_MINUTES, 2).when(minutes > 0, 1).otherwise(0)
-    for name, values in ACTION_POINTS.items():
-        if name in have:
-            total = total + amount(name) * by_role(values)
-    for name, (group, values) in GROUPED_POINTS.items():
-        if name in have:
-            total = total + F.floor(amount(name) / F.lit(group)).cast("long") * by_role(values)
-    return total.cast("long")
+    The four-row scoring table goes to every task; rows are scored where they are.
+    """
+    have = [n for n in [*ACTION_POINTS, *GROUPED_POINTS] if n in stats.columns]
+    terms = ["CASE WHEN minutes >= {0} THEN 2 WHEN minutes > 0 THEN 1 ELSE 0 END".format(FULL_MATCH_MINUTES)]
+    for n in have:
+        amount = f"{n} DIV {GROUPED_POINTS[n][0]}" if n in GROUPED_POINTS else n
+        terms.append(f"coalesce({amount}, 0) * worth_{n}")
+    worth = scoring_table(stats.sparkSession).select("role", *[f"worth_{n}" for n in have])
+    return (
+        stats.join(F.broadcast(worth), "role", "left")
+        .withColumn(name, F.expr(f"CAST({' + '.join(terms)} AS BIGINT)"))
+        .drop(*[f"worth_{n}" for n in have])
+    )
 
 
 def points_differences(stats: DataFrame, published: str = "published_points") -> DataFrame:
     """Rows whose recomputed points are not the published ones; a row-wise pass, no shuffle."""
-    return stats.withColumn("computed_points", points_of(stats)).filter(
-        ~F.col("computed_points").eqNullSafe(F.col(published))
-    )
+    return with_points(stats).filter(~F.col("computed_points").eqNullSafe(F.col(published)))
