@@ -80,17 +80,24 @@ def pair_runs(records: DataFrame, key: str = "run_key") -> DataFrame:
     crosses midnight pairs as any other and no self-join is needed.
     """
     start, finish = F.col("event") == "start", F.col("event") == "finish"
-    # A repeated start is an earlier attempt to write the same record; the first one counts.
+    finished = F.when(finish, F.col("recorded_at"))
+    # A repeated start is an earlier attempt to write the same record; the first one counts, and
+    # the last finish. Times, counts and flags only, so that the fold is a hash aggregate.
     paired = records.groupBy(key).agg(
         F.min(F.when(start, F.col("recorded_at"))).alias("started_at"),
-        F.max(F.when(finish, F.col("recorded_at"))).alias("finished_at"),
-        F.max_by(F.when(finish, F.col("status")), F.when(finish, F.col("recorded_at"))).alias("finish_status"),
-        F.max_by(F.when(finish, F.col("rows_processed")), F.when(finish, F.col("recorded_at"))).alias("rows_processed"),
+        F.max(finished).alias("finished_at"),
+        F.max_by(F.col("status") == "success", finished).alias("succeeded"),
+        F.max_by(F.col("rows_processed"), finished).alias("rows_processed"),
+    )
+    status = (
+        F.when(F.col("finished_at").isNull(), "died")
+        .when(F.col("succeeded"), "success")
+        .otherwise("failed")
     )
     return (
         paired.filter(F.col("started_at").isNotNull())
-        .withColumn("status", F.coalesce("finish_status", F.lit("died")))
-        .drop("finish_status")
+        .withColumn("status", status)
+        .drop("succeeded")
     )
 
 

@@ -413,20 +413,26 @@ def mart_position_scarcity(
     """
     c = F.col
     pickable = players.filter("is_pickable")
-    supply = pickable.groupBy("position_id").agg(
-        F.count("player_id").alias("player_count"),
-        F.count_if("is_available").alias("available_player_count"),
-        F.min("now_cost_gbp_m").alias("cheapest_gbp_m"),
-        F.max("now_cost_gbp_m").alias("dearest_gbp_m"),
-        F.max("total_points").alias("best_total_points"),
-        F.avg("total_points").alias("avg_total_points"),
-        F.max("form").alias("best_form"),
+    # One row per position and club first, so that clubs are counted on the way.
+    by_club = pickable.groupBy("position_id", "team_id").agg(
+        F.count("player_id").alias("players"),
+        F.count_if("is_available").alias("available"),
+        F.min("now_cost_gbp_m").alias("cheapest"),
+        F.max("now_cost_gbp_m").alias("dearest"),
+        F.max("total_points").alias("best"),
+        F.sum("total_points").alias("points"),
+        F.count("total_points").alias("scorers"),
+        F.max("form").alias("form"),
     )
-    clubs = (
-        pickable.groupBy("position_id", "team_id")
-        .agg(F.count(F.lit(1)))
-        .groupBy("position_id")
-        .agg(F.count("team_id").alias("club_count"))
+    supply = by_club.groupBy("position_id").agg(
+        F.sum("players").alias("player_count"),
+        F.sum("available").alias("available_player_count"),
+        F.count("team_id").alias("club_count"),
+        F.min("cheapest").alias("cheapest_gbp_m"),
+        F.max("dearest").alias("dearest_gbp_m"),
+        F.max("best").alias("best_total_points"),
+        ratio(F.sum("points"), F.sum("scorers")).alias("avg_total_points"),
+        F.max("form").alias("best_form"),
     )
     median = exact_median(pickable, ["position_id"], "now_cost_gbp_m", "median_gbp_m")
     most_slots = positions.agg(F.max("squad_required")).first()[0] or 0
@@ -451,7 +457,7 @@ def mart_position_scarcity(
         "lineup_min",
         "lineup_max",
     )
-    for part in (supply, clubs, median):
+    for part in (supply, median):
         wide = wide.join(part, "position_id", "left")
     wide = wide.na.fill(0, subset=["player_count", "available_player_count", "club_count"])
     for fill in fills:
