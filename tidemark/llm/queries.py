@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
+from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.sharding import ShardTree, shard_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), ShardTree.of(16))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), least_docs=10, digest=True)
