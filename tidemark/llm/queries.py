@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
+from tidemark.llm.contamination import Decontamination, digest
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.sharding import ShardTree, shard_rows
 
@@ -33,3 +34,9 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf_dir, "documents"), least_docs=10, digest=True)
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return digest(Decontamination(docs, benchmark).report())
