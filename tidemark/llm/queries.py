@@ -9,6 +9,7 @@ from pyspark.sql import functions as F  # noqa: F401
 
 from tidemark.llm.contamination import Decontamination, digest
 from tidemark.llm.lines import drop_repeated_lines
+from tidemark.llm.near_text import NearTexts
 from tidemark.llm.sharding import ShardTree, shard_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +41,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return digest(Decontamination(docs, benchmark).report())
+
+
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearTexts(table(spark, sf_dir, "documents")).report()
