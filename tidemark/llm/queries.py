@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
@@ -11,11 +12,13 @@ from tidemark.llm.contamination import Decontamination, digest
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
 from tidemark.llm.sharding import ShardTree, shard_rows
+from tidemark.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(run: Query) -> Query:
@@ -46,3 +49,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearTexts(table(spark, sf_dir, "documents")).report()
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), VOCABULARY, limit=512)
