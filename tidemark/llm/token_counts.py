@@ -17,6 +17,7 @@ add up; equal pieces of a slice are run once.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
 
@@ -171,11 +172,10 @@ class PieceTable:
         self.values = np.insert(self.values, at, values)
 
 
-_MACHINES: dict[int, tuple[CountMachine, PieceTable]] = {}
+_MACHINES: dict[str, tuple[CountMachine, PieceTable]] = {}
 
 
-def _machine(vocabulary) -> tuple[CountMachine, PieceTable]:
-    key = vocabulary.id
+def _machine(key: str, vocabulary) -> tuple[CountMachine, PieceTable]:
     if key not in _MACHINES:
         _MACHINES.clear()
         _MACHINES[key] = (CountMachine(vocabulary.value), PieceTable())
@@ -201,9 +201,9 @@ def slice_counts(machine: CountMachine, known: PieceTable, data: np.ndarray, off
     return total[edge[1:]] - total[edge[:-1]]
 
 
-def _count(vocabulary):
+def _count(key: str, vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, known = _machine(vocabulary)
+        machine, known = _machine(key, vocabulary)
         for batch in batches:
             sizes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, _, data, offsets in slices(batch.column(1)):
@@ -235,7 +235,7 @@ def token_counts(
     vocabulary = docs.sparkSession.sparkContext.broadcast(raw)
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    counted = map_arrow(narrow, _count(vocabulary), f"id {kind}, n_bytes long, n_tokens long")
+    counted = map_arrow(narrow, _count(hashlib.sha256(raw).hexdigest(), vocabulary), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
