@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tidemark.llm.contamination import Decontamination, digest
+from tidemark.llm import contamination, packing
+from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
 from tidemark.llm.sharding import ShardTree, shard_rows
@@ -43,7 +44,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return digest(Decontamination(docs, benchmark).report())
+    return contamination.digest(Decontamination(docs, benchmark).report())
 
 
 @query
@@ -54,3 +55,8 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), VOCABULARY, limit=512)
+
+
+@query
+def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY))
