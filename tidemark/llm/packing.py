@@ -16,16 +16,18 @@ rest is cut into sequences of power-of-two lengths, so nothing is padded.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.pretoken import pieces
+from tidemark.llm.pretoken import byte_letters, pieces
 from tidemark.llm.text import byte_values, map_arrow, mix, slices, span_hashes
 from tidemark.session import staged
 
@@ -36,33 +38,57 @@ TASK_IDS = 1 << 22
 # Ids under this are bytes and the first merges: too common to bring documents together.
 COMMON_IDS = 2048
 _TABLE = byte_values("token-piece", lower=False)
-_SLOTS = 1 << 20
+# Pieces remembered by a task's process: at most so many, with so many ids in all.
+_SLOT_BITS = 21
+_SLOTS = 1 << _SLOT_BITS
 _POOL = 1 << 24
 
 
+def _vocabulary(raw: bytes) -> tuple[dict[bytes, int], np.ndarray, list[tuple[str, int]]]:
+    """Byte strings by the order of their merges, their ids, and the added tokens."""
+    spec = json.loads(raw)
+    letters = byte_letters()
+
+    def as_bytes(word: str) -> bytes:
+        return bytes(letters[c] for c in word)
+
+    order = {bytes([b]): b for b in range(256)}
+    for merge in spec["model"]["merges"]:
+        left, right = merge if isinstance(merge, list) else merge.split(" ")
+        order.setdefault(as_bytes(left + right), len(order))
+    added = [(t["content"], t["id"]) for t in spec.get("added_tokens", [])]
+    names = {w for w, _ in added}
+    ids = np.zeros(len(order), np.int32)
+    for word, number in spec["model"]["vocab"].items():
+        if word not in names:
+            ids[order[as_bytes(word)]] = number
+    return order, ids, added
+
+
 class Encoder:
-    """Ids of whole rows; equal pieces are encoded once while the table remembers them."""
+    """Ids of whole rows; equal pieces are merged once while the table remembers them."""
 
     def __init__(self, vocabulary: bytes, end_id: int) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.special = next((t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()), None)
-        self.end_id = end_id
-        self.pool = np.zeros(_POOL, np.int32)
+        order, self.ids, added = _vocabulary(vocabulary)
+        if len(added) > 1:
+            raise ValueError("more than one special string")
+        # The pieces are cut already: all of a piece is one match here, only merges are left.
+        self.merge = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=order, special_tokens={})
+        self.special, special_id = (added[0][0].encode(), added[0][1]) if added else (None, 0)
+        self.lead = np.array([end_id, special_id], np.int32)
+        self.highest = max(int(self.ids.max()), end_id, special_id)
         self._clear()
 
     def _clear(self) -> None:
         self.names = np.zeros(_SLOTS, np.uint64)
-        self.at = np.zeros(_SLOTS, np.int64)
-        self.size = np.zeros(_SLOTS, np.int64)
-        self.pool[0] = self.end_id
-        self.used = 1
+        self.spans = np.zeros(_SLOTS, np.int64)  # where in the pool, times 2^16, plus the length
+        self.pool = np.zeros(_POOL, np.int32)
+        self.pool[:2] = self.lead
+        self.used = 2
 
     def _append(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.int32, int(size.sum()))
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = self.ids[np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum()))]
         if self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.used], np.zeros(len(flat), np.int32)])
         self.pool[self.used : self.used + len(flat)] = flat
@@ -72,30 +98,32 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of whole rows, an end id after each row, and the rows' edges."""
-        if self.used > _POOL // 2:
-            self.pool = self.pool[:_POOL]
+        if self.used > _POOL - len(data):
             self._clear()
-        start, end, row, _ = pieces(data, offsets, self.special)
+        start, end, row, marked = pieces(data, offsets, self.special)
         names = span_hashes(data, start, end, _TABLE)
-        slot = (names >> np.uint64(44)).astype(np.int64)
-        known = self.names[slot] == names
-        at, size = self.at[slot], self.size[slot]
-        missing = np.flatnonzero(~known)
+        slot = (names >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        missing = np.flatnonzero(self.names[slot] != names)
+        span = self.spans[slot]
+        at, size = span >> 16, span & 0xFFFF
         if len(missing):
             new, first, which = np.unique(names[missing], return_index=True, return_inverse=True)
-            raw = data.tobytes()
-            texts = [raw[start[i] : end[i]].decode() for i in missing[first]]
-            got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            new_at, new_size = self._append([e.ids for e in got])
+            raw, first = data.tobytes(), missing[first]
+            merge = self.merge.encode_ordinary
+            got = [merge(raw[a:b].decode()) for a, b in zip(start[first].tolist(), end[first].tolist())]
+            new_at, new_size = self._append(got)
             at[missing], size[missing] = new_at[which.reshape(-1)], new_size[which.reshape(-1)]
-            place = (new >> np.uint64(44)).astype(np.int64)
-            free = self.names[place] == 0
-            place = place[free]
-            self.names[place], self.at[place], self.size[place] = new[free], new_at[free], new_size[free]
+            place = (new >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+            fits = (self.names[place] == 0) & (new_size < 1 << 16)
+            place = place[fits]
+            self.names[place], self.spans[place] = new[fits], (new_at[fits] << 16) | new_size[fits]
+        if marked.any():
+            at[marked], size[marked] = 1, 1
         edge = np.searchsorted(row, np.arange(1, len(offsets)))
         at, size = np.insert(at, edge, 0), np.insert(size, edge, 1)
         stop = np.cumsum(size)
-        source = np.repeat(at - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+        source = np.repeat((at - (stop - size)).astype(np.int32), size)
+        source += np.arange(len(source), dtype=np.int32)
         edges = np.concatenate([[0], stop[edge + np.arange(len(edge))]])
         return self.pool[source], edges
 
@@ -115,10 +143,9 @@ def _encode(key: str, vocabulary, end_id: int, wide: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, vocabulary, end_id)
-        count = encoder.tokenizer.get_vocab_size() + 1
         orders = []
         for salt in (1, 2):
-            order = mix(np.arange(max(count, end_id + 1), dtype=np.uint64) + np.uint64(salt << 32)) >> np.uint64(2)
+            order = mix(np.arange(encoder.highest + 1, dtype=np.uint64) + np.uint64(salt << 32)) >> np.uint64(2)
             order[:COMMON_IDS] |= np.uint64(1 << 62)
             orders.append(order.view(np.int64))
         for batch in batches:
@@ -316,9 +343,8 @@ def pack(
         raise ValueError("the window must be a power of two")
     with open(vocabulary_path, "rb") as file:
         raw = file.read()
-    from tokenizers import Tokenizer
-
-    wide = max(Tokenizer.from_str(raw.decode()).get_vocab_size(), end_id) >= 1 << 16
+    _, ids, added = _vocabulary(raw)
+    wide = max(int(ids.max()), end_id, *(i for _, i in added)) >= 1 << 16
     vocabulary = docs.sparkSession.sparkContext.broadcast(raw)
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     encoded = staged(

@@ -24,7 +24,7 @@ LETTER, NUMBER, SPACE, BLANK, OTHER, QUOTE, SUFFIX, R, V, L, E, END = range(12)
 # States. W*: white space; its last character is a space (S) or another one (B); 1 or more of them.
 START, WORD, DIGITS, SIGNS, Q, QR, QV, QL, W1S, W1B, WNS, WNB = range(12)
 HERE, BEFORE = 1, 2
-CHUNK = 64
+CHUNK, TAIL = 128, 8
 _N = 12
 
 
@@ -95,6 +95,21 @@ def character_classes() -> np.ndarray:
     return _CLASSES[0]
 
 
+def byte_letters() -> dict[str, int]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def _maps(steps: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+    """Per start state and lane, the state after the steps."""
+    maps = np.tile(np.arange(_N, dtype=np.uint8)[:, None], (1, len(lanes)))
+    for step in steps:
+        maps = _GOES[maps + step[lanes]]
+    return maps
+
+
 def _run(tape: np.ndarray) -> np.ndarray:
     """The cuts at every character of the tape, from state START."""
     n = len(tape)
@@ -102,13 +117,16 @@ def _run(tape: np.ndarray) -> np.ndarray:
     padded = np.full(count * CHUNK, END, np.uint8)
     padded[:n] = tape
     steps = np.ascontiguousarray((padded * _N).reshape(count, CHUNK).T)
-    # The map of each chunk.
-    maps = np.tile(np.arange(_N, dtype=np.uint8)[:, None], (1, count))
-    for step in steps:
-        maps = _GOES[maps + step]
+    # The map of each chunk. Where the last characters alone lead all states to one, the whole
+    # chunk does; only the other chunks are read from their start.
+    lanes = np.arange(count)
+    maps = _maps(steps[CHUNK - TAIL :], lanes)
+    loose = np.flatnonzero((maps != maps[0]).any(axis=0))
+    if len(loose):
+        maps[:, loose] = _maps(steps, loose)
     # Composition of all maps before each chunk.
-    reach, lanes = 1, np.arange(count)
-    while reach < count:
+    reach = 1
+    while reach < count and len(loose):
         later = maps[:, reach:]
         maps[:, reach:] = later[maps[:, :-reach], lanes[None, : count - reach]]
         reach *= 2
@@ -117,7 +135,7 @@ def _run(tape: np.ndarray) -> np.ndarray:
     cuts = np.empty((CHUNK, count), np.uint8)
     for i, step in enumerate(steps):
         at = state + step
-        cuts[i] = _CUTS[at]
+        np.take(_CUTS, at, out=cuts[i], mode="clip")
         state = _GOES[at]
     return cuts.T.reshape(-1)[:n]
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.pretoken import pieces
+from tidemark.llm.pretoken import byte_letters, pieces
 from tidemark.llm.text import byte_values, map_arrow, slices, span_hashes
 
 _TABLE = byte_values("token-piece", lower=False)
@@ -34,13 +34,6 @@ _TABLE = byte_values("token-piece", lower=False)
 MOST_STATES, MOST_PIECES = 150_000, 1_000_000
 
 
-def _byte_letters() -> dict[str, int]:
-    """How byte-level vocabularies write bytes: printable ones as themselves, others from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 class CountMachine:
     """The lazily compiled transducer of one byte-level BPE vocabulary."""
 
@@ -50,7 +43,7 @@ class CountMachine:
         if model["type"] != "BPE" or model.get("byte_fallback") or model.get("unk_token"):
             raise ValueError("a byte-level BPE vocabulary is needed")
         self.specials = [t["content"].encode() for t in spec.get("added_tokens", [])]
-        letters = _byte_letters()
+        letters = byte_letters()
 
         def raw(word: str) -> bytes:
             return bytes(letters[c] for c in word)
