@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tidemark.llm import contamination, packing
+from tidemark.llm import contamination, packing, toxicity
 from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
@@ -60,3 +60,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.judged(toxicity.Toxicity(docs, labels).report(), threshold=0.3)
