@@ -94,19 +94,57 @@ def set_nodes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     folded = np.concatenate([np.zeros(1, _U), np.cumsum(hashes * (hashes | _U(1)), dtype=_U)])
     a, b = (x[first[1:]] - x[first[:-1]] for x in (total, folded))
     return mix(a ^ mix(b + np.diff(first).astype(_U))) >> _U(1)
+def parity_maps(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """One bit per token and row at least: the parity of how many tokens fall on each bit.
+
+    Two sets whose maps differ in d bits differ in d tokens at least. A map twice as long folds
+    to the shorter one by xor of its halves.
+    """
+    n = np.diff(first)
+    bits = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    base = np.concatenate([[0], np.cumsum(bits)])
+    place = (hashes & np.repeat(bits - 1, n).astype(_U)).astype(np.int64) + np.repeat(base[:-1], n)
+    packed = np.packbits((np.bincount(place, minlength=base[-1]) & 1).astype(bool))
+    raw = packed.tobytes()
+    return [raw[a // 8 : b // 8] for a, b in zip(base, base[1:])]
+
+
 
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+        nodes, sizes, maps = [np.zeros(0, _U)], [np.zeros(0, np.int64)], []
         for _, _, data, offsets in slices(batch.column(1)):
             hashes, first = shingle_sets(data, offsets)
+            maps += parity_maps(hashes, first)
             nodes.append(set_nodes(hashes, first))
             sizes.append(np.diff(first))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), signed(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
-            names=["id", "node", "n"],
+            [batch.column(0), signed(np.concatenate(nodes)), pa.array(np.concatenate(sizes)), pa.array(maps, pa.binary())],
+            names=["id", "node", "n", "map"],
         )
+def _promising(percent: int):
+    """Pairs that the parity maps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.asarray(batch.column("na")) + np.asarray(batch.column("nb"))
+            keep = np.zeros(batch.num_rows, bool)
+            left, right = batch.column("left"), batch.column("right")
+            for i in range(batch.num_rows):
+                x = np.frombuffer(left[i].as_buffer(), np.uint8)
+                y = np.frombuffer(right[i].as_buffer(), np.uint8)
+                while len(x) > len(y):
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                while len(y) > len(x):
+                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                shared = (int(sizes[i]) - int(np.bitwise_count(x ^ y).sum())) // 2
+                keep[i] = 100 * shared >= percent * (int(sizes[i]) - shared)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
 
 
 PIECE = 1 << 16
@@ -369,25 +407,39 @@ class NearTexts:
         narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
         self.texts = narrow.select("text")
         kind = narrow.schema["id"].dataType.simpleString()
-        self.rows = staged(map_arrow(narrow, _summary, f"id {kind}, node long, n long"), "near-rows")
+        rows = staged(map_arrow(narrow, _summary, f"id {kind}, node long, n long, map binary"), "near-rows")
+        self.rows = rows.drop("map")
+        self.nodes = rows.select("node", "n", "map").dropDuplicates(["node"])
         self.links = self._find()
         self.classes = staged(components(self.links), "near-classes") if self.links is not None else None
 
-    def _verified(self, pairs: DataFrame) -> DataFrame | None:
-        """The linked ones of a written table of candidate pairs (a, b)."""
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        nodes = staged(nodes, "near-nodes")
-        count = nodes.count()
-        if not count:
-            return None
+    def _sets(self, nodes: DataFrame, count: int) -> DataFrame:
+        """The sets of some nodes, and of a few others that their filter lets through."""
         power, bits = _node_filter(nodes, count)
         wanted = self.texts.sparkSession.sparkContext.broadcast(bits)
-        sets = map_arrow(self.texts, _sets_of(wanted, power), "node long, body binary")
-        # Copies of one set meet in one task as one row per batch; any of them will do.
-        sets = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
+        return map_arrow(self.texts, _sets_of(wanted, power), "node long, body binary")
+
+    def _verified(self, pairs: DataFrame) -> DataFrame | None:
+        """The linked ones of a written table of candidate pairs (a, b).
+
+        First the parity maps, a few bits per token, rule out what cannot be linked. Then the
+        whole sets of b travel to their pairs, and on to the sets of a, which are few.
+        """
+        maps = [
+            self.nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("map").alias(side))
+            for c, side in (("a", "left"), ("b", "right"))
+        ]
+        hopeful = pairs.join(maps[0], "a").join(maps[1], "b").select("a", "b", "na", "nb", "left", "right")
+        pairs = staged(map_arrow(hopeful, _promising(self.percent), "a long, b long"), "near-hopeful")
+        ends = [staged(pairs.select(F.col(c).alias("node")).distinct(), "near-nodes") for c in ("a", "b")]
+        counts = [e.count() for e in ends]
+        if not counts[0]:
+            return None
+        left, right = (self._sets(e, n) for e, n in zip(ends, counts))
+        # Rows of one set may have sent it several times; what is linked twice is linked.
         joined = (
-            pairs.join(sets.select(F.col("node").alias("a"), F.col("body").alias("left")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("body").alias("right")), "b")
+            pairs.join(right.select(F.col("node").alias("b"), F.col("body").alias("right")), "b")
+            .join(left.select(F.col("node").alias("a"), F.col("body").alias("left")).dropDuplicates(["a"]), "a")
             .select("a", "b", "left", "right")
         )
         return staged(map_arrow(joined, _verify(self.percent), "a long, b long"), "near-links")
