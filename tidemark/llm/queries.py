@@ -12,6 +12,7 @@ from tidemark.llm import contamination, packing, toxicity
 from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
+from tidemark.llm.near_vectors import NearVectors
 from tidemark.llm.sharding import ShardTree, shard_rows
 from tidemark.llm.token_counts import token_counts
 
@@ -66,3 +67,8 @@ def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.judged(toxicity.Toxicity(docs, labels).report(), threshold=0.3)
+
+
+@query
+def op5_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearVectors(table(spark, sf_dir, "embeddings"), least=0.95).report()
