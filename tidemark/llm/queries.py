@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, packing, toxicity
+from tidemark.llm import chat, contamination, packing, pii, toxicity
 from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
@@ -72,3 +72,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearVectors(table(spark, sf_dir, "embeddings"), least=0.95).report()
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    rows = table(spark, sf_dir, "conversations").select(*columns).unionByName(chat.probe(spark))
+    return chat.digest(chat.format_chats(rows.withColumn("parts", chat.text_part(F.col("text")))))
