@@ -1,7 +1,7 @@
 """Near-duplicate texts: Jaccard join of word shingles through token-combination prefixes.
 
 The tokens of a document are its distinct shingles. All documents order tokens alike: rare ones
-first, then the frequent ones, each class by hash. Whatever is linked to a document of n tokens
+first, then the frequent ones by level of frequency, each by hash. Whatever is linked to a document of n tokens
 at 0.8 lacks at most m = n // 5 of them. A prefix is extended until it covers m + 1:
 
 * a rare token covers 1 and is indexed alone;
@@ -14,7 +14,7 @@ at 0.8 lacks at most m = n // 5 of them. A prefix is extended until it covers m
 Linked documents share a signature: of two linked documents take the one whose prefix ends
 first; the tokens it shares with the other one lie in both prefixes, and at most m are missing.
 
-The class of a token comes from a count sketch of all shingles: fixed by the corpus, the same
+The level of a token comes from a count sketch of all shingles: fixed by the corpus, the same
 for all documents. It only decides the order; results do not depend on it.
 
 Equal token sets are one node. Candidate pairs come from the signatures' groups in two steps:
@@ -49,10 +49,8 @@ from tidemark.llm.text import (
 from tidemark.session import staged
 
 SIZE = 5
-# The sketch has about one counter per 32 shingles, between these powers of two.
-LEAST_POWER, MOST_POWER = 16, 26
-# A token is frequent if its counter has so many times the mean, and so many at least.
-FREQUENT_TIMES, FREQUENT_LEAST = 4, 16
+# The sketch has about one counter per 8 shingles, between these powers of two.
+LEAST_POWER, MOST_POWER = 16, 24
 # Documents under 2^SMALL tokens are indexed by single tokens only.
 SMALL = 4
 POSTINGS_PER_PART = 1 << 20
@@ -94,6 +92,8 @@ def set_nodes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     folded = np.concatenate([np.zeros(1, _U), np.cumsum(hashes * (hashes | _U(1)), dtype=_U)])
     a, b = (x[first[1:]] - x[first[:-1]] for x in (total, folded))
     return mix(a ^ mix(b + np.diff(first).astype(_U))) >> _U(1)
+
+
 def parity_maps(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
     """One bit per token and row at least: the parity of how many tokens fall on each bit.
 
@@ -109,20 +109,20 @@ def parity_maps(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
     return [raw[a // 8 : b // 8] for a, b in zip(base, base[1:])]
 
 
-
-
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes, sizes, maps = [np.zeros(0, _U)], [np.zeros(0, np.int64)], []
         for _, _, data, offsets in slices(batch.column(1)):
             hashes, first = shingle_sets(data, offsets)
-            maps += parity_maps(hashes, first)
             nodes.append(set_nodes(hashes, first))
             sizes.append(np.diff(first))
+            maps += parity_maps(hashes, first)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), signed(np.concatenate(nodes)), pa.array(np.concatenate(sizes)), pa.array(maps, pa.binary())],
             names=["id", "node", "n", "map"],
         )
+
+
 def _promising(percent: int):
     """Pairs that the parity maps do not rule out."""
 
@@ -145,19 +145,17 @@ def _promising(percent: int):
     return run
 
 
-
-
 PIECE = 1 << 16
 
 
 def _sketch(power: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << power, np.int64)
+        counts = np.zeros(1 << power, np.int32)
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 hashes, _ = shingle_sets(data, offsets)
                 np.add.at(counts, (hashes >> _U(64 - power)).astype(np.int64), 1)
-        codec, small = pa.Codec("zstd"), np.minimum(counts, 65535).astype(np.uint16)
+        codec, small = pa.Codec("zstd"), np.minimum(counts, 255).astype(np.uint8)
         for i in range(0, 1 << power, PIECE):
             if small[i : i + PIECE].any():
                 body = codec.compress(small[i : i + PIECE].tobytes(), asbytes=True)
@@ -170,27 +168,35 @@ def _add_sketches(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
     codec, total = pa.Codec("zstd"), np.zeros(PIECE, np.int64)
     for batch in batches:
         for body in batch.column("body"):
-            total += np.frombuffer(codec.decompress(body.as_py(), 2 * PIECE, asbytes=True), np.uint16)
+            total += np.frombuffer(codec.decompress(body.as_py(), PIECE, asbytes=True), np.uint8)
     yield pa.record_batch(
         {"piece": pa.array([key[0].as_py()]), "total": pa.array([total.sum()]), "body": pa.array([total.tobytes()], pa.binary())}
     )
 
 
-def frequent_tokens(texts: DataFrame, tokens: int) -> tuple[int, np.ndarray]:
-    """The sketch's power and one bit per counter: frequent or not."""
+def token_levels(texts: DataFrame, tokens: int) -> tuple[int, np.ndarray]:
+    """The sketch's power and a level for each counter, two bits each.
+
+    Level 0 is what chance makes of tokens that are in a few documents; each further level has
+    four times the count. A task sends at most 255 for a counter.
+    """
     power = LEAST_POWER
-    while power < MOST_POWER and 32 << power < tokens:
+    while power < MOST_POWER and 8 << power < tokens:
         power += 1
     pieces = map_arrow(texts, _sketch(power), "piece long, body binary")
     summed = staged(
         pieces.groupBy("piece").applyInArrow(_add_sketches, "piece long, total long, body binary"), "shingle-counts"
     )
     mean = (summed.agg(F.sum("total")).first()[0] or 0) / (1 << power)
-    frequent = np.zeros(1 << power, bool)
+    least = mean + 4 * mean**0.5 + 3
+    levels = np.zeros((1 << power) // 4, np.uint8)
     for r in summed.select("piece", "body").toLocalIterator():
         counts = np.frombuffer(bytes(r["body"]), np.int64)
-        frequent[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = counts >= max(FREQUENT_LEAST, FREQUENT_TIMES * mean)
-    return power, np.packbits(frequent)
+        level = sum((counts > least * 4**i).astype(np.uint8) for i in range(3)).reshape(-1, 4)
+        levels[r["piece"] * PIECE // 4 : (r["piece"] + 1) * PIECE // 4] = (
+            level[:, 0] | level[:, 1] << 2 | level[:, 2] << 4 | level[:, 3] << 6
+        )
+    return power, levels
 
 
 def _pairs_in_blocks(tokens: np.ndarray, blocks: int, need: int, salt: np.uint64) -> np.ndarray:
@@ -217,13 +223,15 @@ def _pairs_in_blocks(tokens: np.ndarray, blocks: int, need: int, salt: np.uint64
         step += 1
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The signatures of one document's sorted tokens; `frequent` marks tokens of that class."""
+def signatures(tokens: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The signatures of one document's sorted tokens; tokens above level 0 are frequent."""
     n = len(tokens)
     need = n // SIZE_MISSING + 1
-    rare, common = tokens[~frequent], tokens[frequent]
+    rare = tokens[level == 0]
     if len(rare) >= need:
         return rare[:need]
+    order = np.argsort(level, kind="stable")[len(rare) :]
+    common = tokens[order]
     out, need = [rare], need - len(rare)
     size = n.bit_length() - 1
     classes = [size, size + 1] if 10 * n >= 8 << (size + 1) else [size]
@@ -243,20 +251,21 @@ def _index(power: int, packed, parts: int):
     """Postings (signature, node, size), packed by part: 24 bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(packed.value).astype(bool)
+        levels = packed.value
         for batch in batches:
             marks, nodes, sizes = [np.zeros(0, _U)], [np.zeros(0, _U)], [np.zeros(0, np.int64)]
             seen: set[int] = set()
             for _, _, data, offsets in slices(batch.column(0)):
                 hashes, first = shingle_sets(data, offsets)
                 names, n = set_nodes(hashes, first), np.diff(first)
-                common = frequent[(hashes >> _U(64 - power)).astype(np.int64)]
+                counter = (hashes >> _U(64 - power)).astype(np.int64)
+                level = (levels[counter >> 2] >> (2 * (counter & 3)).astype(np.uint8)) & 3
                 for i in np.flatnonzero(n):
                     name = int(names[i])
                     if name in seen:
                         continue
                     seen.add(name)
-                    got = signatures(hashes[first[i] : first[i + 1]], common[first[i] : first[i + 1]])
+                    got = signatures(hashes[first[i] : first[i + 1]], level[first[i] : first[i + 1]])
                     marks.append(got)
                     nodes.append(np.full(len(got), names[i]))
                     sizes.append(np.full(len(got), n[i]))
@@ -449,7 +458,7 @@ class NearTexts:
         tokens = self.rows.agg(F.sum("n")).first()[0] or 0
         if not tokens:
             return None
-        power, packed = frequent_tokens(self.texts, tokens)
+        power, packed = token_levels(self.texts, tokens)
         parts = max(8, -(-tokens // (3 * POSTINGS_PER_PART)))
         packed = spark.sparkContext.broadcast(packed)
         postings = map_arrow(self.texts, _index(power, packed, parts), "part long, mark binary, node binary, n binary")
