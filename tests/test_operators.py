@@ -1,5 +1,6 @@
 """Grain, selections, checks, runs, identity and the game's rules on small hand-made frames."""
 
+import datetime
 import random
 
 import pytest
@@ -43,10 +44,10 @@ def test_an_empty_calendar_gives_an_empty_grid(spark):
     assert grain.dense_grid(teams, none, "gw").count() == 0
 
 
-def test_labels_in_order_of_first_occurrence(spark):
+def test_every_label_in_order(spark):
     data = [(1, "b", 2, 1), (1, "a", 2, 2), (1, "z", 1, 3), (1, "z", 9, 4), (1, "u", None, 5), (2, None, 1, 6)]
     df = spark.createDataFrame(data, "k long, label string, t long, id long")
-    assert rows(grain.ordered_labels(df, ["k"], "label", "t", "id", "text")) == [(1, "z, b, a, u")]
+    assert rows(grain.ordered_labels(df, ["k"], "label", "t", "id", "text")) == [(1, "z, b, a, z, u")]
 
 
 # ---- Selections. ----
@@ -175,8 +176,8 @@ def test_changes_and_latest(spark):
 
 
 def test_run_key(spark):
-    df = spark.createDataFrame([(42, 1, "dbt build -> Silver + Gold")], "r long, a long, j string")
-    assert df.select(runs.run_key(F.col("r"), F.col("a"), F.col("j"))).first()[0] == "42.1.dbt-build-Silver-Gold"
+    df = spark.createDataFrame([(42, 1, "load: raw & typed?")], "r long, a long, j string")
+    assert df.select(runs.run_key(F.col("r"), F.col("a"), F.col("j"))).first()[0] == "42.1.load-raw-typed-"
 
 
 def test_metrics_never_cost_the_record(spark):
@@ -197,13 +198,49 @@ def test_metrics_never_cost_the_record(spark):
     assert got["d"]["note"] == "metrics file not found" and got["d"]["rows_processed"] is None
 
 
+RUN = "run_key string, attempt long, event string, recorded_at timestamp, status string, rows_processed long, peak_mem_mb long"
+
+
+def _at(day, time):
+    return datetime.datetime.fromisoformat(f"2026-01-{day:02d}T{time}:00")
+
+
 def test_a_died_run_stays(spark):
     records = spark.createDataFrame(
-        [("a", "start", 1, "running", None), ("a", "finish", 2, "success", 0), ("b", "start", 3, "running", None), ("c", "finish", 4, "failed", None)],
-        "run_key string, event string, recorded_at long, status string, rows_processed long",
+        [
+            ("a", 1, "start", _at(1, "07:00"), "running", None, None),
+            ("a", 1, "finish", _at(1, "07:02"), "success", 0, 9),
+            ("b", 2, "start", _at(1, "07:03"), "running", None, None),
+            ("c", 1, "finish", _at(1, "07:04"), "failed", None, None),
+        ],
+        RUN,
     )
-    got = rows(runs.pair_runs(records).select("run_key", "started_at", "finished_at", "rows_processed", "status"))
-    assert got == [("a", 1, 2, 0, "success"), ("b", 3, None, None, "died")]
+    got = runs.pair_runs(records).select("run_key", "attempt", "duration_seconds", "rows_processed", "status")
+    assert rows(got) == [("a", 1, 120, 0, "success"), ("b", 2, None, None, "died")]
+
+
+def test_finishes_of_one_moment_have_one_winner(spark):
+    late = [("a", 1, "finish", _at(1, "07:02"), s, n, None) for s, n in (("failed", 5), ("success", 3), ("success", 4))]
+    start = ("a", 1, "start", _at(1, "07:00"), "running", None, None)
+    for order in (late, late[::-1]):
+        got = runs.pair_runs(spark.createDataFrame([start, *order], RUN)).first()
+        assert (got["status"], got["rows_processed"]) == ("success", 4)
+
+
+def test_a_day_without_a_run_is_missed(spark):
+    """Fresh on the 1st; nothing on the 2nd; on the 3rd the run ends after the deadline."""
+    records = []
+    for day, end in ((1, "07:59"), (3, "08:01"), (4, "08:00")):
+        records.append((f"r{day}", 1, "start", _at(day, "07:00"), "running", None, None))
+        records.append((f"r{day}", 1, "finish", _at(day, end), "success", 50, 1500))
+    paired = runs.pair_runs(spark.createDataFrame(records, RUN))
+    got = [
+        (r["day"].day, r["runs"], r["is_fresh"], round(r["fresh_days_30d"], 4), r["memory_alert"])
+        for r in runs.daily_indicators(paired, expected_rows=50).orderBy("day").collect()
+    ]
+    assert got == [(1, 1, True, 1.0, True), (2, 0, False, 0.5, None), (3, 1, False, 0.3333, True), (4, 1, True, 0.5, True)]
+    later = runs.daily_indicators(paired, expected_rows=50, deadline="09:01", zone="Europe/Berlin").orderBy("day")
+    assert [r["is_fresh"] for r in later.collect()] == [True, False, True, True]
 
 
 def test_start_and_finish_are_separate_files(spark, tmp_path):
@@ -227,6 +264,8 @@ def test_identity(spark):
     events = spark.createDataFrame(
         [(1, "anon-x"), (1, "anon-x"), (2, "1"), (3, "stranger"), (4, "2")], "event_id long, distinct_id string"
     )
+    # Event 1 also arrives under the account's own id: still four events.
+    events = events.unionByName(spark.createDataFrame([(1, "1")], "event_id long, distinct_id string"))
     assert rows(identity.resolution_rate(events, mapping)) == [(4, 3, 0.75)]
     business = spark.createDataFrame([(1, 7)], "user_id long, orders long")
     assert rows(identity.manager_360(users, business, events, mapping)) == [(1, 7, 2, 2), (2, 0, 1, 1)]

@@ -154,16 +154,9 @@ def ordered_labels(
     name: str,
     separator: str = ", ",
 ) -> DataFrame:
-    """The labels of each key as one text, in the order of their first occurrence.
+    """The labels of all facts of each key as one text, in order; NULL labels are left out.
 
-    Facts are first reduced to one row per key and label, map-side and by hash, so the text is
-    as long as the label vocabulary and a key with very many facts is never gathered in one
-    task. In a fixture list a pairing occurs once per period, so the reduction leaves it whole.
+    Every fact has its entry, repeats included, so the text of a key is as long as its facts.
     """
-    distinct = (
-        facts.filter(F.col(label).isNotNull())
-        .groupBy(*keys, label)
-        .agg(F.min(order).alias("first_order"), F.min(tie_break).alias("first_tie"))
-    )
-    text = text_in_order(label, "first_order", "first_tie", separator=separator)
-    return distinct.groupBy(*keys).agg(text.alias(name))
+    text = text_in_order(label, order, tie_break, separator=separator)
+    return facts.filter(F.col(label).isNotNull()).groupBy(*keys).agg(text.alias(name))

@@ -18,21 +18,23 @@ def identity_map(users: DataFrame, identifies: DataFrame) -> DataFrame:
     return said.unionByName(itself).filter(F.col("distinct_id").isNotNull()).distinct()
 
 
-def count_events_once(events: DataFrame) -> DataFrame:
-    """Events per distinct id, an event delivered twice counted once. Map-side in both steps."""
-    once = events.select("event_id", "distinct_id").distinct()
-    return once.groupBy("distinct_id").agg(F.count(F.lit(1)).alias("events"))
-
-
 def resolution_rate(events: DataFrame, mapping: DataFrame) -> DataFrame:
-    """The share of events whose id resolves through the map; never by comparing ids inline."""
-    per_id = count_events_once(events)
+    """The share of events that resolve through the map; never by comparing ids inline.
+
+    An event counts once however often and under however many ids it was delivered; it is
+    resolved if any of its ids is known.
+    """
+    arrivals = events.select("event_id", "distinct_id").distinct()
     known = mapping.select("distinct_id").distinct().withColumn("is_resolved", F.lit(True))
+    per_event = (
+        arrivals.join(known, "distinct_id", "left")
+        .groupBy("event_id")
+        .agg(F.coalesce(F.bool_or("is_resolved"), F.lit(False)).alias("is_resolved"))
+    )
     return (
-        per_id.join(known, "distinct_id", "left")
-        .agg(
-            F.sum("events").alias("active_events"),
-            F.sum(F.when(F.col("is_resolved"), F.col("events")).otherwise(0)).alias("resolved_events"),
+        per_event.agg(
+            F.count(F.lit(1)).alias("active_events"),
+            F.count_if("is_resolved").alias("resolved_events"),
         )
         .withColumn("resolved_share", ratio(F.col("resolved_events"), F.col("active_events")))
     )
@@ -43,14 +45,17 @@ def manager_360(
 ) -> DataFrame:
     """One row per user: business totals and behaviour totals, each reduced before it is joined.
 
-    `business` is already one row per user; `events` are first counted per distinct id.
+    `business` is already one row per user. An event that arrived under several ids of one user
+    counts once for that user: events are reduced to (user, event) before they are counted.
     """
-    behaviour = (
-        count_events_once(events)
-        .join(mapping, "distinct_id")
-        .groupBy("user_id")
-        .agg(F.sum("events").alias("events"), F.count(F.lit(1)).alias("active_ids"))
+    named = events.select("event_id", "distinct_id").distinct().join(mapping, "distinct_id")
+    counted = (
+        named.select("user_id", "event_id").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+    )
+    ids = (
+        named.select("user_id", "distinct_id").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("active_ids"))
     )
+    behaviour = counted.join(ids, "user_id")
     counts = [c for c in business.columns if c != "user_id"] + ["events", "active_ids"]
     return users.join(business, "user_id", "left").join(behaviour, "user_id", "left").na.fill(
         0, subset=counts

@@ -12,6 +12,11 @@ from tidemark.functions.columns import ratio
 METRIC_KEYS = ("rows_processed", "peak_mem_mb", "detail")
 DURATION_CAP_SECONDS = 15 * 60
 DURATION_ALERT_SHARE = 0.70
+# Fresh by this local time on all but this share of days; memory and its alert.
+FRESH_BY = "08:00"
+FRESH_BUDGET = 0.01
+MEMORY_LIMIT_MB = 2048
+MEMORY_ALERT_SHARE = 0.70
 
 METRICS_SCHEMA = T.StructType(
     [
@@ -76,71 +81,122 @@ def merge_metrics(finishes: DataFrame, metrics: DataFrame, key: str = "run_key")
 def pair_runs(records: DataFrame, key: str = "run_key") -> DataFrame:
     """One row per started run. A start without a finish is a run that died, and stays.
 
+    `records` have the key, event, attempt, status, rows_processed, peak_mem_mb and recorded_at.
     Both records of a run are folded by one conditional aggregate over all dates, so a run that
-    crosses midnight pairs as any other and no self-join is needed.
+    crosses midnight pairs as any other and no self-join is needed. The result has all that
+    `daily_indicators` reads; `day` is the day of the start in the session's time zone.
     """
     start, finish = F.col("event") == "start", F.col("event") == "finish"
     finished = F.when(finish, F.col("recorded_at"))
     # A repeated start is an earlier attempt to write the same record; the first one counts, and
-    # the last finish. Times, counts and flags only, so that the fold is a hash aggregate.
-    paired = records.groupBy(key).agg(
-        F.min(F.when(start, F.col("recorded_at"))).alias("started_at"),
-        F.max(finished).alias("finished_at"),
-        F.max_by(F.col("status") == "success", finished).alias("succeeded"),
-        F.max_by(F.col("rows_processed"), finished).alias("rows_processed"),
+    # the last finish. Of finishes recorded at one moment a success counts, then the most rows,
+    # then the most memory, whatever the order in which they are read.
+    order = F.struct(
+        F.col("recorded_at").alias("at"),
+        (F.col("status") == "success").alias("succeeded"),
+        F.col("rows_processed").alias("rows_processed"),
+        F.col("peak_mem_mb").alias("peak_mem_mb"),
+    )
+    paired = (
+        records.groupBy(key)
+        .agg(
+            F.min(F.when(start, F.col("recorded_at"))).alias("started_at"),
+            F.max("attempt").alias("attempt"),
+            F.max(F.when(finish, order)).alias("last"),
+        )
+        .select(
+            key,
+            "attempt",
+            "started_at",
+            F.col("last.at").alias("finished_at"),
+            F.col("last.succeeded").alias("succeeded"),
+            F.col("last.rows_processed").alias("rows_processed"),
+            F.col("last.peak_mem_mb").alias("peak_mem_mb"),
+        )
     )
     status = (
         F.when(F.col("finished_at").isNull(), "died")
         .when(F.col("succeeded"), "success")
         .otherwise("failed")
     )
+    finished, started = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("finished_at", "started_at"))
+    seconds = finished - started
     return (
         paired.filter(F.col("started_at").isNotNull())
-        .withColumn("status", status)
+        .withColumns(
+            {
+                "status": status,
+                "day": F.col("started_at").cast("date"),
+                "duration_seconds": F.floor(seconds / 1_000_000).cast("bigint"),
+            }
+        )
         .drop("succeeded")
     )
 
 
 def daily_indicators(
-    runs: DataFrame, expected_rows: float, cap_seconds: int = DURATION_CAP_SECONDS, days: int = 30
+    runs: DataFrame,
+    expected_rows: float,
+    cap_seconds: int = DURATION_CAP_SECONDS,
+    days: int = 30,
+    deadline: str = FRESH_BY,
+    zone: str = "UTC",
+    budget: float = FRESH_BUDGET,
+    memory_mb: float = MEMORY_LIMIT_MB,
 ) -> DataFrame:
-    """Service indicators per day: fresh or not, first-attempt success, completeness, duration.
-
-    `runs` has `day`, `status`, `attempt`, `rows_processed`, `duration_seconds`. The 30-day rates
-    divide windowed sums; the window covers one row per day. A run that reported no rows and a
-    run that reported zero rows are different: only reported ones count for completeness.
+    """Service indicators per calendar day: fresh or not, first-attempt success, completeness,
+    duration and memory.
+
+    `runs` is what `pair_runs` returns. A day is fresh if a run finished with success on it, by
+    the `deadline` in `zone`. Every day from the first start to the last one is a row: a day
+    without any run is not fresh, which is the failure the indicator is for. `budget_spent` is
+    the share of missed days in the window over the share that may be missed. A run that
+    reported no rows and a run that reported zero rows are different: only reported ones count
+    for completeness. The windows cover one row per day.
     """
     first = F.col("attempt") == 1
     ok = F.col("status") == "success"
+    local = F.from_utc_timestamp(F.to_utc_timestamp(F.col("finished_at").cast("timestamp"), F.current_timezone()), zone)
+    in_time = ok & (local.cast("date") == F.col("day")) & (F.date_format(local, "HH:mm:ss.SSSSSS") <= f"{deadline}:00.000000")
     daily = runs.groupBy("day").agg(
+        F.count(F.lit(1)).alias("runs"),
         F.count_if(first).alias("scheduled"),
         F.count_if(first & ok).alias("first_attempt_ok"),
-        F.bool_or(ok).alias("is_fresh"),
+        F.coalesce(F.bool_or(in_time), F.lit(False)).alias("is_fresh"),
         F.sum("rows_processed").alias("rows_reported"),
         F.count("rows_processed").alias("runs_reporting"),
         F.max("duration_seconds").alias("longest_seconds"),
+        F.max("peak_mem_mb").alias("peak_mem_mb"),
     )
-    day_number = F.datediff("day", F.lit("1970-01-01").cast("date"))
-    last_days = Window.partitionBy(F.lit(0)).orderBy("day_number").rangeBetween(-(days - 1), 0)
+    calendar = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).select(
+        F.explode(F.sequence("lo", "hi")).alias("day")
+    )
+    counts = ["runs", "scheduled", "first_attempt_ok", "runs_reporting"]
+    dense = calendar.join(daily, "day", "left").na.fill(0, subset=counts).na.fill(False, subset=["is_fresh"])
+    # Rows are days: the window is as long as the history in days.
+    last_days = Window.orderBy("day").rowsBetween(-(days - 1), 0)
+    fresh = ratio(F.sum(F.col("is_fresh").cast("int")).over(last_days), F.count(F.lit(1)).over(last_days))
     return (
-        daily.withColumn("day_number", day_number)
-        .withColumns(
+        dense.withColumns(
             {
                 "success_rate_30d": ratio(
                     F.sum("first_attempt_ok").over(last_days), F.sum("scheduled").over(last_days)
                 ),
-                "fresh_days_30d": ratio(
-                    F.sum(F.col("is_fresh").cast("int")).over(last_days),
-                    F.count(F.lit(1)).over(last_days),
-                ),
+                "fresh_days_30d": fresh,
                 "completeness": ratio(
                     F.col("rows_reported"), F.col("runs_reporting") * F.lit(float(expected_rows))
                 ),
                 "duration_share_of_cap": ratio(F.col("longest_seconds"), F.lit(cap_seconds)),
+                "memory_share_of_limit": ratio(F.col("peak_mem_mb"), F.lit(float(memory_mb))),
+            }
+        )
+        .withColumns(
+            {
+                "budget_spent": (1 - F.col("fresh_days_30d")) / F.lit(float(budget)),
+                "duration_alert": F.col("duration_share_of_cap") > DURATION_ALERT_SHARE,
+                "memory_alert": F.col("memory_share_of_limit") > MEMORY_ALERT_SHARE,
             }
         )
-        .withColumn("duration_alert", F.col("duration_share_of_cap") > DURATION_ALERT_SHARE)
-        .drop("day_number")
     )
 
 

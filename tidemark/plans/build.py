@@ -83,7 +83,7 @@ def run_checks(built: dict[str, DataFrame], but: Iterable[str] = ()) -> DataFram
 def build_checked(spark: SparkSession, raw_root: str, lake: Lake) -> dict[str, DataFrame]:
     """Build, then fail when any check does."""
     built = build(spark, raw_root, lake)
-    failed = run_checks(built).limit(50).collect()
+    failed = run_checks(built).collect()
     if failed:
         names = ", ".join(f"{row.check_name} ({row.violations})" for row in failed)
         raise BrokenChecks(names)

@@ -208,33 +208,23 @@ def mart_team_fixture_run(
     clubs = teams.select("team_id", "team_name", "team_short_name")
     cell = ["team_id", "gameweek_id"]
     scheduled = team_fixtures.filter(F.col("gameweek_id").isNotNull())
-    # One shuffle of the facts, to one row per pairing in a cell; cells are then small sums.
-    pairings = scheduled.groupBy(*cell, "opponent_team_id", "venue").agg(
-        F.count("fixture_id").alias("n"),
-        F.count_if("is_home").alias("n_home"),
-        F.count("difficulty").alias("n_rated"),
-        F.sum("difficulty").alias("total"),
-        F.min("difficulty").alias("easiest"),
-        F.max("difficulty").alias("hardest"),
-        F.min("kickoff_time").alias("first_kickoff"),
-        F.min("fixture_id").alias("first_fixture"),
-    )
     opponent = teams.select(
         F.col("team_id").alias("opponent_team_id"), F.col("team_short_name").alias("opponent_name")
     )
     label = joined_text(F.col("opponent_name"), " (", F.col("venue"), ")")
+    # One shuffle of the facts, to one row per cell; the text has every fixture of the cell.
     per_cell = (
-        pairings.join(opponent, "opponent_team_id", "left")
+        scheduled.join(opponent, "opponent_team_id", "left")
         .withColumn("label", label)
         .groupBy(*cell)
         .agg(
-            F.sum("n").alias("fixture_count"),
-            F.sum("n_home").alias("home_fixture_count"),
-            ratio(F.sum("total"), F.sum("n_rated")).alias("avg_difficulty"),
-            F.sum("total").alias("total_difficulty"),
-            F.min("easiest").alias("easiest_difficulty"),
-            F.max("hardest").alias("hardest_difficulty"),
-            text_in_order("label", "first_kickoff", "first_fixture").alias("opponents"),
+            F.count("fixture_id").alias("fixture_count"),
+            F.count_if("is_home").alias("home_fixture_count"),
+            ratio(F.sum("difficulty"), F.count("difficulty")).alias("avg_difficulty"),
+            F.sum("difficulty").alias("total_difficulty"),
+            F.min("difficulty").alias("easiest_difficulty"),
+            F.max("difficulty").alias("hardest_difficulty"),
+            text_in_order("label", "kickoff_time", "fixture_id").alias("opponents"),
         )
     )
     counts = ["fixture_count", "home_fixture_count"]

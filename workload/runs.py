@@ -17,7 +17,7 @@ def _k():
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-JOB = "CONCAT('dbt build -> ', event_type, ' + Gold!')"
+JOB = "CONCAT('load: ', event_type, ' & publish?')"
 
 
 @query(
@@ -93,42 +93,54 @@ def run_metrics_merge(spark, sf_dir):
 RECORD = T.StructType(
     [
         T.StructField("run_key", T.StringType()),
+        T.StructField("attempt", T.LongType()),
         T.StructField("event", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("rows_processed", T.LongType()),
+        T.StructField("peak_mem_mb", T.LongType()),
     ]
 )
 
 
+# Every event is a record of the run user.k: these types start it, the others finish it. Days lie
+# two apart, so that every other day has no run.
+STARTS = "event_type IN ('signup', 'view', 'error')"
+FIRST_DAY = "2024-01-01"
+
+
 def _records(spark, sf_dir):
-    """Signups as starts and purchases as finishes of the run user.k."""
     key = F.concat_ws(".", "user_id", _k())
-    is_start = F.col("event_type") == "signup"
+    is_start = F.expr(STARTS)
+    done = ~is_start & (F.col("value") > 20)
+    apart = F.make_dt_interval(days=F.datediff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date")))
     return (
         table(spark, sf_dir, "events")
-        .filter(F.col("event_type").isin("signup", "purchase"))
+        .withColumn("recorded_at", F.col("ts") + apart)
         .select(
             key.alias("run_key"),
+            (_k() % 3 + 1).alias("attempt"),
             F.when(is_start, "start").otherwise("finish").alias("event"),
-            F.when(is_start, "running")
-            .when(F.col("value") > 20, "success")
-            .otherwise("failed")
-            .alias("status"),
-            F.when(~is_start & (F.col("value") > 20), _k()).alias("rows_processed"),
-            F.col("ts").alias("recorded_at"),
-            F.col("ts").cast("date").alias("load_date"),
+            F.when(is_start, "running").when(done, "success").otherwise("failed").alias("status"),
+            F.when(done, _k()).alias("rows_processed"),
+            F.when(~is_start, F.floor(F.col("value") * 20).cast("bigint")).alias("peak_mem_mb"),
+            "recorded_at",
+            F.col("recorded_at").cast("date").alias("load_date"),
         )
     )
 
 
 RECORDS_SQL = f"""
+    moved AS (
+      SELECT *, ts + to_days(CAST(date_diff('day', DATE '{FIRST_DAY}', CAST(ts AS DATE)) AS INTEGER)) AS recorded_at
+      FROM events),
     records AS (
-      SELECT CONCAT(CAST(user_id AS VARCHAR), '.', CAST({K} AS VARCHAR)) AS run_key,
-             CASE event_type WHEN 'signup' THEN 'start' ELSE 'finish' END AS event,
-             CASE WHEN event_type = 'signup' THEN 'running' WHEN value > 20 THEN 'success' ELSE 'failed' END AS status,
-             CASE WHEN event_type = 'purchase' AND value > 20 THEN {K} END AS rows_processed,
-             ts AS recorded_at, CAST(ts AS DATE) AS load_date
-      FROM events WHERE event_type IN ('signup', 'purchase'))"""
+      SELECT CONCAT(CAST(user_id AS VARCHAR), '.', CAST({K} AS VARCHAR)) AS run_key, {K} % 3 + 1 AS attempt,
+             CASE WHEN {STARTS} THEN 'start' ELSE 'finish' END AS event,
+             CASE WHEN {STARTS} THEN 'running' WHEN value > 20 THEN 'success' ELSE 'failed' END AS status,
+             CASE WHEN NOT {STARTS} AND value > 20 THEN {K} END AS rows_processed,
+             CASE WHEN NOT {STARTS} THEN CAST(floor(value * 20) AS BIGINT) END AS peak_mem_mb,
+             recorded_at, CAST(recorded_at AS DATE) AS load_date
+      FROM moved)"""
 
 
 @query(
@@ -153,64 +165,74 @@ def run_ledger_append(spark, sf_dir):
     )
 
 
-@query(
-    "pipeline_runs",
-    f"""WITH {RECORDS_SQL},
+PAIRED_SQL = f"""{RECORDS_SQL},
     starts AS (SELECT run_key, MIN(recorded_at) AS started_at FROM records WHERE event = 'start' GROUP BY 1),
+    attempts AS (SELECT run_key, MAX(attempt) AS attempt FROM records GROUP BY 1),
     finishes AS (
-      SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY run_key ORDER BY recorded_at DESC) AS rn
-                     FROM records WHERE event = 'finish') WHERE rn = 1)
-    SELECT s.run_key, strftime(s.started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
-           strftime(f.recorded_at, '%Y-%m-%d %H:%M:%S.%f') AS finished_at, rows_processed,
-           COALESCE(f.status, 'died') AS status
-    FROM starts s LEFT JOIN finishes f ON f.run_key = s.run_key""",
+      SELECT * FROM (
+        SELECT *, ROW_NUMBER() OVER (
+                 PARTITION BY run_key
+                 ORDER BY recorded_at DESC, status = 'success' DESC, rows_processed DESC NULLS LAST,
+                          peak_mem_mb DESC NULLS LAST) AS place
+        FROM records WHERE event = 'finish')
+      WHERE place = 1),
+    paired AS (
+      SELECT s.run_key, a.attempt, s.started_at, f.recorded_at AS finished_at, f.rows_processed, f.peak_mem_mb,
+             COALESCE(f.status, 'died') AS status, CAST(s.started_at AS DATE) AS day,
+             CAST(floor((epoch_us(f.recorded_at) - epoch_us(s.started_at)) / 1000000.0) AS BIGINT) AS duration_seconds
+      FROM starts s JOIN attempts a ON a.run_key = s.run_key LEFT JOIN finishes f ON f.run_key = s.run_key)"""
+
+
+@query(
+    "pipeline_runs",
+    f"""WITH {PAIRED_SQL}
+    SELECT * REPLACE (strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+                      strftime(finished_at, '%Y-%m-%d %H:%M:%S.%f') AS finished_at, CAST(day AS VARCHAR) AS day)
+    FROM paired""",
 )
 def pipeline_runs(spark, sf_dir):
     return portable(runs.pair_runs(_records(spark, sf_dir)))
 
 
-RUNS_SQL = f"""
-    runs AS (
-      SELECT CAST(ts AS DATE) AS day, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
-             {K} % 3 + 1 AS attempt, CASE WHEN event_type <> 'view' THEN {K} END AS rows_processed,
-             CAST(floor(value * 2) AS BIGINT) AS duration_seconds FROM events)"""
+_RATE = "CAST(SUM(CAST(is_fresh AS INTEGER)) OVER w AS DOUBLE) / CAST(COUNT(*) OVER w AS DOUBLE)"
 
 
 @query(
     "sli_daily",
-    f"""WITH {RUNS_SQL},
+    f"""WITH {PAIRED_SQL},
+    days AS (SELECT CAST(unnest(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY)) AS DATE) AS day FROM paired),
     daily AS (
-      SELECT day, CAST(COUNT(*) FILTER (WHERE attempt = 1) AS BIGINT) AS scheduled,
-             CAST(COUNT(*) FILTER (WHERE attempt = 1 AND status = 'success') AS BIGINT) AS first_attempt_ok,
-             bool_or(status = 'success') AS is_fresh, CAST(SUM(rows_processed) AS BIGINT) AS rows_reported,
-             COUNT(rows_processed) AS runs_reporting, MAX(duration_seconds) AS longest_seconds
-      FROM runs GROUP BY 1)
-    SELECT CAST(day AS VARCHAR) AS day, scheduled, first_attempt_ok, is_fresh, rows_reported, runs_reporting,
-           longest_seconds,
-           CAST(SUM(first_attempt_ok) OVER w AS DOUBLE) / CAST(SUM(scheduled) OVER w AS DOUBLE) AS success_rate_30d,
-           CAST(SUM(CAST(is_fresh AS INTEGER)) OVER w AS DOUBLE) / CAST(COUNT(*) OVER w AS DOUBLE) AS fresh_days_30d,
-           CAST(rows_reported AS DOUBLE) / (runs_reporting * CAST(50 AS DOUBLE)) AS completeness,
+      SELECT d.day, COUNT(p.run_key) AS runs, COUNT(p.run_key) FILTER (WHERE attempt = 1) AS scheduled,
+             COUNT(p.run_key) FILTER (WHERE attempt = 1 AND status = 'success') AS first_attempt_ok,
+             COUNT(p.run_key) FILTER (WHERE status = 'success' AND finished_at >= d.day
+                                      AND finished_at <= d.day + INTERVAL 8 HOUR) > 0 AS is_fresh,
+             CAST(SUM(rows_processed) AS BIGINT) AS rows_reported, COUNT(rows_processed) AS runs_reporting,
+             MAX(duration_seconds) AS longest_seconds, MAX(peak_mem_mb) AS peak_mem_mb
+      FROM days d LEFT JOIN paired p ON p.day = d.day GROUP BY 1)
+    SELECT * REPLACE (CAST(day AS VARCHAR) AS day),
+           CAST(SUM(first_attempt_ok) OVER w AS DOUBLE)
+             / NULLIF(CAST(SUM(scheduled) OVER w AS DOUBLE), 0) AS success_rate_30d,
+           {_RATE} AS fresh_days_30d,
+           CAST(rows_reported AS DOUBLE) / NULLIF(runs_reporting * CAST(50 AS DOUBLE), 0) AS completeness,
            CAST(longest_seconds AS DOUBLE) / CAST(900 AS DOUBLE) AS duration_share_of_cap,
-           CAST(longest_seconds AS DOUBLE) / CAST(900 AS DOUBLE) > 0.7 AS duration_alert
-    FROM daily WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""",
+           CAST(peak_mem_mb AS DOUBLE) / CAST(2048 AS DOUBLE) AS memory_share_of_limit,
+           (1 - {_RATE}) / CAST(0.25 AS DOUBLE) AS budget_spent,
+           CAST(longest_seconds AS DOUBLE) / CAST(900 AS DOUBLE) > CAST(0.7 AS DOUBLE) AS duration_alert,
+           CAST(peak_mem_mb AS DOUBLE) / CAST(2048 AS DOUBLE) > CAST(0.7 AS DOUBLE) AS memory_alert
+    FROM daily WINDOW w AS (ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
 )
 def sli_daily(spark, sf_dir):
-    k = _k()
-    history = table(spark, sf_dir, "events").select(
-        F.col("ts").cast("date").alias("day"),
-        F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("status"),
-        (k % 3 + 1).alias("attempt"),
-        F.when(F.col("event_type") != "view", k).alias("rows_processed"),
-        F.floor(F.col("value") * 2).cast("bigint").alias("duration_seconds"),
-    )
-    return portable(runs.daily_indicators(history, expected_rows=50))
+    paired = runs.pair_runs(_records(spark, sf_dir))
+    return portable(runs.daily_indicators(paired, expected_rows=50, budget=0.25))
 
 
 # ---- Identity: customers have accounts; events carry the account or an anonymous id. ----
 
 DISTINCT_ID = "CASE WHEN event_type IN ('purchase', 'error') THEN CAST(user_id AS {text}) ELSE CONCAT('anon-', CAST(user_id AS {text}), '-', CAST({k} AS {text})) END"
 IDENTITY_SQL = f"""
-    tagged AS (SELECT *, {DISTINCT_ID.format(text="VARCHAR", k=K)} AS distinct_id FROM events),
+    tagged AS (
+      SELECT *, {DISTINCT_ID.format(text="VARCHAR", k=K)} AS distinct_id FROM events
+      UNION ALL SELECT *, CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'view'),
     mapping AS (
       SELECT DISTINCT user_id, distinct_id FROM tagged WHERE event_type = 'signup'
       UNION SELECT c_custkey, CAST(c_custkey AS VARCHAR) FROM customer)"""
@@ -218,9 +240,11 @@ IDENTITY_SQL = f"""
 
 def _identity(spark, sf_dir):
     k = "get_json_object(props, '$.k')"
-    tagged = table(spark, sf_dir, "events").withColumn(
-        "distinct_id", F.expr(DISTINCT_ID.format(text="STRING", k=k))
-    )
+    events = table(spark, sf_dir, "events")
+    tagged = events.withColumn("distinct_id", F.expr(DISTINCT_ID.format(text="STRING", k=k)))
+    # As after a merge of two profiles: a view also arrives under the account's own id.
+    again = events.filter("event_type = 'view'").withColumn("distinct_id", F.col("user_id").cast("string"))
+    tagged = tagged.unionByName(again)
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     identifies = tagged.filter("event_type = 'signup'").select("user_id", "distinct_id")
     return users, tagged, identity.identity_map(users, identifies)
@@ -234,12 +258,12 @@ def identity_map(spark, sf_dir):
 @query(
     "identity_resolution_rate",
     f"""WITH {IDENTITY_SQL}
-    SELECT COUNT(*) AS active_events, CAST(COUNT(*) FILTER (WHERE known) AS BIGINT) AS resolved_events,
-           CAST(COUNT(*) FILTER (WHERE known) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS resolved_share
-    FROM (SELECT distinct_id IN (SELECT distinct_id FROM mapping) AS known FROM tagged)""",
+    SELECT COUNT(DISTINCT event_id) AS active_events, COUNT(DISTINCT event_id) FILTER (WHERE known) AS resolved_events,
+           CAST(COUNT(DISTINCT event_id) FILTER (WHERE known) AS DOUBLE) / CAST(COUNT(DISTINCT event_id) AS DOUBLE) AS resolved_share
+    FROM (SELECT event_id, distinct_id IN (SELECT distinct_id FROM mapping) AS known FROM tagged)""",
 )
 def identity_resolution_rate(spark, sf_dir):
-    """Every event arrives twice, as after a merge of two profiles; each counts once."""
+    """Every event arrives twice, and views under two ids; each counts once."""
     _, events, mapping = _identity(spark, sf_dir)
     return identity.resolution_rate(events.unionByName(events), mapping)
 
@@ -249,7 +273,7 @@ def identity_resolution_rate(spark, sf_dir):
     f"""WITH {IDENTITY_SQL},
     business AS (SELECT o_custkey, COUNT(*) AS orders, CAST(SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS spent_cents
                  FROM orders GROUP BY 1),
-    behaviour AS (SELECT m.user_id, COUNT(*) AS events, COUNT(DISTINCT m.distinct_id) AS active_ids
+    behaviour AS (SELECT m.user_id, COUNT(DISTINCT event_id) AS events, COUNT(DISTINCT m.distinct_id) AS active_ids
                   FROM tagged t JOIN mapping m ON m.distinct_id = t.distinct_id GROUP BY 1)
     SELECT c_custkey AS user_id, c_mktsegment, COALESCE(orders, 0) AS orders, COALESCE(spent_cents, 0) AS spent_cents,
            COALESCE(events, 0) AS events, COALESCE(active_ids, 0) AS active_ids
