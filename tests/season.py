@@ -197,7 +197,7 @@ def land(spark: SparkSession, root: str, load_id: str, tables: dict[str, list[di
         parsed = lines.select(_parse(schema).alias("r")).select("r.*")
         bronze.append_load(parsed, root, name, load_id, DATES[load_id])
     if commit:
-        bronze.commit_load(spark, root, load_id, "fpl", f"{DATES[load_id]}T06:05:00Z")
+        bronze.commit_load(spark, root, load_id, "fpl", f"{DATES[load_id]}T06:05:00Z", [DATES[load_id]])
 
 
 def _parse(schema):

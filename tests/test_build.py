@@ -8,7 +8,8 @@ from tests.conftest import rows
 from tidemark.plans import checks, gold
 from tidemark.plans.build import BrokenChecks, NoCommittedLoad, build, build_checked, run_checks
 from tidemark.plans.silver import MODELS
-from tidemark.sources.layers import Lake
+from tidemark.sources.bronze import MissingSource
+from tidemark.sources.layers import ContractError, Lake
 
 
 @pytest.fixture(scope="module")
@@ -155,6 +156,45 @@ def test_failed_checks_stop_the_build(spark, tmp_path):
     assert "stg_fpl__players.accepted (1)" in str(error.value)
 
 
+def _published(base):
+    return sorted(str(p.relative_to(base)) for layer in ("silver", "gold") for p in (base / layer).rglob("part-*"))
+
+
+def test_a_lost_table_stops_the_build(spark, tmp_path):
+    """Without files of a raw table nothing is published, and what was published stays."""
+    raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
+    season.land(spark, raw, season.NEW, season.season())
+    build_checked(spark, raw, lake)
+    before = _published(tmp_path)
+    less = f"{tmp_path}/less"
+    season.land(spark, less, season.NEW, {k: v for k, v in season.season().items() if k != "fixtures"})
+    with pytest.raises(MissingSource, match="fixtures"):
+        build_checked(spark, less, lake)
+    assert _published(tmp_path) == before
+
+
+def test_broken_data_is_not_published(spark, tmp_path):
+    raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
+    season.land(spark, raw, season.NEW, season.season())
+    build_checked(spark, raw, lake)
+    before = _published(tmp_path)
+    players = season.elements()
+    players[0]["team"] = 77
+    broken = f"{tmp_path}/broken"
+    season.land(spark, broken, season.NEW, season.season(elements=players))
+    with pytest.raises(BrokenChecks, match="stg_fpl__players.team_id.parent"):
+        build_checked(spark, broken, lake)
+    assert _published(tmp_path) == before
+
+
+def test_published_columns_are_a_contract(spark, tmp_path):
+    raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
+    season.land(spark, raw, season.NEW, season.season())
+    spark.createDataFrame([(1, "x")], "team_id long, renamed string").write.parquet(lake.path("gold", "dim_team"))
+    with pytest.raises(ContractError, match="gold.dim_team"):
+        build(spark, raw, lake)
+
+
 def test_nothing_committed(spark, tmp_path):
     raw = f"{tmp_path}/bronze"
     season.land(spark, raw, season.NEW, {"teams": season.teams()}, commit=False)

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import plan_of, rows
+from tests.conftest import rows
 from tidemark.functions import columns as fn
 from tidemark.operators import snapshot
 from tidemark.operators.conform import conform, fields
@@ -16,11 +16,11 @@ from tidemark.sources.layers import ContractError, Lake, check_contract
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType())])
 
 
-def land(spark, root, load_id, date, ids, commit=True):
+def land(spark, root, load_id, date, ids, commit=True, dates=None):
     df = spark.createDataFrame([(i, None if i % 2 else f"n{i}") for i in ids], SCHEMA)
     bronze.append_load(df, root, "things", load_id, date)
     if commit:
-        bronze.commit_load(spark, root, load_id, "test", f"{date}T01:00:00Z")
+        bronze.commit_load(spark, root, load_id, "test", f"{date}T01:00:00Z", dates or [date])
 
 
 def test_snapshot_is_the_newest_committed_load(spark, tmp_path):
@@ -38,12 +38,19 @@ def test_snapshot_is_the_newest_committed_load(spark, tmp_path):
     assert snapshot.committed_rows(bronze.read_table(spark, root, "things", SCHEMA), ledger).count() == 5
 
 
-def test_a_load_around_midnight_is_found_whole(spark, tmp_path):
+def test_a_load_of_many_dates_is_found_whole(spark, tmp_path):
+    """A load written under dates days apart; with the ledger's dates, and without any."""
     root = str(tmp_path)
-    land(spark, root, "1000079999.5", "2001-09-09", [1], commit=False)
-    land(spark, root, "1000079999.5", "2001-09-10", [2])
-    table = bronze.read_table(spark, root, "things", SCHEMA, "1000079999.5")
-    assert rows(table.select("id")) == [(1,), (2,)]
+    days = ["2001-09-09", "2001-09-10", "2001-09-13", "2001-09-20"]
+    for i, day in enumerate(days):
+        land(spark, root, "1000079999.5", day, [i], commit=day == days[-1], dates=days)
+    dates = bronze.dates_of(bronze.read_ledger(spark, root), "1000079999.5")
+    assert dates == days
+    for known in (dates, None):
+        table = bronze.read_table(spark, root, "things", SCHEMA, "1000079999.5", known)
+        assert rows(table.select("id")) == [(0,), (1,), (2,), (3,)]
+    with pytest.raises(ValueError, match="without its dates"):
+        bronze.commit_load(spark, root, "1000079999.5", "test", "2001-09-20T01:00:00Z", [])
 
 
 def test_only_the_loads_dates_are_read(spark, tmp_path):
@@ -51,10 +58,11 @@ def test_only_the_loads_dates_are_read(spark, tmp_path):
     for day in range(1, 9):
         land(spark, root, f"{999_993_600 + day * 86_400}.5", f"2001-09-{day + 8:02}", [day])
     load_id = f"{999_993_600 + 4 * 86_400}.5"
-    one = bronze.read_table(spark, root, "things", SCHEMA, load_id)
-    assert len({f.rsplit("/", 2)[1] for f in one.inputFiles()}) == 3
-    every = snapshot.snapshot_rows(bronze.read_table(spark, root, "things", SCHEMA), load_id)
-    assert "PartitionFilters: [load_date" in plan_of(every)
+    dates = bronze.dates_of(bronze.read_ledger(spark, root), load_id)
+    one = bronze.read_table(spark, root, "things", SCHEMA, load_id, dates)
+    assert {f.rsplit("/", 2)[1] for f in one.inputFiles()} == {"load_date=2001-09-12"}
+    every = snapshot.snapshot_rows(bronze.read_table(spark, root, "things", SCHEMA), load_id, dates=dates)
+    assert "(load_date#" in every._jdf.queryExecution().optimizedPlan().toString()
     assert rows(every.select("id")) == [(4,)]
 
 
@@ -73,10 +81,15 @@ def test_wrong_json_type_stops_the_read(spark, tmp_path):
         bronze.read_table(spark, str(tmp_path), "things", wrong).collect()
 
 
-def test_missing_source_is_an_empty_typed_frame(spark, tmp_path):
-    empty = bronze.read_table(spark, str(tmp_path), "nothing", SCHEMA)
+def test_only_an_optional_source_may_be_missing(spark, tmp_path):
+    empty = bronze.read_table(spark, str(tmp_path), "nothing", SCHEMA, optional=True)
     assert empty.count() == 0 and "load_date" in empty.columns
-    assert bronze.read_table(spark, str(tmp_path), "nothing", SCHEMA, "1000000000.5").count() == 0
+    one = bronze.read_table(spark, str(tmp_path), "nothing", SCHEMA, "1000000000.5", optional=True)
+    assert one.count() == 0
+    with pytest.raises(bronze.MissingSource, match="nothing"):
+        bronze.read_table(spark, str(tmp_path), "nothing", SCHEMA)
+    with pytest.raises(bronze.MissingSource, match="nothing"):
+        bronze.read_table(spark, str(tmp_path), "nothing", SCHEMA, "1000000000.5", ["2001-09-09"])
     assert snapshot.latest_committed_load(bronze.read_ledger(spark, str(tmp_path))) is None
 
 

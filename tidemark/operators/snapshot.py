@@ -6,7 +6,7 @@ row per key: an entity that vanished from the source must vanish here as well.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,18 +43,17 @@ def latest_committed_load(ledger: DataFrame) -> str | None:
     return newest_load(ledger).first()["load_id"]
 
 
-def load_dates(load_id: str) -> list[str]:
-    """The partition dates a load can have written: its start day, and a day either side."""
-    started = datetime.fromtimestamp(float(load_id), tz=timezone.utc).date()
-    return [str(started + timedelta(days=d)) for d in (-1, 0, 1)]
-
+def snapshot_rows(
+    table: DataFrame, load_id: str, load_column: str = LOAD_ID, dates: Sequence[str] | None = None
+) -> DataFrame:
+    """Every row of one load; the load id alone decides.
 
-def snapshot_rows(table: DataFrame, load_id: str, load_column: str = LOAD_ID) -> DataFrame:
-    """Every row of one load. Where the table has `load_date`, only three dates are read."""
+    `dates` are those the load's ledger row lists: where the table has `load_date`, no other
+    date is read.
+    """
     rows = table
-    if "load_date" in table.columns:
-        days = [F.to_date(F.lit(d)) for d in load_dates(load_id)]
-        rows = rows.filter(F.col("load_date").isin(*days))
+    if dates is not None and "load_date" in table.columns:
+        rows = rows.filter(F.col("load_date").isin(*[F.to_date(F.lit(d)) for d in dates]))
     return rows.filter(F.col(load_column) == load_id)
 
 

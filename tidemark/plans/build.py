@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.snapshot import conform_ledger, latest_committed_load
 from tidemark.plans import checks, gold
 from tidemark.plans.silver import MODELS, raw_schema
-from tidemark.sources.bronze import read_ledger, read_table
+from tidemark.sources.bronze import dates_of, read_ledger, read_table
 from tidemark.sources.layers import Lake
 
 
 CONCURRENT_WRITES = 4
+MARTS = (
+    "dim_team",
+    "dim_player",
+    "fct_team_fixture",
+    "mart_team_fixture_run",
+    "mart_player_value",
+    "mart_position_scarcity",
+)
 
 
 class NoCommittedLoad(RuntimeError):
@@ -25,51 +33,73 @@ class BrokenChecks(RuntimeError):
     """Data checks that found violating rows."""
 
 
-def build(spark: SparkSession, raw_root: str, lake: Lake) -> dict[str, DataFrame]:
-    """Build and write every model; returns them as read back from the lake.
+def build(
+    spark: SparkSession, raw_root: str, lake: Lake, checked: bool = False
+) -> dict[str, DataFrame]:
+    """Build every model, then publish all of them; returns them as read back from the lake.
 
     The load id is resolved once, so all models see one snapshot even while another load
-    commits. Each model is written before the next one reads it: a mart scans Parquet columns
-    instead of recomputing what is below it.
+    commits. Each model is written aside before the next one reads it: a mart scans Parquet
+    columns instead of recomputing what is below it. Nothing is published before every model is
+    written, has the columns that readers of the published one rely on, and, with `checked`, has
+    passed its checks: the typed tables before any mart is built, then all the others.
     """
     ledger = read_ledger(spark, raw_root)
     load_id = latest_committed_load(ledger)
     if load_id is None:
         raise NoCommittedLoad(raw_root)
+    dates = dates_of(ledger, load_id)
+    work = lake.aside()
     built: dict[str, DataFrame] = {}
+    layers: dict[str, str] = {}
+    contracts = {
+        name: lake.published_schema(spark, layer, name)
+        for layer, names in (("silver", ["stg_fpl__loads", *MODELS]), ("gold", MARTS))
+        for name in names
+    }
 
     def put(layer: str, name: str, df: DataFrame) -> DataFrame:
-        lake.write(df, layer, name)
-        built[name] = lake.read(spark, layer, name)
+        work.write(df, layer, name, contracts[name])
+        layers[name] = layer
+        built[name] = work.read(spark, layer, name)
         return built[name]
 
     def put_typed(name: str) -> None:
         model = MODELS[name]
-        raw = read_table(spark, raw_root, model.raw, raw_schema(model), load_id)
+        raw = read_table(spark, raw_root, model.raw, raw_schema(model), load_id, dates, model.optional)
         put("silver", name, model.build(raw, load_id))
 
     # The typed tables do not depend on each other; small ones fill the gaps of large ones.
-    put("silver", "stg_fpl__loads", conform_ledger(ledger))
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        loads = pool.submit(put, "silver", "stg_fpl__loads", conform_ledger(ledger))
         list(pool.map(put_typed, MODELS))
+        loads.result()
+    if checked:
+        _stop_if_broken(checks.silver_checks(built))
 
     silver = {name.removeprefix("stg_fpl__"): df for name, df in built.items()}
-    teams = put("gold", "dim_team", gold.dim_team(silver["teams"], silver["players"]))
-    players = put(
-        "gold", "dim_player", gold.dim_player(silver["players"], teams, silver["positions"])
-    )
-    sides = put("gold", "fct_team_fixture", gold.fct_team_fixture(silver["fixtures"]))
-    run = put(
-        "gold",
-        "mart_team_fixture_run",
-        gold.mart_team_fixture_run(teams, silver["gameweeks"], sides),
-    )
-    put("gold", "mart_player_value", gold.mart_player_value(players, silver["gameweeks"], run))
-    put(
-        "gold",
-        "mart_position_scarcity",
-        gold.mart_position_scarcity(players, silver["positions"], silver["game_settings"]),
-    )
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        sides = pool.submit(put, "gold", "fct_team_fixture", gold.fct_team_fixture(silver["fixtures"]))
+        teams = put("gold", "dim_team", gold.dim_team(silver["teams"], silver["players"]))
+        players = pool.submit(
+            put, "gold", "dim_player", gold.dim_player(silver["players"], teams, silver["positions"])
+        )
+        run = put(
+            "gold",
+            "mart_team_fixture_run",
+            gold.mart_team_fixture_run(teams, silver["gameweeks"], sides.result()),
+        )
+        value = gold.mart_player_value(players.result(), silver["gameweeks"], run)
+        worth = pool.submit(put, "gold", "mart_player_value", value)
+        scarcity = gold.mart_position_scarcity(players.result(), silver["positions"], silver["game_settings"])
+        put("gold", "mart_position_scarcity", scarcity)
+        worth.result()
+    if checked:
+        known = checks.silver_checks(built)
+        _stop_if_broken({n: df for n, df in checks.all_checks(built).items() if n not in known})
+    for name, layer in layers.items():
+        lake.publish(spark, work, layer, name)
+        built[name] = lake.read(spark, layer, name)
     return built
 
 
@@ -80,11 +110,12 @@ def run_checks(built: dict[str, DataFrame], but: Iterable[str] = ()) -> DataFram
     return checks.violations(found)
 
 
-def build_checked(spark: SparkSession, raw_root: str, lake: Lake) -> dict[str, DataFrame]:
-    """Build, then fail when any check does."""
-    built = build(spark, raw_root, lake)
-    failed = run_checks(built).collect()
+def _stop_if_broken(found: dict[str, DataFrame]) -> None:
+    failed = checks.violations(found).collect()
     if failed:
-        names = ", ".join(f"{row.check_name} ({row.violations})" for row in failed)
-        raise BrokenChecks(names)
-    return built
+        raise BrokenChecks(", ".join(f"{row.check_name} ({row.violations})" for row in failed))
+
+
+def build_checked(spark: SparkSession, raw_root: str, lake: Lake) -> dict[str, DataFrame]:
+    """Build, check, and publish only what has passed."""
+    return build(spark, raw_root, lake, checked=True)

@@ -232,6 +232,15 @@ def invariant_checks(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def silver_checks(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The rule checks of the typed tables, which marts are built from."""
+    found = {}
+    for model in RULES:
+        if model.startswith("stg_fpl__"):
+            found.update(model_checks(model, frames))
+    return found
+
+
 def all_checks(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     found = {}
     for model in RULES:

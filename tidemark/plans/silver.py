@@ -13,11 +13,13 @@ from tidemark.operators.conform import Derived, Field, conform, fields
 
 @dataclass(frozen=True)
 class Model:
-    """A typed table: the raw table it reads, its fields in output order, what it derives."""
+    """A typed table: the raw table it reads, its fields in output order, what it derives, and
+    whether a build may go on without files of the raw table."""
 
     raw: str
     spec: list[Field]
     derived: list[Derived] = field(default_factory=list)
+    optional: bool = False
 
     def build(self, raw: DataFrame, load_id: str) -> DataFrame:
         return conform(raw, self.spec, load_id, self.derived)

@@ -6,14 +6,14 @@ ledger. A load is visible once its ledger row exists, and that row is written la
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.snapshot import COMMITTED, LOAD_ID, load_dates
+from tidemark.operators.snapshot import COMMITTED, LOAD_ID
 
 ROW_ID = "_dlt_id"
 LEDGER = "_dlt_loads"
@@ -26,37 +26,53 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("status", T.IntegerType()),
         T.StructField("inserted_at", T.StringType()),
         T.StructField("schema_version_hash", T.StringType()),
+        # The partition dates the load wrote; NULL where a writer did not tell.
+        T.StructField("load_dates", T.ArrayType(T.StringType())),
     ]
 )
 
+
+class MissingSource(RuntimeError):
+    """A raw table that has to be there has no files."""
+
 # gzip text cannot be split, so one file is one read task: keep files to about this many rows.
 ROWS_PER_FILE = 1_000_000
 
 
 def _read_json(
-    spark: SparkSession, schema: T.StructType, path: str, base: str | None = None
+    spark: SparkSession, schema: T.StructType, path: str, base: str | None = None, optional: bool = False
 ) -> DataFrame:
-    """JSON lines under a declared schema, or an empty frame of it where there are no files."""
+    """JSON lines under a declared schema; with `optional`, an empty frame where there are none."""
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if base is not None:
         reader = reader.option("basePath", base)
     try:
         return reader.json(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if not optional:
+            raise MissingSource(path) from error
+        return spark.createDataFrame([], schema)
 
 
 def read_table(
-    spark: SparkSession, root: str, table: str, schema: T.StructType, load_id: str | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema: T.StructType,
+    load_id: str | None = None,
+    dates: Sequence[str] | None = None,
+    optional: bool = False,
 ) -> DataFrame:
-    """A raw table under its declared schema; an empty frame of it when there are no files yet.
+    """A raw table under its declared schema.
 
     A declared schema needs no inference pass, gives typed NULLs for fields that some or all
     files lack, and with FAILFAST a value of the wrong JSON type stops the read. With a load id
-    only the directories that load can have written are listed and read, however long the
-    history is.
+    only that load's rows come back. `dates` are the partition dates the load wrote, as its
+    ledger row says (`dates_of`): only these are listed and read, however long the history is;
+    without them every date is. A table without files, or without files of those dates, raises
+    unless it is `optional`; then it is an empty frame.
     """
     known = set(schema.fieldNames())
     lineage = [T.StructField(LOAD_ID, T.StringType()), T.StructField(ROW_ID, T.StringType())]
@@ -67,14 +83,26 @@ def read_table(
     )
     path = f"{root}/{table}"
     if load_id is None:
-        return _read_json(spark, full, path)
-    days = ",".join(load_dates(load_id))
-    rows = _read_json(spark, full, f"{path}/load_date={{{days}}}", base=path)
+        return _read_json(spark, full, path, optional=optional)
+    if dates is None:
+        rows = _read_json(spark, full, path, optional=optional)
+    else:
+        days = ",".join(sorted(set(dates)))
+        rows = _read_json(spark, full, f"{path}/load_date={{{days}}}", base=path, optional=optional)
     return rows.filter(F.col(LOAD_ID) == load_id)
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    return _read_json(spark, LEDGER_SCHEMA, f"{root}/{LEDGER}")
+    """The ledger; before the first load there is none, and it is empty."""
+    return _read_json(spark, LEDGER_SCHEMA, f"{root}/{LEDGER}", optional=True)
+
+
+def dates_of(ledger: DataFrame, load_id: str) -> list[str] | None:
+    """The partition dates a load wrote, or None if a row of its does not tell."""
+    rows = ledger.filter(F.col("load_id") == load_id).select("load_dates").collect()
+    if not rows or any(not r["load_dates"] for r in rows):
+        return None
+    return sorted({d for r in rows for d in r["load_dates"]})
 
 
 def append_rows(df: DataFrame, root: str, table: str) -> None:
@@ -109,15 +137,21 @@ def append_load(df: DataFrame, root: str, table: str, load_id: str, load_date: s
 
 
 def append_ledger(rows: DataFrame, root: str) -> None:
+    """Append ledger rows; `load_dates` may be missing."""
     names = LEDGER_SCHEMA.fieldNames()
+    if "load_dates" not in rows.columns:
+        rows = rows.withColumn("load_dates", F.lit(None).cast("array<string>"))
     rows.select(*names).coalesce(1).write.mode("append").json(f"{root}/{LEDGER}")
 
 
 def commit_load(
-    spark: SparkSession, root: str, load_id: str, schema_name: str, inserted_at: str
+    spark: SparkSession, root: str, load_id: str, schema_name: str, inserted_at: str, dates: Sequence[str]
 ) -> None:
-    """Make a load visible. Call it after every table of the load has been written."""
-    row = [(load_id, schema_name, COMMITTED, inserted_at, None)]
+    """Make a load visible. Call it after every table of the load has been written, with all the
+    dates it was written under: a reader opens exactly these."""
+    if not dates:
+        raise ValueError(f"load {load_id} is committed without its dates")
+    row = [(load_id, schema_name, COMMITTED, inserted_at, None, sorted(set(dates)))]
     append_ledger(spark.createDataFrame(row, LEDGER_SCHEMA), root)
 
 

@@ -1,9 +1,16 @@
-"""The typed layers: one Parquet dataset per model, replaced as a whole on every build."""
+"""The typed layers: one Parquet dataset per model, replaced as a whole on every build.
+
+A build writes all its models aside, in a folder of its own, and publishes them only when they
+are complete and checked: a dataset is replaced by renaming, so a job that dies while it writes
+leaves the old datasets as they were.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -44,3 +51,33 @@ class Lake:
 
     def read(self, spark: SparkSession, layer: str, model: str) -> DataFrame:
         return spark.read.parquet(self.path(layer, model))
+
+    def aside(self) -> Lake:
+        """A lake of one build, inside this one."""
+        return Lake(f"{self.root.rstrip('/')}/_builds/{uuid.uuid4().hex}")
+
+    def published_schema(self, spark: SparkSession, layer: str, model: str) -> T.StructType | None:
+        """The columns readers rely on, or None before the first build."""
+        try:
+            return self.read(spark, layer, model).schema
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def publish(self, spark: SparkSession, built: Lake, layer: str, model: str) -> None:
+        """Put a dataset of a build in the place of the published one."""
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        new, place = hadoop(built.path(layer, model)), hadoop(self.path(layer, model))
+        old = hadoop(f"{built.path(layer, model)}.old")
+        files = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(place.getParent())
+        had_one = files.exists(place)
+        if had_one and not files.rename(place, old):
+            raise OSError(f"{place} cannot be set aside")
+        if not files.rename(new, place):
+            if had_one:
+                files.rename(old, place)
+            raise OSError(f"{new} cannot be put in place")
+        if had_one:
+            files.delete(old, True)

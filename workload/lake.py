@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,6 @@ from tidemark.operators.snapshot import (
     committed_rows,
     conform_ledger,
     latest_per_key,
-    load_dates,
     newest_load,
     snapshot_rows,
     value_changes,
@@ -118,7 +118,7 @@ def load_ledger(spark, sf_dir):
     FROM events GROUP BY 1""",
 )
 def optional_source_empty(spark, sf_dir):
-    nothing = bronze.read_table(spark, scratch_path(spark, "none"), "events", EVENTS_SCHEMA)
+    nothing = bronze.read_table(spark, scratch_path(spark, "none"), "events", EVENTS_SCHEMA, optional=True)
     optional = nothing.groupBy("event_type").agg(F.count(F.lit(1)).alias("optional_rows"))
     counted = table(spark, sf_dir, "events").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("row_count")
@@ -167,11 +167,16 @@ def bronze_append_roundtrip(spark, sf_dir):
     """Two loads of a whole table, only the first committed; the read sees one snapshot."""
     root = scratch_path(spark, "append")
     orders = table(spark, sf_dir, "orders").select(*ORDERS_SCHEMA.fieldNames())
-    bronze.append_load(orders, root, "orders", "1706486400.5", "2024-01-29")
-    bronze.commit_load(spark, root, "1706486400.5", "orders", "2024-01-29T00:05:00Z")
+    # The first load goes out in three parts, under dates that are days apart.
+    days = {"F": "2024-01-29", "O": "2024-02-02", "P": "2024-02-09"}
+    for status, day in days.items():
+        part = orders.filter(F.col("o_orderstatus") == status)
+        bronze.append_load(part, root, "orders", "1706486400.5", day)
+    bronze.commit_load(spark, root, "1706486400.5", "orders", "2024-02-09T00:05:00Z", list(days.values()))
     bronze.append_load(orders, root, "orders", "1706572800.5", "2024-01-30")
-    load_id = newest_load(bronze.read_ledger(spark, root)).first()["load_id"]
-    rows = bronze.read_table(spark, root, "orders", ORDERS_SCHEMA, load_id)
+    ledger = bronze.read_ledger(spark, root)
+    load_id = newest_load(ledger).first()["load_id"]
+    rows = bronze.read_table(spark, root, "orders", ORDERS_SCHEMA, load_id, bronze.dates_of(ledger, load_id))
     return rows.groupBy(F.col(LOAD_ID).alias("load_id"), "o_orderstatus").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.countDistinct(bronze.ROW_ID).alias("row_ids"),
@@ -190,8 +195,9 @@ def uncommitted_load_invisible(spark, sf_dir):
     """Runs that died left files but no ledger row; the newest such load must not be read."""
     root = _land_events(spark, sf_dir, "dead")
     bronze.append_ledger(raw_ledger(spark, sf_dir).filter("status = 0"), root)
-    load_id = newest_load(bronze.read_ledger(spark, root)).first()["load_id"]
-    rows = bronze.read_table(spark, root, "events", EVENTS_SCHEMA, load_id)
+    ledger = bronze.read_ledger(spark, root)
+    load_id = newest_load(ledger).first()["load_id"]
+    rows = bronze.read_table(spark, root, "events", EVENTS_SCHEMA, load_id, bronze.dates_of(ledger, load_id))
     return rows.groupBy(F.col(LOAD_ID).alias("load_id"), "event_type").agg(
         F.count(F.lit(1)).alias("row_count")
     )
@@ -634,11 +640,11 @@ def lake_build(spark, sf_dir):
     raw_root = f"{root}/bronze"
     ledger = raw_ledger(spark, sf_dir).filter("status = 0")
     load_id = newest_load(ledger).first()["load_id"]
-    day = load_dates(load_id)[1]
+    day = str(datetime.fromtimestamp(float(load_id), tz=timezone.utc).date())
     for name, model in MODELS.items():
         rows = raw_frame(spark, sf_dir, name, load_id).drop(LOAD_ID)
         bronze.append_load(rows, raw_root, model.raw, load_id, day)
-    bronze.append_ledger(ledger, raw_root)
+    bronze.append_ledger(ledger.withColumn("load_dates", F.array(F.lit(day))), raw_root)
     built = lake_plan.build(spark, raw_root, Lake(root))
     parts = [
         df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS model_name", "row_count")
