@@ -18,8 +18,9 @@ The level of a token comes from a count sketch of all shingles: fixed by the cor
 for all documents. It only decides the order; results do not depend on it.
 
 Equal token sets are one node. Candidate pairs come from the signatures' groups in two steps:
-every member with the group's least node, and, after these are verified and the components
-known, the pairs of one group that are still in different components. A group of thousands of
+every member with the group's most central node, which has the least share of rare tokens, and,
+after these are verified and the components known, the pairs of one group that are still in
+different components. A group of thousands of
 copies costs thousands of pairs, not millions, and no link between components is lost. Verifying
 reads the texts again and joins only the sets of candidate nodes.
 """
@@ -174,6 +175,19 @@ def _add_sketches(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
     )
 
 
+def _levels(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = []
+            for body in batch.column("body"):
+                counts = np.frombuffer(body.as_buffer(), np.int64)
+                level = sum((counts > least * 4**i).astype(np.uint8) for i in range(3)).reshape(-1, 4)
+                bodies.append((level[:, 0] | level[:, 1] << 2 | level[:, 2] << 4 | level[:, 3] << 6).tobytes())
+            yield pa.record_batch({"piece": batch.column("piece"), "body": pa.array(bodies, pa.binary())})
+
+    return run
+
+
 def token_levels(texts: DataFrame, tokens: int) -> tuple[int, np.ndarray]:
     """The sketch's power and a level for each counter, two bits each.
 
@@ -190,17 +204,17 @@ def token_levels(texts: DataFrame, tokens: int) -> tuple[int, np.ndarray]:
     mean = (summed.agg(F.sum("total")).first()[0] or 0) / (1 << power)
     least = mean + 4 * mean**0.5 + 3
     levels = np.zeros((1 << power) // 4, np.uint8)
-    for r in summed.select("piece", "body").toLocalIterator():
-        counts = np.frombuffer(bytes(r["body"]), np.int64)
-        level = sum((counts > least * 4**i).astype(np.uint8) for i in range(3)).reshape(-1, 4)
-        levels[r["piece"] * PIECE // 4 : (r["piece"] + 1) * PIECE // 4] = (
-            level[:, 0] | level[:, 1] << 2 | level[:, 2] << 4 | level[:, 3] << 6
-        )
+    for r in map_arrow(summed.select("piece", "body"), _levels(least), "piece long, body binary").toLocalIterator():
+        levels[r["piece"] * PIECE // 4 : (r["piece"] + 1) * PIECE // 4] = np.frombuffer(bytes(r["body"]), np.uint8)
     return power, levels
 
 
-def _pairs_in_blocks(tokens: np.ndarray, blocks: int, need: int, salt: np.uint64) -> np.ndarray:
-    """Signatures of the pairs inside blocks, over the shortest prefix that covers `need`."""
+def _pairs_in_blocks(tokens: np.ndarray, blocks: int, need: int, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the pairs inside blocks, over the shortest prefix that covers `need`.
+
+    Also how many of the tokens can be shared at most if no pair that ends earlier is: those from
+    the pair's later token on, and one in each block before it.
+    """
     block = (mix(tokens) & _U(blocks - 1)).astype(np.int64)
     # A token covers 1 unless it is the first of its block.
     order = np.argsort(block, kind="stable")
@@ -208,39 +222,46 @@ def _pairs_in_blocks(tokens: np.ndarray, blocks: int, need: int, salt: np.uint64
     first[1:] = block[order][1:] != block[order][:-1]
     covers = np.ones(len(block), np.int64)
     covers[order[first]] = 0
+    reach = len(tokens) - np.cumsum(covers) + covers
     length = int(np.searchsorted(np.cumsum(covers), need)) + 1
     tokens, block = tokens[:length], block[:length]
     order = np.argsort(block, kind="stable")
-    tokens, block = tokens[order], block[order]
-    out, step = [], 1
+    tokens, block, reach = tokens[order], block[order], reach[:length][order]
+    marks, left, step = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 1
     while True:
         # Tokens `step` apart in the same block.
         same = block[step:] == block[:-step] if step < len(block) else np.zeros(0, bool)
         if not same.any():
-            return np.concatenate([np.zeros(0, _U), *out])
-        low, high = tokens[:-step][same], tokens[step:][same]
-        out.append(mix(mix(low + salt) + high))
+            return np.concatenate(marks), np.concatenate(left)
+        marks.append(mix(mix(tokens[:-step][same] + salt) + tokens[step:][same]))
+        left.append(reach[step:][same])
         step += 1
 
 
-def signatures(tokens: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """The signatures of one document's sorted tokens; tokens above level 0 are frequent."""
+def signatures(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of one document's sorted tokens; tokens above level 0 are frequent.
+
+    Also, for each signature, how many tokens two documents can share at most if it is the first
+    signature that they share.
+    """
     n = len(tokens)
     need = n // SIZE_MISSING + 1
     rare = tokens[level == 0]
     if len(rare) >= need:
-        return rare[:need]
+        return rare[:need], n - np.arange(need)
     order = np.argsort(level, kind="stable")[len(rare) :]
     common = tokens[order]
-    out, need = [rare], need - len(rare)
+    marks, left, need = [rare], [n - np.arange(len(rare))], need - len(rare)
     size = n.bit_length() - 1
     classes = [size, size + 1] if 10 * n >= 8 << (size + 1) else [size]
     for c in classes:
         if c < SMALL:
-            out.append(common[:need])
+            got, reach = common[:need], len(common) - np.arange(len(common[:need]))
         else:
-            out.append(_pairs_in_blocks(common, (1 << c) // 8, need, _U(c) * _U(0x9E3779B97F4A7C15)))
-    return np.concatenate(out)
+            got, reach = _pairs_in_blocks(common, (1 << c) // 8, need, mix(np.full(1, c, _U)))
+        marks.append(got)
+        left.append(reach)
+    return np.concatenate(marks), np.concatenate(left)
 
 
 # At 0.8 a partner lacks at most one token in five.
@@ -248,31 +269,37 @@ SIZE_MISSING = 5
 
 
 def _index(power: int, packed, parts: int):
-    """Postings (signature, node, size), packed by part: 24 bytes each."""
+    """Postings (signature, node, size, rank, reach), packed by part: 26 bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = packed.value
         for batch in batches:
-            marks, nodes, sizes = [np.zeros(0, _U)], [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+            marks, nodes, sizes, ranks, lefts = ([np.zeros(0, k)] for k in (_U, _U, *[np.int64] * 3))
             seen: set[int] = set()
             for _, _, data, offsets in slices(batch.column(0)):
                 hashes, first = shingle_sets(data, offsets)
                 names, n = set_nodes(hashes, first), np.diff(first)
                 counter = (hashes >> _U(64 - power)).astype(np.int64)
                 level = (levels[counter >> 2] >> (2 * (counter & 3)).astype(np.uint8)) & 3
+                # The share of rare tokens: the less a text has of its own, the more central it is.
+                rare = np.concatenate([[0], np.cumsum(level == 0)])[first]
+                rank = 1000 * np.diff(rare) // np.maximum(n, 1)
                 for i in np.flatnonzero(n):
                     name = int(names[i])
                     if name in seen:
                         continue
                     seen.add(name)
-                    got = signatures(hashes[first[i] : first[i + 1]], level[first[i] : first[i + 1]])
+                    got, left = signatures(hashes[first[i] : first[i + 1]], level[first[i] : first[i + 1]])
                     marks.append(got)
                     nodes.append(np.full(len(got), names[i]))
                     sizes.append(np.full(len(got), n[i]))
-            mark, node, size = np.concatenate(marks), np.concatenate(nodes), np.concatenate(sizes)
-            part = (mix(mark) % _U(parts)).astype(np.int64)
+                    ranks.append(np.full(len(got), rank[i]))
+                    lefts.append(left)
+            columns = [np.concatenate(x) for x in (marks, nodes, sizes, ranks, lefts)]
+            part = (mix(columns[0]) % _U(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            mark, node, size, part = mark[order], node[order], size[order], part[order]
+            part = part[order]
+            mark, node, size, rank, left = (x[order] for x in columns)
             at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
             ends = np.append(at[1:], len(part))
             yield pa.record_batch(
@@ -281,6 +308,8 @@ def _index(power: int, packed, parts: int):
                     "mark": pa.array([mark[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
                     "node": pa.array([node[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
                     "n": pa.array([size[a:b].astype(np.int32).tobytes() for a, b in zip(at, ends)], pa.binary()),
+                    "rank": pa.array([rank[a:b].astype(np.int16).tobytes() for a, b in zip(at, ends)], pa.binary()),
+                    "reach": pa.array([left[a:b].astype(np.int32).tobytes() for a, b in zip(at, ends)], pa.binary()),
                 }
             )
 
@@ -289,33 +318,42 @@ def _index(power: int, packed, parts: int):
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings of signatures that at least two nodes have; all of a signature are in one partition."""
-    parts = [(b.column("mark"), b.column("node"), b.column("n")) for b in batches]
-
-    def whole(i: int, kind) -> np.ndarray:
-        return np.concatenate(
-            [np.zeros(0, kind), *[np.frombuffer(x.as_buffer(), kind) for p in parts for x in p[i]]]
+    names = {"mark": _U, "node": _U, "n": np.int32, "rank": np.int16, "reach": np.int32}
+    parts = [[b.column(c) for c in names] for b in batches]
+    columns = [
+        np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_buffer(), kind) for p in parts for x in p[i]]])
+        for i, kind in enumerate(names.values())
+    ]
+
+    def some(keep: np.ndarray) -> None:
+        columns[:] = [c[keep] for c in columns]
+
+    def twins() -> np.ndarray:
+        mark = columns[0]
+        twin = np.zeros(len(mark), bool)
+        twin[1:] = mark[1:] == mark[:-1]
+        twin[:-1] |= twin[1:]
+        return twin
+
+    some(np.argsort(columns[0]))
+    some(twins())
+    some(np.lexsort((columns[1], columns[0])))
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+    some(new)
+    some(twins())
+    for i in range(0, len(columns[0]), 1 << 16):
+        mark, node, n, rank, reach = (c[i : i + (1 << 16)] for c in columns)
+        yield pa.record_batch(
+            {
+                "mark": signed(mark),
+                "node": signed(node),
+                "n": pa.array(n.astype(np.int64)),
+                "rank": pa.array(rank.astype(np.int64)),
+                "reach": pa.array(reach.astype(np.int64)),
+            }
         )
 
-    mark, node, n = whole(0, _U), whole(1, _U), whole(2, np.int32)
-    order = np.argsort(mark)
-    mark, node, n = mark[order], node[order], n[order]
-    twin = np.zeros(len(mark), bool)
-    twin[1:] = mark[1:] == mark[:-1]
-    twin[:-1] |= twin[1:]
-    mark, node, n = mark[twin], node[twin], n[twin]
-    order = np.lexsort((node, mark))
-    mark, node, n = mark[order], node[order], n[order]
-    new = np.ones(len(mark), bool)
-    new[1:] = (mark[1:] != mark[:-1]) | (node[1:] != node[:-1])
-    mark, node, n = mark[new], node[new], n[new]
-    twin = np.zeros(len(mark), bool)
-    twin[1:] = mark[1:] == mark[:-1]
-    twin[:-1] |= twin[1:]
-    mark, node, n = mark[twin], node[twin], n[twin]
-    for i in range(0, len(mark), 1 << 16):
-        s = slice(i, i + (1 << 16))
-        yield pa.record_batch({"mark": signed(mark[s]), "node": signed(node[s]), "n": pa.array(n[s].astype(np.int64))})
-
 
 def _sets_of(wanted, power: int):
     """(node, sorted shingles) of rows whose node may be wanted; each node once per batch."""
@@ -412,7 +450,7 @@ class NearTexts:
         if percent < 80:
             raise ValueError("the prefixes are made for at least 80 percent")
         self.percent = percent
-        self.id_col = id_col
+        self.docs, self.id_col, self.text_col = docs, id_col, text_col
         narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
         self.texts = narrow.select("text")
         kind = narrow.schema["id"].dataType.simpleString()
@@ -461,15 +499,23 @@ class NearTexts:
         power, packed = token_levels(self.texts, tokens)
         parts = max(8, -(-tokens // (3 * POSTINGS_PER_PART)))
         packed = spark.sparkContext.broadcast(packed)
-        postings = map_arrow(self.texts, _index(power, packed, parts), "part long, mark binary, node binary, n binary")
+        postings = map_arrow(self.texts, _index(power, packed, parts), "part long, mark binary, node binary, n binary, rank binary, reach binary")
         shared = staged(
-            map_arrow(postings.repartition(int(parts), "part"), _shared, "mark long, node long, n long"), "near-postings"
+            map_arrow(postings.repartition(int(parts), "part"), _shared, "mark long, node long, n long, rank long, reach long"), "near-postings"
         )
-        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        least = shared.groupBy("mark").agg(F.min(F.struct("node", "n")).alias("first"))
+        most = F.least("na", "nb", "ra", "rb")
+        fits = most * 100 >= (F.col("na") + F.col("nb") - most) * self.percent
+        least = shared.groupBy("mark").agg(F.min(F.struct("rank", "node", "n", "reach")).alias("first"))
         star = (
             shared.join(least, "mark")
-            .select(F.col("first.node").alias("a"), F.col("first.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
+            .select(
+                F.col("first.node").alias("a"),
+                F.col("first.n").alias("na"),
+                F.col("first.reach").alias("ra"),
+                F.col("node").alias("b"),
+                F.col("n").alias("nb"),
+                F.col("reach").alias("rb"),
+            )
             .filter((F.col("a") != F.col("b")) & fits)
             .select("a", "b")
             .distinct()
@@ -494,8 +540,16 @@ class NearTexts:
         return links.unionByName(more)
 
     def _rest(self, open_: DataFrame, tried: DataFrame, fits) -> DataFrame:
-        x = open_.select("mark", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        y = open_.select("mark", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+        x, y = (
+            open_.select(
+                "mark",
+                F.col("node").alias(e),
+                F.col("n").alias(f"n{e}"),
+                F.col("reach").alias(f"r{e}"),
+                F.col("component").alias(f"c{e}"),
+            )
+            for e in ("a", "b")
+        )
         pairs = x.join(y, "mark").filter(F.col("a") < F.col("b")).filter(F.col("ca") != F.col("cb")).filter(fits)
         pairs = pairs.select("a", "b").distinct()
         return staged(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
@@ -517,3 +571,56 @@ class NearTexts:
             F.col("n").alias("n_shingles"),
             F.coalesce("first", "id").alias("component_id"),
         )
+
+    def kept(self) -> DataFrame:
+        """The rows of the table, all their columns, that stand for their class.
+
+        A class keeps its row with the smallest id; of rows with equal ids the first set by name,
+        and of equal rows one. Rows with an empty set are classes of their own and stay. A null
+        id comes last.
+        """
+        names = self.docs.columns
+        named = self._named().filter(F.col("group").isNotNull())
+        last = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+        stays = named.groupBy("group").agg(F.min(last).alias("first")).select("first.id", "first.node")
+        # One row of each kept (id, set); which row it is depends on its content alone.
+        keep = staged(stays, "near-kept")
+        power, bits = _node_filter(keep.select("node"), keep.count())
+        wanted = self.docs.sparkSession.sparkContext.broadcast(bits)
+        mine = self.docs.select(
+            *[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)],
+            F.lit(0).cast("long").alias("node"),
+            F.lit(0).cast("long").alias("n"),
+        )
+        texts = names.index(self.text_col)
+        tagged = map_arrow(mine, _tag(texts, wanted, power), mine.schema)
+        key = F.col(f"c{names.index(self.id_col)}")
+        same = key.eqNullSafe(keep["id"]) & (tagged["node"] == keep["node"])
+        found = tagged.filter("n > 0").join(keep, same, "left_semi").dropDuplicates([key_name(names, self.id_col), "node"])
+        whole = found.unionByName(tagged.filter("n = 0"))
+        return whole.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+
+
+def key_name(names: list[str], id_col: str) -> str:
+    return f"c{names.index(id_col)}"
+
+
+def _tag(texts: int, wanted, power: int):
+    """Give rows their node and size; leave out rows whose node cannot be wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            nodes, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+            for _, _, data, offsets in slices(batch.column(texts)):
+                hashes, first = shingle_sets(data, offsets)
+                nodes.append(set_nodes(hashes, first))
+                sizes.append(np.diff(first))
+            node, n = np.concatenate(nodes), np.concatenate(sizes)
+            place = (mix(node) >> _U(64 - power)).astype(np.int64)
+            held = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            columns = [*batch.columns[:-2], signed(node), pa.array(n)]
+            tagged = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield tagged.filter(pa.array(held | (n == 0)))
+
+    return run
