@@ -29,6 +29,8 @@ from tidemark.llm.text import byte_values, map_arrow, signed, slices, span_hashe
 EXAMPLES = 4096
 NEIGHBOURS = 16
 BLOCK = 64
+# Blocks scored before the bound is looked at again.
+TOGETHER = 8
 LEAST_RATIO = 30.0
 # Weight of the vote of texts without any kept term, against one neighbour of cosine 1.
 PRIOR_WEIGHT = 0.25
@@ -203,58 +205,53 @@ class Entries:
     values: np.ndarray | None = None
 
     def build(self) -> None:
-        """Blocks of entries that share their heaviest term, and the terms' maxima per block."""
+        """Blocks of entries that share their heaviest kept term, and the terms' maxima per block."""
         n, width = len(self.vectors), len(self.idf)
-        lead = [int(t[np.argmax(w)]) for t, w in self.vectors]
-        self.order = np.argsort(np.array(lead, np.int64), kind="stable")
+        lead = [(int(t[np.argmax(w[:-1])]), float(w[-1])) for t, w in self.vectors]
+        self.order = np.array(sorted(range(n), key=lead.__getitem__), np.int64)
         self.blocks = -(-n // BLOCK)
         place = np.empty(n, np.int64)
         place[self.order] = np.arange(n)
         term = np.concatenate([np.zeros(0, np.int64), *[t for t, _ in self.vectors]])
         weight = np.concatenate([np.zeros(0), *[w for _, w in self.vectors]])
         entry = np.repeat(place, [len(t) for t, _ in self.vectors])
-        # Postings by block, then term, then entry; and the maxima by term.
-        key = (entry // BLOCK) * width + term
-        order = np.lexsort((entry, key))
-        self.key, self.entry, self.posting = key[order], entry[order] % BLOCK, weight[order]
-        self.keys, first = np.unique(self.key, return_index=True)
-        self.first = np.append(first, len(self.key))
-        self.most = np.maximum.reduceat(self.posting, first) if len(first) else np.zeros(0)
-        by_term = np.lexsort((self.keys // width, self.keys % width)) if len(self.keys) else np.zeros(0, np.int64)
-        self.by_term = by_term
-        self.term_at = np.searchsorted((self.keys % width)[by_term], np.arange(width + 1))
-        self.width = width
+        order = np.lexsort((entry, term))
+        term, self.entry, self.posting = term[order], entry[order], weight[order]
+        # Where the postings of each term begin in each block, one after the other.
+        key = term * max(self.blocks, 1) + self.entry // BLOCK
+        self.begin = np.searchsorted(key, np.arange(width * max(self.blocks, 1) + 1))
+        self.most = np.zeros((width, max(self.blocks, 1)))
+        np.maximum.at(self.most, (term, self.entry // BLOCK), self.posting)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1):
         """Entries and cosines of the k nearest and all that tie with the last; exact."""
-        spans = [self.by_term[self.term_at[t] : self.term_at[t + 1]] for t in terms]
-        which = np.concatenate(spans)
-        if not len(which):
+        if not self.blocks:
             return np.zeros(0, np.int64), np.zeros(0)
-        times = np.repeat(weights, [len(s) for s in spans])
-        block = self.keys[which] // self.width
-        bound = np.bincount(block, self.most[which] * times, self.blocks)
-        by_block = np.argsort(block, kind="stable")
-        edge = np.searchsorted(block[by_block], np.arange(self.blocks + 1))
-        found, cosines, least = [], [], 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < least - 1e-9:
-                break
-            dots = np.zeros(BLOCK)
-            for i in by_block[edge[b] : edge[b + 1]]:
-                low, high = self.first[which[i]], self.first[which[i] + 1]
-                dots[self.entry[low:high]] += self.posting[low:high] * times[i]
-            at = np.flatnonzero(dots > 0)
-            name = self.order[b * BLOCK + at]
+        bound = weights @ self.most[terms]
+        queue = np.argsort(-bound, kind="stable")
+        names, cosines, least, step = [], [], 0.0, 0
+        while step < len(queue) and bound[queue[step]] > 0 and bound[queue[step]] >= least - 1e-9:
+            some = np.sort(queue[step : step + TOGETHER])
+            some = some[bound[some] >= max(least - 1e-9, 1e-300)]
+            step += TOGETHER
+            spans = (terms[:, None] * self.blocks + some[None, :]).reshape(-1)
+            first, size = self.begin[spans], self.begin[spans + 1] - self.begin[spans]
+            stop = np.cumsum(size)
+            at = np.repeat(first - (stop - size), size) + np.arange(stop[-1])
+            times = np.repeat(np.repeat(weights, len(some)), size)
+            entry = self.entry[at]
+            dots = np.bincount(np.searchsorted(some, entry // BLOCK) * BLOCK + entry % BLOCK, self.posting[at] * times)
+            found = np.flatnonzero(dots > 0)
+            name = self.order[some[found // BLOCK] * BLOCK + found % BLOCK]
             keep = name != without
-            found.append(name[keep])
-            cosines.append(dots[at[keep]])
+            names.append(name[keep])
+            cosines.append(dots[found[keep]])
             so_far = np.concatenate(cosines)
             if len(so_far) >= k:
                 least = np.partition(so_far, len(so_far) - k)[len(so_far) - k]
-        if not found:
+        if not names:
             return np.zeros(0, np.int64), np.zeros(0)
-        name, cosine = np.concatenate(found), np.concatenate(cosines)
+        name, cosine = np.concatenate(names), np.concatenate(cosines)
         keep = cosine >= least - 1e-9
         name, cosine = name[keep], cosine[keep]
         order = np.lexsort((name, -np.round(cosine, 9)))
