@@ -79,7 +79,7 @@ def format_chats(
 ) -> DataFrame:
     """One row per conversation: its id, n_turns, formatted, loss and attachments.
 
-    `loss` lists the spans (start, end in code points, end exclusive) of the learnt role's texts;
+    `loss` lists the spans (start, end in code points, end exclusive; turn) of the learnt role's texts;
     `attachments` lists turn (from 0), part, type, ref, start and tokens of the other parts. A
     type without a rate counts one token per unit; null units are one.
 
@@ -117,7 +117,8 @@ def format_chats(
     )
     laid = whole.select("conv", F.size("messages").cast("bigint").alias("n_turns"), pieces.alias("pieces"))
     laid = laid.withColumn("starts", sums_before(F.transform("pieces", lambda p: F.length(p["body"]).cast("bigint"))))
-    placed = F.transform("pieces", lambda p, i: p.withField("start", F.get(F.col("starts"), i)))
+    # Zipped, not looked up in a lambda: an expression inside a lambda may be worked out per element.
+    placed = F.zip_with("pieces", "starts", lambda p, start: p.withField("start", start))
     laid = laid.select("conv", "n_turns", placed.alias("pieces"))
     rate = F.create_map(*[F.lit(x) for k, v in rates.items() for x in (k, v)])
     return laid.select(
@@ -126,7 +127,9 @@ def format_chats(
         F.array_join(F.transform("pieces", lambda p: p["body"]), "").alias("formatted"),
         F.transform(
             F.filter("pieces", lambda p: p["learnt"] & (p["kind"] == "text")),
-            lambda p: F.struct(p["start"].alias("start"), (p["start"] + F.length(p["body"])).alias("end")),
+            lambda p: F.struct(
+                p["start"].alias("start"), (p["start"] + F.length(p["body"])).alias("end"), p["turn"].alias("turn")
+            ),
         ).alias("loss"),
         F.transform(
             F.filter("pieces", lambda p: p["part"].isNotNull() & (p["kind"] != "text")),
@@ -157,40 +160,58 @@ def _piece(body: Column, turn: Column, part: Column | None = None, of: Column |
     )
 
 
-def read_back(formatted: Column) -> Column:
-    """Role and content of each turn of a formatted conversation, unescaped, in order."""
+def _turns(formatted: Column) -> Column:
+    """What stands before each end mark; after the last one there is nothing."""
     turns = F.split(formatted, r"<\|im_end\|>\n", -1)
-    # After the last end mark there is nothing.
-    turns = F.slice(turns, 1, F.greatest(F.size(turns) - 1, F.lit(0)))
-
-    def turn(t: Column) -> Column:
-        body = F.substr(t, F.lit(len(START) + 1))
-        head = F.substring_index(body, "\n", 1)
-        return F.struct(
-            unescape_role(head).alias("role"),
-            unescape(F.substr(body, F.length(head) + 2)).alias("text"),
-        )
+    return F.slice(turns, 1, F.greatest(F.size(turns) - 1, F.lit(0)))
+
 
-    return F.transform(turns, turn)
+def _read(turn: Column) -> Column:
+    body = F.substr(turn, F.lit(len(START) + 1))
+    head = F.substring_index(body, "\n", 1)
+    return F.struct(
+        unescape_role(head).alias("role"),
+        unescape(F.substr(body, F.length(head) + 2)).alias("text"),
+    )
+
+
+def read_back(formatted: Column) -> Column:
+    """Role and content of each turn of a formatted conversation, unescaped, in order."""
+    return F.transform(_turns(formatted), _read)
 
 
 def digest(chats: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """Counts and hashes read back from the formatted text and its loss spans."""
-    turns = F.transform(
-        read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
-    )
-    learnt = F.array_join(
-        F.transform(
-            "loss", lambda s: unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
-        ),
-        "",
-    )
+    """Counts and hashes read back from the formatted text and its loss spans.
+
+    A span is cut out of its own turn, so the work grows with the length of the conversation.
+    """
     read = chats.select(
         F.col(f"`{conv_col}`").alias("conv"),
-        F.size(read_back(F.col("formatted"))).cast("bigint").alias("n_turns"),
-        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
-        learnt.alias("learnt"),
+        "loss",
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        _turns(F.col("formatted")).alias("raw"),
+    )
+    begin = sums_before(F.transform("raw", lambda t: (F.length(t) + len(END)).cast("bigint")))
+    read = read.select(
+        "conv", "loss", "formatted_chars", F.zip_with("raw", begin, lambda t, at: F.struct(t.alias("raw"), at.alias("at"))).alias("turns")
+    )
+
+    def cut(span: Column) -> Column:
+        turn = F.get(F.col("turns"), span["turn"].cast("int"))
+        return unescape(
+            F.substr(turn["raw"], (span["start"] - turn["at"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+        )
+
+    def line(turn: Column) -> Column:
+        said = _read(turn["raw"])
+        return F.concat(said["role"], F.lit("\n"), said["text"], F.lit("\n"))
+
+    read = read.select(
+        "conv",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", line), ""), 256).alias("turns_sha256"),
+        F.array_join(F.transform("loss", cut), "").alias("learnt"),
+        "formatted_chars",
     )
     return read.select(
         F.col("conv").alias(conv_col),
