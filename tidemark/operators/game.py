@@ -129,6 +129,10 @@ def bank_balance(
     return spent.withColumn("bank_tenths", bank).withColumn("is_valid", bank >= 0).drop("flow_tenths")
 
 
+# Weeks folded together before they are put after the earlier ones.
+FOLD_CHUNK = 64
+
+
 def transfer_hits(
     per_gameweek: DataFrame,
     manager: str,
@@ -139,7 +143,8 @@ def transfer_hits(
 
     `per_gameweek` holds one row per manager and gameweek with `transfers`, gameweeks without one
     included (lay them on a dense grid first). What is carried over depends on every gameweek
-    before, so a manager's counts are folded in order; that array is as long as the calendar.
+    before, so a manager's counts are folded in order; that array is as long as the calendar. A
+    fold copies what it has gathered at every step, so the weeks are folded in chunks.
     """
     in_order = F.array_sort(F.collect_list(F.struct(gameweek, "transfers")))
     per_manager = per_gameweek.groupBy(manager).agg(in_order.alias("weeks"))
@@ -152,11 +157,24 @@ def transfer_hits(
             F.concat(done["history"], F.array(free)).alias("history"),
         )
 
-    start = F.struct(
+    def play_chunk(done: Column, chunk: Column) -> Column:
+        start = F.struct(done["free"].alias("free"), F.array().cast("array<bigint>").alias("history"))
+        return F.transform(
+            F.array(F.aggregate(chunk, start, play)),
+            lambda c: F.struct(
+                c["free"].alias("free"), F.concat(done["history"], F.array(c["history"])).alias("history")
+            ),
+        )[0]
+
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("weeks") - 1) / FOLD_CHUNK).cast("int")),
+        lambda i: F.slice("weeks", i * FOLD_CHUNK + 1, F.lit(FOLD_CHUNK)),
+    )
+    begin = F.struct(
         F.lit(FREE_PER_GAMEWEEK).cast("long").alias("free"),
-        F.array().cast("array<bigint>").alias("history"),
+        F.array().cast("array<array<bigint>>").alias("history"),
     )
-    history = F.aggregate("weeks", start, play, lambda done: done["history"])
+    history = F.aggregate(chunks, begin, play_chunk, lambda done: F.flatten(done["history"]))
     each = F.explode(F.arrays_zip(F.col("weeks").alias("week"), history.alias("free"))).alias("w")
     extra = F.greatest(F.col("transfers") - F.col("free_transfers"), F.lit(0))
     return (
@@ -192,9 +210,12 @@ def manager_scores(
     keys: list[str],
     lineup_size: int = LINEUP_SIZE,
     formation: dict[str, tuple[int, int]] = FORMATION,
+    squad_size: int = SQUAD_SIZE,
 ) -> DataFrame:
     """The gameweek score before transfer hits, after automatic substitutions.
 
+    A squad of any other size than `squad_size` stops the query.
+
     `picks` holds `slot` (1 is the first starter, the bench follows in its order), `role`,
     `minutes`, `points`, `is_captain`, `is_vice`. Starters without minutes leave in slot order;
     each is replaced by the first bench player who played and keeps the formation legal. The
@@ -205,6 +226,8 @@ def manager_scores(
     """
     pick = F.struct("slot", "role", "minutes", "points", "is_captain", "is_vice")
     squads = picks.groupBy(*keys).agg(F.array_sort(F.collect_list(pick)).alias("squad"))
+    told = F.concat(F.lit("a squad has "), F.size("squad").cast("string"), F.lit(f" picks, not {squad_size}"))
+    squads = squads.withColumn("squad", F.when(F.size("squad") == squad_size, F.col("squad")).otherwise(F.raise_error(told)))
 
     def is_starter(p: Column) -> Column:
         return p["slot"] <= lineup_size

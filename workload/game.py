@@ -133,7 +133,8 @@ def transfer_hits(spark, sf_dir):
     return game.transfer_hits(weekly, "manager_id", "gameweek_id")
 
 
-# ---- Lineups: a customer's first fifteen lines, in the customer's formation. ----
+# ---- Lineups: every fifteen lines of a customer are the squad of a gameweek. The last squad is
+# filled up with picks that did not play. Returned lines count as the gameweek's transfers. ----
 
 # Roles by slot, the bench (GK, then three outfield) last; one formation per market segment.
 FORMATIONS = {
@@ -152,13 +153,19 @@ POINTS = "CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_linenumber END"
 PICK_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 PICKS_SQL = f"""
+    lines AS (
+      SELECT c_custkey AS manager_id, {ROLES_OF} AS roles, {MINUTES} AS minutes, CAST({POINTS} AS BIGINT) AS points,
+             CAST(l_returnflag = 'R' AS BIGINT) AS moved,
+             ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY {PICK_ORDER}) - 1 AS place
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey),
+    missing AS (
+      SELECT manager_id, roles, 0 AS minutes, CAST(0 AS BIGINT) AS points, CAST(0 AS BIGINT) AS moved,
+             unnest(range(n, (n + 14) // 15 * 15)) AS place
+      FROM (SELECT manager_id, roles, COUNT(*) AS n FROM lines GROUP BY 1, 2)),
     picks AS (
-      SELECT manager_id, slot, split_part(roles, ' ', CAST(slot AS INTEGER)) AS role, minutes, points
-      FROM (SELECT c_custkey AS manager_id, {ROLES_OF} AS roles, {MINUTES} AS minutes,
-                   CAST({POINTS} AS BIGINT) AS points,
-                   ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY {PICK_ORDER}) AS slot
-            FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey)
-      WHERE slot <= 15)"""
+      SELECT manager_id, place // 15 + 1 AS gw, place % 15 + 1 AS slot,
+             split_part(roles, ' ', CAST(place % 15 + 1 AS INTEGER)) AS role, minutes, points, moved
+      FROM (SELECT * FROM lines UNION ALL SELECT * FROM missing))"""
 
 
 def _eligible(out_role: str, in_role: str) -> str:
@@ -185,36 +192,44 @@ _AFTER = ", ".join(
     "manager_score",
     f"""
     WITH RECURSIVE {PICKS_SQL},
-    absent AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY manager_id ORDER BY slot) AS turn
+    absent AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY manager_id, gw ORDER BY slot) AS turn
                FROM picks WHERE slot <= 11 AND minutes = 0),
     bench AS (SELECT * FROM picks WHERE slot > 11 AND minutes > 0),
-    formation AS (SELECT manager_id, {_COUNTS} FROM picks GROUP BY 1),
+    formation AS (SELECT manager_id, gw, {_COUNTS} FROM picks GROUP BY 1, 2),
     state AS (
-      SELECT manager_id, CAST(0 AS BIGINT) AS turn, {_COUNT_NAMES}, CAST([] AS BIGINT[]) AS used,
+      SELECT manager_id, gw, CAST(0 AS BIGINT) AS turn, {_COUNT_NAMES}, CAST([] AS BIGINT[]) AS used,
              CAST(0 AS BIGINT) AS gained
       FROM formation
       UNION ALL
-      SELECT manager_id, turn, {_COUNT_NAMES}, used, gained FROM (
-        SELECT s.manager_id, a.turn, {_AFTER},
+      SELECT manager_id, gw, turn, {_COUNT_NAMES}, used, gained FROM (
+        SELECT s.manager_id, s.gw, a.turn, {_AFTER},
                CASE WHEN b.slot IS NULL THEN s.used ELSE list_append(s.used, b.slot) END AS used,
                s.gained + COALESCE(b.points, 0) AS gained,
-               ROW_NUMBER() OVER (PARTITION BY s.manager_id ORDER BY b.slot NULLS LAST) AS choice
-        FROM state s JOIN absent a ON a.manager_id = s.manager_id AND a.turn = s.turn + 1
-        LEFT JOIN bench b ON b.manager_id = s.manager_id AND NOT list_contains(s.used, b.slot)
+               ROW_NUMBER() OVER (PARTITION BY s.manager_id, s.gw ORDER BY b.slot NULLS LAST) AS choice
+        FROM state s JOIN absent a ON a.manager_id = s.manager_id AND a.gw = s.gw AND a.turn = s.turn + 1
+        LEFT JOIN bench b ON b.manager_id = s.manager_id AND b.gw = s.gw AND NOT list_contains(s.used, b.slot)
          AND {_eligible("a.role", "b.role")})
       WHERE choice = 1),
-    final AS (SELECT manager_id, arg_max(used, turn) AS used, arg_max(gained, turn) AS gained FROM state GROUP BY 1),
-    fielded AS (SELECT manager_id, CAST(COALESCE(SUM(points) FILTER (WHERE minutes > 0), 0) AS BIGINT) AS points,
+    final AS (SELECT manager_id, gw, arg_max(used, turn) AS used, arg_max(gained, turn) AS gained FROM state GROUP BY 1, 2),
+    fielded AS (SELECT manager_id, gw, CAST(COALESCE(SUM(points) FILTER (WHERE minutes > 0), 0) AS BIGINT) AS points,
                        COUNT(*) FILTER (WHERE minutes = 0) AS absent_starters,
                        CAST(COALESCE(SUM(points) FILTER (WHERE slot = 2 AND minutes > 0), 0) AS BIGINT) AS captain,
                        COUNT(*) FILTER (WHERE slot = 2 AND minutes > 0) AS captain_played,
                        CAST(COALESCE(SUM(points) FILTER (WHERE slot = 3 AND minutes > 0), 0) AS BIGINT) AS vice
-                FROM picks WHERE slot <= 11 GROUP BY 1)
-    SELECT f.manager_id, points + gained AS lineup_points,
+                FROM picks WHERE slot <= 11 GROUP BY 1, 2),
+    moves AS (SELECT manager_id, gw, CAST(SUM(moved) AS BIGINT) AS n FROM picks GROUP BY 1, 2),
+    free AS (
+      SELECT manager_id, gw, n, CAST(1 AS BIGINT) AS free FROM moves WHERE gw = 1
+      UNION ALL
+      SELECT m.manager_id, m.gw, m.n, LEAST(GREATEST(f.free - f.n, 0) + 1, 2)
+      FROM free f JOIN moves m ON m.manager_id = f.manager_id AND m.gw = f.gw + 1)
+    SELECT f.manager_id, f.gw AS gameweek_id, points + gained AS lineup_points,
            CASE WHEN captain_played > 0 THEN captain ELSE vice END AS captain_points,
            CAST(len(used) AS BIGINT) AS substitutions, absent_starters,
-           points + gained + CASE WHEN captain_played > 0 THEN captain ELSE vice END AS score
-    FROM fielded f JOIN final USING (manager_id)""",
+           points + gained + CASE WHEN captain_played > 0 THEN captain ELSE vice END AS score,
+           -4 * GREATEST(h.n - h.free, 0) AS hit_points,
+           points + gained + CASE WHEN captain_played > 0 THEN captain ELSE vice END - 4 * GREATEST(h.n - h.free, 0) AS net_score
+    FROM fielded f JOIN final USING (manager_id, gw) JOIN free h USING (manager_id, gw)""",
 )
 def manager_score(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
@@ -223,26 +238,42 @@ def manager_score(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("manager_id")
     )
-    # A squad is fifteen picks: the limit below is pushed into every task before the shuffle.
-    slot = f"row_number() OVER (PARTITION BY manager_id ORDER BY {PICK_ORDER}) AS slot"
-    picks = (
+    size = game.SQUAD_SIZE
+    place = f"row_number() OVER (PARTITION BY manager_id ORDER BY {PICK_ORDER}) - 1 AS place"
+    lines = (
         table(spark, sf_dir, "lineitem")
-        .selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", f"{MINUTES} AS minutes", f"{POINTS} AS points")
+        .selectExpr(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            f"{MINUTES} AS minutes", f"{POINTS} AS points", "if(l_returnflag = 'R', 1L, 0L) AS moved",
+        )
         .join(orders, "l_orderkey")
-        .selectExpr("manager_id", "minutes", "points", slot)
-        .filter(f"slot <= {game.SQUAD_SIZE}")
+        .selectExpr("manager_id", "minutes", "points", "moved", place)
+    )
+    gaps = f"filter(sequence(n, n + {size}), p -> p < (n + {size - 1}) DIV {size} * {size})"
+    missing = (
+        orders.join(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey")
+        .groupBy("manager_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr("manager_id", "0L AS minutes", "0 AS points", "0L AS moved", f"explode({gaps}) AS place")
+    )
+    picks = (
+        lines.unionByName(missing)
         .join(customers, "manager_id")
         .selectExpr(
             "manager_id",
-            "slot",
-            "split_part(roles, ' ', slot) AS role",
+            f"CAST(place DIV {size} + 1 AS BIGINT) AS gameweek_id",
+            f"CAST(place % {size} + 1 AS INT) AS slot",
+            "roles",
             "minutes",
             "points",
-            "slot = 2 AS is_captain",
-            "slot = 3 AS is_vice",
+            "moved",
         )
+        .selectExpr("*", "split_part(roles, ' ', slot) AS role", "slot = 2 AS is_captain", "slot = 3 AS is_vice")
     )
-    return game.manager_scores(picks, ["manager_id"])
+    weeks = ["manager_id", "gameweek_id"]
+    moves = picks.groupBy(*weeks).agg(F.sum("moved").alias("transfers"))
+    hits = game.transfer_hits(moves, *weeks, banked_most=2)
+    return game.net_scores(game.manager_scores(picks, weeks), hits, weeks)
 
 
 SCORES_SQL = f"SELECT o_custkey AS manager_id, {MONTH} AS gameweek_id, CAST(floor(o_totalprice / 1000) AS BIGINT) AS points FROM orders"
