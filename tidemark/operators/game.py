@@ -115,16 +115,16 @@ def sell_price(bought_tenths: Column, current_tenths: Column) -> Column:
 def bank_balance(
     transfers: DataFrame,
     manager: str,
-    bucket: str,
+    buckets: list[str],
     order: list[str],
     budget_tenths: int = STARTING_BUDGET_TENTHS,
 ) -> DataFrame:
     """Each transfer with the bank after it and whether the bank stays at or above zero.
 
-    `transfers` has `amount_tenths`, sales positive and purchases negative; `bucket` is a coarse
-    time that splits a manager with very many transfers.
+    `transfers` has `amount_tenths`, sales positive and purchases negative; `buckets` are coarse
+    times that split a manager with very many transfers.
     """
-    spent = running_total(transfers, [manager], bucket, order, "amount_tenths", "flow_tenths")
+    spent = running_total(transfers, [manager], buckets, order, "amount_tenths", "flow_tenths")
     bank = F.lit(budget_tenths) + F.col("flow_tenths")
     return spent.withColumn("bank_tenths", bank).withColumn("is_valid", bank >= 0).drop("flow_tenths")
 

@@ -3,6 +3,10 @@
 A window over a whole group sorts that group in one task. Here a group is first reduced to one
 row per distinct value (a map-side count), the values are cut into buckets of bounded weight,
 and a running total of the counts (bucket offset + position inside the bucket) gives every rank.
+
+The first cuts are quantiles of the whole column, as literals. Each of these parts is cut again
+at quantiles of its own, which are a small table joined by the part's number: the more rows
+there are, the more cuts, so a bucket has about `WEIGHT` distinct values at every size.
 """
 
 from __future__ import annotations
@@ -16,11 +20,25 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import ratio
 
 BUCKETS = 256
+# Distinct values one window task sorts, about.
+WEIGHT = 500_000
 # Split points need not be exact: a sketch this many times finer than a bucket stays small.
 SKETCH_DETAIL = 4
 
 
-def split_points(df: DataFrame, values: Sequence[str], buckets: int = BUCKETS) -> dict[str, list]:
+class Cuts(list):
+    """Quantiles of a column, and how many rows it has."""
+
+    def __init__(self, points: Sequence[float], rows: int) -> None:
+        super().__init__(points)
+        self.rows = rows
+
+    def finer(self, weight: int) -> int:
+        """Into how many buckets each part between two cuts is cut again."""
+        return max(1, -(-self.rows // ((len(self) + 1) * weight)))
+
+
+def split_points(df: DataFrame, values: Sequence[str], buckets: int = BUCKETS) -> dict[str, Cuts]:
     """Up to `buckets - 1` quantiles of each numeric column, all from one pass.
 
     These few numbers become literals, so a recomputed task cuts the values the same way.
@@ -30,8 +48,8 @@ def split_points(df: DataFrame, values: Sequence[str], buckets: int = BUCKETS) -
         F.expr(f"percentile_approx(CAST(`{v}` AS DOUBLE), array({shares}), {SKETCH_DETAIL * buckets}) AS q{i}")
         for i, v in enumerate(values)
     ]
-    row = df.agg(*sketches).first()
-    return {v: sorted(set(row[f"q{i}"] or [])) for i, v in enumerate(values)}
+    row = df.agg(*sketches, F.expr("count(1) AS rows")).first()
+    return {v: Cuts(sorted(set(row[f"q{i}"] or [])), row["rows"]) for i, v in enumerate(values)}
 
 
 def _with_bucket(df: DataFrame, value: str, points: list, descending: bool) -> DataFrame:
@@ -58,6 +76,29 @@ def _with_bucket(df: DataFrame, value: str, points: list, descending: bool) -> D
     )
 
 
+def _cut_again(df: DataFrame, value: str, finer: int, descending: bool) -> DataFrame:
+    """Split every bucket at `finer - 1` quantiles of its own values, in rank order."""
+    shares = ", ".join(f"{i / finer!r}D" for i in range(1, finer))
+    number = f"CAST(`{value}` AS DOUBLE)"
+    cuts = df.groupBy(F.col("bucket").alias("part")).agg(
+        F.expr(f"percentile_approx({number}, array({shares}), {SKETCH_DETAIL * finer}) AS cuts")
+    )
+    # The cuts' own quantiles say which few of them have to be looked at.
+    step = max(1, math.isqrt(finer))
+    heads = cuts.selectExpr(
+        "part",
+        f"transform(sequence(0, greatest(coalesce(size(cuts), 0) - 1, 0) DIV {step}), i -> slice(coalesce(cuts, array()), i * {step} + 1, {step})) AS groups",
+    ).selectExpr("part", "groups", "transform(groups, g -> try_element_at(g, -1)) AS heads")
+    group = f"least(size(filter(heads, p -> p <= {number})), size(groups) - 1)"
+    inside = f"size(filter(groups[{group}], p -> p <= {number}))"
+    below = f"coalesce({group} * {step} + {inside}, 0)"
+    place = f"{finer} - {below}" if descending else below
+    return (
+        df.join(heads, F.col("bucket") == F.col("part"), "left")
+        .selectExpr(*[f"`{c}`" for c in df.columns if c != "bucket"], f"CAST(bucket AS BIGINT) * {finer + 1} + {place} AS bucket")
+    )
+
+
 def _names(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
@@ -72,7 +113,8 @@ def value_positions(
     keys: Sequence[str],
     value: str,
     descending: bool = False,
-    points: list | None = None,
+    points: Cuts | None = None,
+    weight: int = WEIGHT,
 ) -> DataFrame:
     """One row per (keys, value): `ties` rows have it and `before` rows precede it, of
     `group_rows` rows in the group, `value_rows` of which have a value.
@@ -86,6 +128,9 @@ def value_positions(
     counted = _with_bucket(
         df.groupBy(*keys, value).agg(F.expr("count(1) AS ties")), value, points, descending
     )
+    finer = points.finer(weight)
+    if finer > 1:
+        counted = _cut_again(counted, value, finer, descending)
 
     group = _names(keys) or "0"
     earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
@@ -140,7 +185,7 @@ def with_positions(
     value: str,
     outputs: dict[str, str],
     descending: bool = False,
-    points: list | None = None,
+    points: Cuts | None = None,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Add rank-like columns (name to SQL text) computed from the (keys, value) table.
@@ -166,7 +211,7 @@ def with_rank(
     value: str,
     name: str,
     descending: bool = True,
-    points: list | None = None,
+    points: Cuts | None = None,
 ) -> DataFrame:
     """rank(): ties share a rank and leave a gap after it; NULLs come last and tie."""
     return with_positions(df, keys, value, {name: RANK}, descending, points)
@@ -178,7 +223,7 @@ def with_percent_rank(
     value: str,
     name: str,
     descending: bool = False,
-    points: list | None = None,
+    points: Cuts | None = None,
 ) -> DataFrame:
     return with_positions(df, keys, value, {name: PERCENT_RANK}, descending, points)
 
@@ -232,54 +277,33 @@ def with_share_of_total(df: DataFrame, value: str, total: str, share: str) -> Da
     return df.withColumn(total, whole).withColumn(share, ratio(F.col(value), F.col(total)))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame:
-    """Keys with more than `at_least` rows and more than a thousandth of all rows.
-
-    The second condition bounds the answer to a thousand keys, so it may be broadcast.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
-    return counts.filter((F.col("rows") > at_least) & (F.col("rows") * 1000 > total)).select(*keys)
-
-
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
-    bucket: str,
+    buckets: Sequence[str],
     order: Sequence[str],
     value: str,
     name: str,
-    heavy_rows: int = 1_000_000,
 ) -> DataFrame:
     """A cumulative sum per key, of which any may have a very long history.
 
-    Most keys are one window each. A heavy key is split by `bucket`, which must not decrease
-    along `order` (the day of a timestamp, for instance): one task sums one bucket, and the
-    buckets before it come in as a single number.
+    Every key is split by the `buckets`, columns that do not decrease along `order` (month and
+    day of a timestamp, for instance; more of them split a crowded day again). One task sums one
+    bucket of one key; the buckets before it come in as a single number, from a window over one
+    row per bucket. There is one way for all keys, whatever their size.
     """
-    keys = list(keys)
-    heavy = heavy_keys(df, keys, heavy_rows).withColumn("is_heavy", F.lit(True))
-    marked = df.join(F.broadcast(heavy), keys, "left").withColumn(
-        "part", F.when(F.col("is_heavy"), F.col(bucket))
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    keys, part = list(keys), [*keys, *buckets]
+    whole = Window.partitionBy(*part)
+    so_far = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = df.withColumn("inside", F.sum(value).over(so_far))
+    earlier = Window.partitionBy(*keys).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        marked.filter("is_heavy")
-        .groupBy(*keys, "part")
+        df.groupBy(*part)
         .agg(F.sum(value).alias("in_part"))
-        .select(*keys, "part", F.sum("in_part").over(earlier).alias("offset"))
-    )
-    inside = (
-        Window.partitionBy(*keys, "part")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .select(*[F.col(c).alias(f"_{c}") for c in part], F.coalesce(F.sum("in_part").over(earlier), F.lit(0)).alias("offset"))
     )
     return (
-        marked.withColumn("inside", F.sum(value).over(inside))
-        .join(offsets, [*keys, "part"], "left")
-        .withColumn(name, F.coalesce(F.col("offset"), F.lit(0)) + F.col("inside"))
-        .drop("inside", "offset", "part", "is_heavy")
+        summed.join(offsets, F.expr(_same_row(part)))
+        .withColumn(name, F.col("offset") + F.col("inside"))
         .select(*df.columns, name)
     )

@@ -99,7 +99,7 @@ def transfer_economy(spark, sf_dir):
         )
         .join(managers, "l_orderkey")
     )
-    return game.bank_balance(transfers, "manager_id", "l_shipdate", LINE_ORDER).drop("l_shipdate")
+    return game.bank_balance(transfers, "manager_id", ["gameweek_id"], LINE_ORDER).drop("l_shipdate")
 
 
 @query(
