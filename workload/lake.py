@@ -37,6 +37,7 @@ from tidemark.session import scratch_path, staged
 from tidemark.sources import bronze
 from tidemark.sources.envelope import envelope_meta, split_envelope, stamp_parent
 from tidemark.sources.layers import Lake
+from workload import marts
 from workload.inputs import (
     LATEST_LOAD_SQL,
     LEDGER_SQL,
@@ -626,6 +627,86 @@ _MODEL_COUNTS = {
 }
 
 
+def _digest_sql() -> str:
+    """Per column of some built models: values present and distinct values."""
+    return " UNION ALL ".join(
+        f"SELECT '{model}' AS model_name, '{column}' AS column_name, COUNT({column}) AS present,"
+        f" COUNT(DISTINCT {column}) AS distinct_values, {total} AS total FROM {source}"
+        for model, source, column, total in _DIGESTED
+    )
+
+
+def _whole(expression: str) -> str:
+    return f"CAST(SUM(CAST({expression} AS BIGINT)) AS BIGINT)"
+
+
+# (model, its SQL table, a column, its sum as a whole number).
+_DIGESTED = [
+    ("stg_fpl__teams", "teams", "team_short_name", "NULL"),
+    ("stg_fpl__players", "players", "now_cost_tenths", _whole("now_cost_tenths")),
+    ("stg_fpl__players", "players", "total_points", _whole("total_points")),
+    ("stg_fpl__players", "players", "status", "NULL"),
+    ("stg_fpl__fixtures", "fixtures", "home_score", _whole("home_score")),
+    ("stg_fpl__fixtures", "fixtures", "gameweek_id", _whole("gameweek_id")),
+    ("stg_fpl__gameweeks", "gameweeks", "gameweek_name", "NULL"),
+    ("dim_team", "dim_team", "player_count", _whole("player_count")),
+    ("dim_team", "dim_team", "home_away_strength_delta", _whole("home_away_strength_delta")),
+    ("dim_player", "dim_player", "now_cost_tenths", _whole("now_cost_tenths")),
+    ("dim_player", "dim_player", "position_short_name", "NULL"),
+    ("fct_team_fixture", "fct", "difficulty", _whole("difficulty")),
+    ("fct_team_fixture", "fct", "opponent_team_id", _whole("opponent_team_id")),
+    ("mart_team_fixture_run", "fixture_run", "fixture_count", _whole("fixture_count")),
+    ("mart_team_fixture_run", "fixture_run", "opponents", "NULL"),
+    ("mart_team_fixture_run", "fixture_run", "next_5_total_difficulty", _whole("next_5_total_difficulty")),
+]
+
+
+@query(
+    "lake_build_values",
+    with_typed(*_BUILT) + f", {marts.DIM_TEAM_SQL}, {marts.DIM_PLAYER_SQL}, {marts.FCT_SQL}, {marts.RUN_SQL} " + _digest_sql(),
+)
+def lake_build_values(spark, sf_dir):
+    """The values of built models, as they are read back from the published datasets."""
+    built = _build(spark, sf_dir)
+    parts = []
+    for model, _, column, total in _DIGESTED:
+        value = F.col(column)
+        parts.append(
+            built[model].agg(
+                F.count(value).alias("present"),
+                F.countDistinct(value).alias("distinct_values"),
+                (F.sum(value.cast("bigint")) if total != "NULL" else F.lit(None)).cast("bigint").alias("total"),
+            ).selectExpr(f"'{model}' AS model_name", f"'{column}' AS column_name", "*")
+        )
+    return reduce(DataFrame.union, parts)
+
+
+# Parts' types stand for positions, so their names are not in the game's vocabulary: every one of
+# them breaks the rule on the players and on the scarcity of a position. No other check fails.
+_FOREIGN = "position_short_name NOT IN ('GKP', 'DEF', 'MID', 'FWD')"
+
+
+@query(
+    "lake_checks_all",
+    with_typed(*_BUILT)
+    + f""", {marts.DIM_TEAM_SQL}, {marts.DIM_PLAYER_SQL}
+    SELECT 'dim_player.accepted' AS check_name, COUNT(DISTINCT position_short_name) AS violations
+    FROM dim_player WHERE {_FOREIGN}
+    UNION ALL SELECT 'mart_position_scarcity.accepted', COUNT(DISTINCT position_short_name) FROM positions WHERE {_FOREIGN}
+    UNION ALL SELECT 'models checked', CAST(16 AS BIGINT)
+    UNION ALL SELECT 'invariants checked', CAST(7 AS BIGINT)""",
+)
+def lake_checks_all(spark, sf_dir):
+    """All checks of a whole build: which fail, over how many models and invariants."""
+    found = lake_plan.checks.all_checks(_build(spark, sf_dir))
+    models = len({name.split(".")[0] for name in found if "." in name})
+    spanning = sum("." not in name for name in found)
+    seen = spark.range(1).selectExpr(
+        f"stack(2, 'models checked', {models}L, 'invariants checked', {spanning}L) AS (check_name, violations)"
+    )
+    return violations(found).unionByName(seen)
+
+
 @query(
     "lake_build",
     with_typed(*_BUILT)
@@ -636,6 +717,14 @@ _MODEL_COUNTS = {
 )
 def lake_build(spark, sf_dir):
     """All raw tables landed as one committed load, then every model built and written."""
+    parts = [
+        df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS model_name", "row_count")
+        for name, df in _build(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _build(spark, sf_dir):
     root = scratch_path(spark, "build")
     raw_root = f"{root}/bronze"
     ledger = raw_ledger(spark, sf_dir).filter("status = 0")
@@ -645,12 +734,7 @@ def lake_build(spark, sf_dir):
         rows = raw_frame(spark, sf_dir, name, load_id).drop(LOAD_ID)
         bronze.append_load(rows, raw_root, model.raw, load_id, day)
     bronze.append_ledger(ledger.withColumn("load_dates", F.array(F.lit(day))), raw_root)
-    built = lake_plan.build(spark, raw_root, Lake(root))
-    parts = [
-        df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS model_name", "row_count")
-        for name, df in built.items()
-    ]
-    return reduce(DataFrame.union, parts)
+    return lake_plan.build(spark, raw_root, Lake(root))
 
 
 @query(
