@@ -57,30 +57,38 @@ def squad_validity(
     cells = picks.groupBy(squad, "position_id", "team_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("price_tenths").alias("cost")
     )
-    clubs = (
-        cells.groupBy(squad, "team_id")
-        .agg(F.sum("n").alias("n"))
-        .groupBy(squad)
-        .agg(F.max("n").alias("most_from_one_club"))
-    )
-    rules = positions.select("position_id", "squad_required")
-    filled = (
-        cells.groupBy(squad, "position_id")
+    # Each cell counts for its club and for its position: one aggregate over both.
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit(True).alias("is_club"), F.col("team_id").cast("string").alias("part")),
+            F.struct(F.lit(False).alias("is_club"), F.col("position_id").cast("string").alias("part")),
+        )
+    ).alias("side")
+    counted = (
+        cells.select(squad, "n", "cost", sides)
+        .groupBy(squad, "side.is_club", "side.part")
         .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"))
-        .join(rules, "position_id", "left")
     )
-    # A position without a pick is not in `filled`: all quotas hold when the met ones add up.
-    met = F.when(F.col("n") == F.col("squad_required"), F.col("n")).otherwise(0)
-    totals = filled.groupBy(squad).agg(
-        F.sum("n").alias("picks"),
-        F.sum("cost").alias("cost_tenths"),
-        F.sum(met).alias("picks_in_met_quotas"),
+    rules = positions.select(
+        F.lit(False).alias("is_club"), F.col("position_id").cast("string").alias("part"), "squad_required"
+    )
+    of_position = ~F.col("is_club")
+    # A position without a pick is not there: all quotas hold when the met ones add up.
+    met = of_position & (F.col("n") == F.col("squad_required"))
+    totals = (
+        counted.join(rules, ["is_club", "part"], "left")
+        .groupBy(squad)
+        .agg(
+            F.sum(F.when(of_position, F.col("n"))).alias("picks"),
+            F.sum(F.when(of_position, F.col("cost"))).alias("cost_tenths"),
+            F.sum(F.when(met, F.col("n")).otherwise(0)).alias("picks_in_met_quotas"),
+            F.max(F.when(F.col("is_club"), F.col("n"))).alias("most_from_one_club"),
+        )
     )
     quota_total = positions.agg(F.sum("squad_required")).scalar()
     c = F.col
     return (
-        totals.join(clubs, squad)
-        .withColumn("quota_total", quota_total)
+        totals.withColumn("quota_total", quota_total)
         .withColumns(
             {
                 "size_ok": c("picks") == squad_size,

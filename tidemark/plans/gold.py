@@ -18,7 +18,6 @@ from tidemark.operators.ranking import (
     exact_median,
     extreme_fill,
     reverse_rank,
-    split_points,
     with_positions,
     with_share_of_total,
 )
@@ -372,26 +371,32 @@ def mart_player_value(
 
 
 def value_ranks(priced: DataFrame) -> DataFrame:
-    """Every rank of every player, worked out on the key and the ranked values alone.
+    """Every rank of every player, from one pass over (player, ranking, group, value) rows.
 
-    Wide rows travel once, in the caller's join on the player, and not once per ranking. All
-    split points come from one pass, and both rank directions from the same positions.
+    The overall ranking is one more group. All rankings share their cuts, counts and windows, and
+    one pivot brings a player's ranks together; wide rows travel once, in the caller's join.
     """
-    values = list(_POSITION_RANKS)
-    narrow = priced.select("player_id", "position_id", *values)
-    points = split_points(narrow, values)
     main = "points_per_million"
-    ranked = with_positions(
-        narrow, [], main, {"value_rank_overall": reverse_rank(main)}, points=points[main]
+    group = F.col("position_id")
+    cells = [(name, group, value) for value, name in _POSITION_RANKS.items()]
+    cells.append(("value_rank_overall", F.lit(None).cast(priced.schema["position_id"].dataType), main))
+    each = F.array(
+        *[
+            F.struct(F.lit(n).alias("ranking"), g.alias("group_id"), F.col(v).cast("double").alias("value"))
+            for n, g, v in cells
+        ]
+    )
+    long = priced.select("player_id", F.explode(each).alias("c")).select("player_id", "c.*")
+    outputs = {"place": reverse_rank("value"), "share": PERCENT_RANK}
+    placed = with_positions(long, ["ranking", "group_id"], "value", outputs)
+
+    def of(name: str, output: str) -> Column:
+        return F.max(F.when(F.col("ranking") == name, F.col(output)))
+
+    return placed.groupBy("player_id").agg(
+        *[of(n, "place").alias(n) for n, _, _ in cells],
+        of(_POSITION_RANKS[main], "share").alias("value_percentile_in_position"),
     )
-    for value, name in _POSITION_RANKS.items():
-        outputs = {name: reverse_rank(value)}
-        if value == main:
-            outputs["value_percentile_in_position"] = PERCENT_RANK
-        ranked = with_positions(
-            ranked, ["position_id"], value, outputs, points=points[value], source=narrow
-        )
-    return ranked.drop("position_id", *values)
 
 
 def mart_position_scarcity(
