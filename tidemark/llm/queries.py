@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, packing, pii, toxicity
+from tidemark.llm import chat, contamination, oracles, packing, pii, toxicity
 from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
@@ -19,7 +19,13 @@ from tidemark.llm.token_counts import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": oracles.NEAR_TEXTS,
+    "op3_line_dedup": oracles.LINES,
+    "op5_embedding_neighbours": oracles.VECTORS,
+    "op8_decontamination": oracles.CONTAMINATION,
+    "op10_chat_formatting": oracles.CHATS,
+}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
