@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from tests.llm.test_texts import brute_hits, brute_lines, brute_near
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import ORACLES, QUERIES
 from tidemark.llm.toxicity import Toxicity
 from tidemark.session import staged
+from tools.compare import difference, open_duckdb
 
 SF_DIR = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -83,3 +84,10 @@ def test_stages_survive_awkward_rows(spark, awkward):
             if name != "packing":
                 assert now.columns == docs.columns
         assert (now.count() > 0) == (start is docs)
+
+
+@pytest.mark.parametrize("key", sorted(ORACLES))
+def test_queries_against_their_sql(spark, key):
+    con = open_duckdb(SF_DIR)
+    got, want = QUERIES[key](spark, SF_DIR).toArrow(), con.execute(ORACLES[key]).to_arrow_table()
+    assert difference(got, want) is None
