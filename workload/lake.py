@@ -19,6 +19,7 @@ from tidemark.functions.columns import (
     scaled,
     strict_number,
 )
+from tidemark.operators.checks import FLOOR_SHARE
 from tidemark.operators.selection import expand_range_specs, range_spec_errors, unsettled
 from tidemark.operators.snapshot import (
     LOAD_ID,
@@ -682,17 +683,20 @@ def lake_build_values(spark, sf_dir):
 
 
 # Parts' types stand for positions, so their names are not in the game's vocabulary: every one of
-# them breaks the rule on the players and on the scarcity of a position. No other check fails.
+# them breaks the rule on the players and on the scarcity of a position. Of the other checks only
+# the budget can fail, where few parts make the cheapest squad dear.
 _FOREIGN = "position_short_name NOT IN ('GKP', 'DEF', 'MID', 'FWD')"
 
 
 @query(
     "lake_checks_all",
-    with_typed(*_BUILT)
-    + f""", {marts.DIM_TEAM_SQL}, {marts.DIM_PLAYER_SQL}
+    marts.SCARCITY_WITH
+    + f"""
     SELECT 'dim_player.accepted' AS check_name, COUNT(DISTINCT position_short_name) AS violations
     FROM dim_player WHERE {_FOREIGN}
     UNION ALL SELECT 'mart_position_scarcity.accepted', COUNT(DISTINCT position_short_name) FROM positions WHERE {_FOREIGN}
+    UNION ALL SELECT 'budget_holds', CAST(1 AS BIGINT) FROM scarcity
+      HAVING MAX(minimum_squad_gbp_m) > {FLOOR_SHARE} * MAX(budget_gbp_m) OR SUM(squad_required) <> MAX(squad_size)
     UNION ALL SELECT 'models checked', CAST(16 AS BIGINT)
     UNION ALL SELECT 'invariants checked', CAST(7 AS BIGINT)""",
 )
