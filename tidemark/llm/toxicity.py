@@ -3,8 +3,9 @@
 Terms are the words of a text and the runs of four and five bytes inside words, A-Z in lower
 case; runs catch inflected and compound forms. A bounded sample of labelled rows (`examples` of
 each class, those with the least hash of their id) serves as examples. Terms that tell the
-classes apart in it (likelihood ratio of at least `LEAST_RATIO`) are kept; their document
-frequencies come from all documents.
+classes apart in it are kept: beyond chance (a likelihood ratio of at least `LEAST_RATIO`) and
+by much (`LEAST_LIFT` times as frequent in one class). Their document frequencies come from all
+documents.
 
 Examples of equal vectors are one entry with their counts. Entries stand in blocks, and each
 term has its largest weight in every block. For a text, the terms' block maxima bound what any
@@ -29,9 +30,11 @@ from tidemark.llm.text import byte_values, map_arrow, signed, slices, span_hashe
 EXAMPLES = 4096
 NEIGHBOURS = 16
 BLOCK = 64
-# Blocks scored before the bound is looked at again.
-TOGETHER = 8
+# Blocks scored before the bound decides on the others.
+FIRST_BLOCKS = 8
 LEAST_RATIO = 30.0
+# And a kept term is so many times as frequent among the examples of one class as in the other's.
+LEAST_LIFT = 4.0
 # Weight of the vote of texts without any kept term, against one neighbour of cosine 1.
 PRIOR_WEIGHT = 0.25
 
@@ -229,11 +232,12 @@ class Entries:
             return np.zeros(0, np.int64), np.zeros(0)
         bound = weights @ self.most[terms]
         queue = np.argsort(-bound, kind="stable")
-        names, cosines, least, step = [], [], 0.0, 0
-        while step < len(queue) and bound[queue[step]] > 0 and bound[queue[step]] >= least - 1e-9:
-            some = np.sort(queue[step : step + TOGETHER])
-            some = some[bound[some] >= max(least - 1e-9, 1e-300)]
-            step += TOGETHER
+        names, cosines, least = [], [], 0.0
+        # The most promising blocks first; then, at once, all that can still hold one of the k.
+        for part in (queue[:FIRST_BLOCKS], queue[FIRST_BLOCKS:]):
+            some = np.sort(part[bound[part] >= max(least - 1e-9, 1e-300)])
+            if not len(some):
+                break
             spans = (terms[:, None] * self.blocks + some[None, :]).reshape(-1)
             first, size = self.begin[spans], self.begin[spans + 1] - self.begin[spans]
             stop = np.cumsum(size)
@@ -341,7 +345,9 @@ class Toxicity:
         sizes = {c: min(examples, totals.get(c, 0)) for c in (0, 1)}
         tables = kinds.groupBy("code").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         ratio = _likelihood_ratio(F.col("toxic"), F.col("clean"), sizes[1], sizes[0])
-        codes = tables.filter(ratio >= LEAST_RATIO).select("code").toArrow().column(0).to_numpy()
+        rates = [(F.col(c) + 0.5) / (sizes[i] + 1.0) for i, c in enumerate(("clean", "toxic"))]
+        lift = F.greatest(rates[1] / rates[0], rates[0] / rates[1])
+        codes = tables.filter((ratio >= LEAST_RATIO) & (lift >= LEAST_LIFT)).select("code").toArrow().column(0).to_numpy()
         terms = context.broadcast(_Terms(np.ascontiguousarray(codes).view(_U)))
         seen = map_arrow(narrow.select("text"), _document_frequencies(terms), "term long, docs long")
         frequency, rows = np.zeros(len(codes)), 0
