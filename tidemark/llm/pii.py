@@ -109,12 +109,10 @@ KINDS = (
 )
 
 
-def _span(k: Kind) -> Callable[[Column, Column], Column]:
-    gaps, before = F.col(f"g_{k.name}"), F.col(f"b_{k.name}")
-
-    def span(m: Column, i: Column) -> Column:
-        gap = F.get(gaps, i)
-        start = F.get(before, i) + F.length(gap)
+def _span(k: Kind) -> Callable[[Column], Column]:
+    def span(found: Column) -> Column:
+        m, gap = found["m"], found["gap"]
+        start = found["before"] + F.length(gap)
         near = F.lower(F.right(gap, F.lit(CONTEXT))).rlike(k.context)
         score = F.lit(k.score) + F.when(near, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
         return F.struct(
@@ -162,7 +160,15 @@ def find_spans(
         found = found.withColumn(f"b_{k.name}", sums_before(steps))
     lists = []
     for k in kinds:
-        spans = F.filter(F.transform(F.col(f"m_{k.name}"), _span(k)), lambda s: s["confirmed"])
+        # Zipped, not looked up in a lambda: an expression inside a lambda may be worked out per element.
+        matches = F.col(f"m_{k.name}")
+        gaps = F.slice(F.col(f"g_{k.name}"), F.lit(1), F.size(matches))
+        before = F.slice(F.col(f"b_{k.name}"), F.lit(1), F.size(matches))
+        zipped = F.zip_with(
+            matches, gaps, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))
+        )
+        zipped = F.zip_with(zipped, before, lambda x, b: x.withField("before", b))
+        spans = F.filter(F.transform(zipped, _span(k)), lambda s: s["confirmed"])
         if not k.base:
             spans = F.filter(spans, lambda s: s["score"] >= least_score)
         lists.append(F.transform(spans, lambda s: s.dropFields("confirmed")))
