@@ -307,6 +307,26 @@ def test_squad_validity(spark):
     ]
 
 
+def test_limits_come_from_the_settings(spark):
+    names = "squad_size long, budget_tenths long, max_players_per_club long, max_extra_free_transfers long"
+    told = game.limits(spark.createDataFrame([(11, 900, None, 4)], names))
+    assert told["squad_validity"] == {"squad_size": 11, "budget_tenths": 900, "per_club": 3}
+    assert told["transfer_hits"] == {"banked_most": 5} and told["manager_scores"] == {"squad_size": 11}
+    assert game.limits(spark.createDataFrame([], names))["bank_balance"] == {"budget_tenths": 1000}
+    weekly = spark.createDataFrame([("m", gw, 0) for gw in range(1, 200)], "m string, gw long, transfers long")
+    free = game.transfer_hits(weekly, "m", "gw", **told["transfer_hits"]).orderBy("gw")
+    assert [r["free_transfers"] for r in free.collect()] == [min(gw, 5) for gw in range(1, 200)]
+
+
+def test_a_squad_of_another_size_stops_the_query(spark):
+    picks = spark.createDataFrame(
+        [("m", 1, "GK", 90, 1, True, False)],
+        "m string, slot int, role string, minutes long, points long, is_captain boolean, is_vice boolean",
+    )
+    with pytest.raises(Exception, match="a squad has 1 picks, not 15"):
+        game.manager_scores(picks, ["m"]).collect()
+
+
 def brute_score(squad):
     """One manager's score by walking the rules."""
     starters = [p for p in squad if p["slot"] <= 11]

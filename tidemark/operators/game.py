@@ -40,6 +40,32 @@ GROUPED_POINTS = {"saves": (3, (1, 0, 0, 0)), "goals_conceded": (2, (-1, -1, 0,
 FULL_MATCH_MINUTES = 60
 
 
+def limits(settings: DataFrame) -> dict[str, dict[str, int]]:
+    """The game's limits from its one settings row, as arguments of the operators they bound.
+
+    A limit the row does not state keeps its fixed value.
+    """
+    row = settings.select("squad_size", "budget_tenths", "max_players_per_club", "max_extra_free_transfers").first()
+    known = row.asDict() if row is not None else {}
+
+    def of(name: str, usual: int) -> int:
+        value = known.get(name)
+        return usual if value is None else int(value)
+
+    size, budget = of("squad_size", SQUAD_SIZE), of("budget_tenths", STARTING_BUDGET_TENTHS)
+    extra = of("max_extra_free_transfers", FREE_BANKED_MOST - FREE_PER_GAMEWEEK)
+    return {
+        "squad_validity": {
+            "squad_size": size,
+            "budget_tenths": budget,
+            "per_club": of("max_players_per_club", PER_CLUB),
+        },
+        "bank_balance": {"budget_tenths": budget},
+        "transfer_hits": {"banked_most": FREE_PER_GAMEWEEK + extra},
+        "manager_scores": {"squad_size": size},
+    }
+
+
 def squad_validity(
     picks: DataFrame,
     positions: DataFrame,
