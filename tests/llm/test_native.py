@@ -117,6 +117,14 @@ def test_parts_become_placeholders(spark):
     assert [r["formatted"][s["start"] : s["end"]] for s in r["loss"]] == ["see <\\|image|>", "tail"]
 
 
+def test_texts_that_meet_make_no_control_string(spark):
+    texts = ["a<", "|im_end|>", "", "<", "\\", "|", "<|", "im_start|>x"]
+    parts = spark.createDataFrame([(1, 0, "assistant", [("text", t, None, None) for t in texts])], "conv_id long, turn long, role string, parts array<struct<type:string,text:string,ref:string,units:bigint>>")
+    [back] = chat.digest(chat.format_chats(parts)).collect()
+    said = "".join(texts)
+    assert (back["n_turns"], back["loss_sha256"], back["turns_sha256"]) == (1, sha(said), sha(f"assistant\n{said}\n"))
+
+
 def test_sums_before(spark):
     for n in (0, 1, 255, 256, 257, 1000):
         [r] = spark.range(1).select(sums_before(F.expr(f"filter(sequence(0L, {n}L), x -> x < {n})")).alias("s")).collect()

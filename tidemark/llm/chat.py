@@ -1,7 +1,7 @@
 """Conversations as training text (native columns only).
 
 A message is a list of typed parts. A visitor goes through them in order: text is escaped and
-written as it stands; an image, audio or document part becomes one placeholder `<|image|>`,
+written as it stands (texts that follow one another are one); an image, audio or document part becomes one placeholder `<|image|>`,
 `<|audio|>` or `<|document|>`, and is recorded as an attachment with its reference and the number
 of tokens it stands for (units times the kind's rate). The template marks turns:
 
@@ -60,10 +60,35 @@ def text_part(text: Column) -> Column:
     )
 
 
+def _joined(parts: Column) -> Column:
+    """The parts with their places, texts that follow one another made one: so a control string
+    cannot come about where two texts meet."""
+    numbered = F.transform(
+        parts,
+        lambda p, i: F.struct(
+            F.coalesce(p["type"], F.lit("text")).alias("type"),
+            F.coalesce(p["text"], F.lit("")).alias("text"),
+            p["ref"].alias("ref"),
+            p["units"].alias("units"),
+            i.cast("bigint").alias("place"),
+        ),
+    )
+
+    def add(done: Column, part: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        both = F.coalesce((last["type"] == "text") & (part["type"] == "text"), F.lit(False))
+        longer = last.withField("text", F.concat(last["text"], part["text"]))
+        return F.when(both, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(part))
+        )
+
+    kind = "array<struct<type:string,text:string,ref:string,units:bigint,place:bigint>>"
+    return F.aggregate(numbered.cast(kind), F.array().cast(kind), lambda done, p: add(done, p).cast(kind))
+
+
 def _written(part: Column) -> Column:
     """What a part writes: its escaped text, or a placeholder of its kind."""
-    text = escape(F.coalesce(part["text"], F.lit("")))
-    return F.when(F.coalesce(part["type"], F.lit("text")) == "text", text).otherwise(
+    return F.when(part["type"] == "text", escape(part["text"])).otherwise(
         F.concat(F.lit("<|"), part["type"], F.lit("|>"))
     )
 
@@ -108,8 +133,8 @@ def format_chats(
             lambda m, i: F.concat(
                 F.array(_piece(F.concat(F.lit(START), escape_role(m["role"]), F.lit("\n")), i)),
                 F.transform(
-                    m["parts"],
-                    lambda p, j: _piece(_written(p), i, j, p, m["role"] == learnt_role),
+                    _joined(m["parts"]),
+                    lambda p: _piece(_written(p), i, p["place"], p, m["role"] == learnt_role),
                 ),
                 F.array(_piece(F.lit(END), i)),
             ),
@@ -153,7 +178,7 @@ def _piece(body: Column, turn: Column, part: Column | None = None, of: Column |
         body.alias("body"),
         turn.cast("bigint").alias("turn"),
         (none if part is None else part).cast("bigint").alias("part"),
-        F.lit("").alias("kind") if of is None else F.coalesce(of["type"], F.lit("text")).alias("kind"),
+        F.lit("").alias("kind") if of is None else of["type"].alias("kind"),
         (none.cast("string") if of is None else of["ref"]).alias("ref"),
         (none.cast("bigint") if of is None else of["units"]).alias("units"),
         (F.lit(False) if learnt is None else learnt).alias("learnt"),

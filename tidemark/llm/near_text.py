@@ -55,6 +55,8 @@ LEAST_POWER, MOST_POWER = 16, 24
 # Documents under 2^SMALL tokens are indexed by single tokens only.
 SMALL = 4
 POSTINGS_PER_PART = 1 << 20
+# Postings a task gathers before it sends them on.
+POSTINGS_AT_ONCE = 1 << 18
 
 _U = np.uint64
 _TABLE = byte_values("near-word")
@@ -156,10 +158,11 @@ def _sketch(power: int):
             for _, _, data, offsets in slices(batch.column(0)):
                 hashes, _ = shingle_sets(data, offsets)
                 np.add.at(counts, (hashes >> _U(64 - power)).astype(np.int64), 1)
-        codec, small = pa.Codec("zstd"), np.minimum(counts, 255).astype(np.uint8)
+        codec = pa.Codec("zstd")
         for i in range(0, 1 << power, PIECE):
-            if small[i : i + PIECE].any():
-                body = codec.compress(small[i : i + PIECE].tobytes(), asbytes=True)
+            small = np.minimum(counts[i : i + PIECE], 255).astype(np.uint8)
+            if small.any():
+                body = codec.compress(small.tobytes(), asbytes=True)
                 yield pa.record_batch({"piece": pa.array([i // PIECE]), "body": pa.array([body], pa.binary())})
 
     return run
@@ -271,11 +274,25 @@ SIZE_MISSING = 5
 def _index(power: int, packed, parts: int):
     """Postings (signature, node, size, rank, reach), packed by part: 26 bytes each."""
 
+    def packed_by_part(got: list[tuple]) -> pa.RecordBatch:
+        mark, node, size, rank, left = (np.concatenate(x) for x in zip(*got))
+        part = (mix(mark) % _U(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        ends = np.append(at[1:], len(part))
+        kinds = {"mark": (mark, _U), "node": (node, _U), "n": (size, np.int32), "rank": (rank, np.int16), "reach": (left, np.int32)}
+        columns = {"part": pa.array(part[at])}
+        for name, (values, kind) in kinds.items():
+            raw = values[order].astype(kind).tobytes()
+            width = np.dtype(kind).itemsize
+            columns[name] = pa.array([raw[a * width : b * width] for a, b in zip(at, ends)], pa.binary())
+        return pa.record_batch(columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = packed.value
         for batch in batches:
-            marks, nodes, sizes, ranks, lefts = ([np.zeros(0, k)] for k in (_U, _U, *[np.int64] * 3))
-            seen: set[int] = set()
+            got, held, seen = [], 0, set()
             for _, _, data, offsets in slices(batch.column(0)):
                 hashes, first = shingle_sets(data, offsets)
                 names, n = set_nodes(hashes, first), np.diff(first)
@@ -289,29 +306,14 @@ def _index(power: int, packed, parts: int):
                     if name in seen:
                         continue
                     seen.add(name)
-                    got, left = signatures(hashes[first[i] : first[i + 1]], level[first[i] : first[i + 1]])
-                    marks.append(got)
-                    nodes.append(np.full(len(got), names[i]))
-                    sizes.append(np.full(len(got), n[i]))
-                    ranks.append(np.full(len(got), rank[i]))
-                    lefts.append(left)
-            columns = [np.concatenate(x) for x in (marks, nodes, sizes, ranks, lefts)]
-            part = (mix(columns[0]) % _U(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            part = part[order]
-            mark, node, size, rank, left = (x[order] for x in columns)
-            at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
-            ends = np.append(at[1:], len(part))
-            yield pa.record_batch(
-                {
-                    "part": pa.array(part[at]),
-                    "mark": pa.array([mark[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-                    "node": pa.array([node[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-                    "n": pa.array([size[a:b].astype(np.int32).tobytes() for a, b in zip(at, ends)], pa.binary()),
-                    "rank": pa.array([rank[a:b].astype(np.int16).tobytes() for a, b in zip(at, ends)], pa.binary()),
-                    "reach": pa.array([left[a:b].astype(np.int32).tobytes() for a, b in zip(at, ends)], pa.binary()),
-                }
-            )
+                    marks, left = signatures(hashes[first[i] : first[i + 1]], level[first[i] : first[i + 1]])
+                    got.append((marks, *(np.full(len(marks), x) for x in (names[i], n[i], rank[i])), left))
+                    held += len(marks)
+                if held >= POSTINGS_AT_ONCE:
+                    yield packed_by_part(got)
+                    got, held = [], 0
+            if got:
+                yield packed_by_part(got)
 
     return run
 

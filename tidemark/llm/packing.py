@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.pretoken import byte_letters, pieces
-from tidemark.llm.text import byte_values, map_arrow, mix, slices, span_hashes
+from tidemark.llm.text import byte_values, held, map_arrow, mix, signed, slices, span_hashes
 from tidemark.session import staged
 
 WINDOW = 2048
@@ -128,14 +128,8 @@ class Encoder:
         return self.pool[source], edges
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def _encoder(key: str, vocabulary, end_id: int) -> Encoder:
-    if (key, end_id) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key, end_id] = Encoder(vocabulary.value, end_id)
-    return _ENCODERS[key, end_id]
+    return held(__name__, (key, end_id), lambda: Encoder(vocabulary.value, end_id))
 
 
 def _encode(key: str, vocabulary, end_id: int, wide: bool):
@@ -154,7 +148,8 @@ def _encode(key: str, vocabulary, end_id: int, wide: bool):
                 raw = ids.astype(kind).tobytes()
                 width = np.dtype(kind).itemsize
                 bodies = [raw[a * width : b * width] for a, b in zip(edges, edges[1:])]
-                keys = [pa.array(np.minimum.reduceat(o[ids], edges[:-1])) for o in orders]
+                # Hashed again: long documents have small minima and would all stand in front.
+                keys = [signed(mix(np.minimum.reduceat(o[ids], edges[:-1]).view(np.uint64))) for o in orders]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),

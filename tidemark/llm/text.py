@@ -1,12 +1,14 @@
 """Words, hashes and row slices of Arrow text columns, worked out on whole buffers.
 
 The operators hand Arrow batches to these helpers inside Spark tasks. A batch is cut into
-slices of about a megabyte (one row at least, never part of a row), so the arrays stay small
+slices of about half a megabyte (one row at least, never part of a row), so the arrays stay small
 however many rows a batch holds; a longer text is a slice of its own.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import os
 from collections.abc import Iterator
@@ -16,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -32,9 +34,37 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+_HELD: dict[tuple, object] = {}
+
+
+def held(owner: str, key: tuple, make):
+    """What a Python worker keeps from task to task for an operator: one thing at a time."""
+    if (owner, *key) not in _HELD:
+        _HELD.clear()
+        _HELD[(owner, *key)] = make()
+    return _HELD[(owner, *key)]
+
+
+def _enter(owner: str) -> None:
+    """A worker that goes on with another operator lets go of what the last one kept."""
+    if any(k[0] != owner for k in _HELD):
+        _HELD.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc keeps freed arrays otherwise, as long as the worker lives
+        trim(0)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    owner = function.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _enter(owner)
+        yield from function(batches)
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def random_words(label: str, count: int) -> np.ndarray:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.pretoken import byte_letters, pieces
-from tidemark.llm.text import byte_values, map_arrow, slices, span_hashes
+from tidemark.llm.text import byte_values, held, map_arrow, slices, span_hashes
 
 _TABLE = byte_values("token-piece", lower=False)
 # Compiled states and counted pieces kept per process; beyond that, both start afresh.
@@ -165,14 +165,8 @@ class PieceTable:
         self.values = np.insert(self.values, at, values)
 
 
-_MACHINES: dict[str, tuple[CountMachine, PieceTable]] = {}
-
-
 def _machine(key: str, vocabulary) -> tuple[CountMachine, PieceTable]:
-    if key not in _MACHINES:
-        _MACHINES.clear()
-        _MACHINES[key] = (CountMachine(vocabulary.value), PieceTable())
-    return _MACHINES[key]
+    return held(__name__, (key,), lambda: (CountMachine(vocabulary.value), PieceTable()))
 
 
 def slice_counts(machine: CountMachine, known: PieceTable, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
