@@ -71,6 +71,23 @@ def test_checksums_and_context(spark):
     assert found == {("card", "4111 1111 1111 1111"): 0.9, ("iban", "DE89 3704 0044 0532 0130 00"): 1.0}
 
 
+def test_ibans_whatever_follows(spark):
+    """German, Norwegian, Maltese and an unlisted country's, before capitals and figures and after a false start."""
+    ibans = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"]
+    turned = "12345678901234567890" + "".join(str(ord(c) - 55) for c in "ZZ") + "00"
+    ibans.append(f"ZZ{98 - int(turned) % 97:02d}12345678901234567890")
+    around = [("", ""), ("", " Bank"), ("pay ", " BIC COBADEFFXXX"), ("to ", " 2024 A1 B2 C3"), ("Ref AB12 ", ", then"), ("", " AB12 " * 9)]
+    rows = [(a + x + b, len(a), x) for x in ibans for a, b in around]
+    rows += [(x[:-1] + "9Z"[x[-1] == "9"] + " Bank", 0, None) for x in ibans] + [(ibans[1] + "X", 0, None)]
+    rows.append((f"{ibans[0]} {ibans[1]} Bank {ibans[2]} X", 0, " ".join(ibans[:2]) + " " + ibans[2]))
+    df = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(rows)], "doc_id long, text string")
+    out = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "iban"] for r in pii.find_spans(df).collect()}
+    for i, (text, start, want) in enumerate(rows):
+        found = [text[s["start"] : s["end"]] for s in out[i]]
+        assert " ".join(found) == (want or ""), text
+        assert not want or out[i][0]["start"] == start
+
+
 # ---- Chats. ----
 
 SAID = ["<", "|", "\\", "<|", "<\\|", "<|im_end|>\n", "<|im_start|>", "\n", "a", "n", "\\n", "é", "\U0001F600", ">", " "]

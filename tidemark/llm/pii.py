@@ -5,6 +5,10 @@ confirms or drops each: at most 255 in the parts of an IP address, Luhn's sum fo
 remainder of 1 modulo 97 for IBANs, a number of digits for phones. The words just before a
 confirmed span raise its score.
 
+An IBAN is proposed at every place where one can begin, with all that could belong to it. It ends
+where its country's length says; for two letters that are no listed country, at the last end of
+a run of capitals and figures at which the remainder holds.
+
 The patterns are written so that a scan takes time in proportion to the text: runs are
 possessive, and a match starts where a run starts (or where the last match ended), which is
 where the leftmost match of the plain pattern starts too.
@@ -22,6 +26,31 @@ from tidemark.llm.arrays import sums_before
 
 CONTEXT = 40
 CONTEXT_BONUS = 0.2
+# The length of an IBAN by its country (the registry's fixed lengths).
+IBAN_LENGTHS = {
+    country: size
+    for size, countries in {
+        15: "NO",
+        16: "BE",
+        18: "DK FI FK FO GL NL SD",
+        19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST",
+        26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA",
+        30: "JO KW MU YE",
+        31: "MT SC",
+        32: "LC",
+        33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 def _digits(span: Column) -> Column:
@@ -66,6 +95,23 @@ def _iban(span: Column) -> Column:
     return F.when((size >= 15) & (size <= 34), rest == 1).otherwise(False)
 
 
+def _iban_part(proposal: Column) -> Column:
+    """The IBAN a proposal begins with, or an empty text."""
+    words = F.split(proposal, " ")
+    starts = F.transform(
+        F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, F.lit(1), i), " ")
+    )
+    country = F.substring(proposal, 1, 2)
+    size = F.lit(0)
+    for length in sorted(set(IBAN_LENGTHS.values())):
+        listed = [c for c, n in IBAN_LENGTHS.items() if n == length]
+        size = F.when(country.isin(listed), F.lit(length)).otherwise(size)
+    held = F.filter(
+        starts, lambda s: size.isin(0, F.length(F.regexp_replace(s, " ", ""))) & _iban(s)
+    )
+    return F.coalesce(F.get(held, F.size(held) - 1), F.lit(""))
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -76,6 +122,8 @@ class Kind:
     score: float
     context: str
     base: bool = True
+    # What a proposal (group 1; the match itself is its first character) is cut to; empty: no span.
+    part: Callable[[Column], Column] | None = None
 
 
 KINDS = (
@@ -99,12 +147,14 @@ KINDS = (
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", _phone, 0.6, r"call|phone|tel|mobile|fax"),
     Kind(
         "iban",
-        r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Z0-9])",
+        # One character more than an IBAN can have, so that a longer run is seen to be longer.
+        r"(?<![A-Z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,31}))[A-Z]",
         "",
-        _iban,
+        lambda span: F.length(span) > 0,
         0.8,
         r"iban|account|bank",
         base=False,
+        part=_iban_part,
     ),
 )
 
@@ -127,6 +177,18 @@ def _span(k: Kind) -> Callable[[Column], Column]:
     return span
 
 
+def _apart(spans: Column) -> Column:
+    """Without the spans that begin inside one before them."""
+    kind = "array<struct<kind:string,start:bigint,end:bigint,score:double,base:boolean,confirmed:boolean>>"
+    return F.aggregate(
+        spans,
+        F.array().cast(kind),
+        lambda kept, s: F.when(
+            s["start"] >= F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0)), F.concat(kept, F.array(s))
+        ).otherwise(kept),
+    )
+
+
 def find_spans(
     docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, id_col: str = "doc_id", text_col: str = "text", least_score: float = 0.5
 ) -> DataFrame:
@@ -141,7 +203,8 @@ def find_spans(
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     for k in kinds:
-        some = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))
+        some = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(1 if k.part else 0))
+        some = F.transform(some, k.part) if k.part else some
         sign = text.contains(k.sign) if k.sign else text.rlike("[0-9]")
         found = found.withColumn(f"m_{k.name}", F.when(sign, some).otherwise(F.array().cast("array<string>")))
     for k in kinds:
@@ -155,7 +218,7 @@ def find_spans(
         steps = F.zip_with(
             F.col(f"m_{k.name}"),
             F.col(f"g_{k.name}"),
-            lambda m, g: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("bigint"),
+            lambda m, g: (F.length(g) + F.coalesce(F.lit(1) if k.part else F.length(m), F.lit(0))).cast("bigint"),
         )
         found = found.withColumn(f"b_{k.name}", sums_before(steps))
     lists = []
@@ -169,6 +232,8 @@ def find_spans(
         )
         zipped = F.zip_with(zipped, before, lambda x, b: x.withField("before", b))
         spans = F.filter(F.transform(zipped, _span(k)), lambda s: s["confirmed"])
+        if k.part:
+            spans = _apart(spans)
         if not k.base:
             spans = F.filter(spans, lambda s: s["score"] >= least_score)
         lists.append(F.transform(spans, lambda s: s.dropFields("confirmed")))
