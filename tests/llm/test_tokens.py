@@ -237,3 +237,23 @@ def test_toxicity_of_awkward_rows(awkward, nothing, labelled, spark):
     assert toxicity.Toxicity(nothing, labels).report().count() == 0
     unlabelled = toxicity.judged(toxicity.Toxicity(docs, labels.limit(0)).report()).collect()
     assert {(r["score"], r["predicted"]) for r in unlabelled} == {(0.0, 0)}
+
+
+def test_held_out_recall_in_every_language(spark):
+    """Given labels: markers of a language with few examples, each seen a few times, count too."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    out = toxicity.judged(toxicity.Toxicity(docs, labels).report())
+    known = out.filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = [(r["lang"], r["toxic"], r["predicted"]) for r in known.collect() if r["toxic"] is not None]
+    for lang in ("de", "en", "es", "fr"):
+        found = [p for x, t, p in rows if x == lang and t]
+        assert len(found) > 10 and sum(found) >= 0.85 * len(found), lang
+    flagged = [t for _, t, p in rows if p]
+    assert sum(flagged) >= 0.95 * len(flagged)
+
+
+def test_the_least_ratio_follows_from_the_terms():
+    assert toxicity._least_ratio({}) == toxicity._least_ratio({0: 1000}) == np.inf
+    few = toxicity._least_ratio({0: 100_000, 20 * 16: 1})
+    many = toxicity._least_ratio({0: 100_000, 20 * 16: 40})
+    assert (few, many) == (np.inf, 20.0)

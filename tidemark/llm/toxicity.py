@@ -3,9 +3,10 @@
 Terms are the words of a text and the runs of four and five bytes inside words, A-Z in lower
 case; runs catch inflected and compound forms. A bounded sample of labelled rows (`examples` of
 each class, those with the least hash of their id) serves as examples. Terms that tell the
-classes apart in it are kept: beyond chance (a likelihood ratio of at least `LEAST_RATIO`) and
-by much (`LEAST_LIFT` times as frequent in one class). Their document frequencies come from all
-documents.
+classes apart in it are kept: beyond chance and by much (`LEAST_LIFT` times as frequent in one
+class). How large a likelihood ratio is beyond chance follows from the examples: the least one at
+which `CHANCE_SHARE` of the terms that reach it would do so by chance (Benjamini and Hochberg).
+Document frequencies of kept terms come from all documents.
 
 Examples of equal vectors are one entry with their counts. Entries stand in blocks, and each
 term has its largest weight in every block. For a text, the terms' block maxima bound what any
@@ -17,6 +18,7 @@ by a monotone fit over the examples, each judged without itself.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,13 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import byte_values, map_arrow, signed, slices, span_hashes, word_spans
+from tidemark.session import staged
 
 EXAMPLES = 4096
 NEIGHBOURS = 16
 BLOCK = 64
 # Blocks scored before the bound decides on the others.
 FIRST_BLOCKS = 8
-LEAST_RATIO = 30.0
+# At most about this share of the kept terms may differ between the classes by chance alone.
+CHANCE_SHARE = 0.05
+# Likelihood ratios are counted in steps of this part of one.
+RATIO_STEPS = 16
 # And a kept term is so many times as frequent among the examples of one class as in the other's.
 LEAST_LIFT = 4.0
 # Weight of the vote of texts without any kept term, against one neighbour of cosine 1.
@@ -343,11 +349,15 @@ class Toxicity:
         sample = narrow.join(chosen, "id").dropDuplicates(["id"]).select("text", "toxic", F.col("id").cast("string").alias("id"))
         kinds = map_arrow(sample.select("text", "toxic"), _class_counts, "code long, clean long, toxic long")
         sizes = {c: min(examples, totals.get(c, 0)) for c in (0, 1)}
-        tables = kinds.groupBy("code").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        ratio = _likelihood_ratio(F.col("toxic"), F.col("clean"), sizes[1], sizes[0])
+        tables = staged(
+            kinds.groupBy("code").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-terms"
+        )
+        ratio =_likelihood_ratio(F.col("toxic"), F.col("clean"), sizes[1], sizes[0])
         rates = [(F.col(c) + 0.5) / (sizes[i] + 1.0) for i, c in enumerate(("clean", "toxic"))]
         lift = F.greatest(rates[1] / rates[0], rates[0] / rates[1])
-        codes = tables.filter((ratio >= LEAST_RATIO) & (lift >= LEAST_LIFT)).select("code").toArrow().column(0).to_numpy()
+        steps = tables.groupBy(F.floor(ratio * RATIO_STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+        least = _least_ratio({r["step"]: r["n"] for r in steps})
+        codes = tables.filter((ratio >= least) & (lift >= LEAST_LIFT)).select("code").toArrow().column(0).to_numpy()
         terms = context.broadcast(_Terms(np.ascontiguousarray(codes).view(_U)))
         seen = map_arrow(narrow.select("text"), _document_frequencies(terms), "term long, docs long")
         frequency, rows = np.zeros(len(codes)), 0
@@ -396,6 +406,18 @@ def _likelihood_ratio(toxic: Column, clean: Column, n1: int, n0: int) -> Column:
     )
 
 
+def _least_ratio(steps: dict[int, int]) -> float:
+    """The least likelihood ratio at which few enough of the terms that reach it do so by chance."""
+    total, reached, least = sum(steps.values()), 0, math.inf
+    for step in sorted(steps, reverse=True):
+        reached += steps[step]
+        ratio = max(step, 0) / RATIO_STEPS
+        # Twice the log ratio of a term without any difference is chi-squared with one degree.
+        if math.erfc(math.sqrt(ratio / 2)) * total <= CHANCE_SHARE * reached:
+            least = ratio
+    return least
+
+
 def _entries(terms: _Terms, idf: np.ndarray, rows: list, scale: dict[int, float], k: int) -> Entries:
     groups: dict[tuple, list] = {}
     for r in sorted(rows, key=lambda r: r["id"]):
