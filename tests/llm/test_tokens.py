@@ -132,6 +132,32 @@ def test_bm25_scores_are_the_formula():
         assert np.allclose(index.scores(seed), want)
 
 
+def test_weights_are_those_of_all_documents():
+    """The ids of a shard full of copies still count, as rare as they are among all documents."""
+    texts = [np.array([5, 6, 7, 7])] * 8 + [np.array([8, 9]), np.array([8, 10, 11])]
+    counts = {-1: 100, -2: 500, 5: 8, 6: 60, 7: 8, 8: 40, 9: 1, 10: 2, 11: 100}
+    rarity = packing._rarity(counts, 12)
+    assert rarity[1] == 5 and (rarity[0][5:] > 0).all()
+    index = packing._Index(texts, rarity)
+    for seed in range(len(texts)):
+        want = np.zeros(len(texts))
+        for term in set(texts[seed].tolist()):
+            idf = np.log(1 + (100 - counts[term] + 0.5) / (counts[term] + 0.5))
+            for d, t in enumerate(texts):
+                tf = int((t == term).sum())
+                if tf and sum(term in x for x in texts) > 1:
+                    want[d] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(t) / 5))
+        assert np.allclose(index.scores(seed), want, rtol=1e-5) and want.max() > 0
+
+
+def test_documents_are_counted_over_all_rows():
+    texts = [[3, 3, 4], [4], [1, 4, 5], [1]]
+    bodies = pa.array([np.array(t, np.uint16).tobytes() for t in texts], pa.binary())
+    batches = [pa.RecordBatch.from_arrays([bodies[:3]], names=["ids"]), pa.RecordBatch.from_arrays([bodies[3:]], names=["ids"])]
+    [out] = packing._document_counts(8, False)(iter(batches))
+    assert dict(zip(*(c.to_pylist() for c in out.columns))) == {1: 2, 3: 1, 4: 3, 5: 1, -1: 4, -2: 8}
+
+
 # ---- Vectors. ----
 
 

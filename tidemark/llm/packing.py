@@ -11,6 +11,10 @@ scores over the seed's terms (ids) order the unused items, which fill the window
 other; the last one is cut where the window ends, and its rest is the next seed. What does not
 fill a window at the end of a shard goes on to the task's next shard. At the end of a task the
 rest is cut into sequences of power-of-two lengths, so nothing is padded.
+
+How rare an id is and how long documents are is counted over all documents, so a term weighs the
+same in every shard; the weight is positive however common the id. A seed's candidates are the
+items of its own shard only: README gives how many of the nearest documents these are.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ WINDOW = 2048
 # A shard is closed at so many ids or documents; a task gets about so many ids.
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1024
 TASK_IDS = 1 << 22
+# An id in more than one in so many items of a shard is a row of weights over all of them.
+DENSE_PART = 4
 # Ids under this are bytes and the first merges: too common to bring documents together.
 COMMON_IDS = 2048
 _TABLE = byte_values("token-piece", lower=False)
@@ -163,10 +169,47 @@ def _encode(key: str, vocabulary, end_id: int, wide: bool):
     return run
 
 
+def _document_counts(size: int, wide: bool):
+    """In how many documents each id is; under -1 the number of documents, under -2 that of ids."""
+    kind = np.dtype(np.uint32 if wide else np.uint16)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, rows, total = np.zeros(size, np.int64), 0, 0
+        for batch in batches:
+            for low, high, data, offsets in slices(batch.column(0).cast(pa.large_binary())):
+                n = high - low
+                pairs = data.view(kind).astype(np.int64) * n
+                pairs += np.repeat(np.arange(n), np.diff(offsets) // kind.itemsize)
+                pairs.sort()
+                new = np.r_[True, pairs[1:] != pairs[:-1]]
+                docs += np.bincount(pairs[new] // n, minlength=size)
+                rows, total = rows + n, total + len(pairs)
+        at = np.flatnonzero(docs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, [-1, -2])), pa.array(np.append(docs[at], [rows, total]))], names=["id", "docs"]
+        )
+
+    return run
+
+
+def _rarity(counts: dict[int, int], size: int) -> tuple[np.ndarray, float]:
+    """Each id's weight, positive for all, and the mean length of a document."""
+    n = counts.get(-1, 0)
+    df = np.zeros(size)
+    for i, docs in counts.items():
+        if i >= 0:
+            df[i] = docs
+    return np.log(1 + (n - df + 0.5) / (df + 0.5)), counts.get(-2, 0) / max(1, n)
+
+
 class _Index:
-    """An inverted index with BM25 weights (k1 1.2, b 0.75) over the items of a shard."""
+    """An inverted index with BM25 weights (k1 1.2, b 0.75) over the items of a shard.
 
-    def __init__(self, texts: list[np.ndarray]) -> None:
+    `rarity` holds the weights of ids and the mean length over all documents. Without it both are
+    those of the items, and ids in half of them count nothing.
+    """
+
+    def __init__(self, texts: list[np.ndarray], rarity: tuple[np.ndarray, float] | None = None) -> None:
         n = len(texts)
         sizes = np.array([len(t) for t in texts], np.int64)
         owner = np.repeat(np.arange(n), sizes)
@@ -177,13 +220,24 @@ class _Index:
         term, doc = pairs[new] // n, pairs[new] % n
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
         df = np.diff(np.append(first, len(term)))
-        idf = np.log((n - df + 0.5) / (df + 0.5))
-        norm = 1.2 * (0.25 + 0.75 * sizes / max(1.0, sizes.mean()))
+        if rarity is None:
+            idf, mean = np.log((n - df + 0.5) / (df + 0.5)), sizes.mean()
+        else:
+            idf, mean = rarity[0][term[first]], rarity[1]
+        norm = 1.2 * (0.25 + 0.75 * sizes / max(1.0, mean))
         weight = np.repeat(idf, df) * count * 2.2 / (count + norm[doc])
-        # A term in half of the documents, or in one alone, brings nobody nearer.
-        useful = np.repeat((idf > 0) & (df > 1), df)
-        self.n, self.doc, self.weight = n, doc[useful], weight[useful]
+        # A term in one item alone brings nobody nearer. Frequent ones are rows over all items.
         kept = (idf > 0) & (df > 1)
+        wide = kept & (df * DENSE_PART > n)
+        here = np.repeat(wide, df)
+        row = np.repeat(np.cumsum(wide) - 1, df)[here]
+        self.rows = np.zeros((int(wide.sum()), n), np.float32)
+        self.rows[row, doc[here]] = weight[here]
+        by_doc = np.argsort(doc[here], kind="stable")
+        self.wide = np.split(row[by_doc], np.searchsorted(doc[here][by_doc], np.arange(1, n)))
+        kept &= ~wide
+        useful = np.repeat(kept, df)
+        self.n, self.doc, self.weight = n, doc[useful], weight[useful]
         df = df[kept]
         self.begin = np.cumsum(df) - df
         self.df = df
@@ -196,14 +250,14 @@ class _Index:
         df, begin = self.df[terms], self.begin[terms]
         stop = np.cumsum(df)
         at = np.repeat(begin - (stop - df), df) + np.arange(stop[-1] if len(stop) else 0)
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        return np.bincount(self.doc[at], self.weight[at], self.n) + self.rows[self.wide[seed]].sum(axis=0)
 
 
 class _Packer:
     """Fills sequences; `out` collects (row, start, length, sequence, offset)."""
 
-    def __init__(self, window: int, base: int) -> None:
-        self.window, self.sequence, self.out = window, base, []
+    def __init__(self, window: int, base: int, rarity: tuple[np.ndarray, float] | None = None) -> None:
+        self.window, self.sequence, self.out, self.rarity = window, base, [], rarity
 
     def _put(self, items, name: int, take: int, offset: int) -> None:
         row, start = items[name][:2]
@@ -221,7 +275,7 @@ class _Packer:
         left = int(sum(item[2] for item in items))
         if left < self.window:
             return [x for x in items if x[2]]
-        index = _Index(texts)
+        index = _Index(texts, self.rarity)
         seed, cursor = -1, 0
         while left >= self.window:
             if seed < 0 or not open_[seed]:
@@ -264,11 +318,11 @@ class _Packer:
             total -= size
 
 
-def _pack(window: int, wide: bool):
+def _pack(window: int, wide: bool, rarity):
     kind = np.uint32 if wide else np.uint16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(window, TaskContext.get().partitionId() << 40)
+        packer = _Packer(window, TaskContext.get().partitionId() << 40, rarity.value)
         ids: list = []  # the shard's document ids
         texts: list[np.ndarray] = []
         items: list[list] = []
@@ -339,15 +393,19 @@ def pack(
     with open(vocabulary_path, "rb") as file:
         raw = file.read()
     _, ids, added = _vocabulary(raw)
-    wide = max(int(ids.max()), end_id, *(i for _, i in added)) >= 1 << 16
-    vocabulary = docs.sparkSession.sparkContext.broadcast(raw)
+    highest = max(int(ids.max()), end_id, *(i for _, i in added))
+    wide = highest >= 1 << 16
+    context = docs.sparkSession.sparkContext
+    vocabulary = context.broadcast(raw)
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     encoded = staged(
         map_arrow(narrow, _encode(hashlib.sha256(raw).hexdigest(), vocabulary, end_id, wide), "id long, ids binary, n long, k1 long, k2 long"),
         "packing-ids",
     )
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    tasks = max(1, -(-total // TASK_IDS))
+    counted = map_arrow(encoded.select("ids"), _document_counts(highest + 1, wide), "id long, docs long")
+    counts = {r["id"]: r["docs"] for r in counted.groupBy("id").agg(F.sum("docs").alias("docs")).collect()}
+    rarity = context.broadcast(_rarity(counts, highest + 1))
+    tasks = max(1, -(-counts.get(-2, 0) // TASK_IDS))
     key = ["k1", "k2", "k3"]
     dealt = (
         encoded.select("id", "ids", "k1", "k2", F.monotonically_increasing_id().alias("k3"))
@@ -357,7 +415,7 @@ def pack(
     )
     packed = map_arrow(
         dealt,
-        _pack(window, wide),
+        _pack(window, wide, rarity),
         "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
     )
     return packed.withColumnRenamed("id", id_col)
