@@ -94,3 +94,54 @@ reached AS (
   UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
 SELECT a.doc_id, CAST(len(a.shingles) AS BIGINT) AS n_shingles, MIN(b.doc_id) AS component_id
 FROM reached r JOIN sets a ON a.row = r.x JOIN sets b ON b.row = r.y GROUP BY a.row, a.doc_id, a.shingles"""
+
+
+def _field(column: str) -> str:
+    return (
+        f"CASE WHEN {column} IS NULL THEN '-' "
+        f"ELSE octet_length(encode(CAST({column} AS VARCHAR))) || ':' || CAST({column} AS VARCHAR) END"
+    )
+
+
+def _leaf(count: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", count, "text")) + ")"
+
+
+# CRC-32 bit by bit: each byte of the decimal id is followed by eight shifts (-1).
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+_ABOVE = """list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || COALESCE(nodes[i + 2], '')))"""
+_SIBLING = "COALESCE(nodes[xor(i, 1) + 1], '')"
+
+MANIFEST = f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, doc_id, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND ({_CRC32}) % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS said
+  FROM documents),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM rows),
+levels AS (
+  SELECT tree, 0 AS level, list(leaf ORDER BY i) AS nodes FROM placed GROUP BY tree
+  UNION ALL SELECT tree, level + 1, {_ABOVE} FROM levels WHERE len(nodes) > 1),
+tops AS (SELECT tree, level, nodes[1] AS subroot FROM levels WHERE len(nodes) = 1),
+crown AS (
+  SELECT 0 AS level, list(subroot ORDER BY tree) AS nodes FROM tops
+  UNION ALL SELECT level + 1, {_ABOVE} FROM crown WHERE len(nodes) > 1),
+climb AS (
+  SELECT row, tree, CAST(0 AS BIGINT) AS level, i, said AS x, '' AS proof FROM placed
+  UNION ALL
+  SELECT row, c.tree, c.level + 1, i // 2,
+         sha256(CASE WHEN i % 2 = 1 THEN {_SIBLING} || x ELSE x || {_SIBLING} END), proof || {_SIBLING}
+  FROM climb c JOIN levels l ON l.tree = c.tree AND l.level = c.level WHERE len(nodes) > 1),
+over AS (
+  SELECT row, CAST(0 AS BIGINT) AS level, c.tree AS i, x, proof FROM climb c JOIN tops USING (tree, level)
+  UNION ALL
+  SELECT row, c.level + 1, i // 2,
+         sha256(CASE WHEN i % 2 = 1 THEN {_SIBLING} || x ELSE x || {_SIBLING} END), proof || {_SIBLING}
+  FROM over c JOIN crown l ON l.level = c.level WHERE len(nodes) > 1)
+SELECT doc_id, leaf, subroot, nodes[1] AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = nodes[1] AS verified
+FROM placed JOIN over USING (row) JOIN crown ON crown.level = over.level AND len(nodes) = 1
+JOIN tops USING (tree)"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, oracles, packing, pii, toxicity
+from tidemark.llm import chat, contamination, merkle, oracles, packing, pii, toxicity
 from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
@@ -25,6 +25,7 @@ ORACLES: dict[str, str] = {
     "op5_embedding_neighbours": oracles.VECTORS,
     "op8_decontamination": oracles.CONTAMINATION,
     "op10_chat_formatting": oracles.CHATS,
+    "op13_merkle_manifest": oracles.MANIFEST,
 }
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -90,3 +91,9 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     rows = table(spark, sf_dir, "conversations").select(*columns).unionByName(chat.probe(spark))
     return chat.digest(chat.format_chats(rows.withColumn("parts", chat.text_part(F.col("text")))))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.Manifest(docs, merkle.FIELDS, claims=merkle.tampered()).report()
