@@ -20,9 +20,10 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.ranks import numbered
 from tidemark.llm.text import map_arrow, ship
 from tidemark.session import staged
 
@@ -102,32 +103,6 @@ def fold(leaf: bytes, path: bytes) -> bytes:
     return leaf
 
 
-def _numbered(leaves: DataFrame) -> DataFrame:
-    """Adds the rank of each row in its part and the part's size; ordered by key, then by digest.
-
-    Rows are dealt by ranges, so a part may spread over any number of tasks; each task's share of
-    a part is counted, and the counts before it give the rank.
-    """
-    order = ["part", "key", "digest", "salt"]
-    dealt = leaves.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = staged(dealt.drop("salt").withColumn("at", F.monotonically_increasing_id()), "merkle-order")
-    ordered = ordered.withColumn("share", F.shiftright("at", 33))
-    shares = ordered.groupBy("part", "share").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    of_part = Window.partitionBy("part")
-    before = of_part.orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
-    shares = shares.select(
-        F.col("part").alias("s_part"),
-        F.col("share").alias("s_share"),
-        "first",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
-        F.sum("n").over(of_part).alias("size"),
-    )
-    same = F.col("part").eqNullSafe(F.col("s_part")) & (F.col("share") == F.col("s_share"))
-    return ordered.join(shares, same).select(
-        "part", "key", "digest", "claim", (F.col("before") + F.col("at") - F.col("first")).alias("rank"), "size"
-    )
-
-
 def _builder(bits: int):
     def build(block: pa.Table) -> pa.Table:
         block = block.sort_by("rank")
@@ -159,7 +134,8 @@ class _Forest:
     def __init__(self, leaves: DataFrame, bits: int) -> None:
         self.bits, self.tiers = bits, []
         ship(leaves.sparkSession)
-        rows = _numbered(leaves)
+        order = [F.col("key").asc_nulls_first(), F.col("digest"), F.col("salt")]
+        rows = numbered(leaves, "part", order, "merkle-order")
         while True:
             schema = (
                 f"part {_kind(rows, 'part')}, block long, size long, keys array<{_kind(rows, 'key')}>, "

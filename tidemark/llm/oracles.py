@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tidemark.llm.licenses import PHRASES as LICENSE_PHRASES
+from tidemark.llm.licenses import TEMPLATES
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -145,3 +148,75 @@ over AS (
 SELECT doc_id, leaf, subroot, nodes[1] AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = nodes[1] AS verified
 FROM placed JOIN over USING (row) JOIN crown ON crown.level = over.level AND len(nodes) = 1
 JOIN tops USING (tree)"""
+
+
+def _values(rows) -> str:
+    return "VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+LICENSES = f"""
+WITH templates AS (
+  SELECT id, label, share, {_WORDS} AS words
+  FROM ({_values((i, *t) for i, t in enumerate(TEMPLATES))}) AS t(id, label, text, share)),
+sets AS (
+  SELECT id, label, len(words) AS size, len(list_distinct(words)) AS m, list_distinct(words) AS words,
+         CAST(ceil(share * len(list_distinct(words)) - 1e-9) AS BIGINT) AS needed FROM templates),
+phrases AS (SELECT label, {_WORDS} AS said FROM ({_values(LICENSE_PHRASES)}) AS t(label, text)),
+rows AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents),
+each AS (SELECT row, unnest(words) AS word, unnest(range(len(words))) AS place, len(words) AS n FROM rows),
+hits AS (
+  SELECT row, id, place, n, word, size, m, needed
+  FROM each JOIN (SELECT *, unnest(words) AS word FROM sets) USING (word)),
+possible AS (
+  SELECT row, id FROM hits GROUP BY row, id HAVING COUNT(DISTINCT word) >= any_value(needed)),
+starts AS (
+  SELECT row, id, word, m, needed, unnest(range(
+           greatest(0, place - least(size, n) + 1), least(place, n - least(size, n)) + 1)) AS start
+  FROM hits JOIN possible USING (row, id)),
+held AS (
+  SELECT row, id, start, COUNT(DISTINCT word) / any_value(m) AS share
+  FROM starts GROUP BY row, id, start HAVING COUNT(DISTINCT word) >= any_value(needed)),
+found AS (SELECT DISTINCT row, label, MAX(share) OVER (PARTITION BY row) AS share FROM held JOIN sets USING (id)),
+base AS (
+  SELECT row, label, place FROM each JOIN rows USING (row), phrases
+  WHERE word = said[1] AND words[place + 1 : place + len(said)] = said),
+based AS (
+  SELECT row, COUNT(*) AS n, MIN(place) AS low, MAX(place) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM base GROUP BY row),
+named AS (
+  SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, MAX(share) AS share
+  FROM (SELECT row, label, share FROM found UNION ALL SELECT row, label, 1.0 FROM base) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, COALESCE(based.n, 0) AS n_base, low AS first_word, high AS last_word,
+       COALESCE(based.labels, '') AS base_labels, COALESCE(named.labels, '') AS labels,
+       CAST(COALESCE(share, 0) AS DOUBLE) AS score
+FROM rows LEFT JOIN based USING (row) LEFT JOIN named USING (row)"""
+
+_PIECES = "string_split_regex(" + _LOWER.format("COALESCE(text, '')") + r", '[.,;:!?\x0A-\x0D]')"
+
+PHRASES = f"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, regexp_extract_all(unnest({_PIECES}), '[^\\x20\\x09]+') AS words FROM documents),
+totals AS (SELECT lang, SUM(len(words)) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i : i + k - 1], ' '))) AS phrase
+  FROM pieces, (SELECT unnest(range(1, 5)) AS k) WHERE len(words) >= k),
+f AS (SELECT lang, k, phrase, COUNT(*) AS n, string_split(phrase, ' ') AS words FROM grams GROUP BY ALL HAVING COUNT(*) >= 30),
+cuts AS (
+  SELECT lang, phrase, n, c, array_to_string(words[1 : c], ' ') AS x, array_to_string(words[c + 1 :], ' ') AS y
+  FROM f, (SELECT unnest(range(1, 4)) AS c) WHERE c < k),
+weighed AS (
+  SELECT cuts.lang, cuts.phrase, cuts.n AS a, c, x.n AS l, y.n AS r,
+         CAST(CAST(2000000 AS HUGEINT) * cuts.n // (x.n + y.n) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+worst AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+parts AS (
+  SELECT f.lang, array_to_string(words[i : i + size - 1], ' ') AS phrase, MAX(n) AS n
+  FROM f, (SELECT unnest(range(2, 4)) AS size) s, (SELECT unnest(range(1, 4)) AS i) t
+  WHERE size < k AND i + size - 1 <= k GROUP BY 1, 2),
+kept AS (
+  SELECT worst.* FROM worst LEFT JOIN parts ON parts.lang = worst.lang AND parts.phrase = worst.phrase
+  WHERE parts.n IS NULL OR CAST(100 AS HUGEINT) * parts.n < CAST(80 AS HUGEINT) * a),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS place FROM kept)
+SELECT lang, CAST(place AS BIGINT) AS rank, phrase, a, l, r, CAST(totals.n AS BIGINT) AS n, score
+FROM placed JOIN totals USING (lang) WHERE place <= 2000"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, merkle, oracles, packing, pii, toxicity
+from tidemark.llm import chat, contamination, licenses, merkle, oracles, packing, phrases, pii, toxicity
 from tidemark.llm.contamination import Decontamination
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.near_text import NearTexts
@@ -25,6 +25,8 @@ ORACLES: dict[str, str] = {
     "op5_embedding_neighbours": oracles.VECTORS,
     "op8_decontamination": oracles.CONTAMINATION,
     "op10_chat_formatting": oracles.CHATS,
+    "op11_license_scan": oracles.LICENSES,
+    "op12_phrases": oracles.PHRASES,
     "op13_merkle_manifest": oracles.MANIFEST,
 }
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -93,6 +95,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(rows.withColumn("parts", chat.text_part(F.col("text")))))
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.LicenseScan(table(spark, sf_dir, "documents")).scanned())
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.Phrases(table(spark, sf_dir, "documents"), least=30).best()
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
