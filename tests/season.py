@@ -191,13 +191,14 @@ def season(**changes: list[dict]) -> dict[str, list[dict]]:
 def land(spark: SparkSession, root: str, load_id: str, tables: dict[str, list[dict]], commit: bool = True) -> None:
     """Append one load the way a fetch job does, and commit it last."""
     by_raw = {m.raw: m for m in MODELS.values()}
+    landed = []
     for name, records in tables.items():
         lines = spark.createDataFrame([(json.dumps(r),) for r in records], "line string")
         schema = raw_schema(by_raw[name])
         parsed = lines.select(_parse(schema).alias("r")).select("r.*")
-        bronze.append_load(parsed, root, name, load_id, DATES[load_id])
+        landed.append(bronze.append_load(parsed, root, name, load_id, DATES[load_id]))
     if commit:
-        bronze.commit_load(spark, root, load_id, "fpl", f"{DATES[load_id]}T06:05:00Z", [DATES[load_id]])
+        bronze.commit_load(spark, root, load_id, "fpl", f"{DATES[load_id]}T06:05:00Z", landed=landed)
 
 
 def _parse(schema):

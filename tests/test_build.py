@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from tests import season
 from tests.conftest import rows
-from tidemark.plans import checks, gold
-from tidemark.plans.build import BrokenChecks, NoCommittedLoad, build, build_checked, run_checks
+from tidemark.plans import checks, gold, silver
+from tidemark.plans.build import MARTS, BrokenChecks, NoCommittedLoad, build, build_checked, run_checks
 from tidemark.plans.silver import MODELS
 from tidemark.sources.bronze import MissingSource
 from tidemark.sources.layers import ContractError, Lake
@@ -156,8 +156,12 @@ def test_failed_checks_stop_the_build(spark, tmp_path):
     assert "stg_fpl__players.accepted (1)" in str(error.value)
 
 
-def _published(base):
-    return sorted(str(p.relative_to(base)) for layer in ("silver", "gold") for p in (base / layer).rglob("part-*"))
+def _published(spark, lake):
+    """What a reader sees: the build, and the load that each typed table of it holds."""
+    now = lake.current(spark)
+    loads = {n: {r[0] for r in now.read(spark, "silver", n).select("load_id").distinct().collect()} for n in silver.MODELS}
+    sizes = {n: now.read(spark, "gold", n).count() for n in MARTS}
+    return now, loads, sizes
 
 
 def test_a_lost_table_stops_the_build(spark, tmp_path):
@@ -165,26 +169,26 @@ def test_a_lost_table_stops_the_build(spark, tmp_path):
     raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
     season.land(spark, raw, season.NEW, season.season())
     build_checked(spark, raw, lake)
-    before = _published(tmp_path)
+    before = _published(spark, lake)
     less = f"{tmp_path}/less"
     season.land(spark, less, season.NEW, {k: v for k, v in season.season().items() if k != "fixtures"})
     with pytest.raises(MissingSource, match="fixtures"):
         build_checked(spark, less, lake)
-    assert _published(tmp_path) == before
+    assert _published(spark, lake) == before
 
 
 def test_broken_data_is_not_published(spark, tmp_path):
     raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
     season.land(spark, raw, season.NEW, season.season())
     build_checked(spark, raw, lake)
-    before = _published(tmp_path)
+    before = _published(spark, lake)
     players = season.elements()
     players[0]["team"] = 77
     broken = f"{tmp_path}/broken"
     season.land(spark, broken, season.NEW, season.season(elements=players))
     with pytest.raises(BrokenChecks, match="stg_fpl__players.team_id.parent"):
         build_checked(spark, broken, lake)
-    assert _published(tmp_path) == before
+    assert _published(spark, lake) == before
 
 
 def test_published_columns_are_a_contract(spark, tmp_path):
@@ -219,3 +223,68 @@ def test_building_twice_gives_the_same(spark, tmp_path):
     again = build(spark, raw, lake)
     assert rows(again["mart_position_scarcity"]) == first
     assert run_checks(again).count() == 0
+
+
+class _Killed(RuntimeError):
+    pass
+
+
+def test_readers_see_one_whole_build_wherever_it_dies(spark, tmp_path, monkeypatch):
+    """A second build is killed among its typed tables, among its marts, before and after the pointer."""
+    raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
+    season.land(spark, raw, season.OLD, season.season())
+    build(spark, raw, lake)
+    before = _published(spark, lake)
+    season.land(spark, raw, season.NEW, season.season(elements=season.elements()[:-1]))
+    write, publish = Lake.write, Lake.publish
+    for model in ("stg_fpl__teams", "mart_player_value"):
+
+        def dying(self, df, layer, name, contract=None, last=model):
+            if name == last:
+                raise _Killed(name)
+            write(self, df, layer, name, contract)
+
+        monkeypatch.setattr(Lake, "write", dying)
+        with pytest.raises(_Killed):
+            build(spark, raw, lake)
+        assert _published(spark, lake) == before
+    monkeypatch.setattr(Lake, "write", write)
+
+    def never(self, *_):
+        raise _Killed("publish")
+
+    monkeypatch.setattr(Lake, "publish", never)
+    with pytest.raises(_Killed):
+        build(spark, raw, lake)
+    assert _published(spark, lake) == before
+
+    def late(self, *given):
+        publish(self, *given)
+        raise _Killed("after")
+
+    monkeypatch.setattr(Lake, "publish", late)
+    with pytest.raises(_Killed):
+        build(spark, raw, lake)
+    now, loads, sizes = _published(spark, lake)
+    assert now != before[0] and set().union(*loads.values()) == {season.NEW}
+    # Whoever resolved the older build before still reads it, whole.
+    assert {r[0] for r in before[0].read(spark, "silver", "stg_fpl__teams").select("load_id").collect()} == {season.OLD}
+    assert lake.retire(spark, keep=1) == [before[0].root.rsplit("/", 1)[1]]
+    assert _published(spark, lake) == (now, loads, sizes)
+
+
+def test_only_builds_of_a_lake_are_published(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    with pytest.raises(ValueError, match="not a build"):
+        lake.publish(spark, Lake(f"{tmp_path}/elsewhere"))
+    with pytest.raises(ValueError):
+        lake.retire(spark, keep=0)
+    one, two = lake.aside(), lake.aside()
+    assert lake.current(spark) == lake
+    lake.publish(spark, one)
+    lake.publish(spark, two)
+    assert lake.current(spark) == two
+    lake.publish(spark, one)
+    assert lake.current(spark) == one and len(lake.pointers(spark)) == 3
+    assert lake.retire(spark, keep=2) == []
+    assert lake.current(spark) == one

@@ -1,5 +1,10 @@
 """Raw loads, the ledger, snapshots, typing and envelopes."""
 
+import os
+import re
+import subprocess
+import sys
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -66,6 +71,89 @@ def test_only_the_loads_dates_are_read(spark, tmp_path):
     assert rows(every.select("id")) == [(4,)]
 
 
+def test_a_loads_own_files_are_read(spark, tmp_path):
+    """Fifty loads of one date and dead ones beside them: a reader opens one fiftieth, whatever
+    other loads are committed."""
+    root, day = str(tmp_path), "2001-09-09"
+    for i in range(50):
+        load_id = f"{1_000_000_000 + i}.5"
+        df = spark.createDataFrame([(i * 100 + j, "x" * 50) for j in range(20)], SCHEMA).coalesce(1)
+        if i == 7:
+            # An attempt that died under the same id, and one of a load that never committed.
+            bronze.append_load(df, root, "things", load_id, day)
+            bronze.append_load(df, root, "things", f"{load_id}-1", day)
+        landed = [bronze.append_load(df, root, "things", load_id, day)]
+        if i in (7, 8):
+            landed.append(bronze.append_load(df.limit(0), root, "nothing", load_id, day))
+            bronze.commit_load(spark, root, load_id, "test", f"{day}T01:00:00Z", landed=landed)
+    load_id = "1000000007.5"
+    files = bronze.files_of(spark, root, load_id)
+    one = bronze.read_table(spark, root, "things", SCHEMA, load_id, [day], files=files)
+    everything = bronze.read_table(spark, root, "things", SCHEMA, load_id, [day])
+    assert len(one.inputFiles()) == 1 and len(everything.inputFiles()) == 52
+    assert rows(one.select("id")) == [(700 + j,) for j in range(20)]
+    assert everything.count() == 40 and one.select("load_date").distinct().count() == 1
+    size = {f: os.path.getsize(f.removeprefix("file://")) for f in everything.inputFiles()}
+    assert sum(size[f] for f in one.inputFiles()) * 45 < sum(size.values())
+    with pytest.raises(bronze.MissingSource):
+        bronze.read_table(spark, root, "nothing", SCHEMA, load_id, files=files)
+    assert bronze.read_table(spark, root, "nothing", SCHEMA, load_id, optional=True, files=files).count() == 0
+    assert bronze.files_of(spark, root, "1000000001.5") is None
+
+
+def test_loads_have_names_of_their_own():
+    names = ["1.5", "1.5-1", "1_5", "1-5", "1_2d_5", "a/b", "a*b"]
+    found = [bronze._name(n) for n in names]
+    assert len(set(found)) == len(names) and all(re.fullmatch("[A-Za-z0-9._]+", f) for f in found)
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    root, load_id, day = str(tmp_path), "1000000000.5", "2001-09-09"
+    df = spark.range(1000).selectExpr("id", "CAST(id AS STRING) AS note").repartition(7)
+    landed = [
+        bronze.append_load(df, root, "a", load_id, day),
+        bronze.append_load(df.limit(0), root, "b", load_id, day),
+        bronze.append_load(df.filter("id < 30"), root, "a", load_id, "2001-09-10"),
+        bronze.append_load(df, root, "_dlt_own", load_id, day),
+    ]
+    assert [x.rows for x in landed] == [1000, 0, 30, 1000]
+    bronze.commit_load(spark, root, load_id, "test", f"{day}T01:00:00Z", landed=landed)
+    bronze.commit_load(spark, root, "1000000001.5", "test", f"{day}T02:00:00Z", [day])
+    counts = bronze.ledger_row_counts(bronze.read_ledger(spark, root))
+    assert rows(counts) == sorted([(load_id, "a", 1030), (load_id, "b", 0), (load_id, None, 1030)], key=repr)
+    assert rows(bronze.ledger_row_counts(bronze.read_ledger(spark, root), "1000000001.5")) == []
+    read = {f.rsplit("/", 2)[1] for f in counts.inputFiles()}
+    assert read == {bronze.LEDGER}
+
+
+RETRIED = """
+import sys
+from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark import TaskContext
+sys.path.insert(0, {repo!r})
+from tidemark.sources import bronze
+
+spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").getOrCreate())
+
+def fragile(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().partitionId() == 1 and TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost after its rows went out")
+
+df = spark.range(0, 100, 1, 4).mapInArrow(fragile, "id long")
+print("ROWS", bronze.append_load(df, {root!r}, "t", "1.5", "2001-09-09").rows, spark.read.json({root!r} + "/t").count())
+"""
+
+
+def test_a_retried_task_counts_once(tmp_path):
+    """A task that fails after it has passed on all its rows is run again; its rows count once."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = RETRIED.format(repo=repo, root=str(tmp_path / "raw"))
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=240)
+    assert "ROWS 100 100" in done.stdout, done.stderr[-2000:]
+
+
 def test_null_fields_are_left_out_of_the_file(spark, tmp_path):
     root = str(tmp_path)
     land(spark, root, "1000000000.5", "2001-09-09", [1])

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, rows
+from tidemark.operators.asof import as_of
 from tidemark.operators import checks, game, grain, identity, runs, selection, snapshot
 
 # ---- Grain. ----
@@ -34,7 +35,7 @@ def test_the_grid_is_not_shuffled(spark):
     cells = teams.join(weeks.limit(3)).withColumn("n", F.lit(1).cast("long"))
     grid = grain.dense_cells(teams, cells, weeks, "team", "gw", ["n"])
     plan = plan_of(grain.rolling_outlook(grid, "team", "gw", {"n": "n"}, 5))
-    above = plan[: plan.index("Generate explode")]
+    above = plan[: plan.index("Generate posexplode")]
     assert "Window" in above and "Exchange hashpartitioning" not in above
 
 
@@ -243,6 +244,62 @@ def test_a_day_without_a_run_is_missed(spark):
     assert [r["is_fresh"] for r in later.collect()] == [True, False, True, True]
 
 
+def test_a_run_across_midnight_makes_the_second_day_fresh(spark):
+    """Started on the 1st at 23:50, finished on the 2nd at 00:30; nothing after that."""
+    records = [
+        ("a", 1, "start", _at(1, "23:50"), "running", None, None),
+        ("a", 1, "finish", _at(2, "00:30"), "success", 50, 100),
+        ("b", 1, "start", _at(3, "09:00"), "running", None, None),
+    ]
+    paired = runs.pair_runs(spark.createDataFrame(records, RUN))
+    got = [(r["day"].day, r["runs"], r["is_fresh"], r["data_age_seconds"], r["fresh_days_30d"])
+           for r in runs.daily_indicators(paired, expected_rows=50).orderBy("day").collect()]
+    assert got == [(1, 1, False, None, 0.0), (2, 0, True, 27_000, 0.5), (3, 1, False, 113_400, 1 / 3)]
+
+
+@pytest.mark.parametrize("session", ["UTC", "America/New_York"])
+def test_days_are_those_of_the_given_zone(spark, session):
+    """23:30 UTC is half past one of the next day in Athens, whatever the session's zone."""
+    utc = datetime.timezone.utc
+    started, finished = (datetime.datetime(2024, 1, 1, 23, m, tzinfo=utc) for m in (10, 30))
+    schema = "run_key string, attempt int, started_at timestamp, finished_at timestamp, rows_processed long, peak_mem_mb int, status string, duration_seconds long"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        paired = spark.createDataFrame([("a", 1, started, finished, 50, 1, "success", 1200)], schema)
+        athens = runs.daily_indicators(paired, expected_rows=50, zone="Europe/Athens").collect()
+        assert [(str(r["day"]), r["is_fresh"], r["data_age_seconds"]) for r in athens] == [("2024-01-02", True, 23_400)]
+        york = runs.daily_indicators(paired, expected_rows=50, zone="America/New_York", deadline="18:30").collect()
+        assert [(str(r["day"]), r["is_fresh"], r["data_age_seconds"]) for r in york] == [("2024-01-01", True, 0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_as_of_by_brute_force(spark, width):
+    """Ties in time, equal moments on both sides, null keys and moments, one key with most rows."""
+    rng = random.Random(width)
+    key = lambda: rng.choice(["hot"] * 6 + ["a", "b", None])
+    moment = lambda: rng.choice([None, *range(-40, 60)])
+    left = [(i, key(), moment()) for i in range(300)]
+    right = [(key(), moment(), rng.choice([None, 1, 2, 3]), rng.choice("xyz")) for _ in range(150)]
+    got = as_of(
+        spark.createDataFrame(left, "id int, k string, at long").repartition(4),
+        spark.createDataFrame(right, "k string, t long, v int, w string").repartition(3),
+        "at", ["v", "w"], by=["k"], width=width, right_at="t",
+    )
+    want = []
+    for i, k, at in left:
+        seen = [(t, -1 if v is None else v, w) for r, t, v, w in right if None not in (k, at, r, t) and r == k and t <= at]
+        t, v, w = max(seen, default=(None, None, None))
+        want.append((i, k, at, t, None if v == -1 else v, w))
+    assert rows(got) == sorted(want, key=repr)
+    assert got.columns == ["id", "k", "at", "as_of", "v", "w"]
+    nothing = spark.createDataFrame([], "k string, t long, v int, w string")
+    alone = as_of(spark.createDataFrame(left, "id int, k string, at long"), nothing, "at", ["v"], by=["k"], right_at="t")
+    assert alone.filter("as_of IS NULL").count() == 300
+
+
 def test_start_and_finish_are_separate_files(spark, tmp_path):
     records = spark.createDataFrame([("k", "start"), ("k", "finish")], "run_key string, event string")
     records = records.withColumn("load_date", F.lit("2026-01-01").cast("date"))

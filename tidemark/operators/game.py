@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import as_of
 from tidemark.operators.ranking import running_total, with_rank
 from tidemark.session import staged
 
@@ -163,8 +164,33 @@ def bank_balance(
     return spent.withColumn("bank_tenths", bank).withColumn("is_valid", bank >= 0).drop("flow_tenths")
 
 
-# Weeks folded together before they are put after the earlier ones.
-FOLD_CHUNK = 64
+# Weeks (and spans of weeks) whose maps one task composes.
+SPAN = 64
+# Beyond any number of transfers: the limits of a map that has none.
+_NO_LIMIT = 1 << 50
+
+
+def _clamp(x: Column, low: Column, high: Column) -> Column:
+    return F.least(F.greatest(x, low), high)
+
+
+def _then(first: Column, second: Column) -> Column:
+    """Two maps x -> clamp(x + shift, low, high) as one, the first played first."""
+    return F.struct(
+        (first["shift"] + second["shift"]).alias("shift"),
+        _clamp(first["low"] + second["shift"], second["low"], second["high"]).alias("low"),
+        _clamp(first["high"] + second["shift"], second["low"], second["high"]).alias("high"),
+    )
+
+
+def _map(shift: Column, low: Column, high: Column) -> Column:
+    return F.struct(*[c.cast("long").alias(n) for c, n in ((shift, "shift"), (low, "low"), (high, "high"))])
+
+
+def _maps_before(maps: Column) -> Column:
+    """For each map of an array the composition of those before it, and that of all at the end."""
+    none = _map(F.lit(0), F.lit(-_NO_LIMIT), F.lit(_NO_LIMIT))
+    return F.aggregate(maps, F.array(none), lambda done, m: F.concat(done, F.array(_then(F.element_at(done, -1), m))))
 
 
 def transfer_hits(
@@ -172,47 +198,56 @@ def transfer_hits(
     manager: str,
     gameweek: str,
     banked_most: int = FREE_BANKED_MOST,
+    span: int = SPAN,
 ) -> DataFrame:
     """Free transfers and point hits of every gameweek, in sequence.
 
-    `per_gameweek` holds one row per manager and gameweek with `transfers`, gameweeks without one
-    included (lay them on a dense grid first). What is carried over depends on every gameweek
-    before, so a manager's counts are folded in order; that array is as long as the calendar. A
-    fold copies what it has gathered at every step, so the weeks are folded in chunks.
+    `per_gameweek` holds one row per manager and gameweek (a whole number) with `transfers`,
+    gameweeks without one included (lay them on a dense grid first). What is carried over depends
+    on every gameweek before: a gameweek maps carried transfers x to clamp(x + 1 - transfers, 1,
+    most), and two such maps are one again, of three numbers. The maps of each manager's `span`
+    gameweeks are composed, then those of `span` spans, until one span holds the calendar; on the
+    way back every span learns what it begins with. So a task holds `span` rows of a manager, and
+    however long the calendar is, a manager's gameweeks spread over many tasks.
     """
-    in_order = F.array_sort(F.collect_list(F.struct(gameweek, "transfers")))
-    per_manager = per_gameweek.groupBy(manager).agg(in_order.alias("weeks"))
-
-    def play(done: Column, week: Column) -> Column:
-        free = done["free"]
-        left = free - F.least(free, week["transfers"]) + F.lit(FREE_PER_GAMEWEEK)
-        return F.struct(
-            F.least(left, F.lit(banked_most)).cast("long").alias("free"),
-            F.concat(done["history"], F.array(free)).alias("history"),
-        )
-
-    def play_chunk(done: Column, chunk: Column) -> Column:
-        start = F.struct(done["free"].alias("free"), F.array().cast("array<bigint>").alias("history"))
-        return F.transform(
-            F.array(F.aggregate(chunk, start, play)),
-            lambda c: F.struct(
-                c["free"].alias("free"), F.concat(done["history"], F.array(c["history"])).alias("history")
-            ),
-        )[0]
-
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("weeks") - 1) / FOLD_CHUNK).cast("int")),
-        lambda i: F.slice("weeks", i * FOLD_CHUNK + 1, F.lit(FOLD_CHUNK)),
+    low, high = per_gameweek.agg(F.min(gameweek), F.max(gameweek)).first()
+    low, high = (0, 0) if low is None else (int(low), int(high))
+    spans = per_gameweek.groupBy(manager, F.expr(f"({gameweek} - {low}L) div {span}L").alias("at")).agg(
+        F.array_sort(F.collect_list(F.struct(gameweek, "transfers"))).alias("weeks")
     )
-    begin = F.struct(
-        F.lit(FREE_PER_GAMEWEEK).cast("long").alias("free"),
-        F.array().cast("array<array<bigint>>").alias("history"),
+    week_map = lambda w: _map(F.lit(FREE_PER_GAMEWEEK) - w["transfers"], F.lit(FREE_PER_GAMEWEEK), F.lit(banked_most))
+    begins = F.lit(FREE_PER_GAMEWEEK).cast("long")
+    last = (high - low) // span
+    if last == 0:
+        spans = spans.withColumn("begins", begins)
+    else:
+        spans = staged(spans.withColumn("map", F.element_at(_maps_before(F.transform("weeks", week_map)), -1)), "spans")
+        tiers = [spans.select(manager, "at", "map")]
+        while last > 0:
+            above = tiers[-1].groupBy(manager, F.expr(f"at div {span}L").alias("at")).agg(
+                F.array_sort(F.collect_list(F.struct("at", "map"))).alias("inside")
+            )
+            above = above.withColumn("before", _maps_before(F.transform("inside", lambda x: x["map"])))
+            above = above.withColumn("map", F.element_at("before", -1))
+            tiers.append(staged(above, "spans-above"))
+            last //= span
+        told = tiers[-1].select(manager, "at", begins.alias("begins"))
+        for tier in tiers[:0:-1]:
+            below = F.arrays_zip(F.col("inside").alias("child"), F.slice("before", 1, F.size("inside")).alias("map"))
+            each = tier.join(told, [manager, "at"]).select(manager, "begins", F.explode(below).alias("x"))
+            told = each.select(
+                manager,
+                F.col("x.child.at").alias("at"),
+                _clamp(F.col("begins") + F.col("x.map.shift"), F.col("x.map.low"), F.col("x.map.high")).alias("begins"),
+            )
+        spans = spans.join(told, [manager, "at"])
+    started = F.transform(
+        _maps_before(F.transform("weeks", week_map)), lambda m: _clamp(F.col("begins") + m["shift"], m["low"], m["high"])
     )
-    history = F.aggregate(chunks, begin, play_chunk, lambda done: F.flatten(done["history"]))
-    each = F.explode(F.arrays_zip(F.col("weeks").alias("week"), history.alias("free"))).alias("w")
+    each = F.explode(F.arrays_zip(F.col("weeks").alias("week"), F.slice(started, 1, F.size("weeks")).alias("free"))).alias("w")
     extra = F.greatest(F.col("transfers") - F.col("free_transfers"), F.lit(0))
     return (
-        per_manager.select(manager, each)
+        spans.select(manager, each)
         .select(
             manager,
             F.col(f"w.week.{gameweek}").alias(gameweek),
@@ -337,19 +372,37 @@ def net_scores(scores: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame
 def league_table(scores: DataFrame, phases: DataFrame, manager: str, gameweek: str) -> DataFrame:
     """Managers ranked by the points of each phase, the season-long one included.
 
-    A phase is unfolded into its gameweeks, so the range condition becomes an equality; scores
-    are summed per manager and gameweek before they meet the phases.
+    Scores are summed per manager and gameweek, and those along the calendar. A phase's points are
+    the difference of two running totals, at its last gameweek and before its first one, each found
+    by an as-of join: a gameweek is read once, however many phases hold it. A manager without a
+    gameweek in a phase is not in its table; points that are all unknown stay unknown.
     """
-    weekly = scores.groupBy(manager, gameweek).agg(F.sum("points").alias("points"))
-    member = phases.select(
-        "phase_id", F.explode(F.sequence("first_gameweek_id", "last_gameweek_id")).alias(gameweek)
+    weekly = scores.groupBy(manager, F.col(gameweek).cast("long").alias("week")).agg(
+        F.sum("points").alias("points"), F.count("points").alias("known")
     )
-    totals = (
-        weekly.join(member, gameweek)
-        .groupBy("phase_id", manager)
-        .agg(F.sum("points").alias("points"))
+    weekly = weekly.na.fill(0, subset=["points"]).withColumns({"weeks": F.lit(1), "span": F.expr(f"week div {SPAN}L")})
+    sums = ["points", "known", "weeks"]
+    weekly = staged(weekly, "league-weeks")
+    inside = Window.partitionBy(manager, "span").orderBy("week")
+    ends = weekly.groupBy(manager, "span").agg(*[F.sum(c).alias(c) for c in sums])
+    earlier = Window.partitionBy(manager).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(manager, "span", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in sums])
+    totals = weekly.withColumns({f"in_{c}": F.sum(c).over(inside) for c in sums}).join(ends, [manager, "span"])
+    totals = totals.select(manager, "week", *[(F.col(f"in_{c}") + F.col(f"before_{c}")).alias(c) for c in sums])
+
+    first, last = F.col("first_gameweek_id").cast("long"), F.col("last_gameweek_id").cast("long")
+    edges = F.array(
+        F.struct((first - 1).alias("at"), F.lit(-1).alias("sign")), F.struct(last.alias("at"), F.lit(1).alias("sign"))
     )
-    return with_rank(staged(totals, "league"), ["phase_id"], "points", "league_rank")
+    marks = phases.select("phase_id", F.explode(edges).alias("e")).select(F.struct("phase_id", "e.*").alias("mark"))
+    # Phases are a handful of settings: their marks go to every manager's row as one array.
+    marks = marks.agg(F.collect_list("mark")).scalar()
+    asked = weekly.select(manager).distinct().select(manager, F.explode(marks).alias("_mark")).select(manager, "_mark.*")
+    found = as_of(asked, totals, "at", sums, by=[manager], right_at="week")
+    points, known, weeks = (F.sum(F.col("sign") * F.coalesce(c, F.lit(0))).alias(c) for c in sums)
+    table = found.groupBy("phase_id", manager).agg(points, known, weeks).filter("weeks > 0")
+    table = table.select("phase_id", manager, F.when(F.col("known") > 0, F.col("points")).alias("points"))
+    return with_rank(staged(table, "league"), ["phase_id"], "points", "league_rank")
 
 
 def scoring_table(spark: SparkSession) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
+from tidemark.session import staged
 
 
 def unpivot_sides(
@@ -39,39 +40,34 @@ def own_and_opponent(**pairs: tuple[str, str, str, str]) -> dict[str, tuple[str,
     return mirrored
 
 
-# A calendar has one row per period. Up to this many rows it is sent to every task.
-BROADCAST_PERIODS = 20_000
+def _positions(calendar: DataFrame, period: str) -> tuple[DataFrame, int]:
+    """The calendar with each period's position in it, and how many there are.
 
+    A calendar has one row per period, so numbering it is one small window. It is written and read
+    back: its size is then known, and Spark's own check decides whether a join sends it to every
+    task or shuffles.
+    """
+    place = (F.row_number().over(Window.orderBy(period)) - 1).alias("_place")
+    numbered = staged(calendar.filter(F.col(period).isNotNull()).select("*", place), "calendar")
+    return numbered, numbered.count()
 
-def _spread(
-    entities: DataFrame, calendar: DataFrame, period: str, step: str | None
-) -> tuple[DataFrame, DataFrame]:
-    """Entities unfolded over the calendar's span, and the calendar ready to be joined.
 
-    One small job reads the first and last period and the row count; the count decides whether
-    the calendar may be broadcast, or joins by shuffle like any other table.
-    """
-    lo, hi, rows = calendar.agg(F.min(period), F.max(period), F.count(F.lit(1))).first()
-    kind = calendar.schema[period].dataType
-    ends = [F.lit(lo).cast(kind), F.lit(hi).cast(kind)]
-    every = F.sequence(*ends, *([F.expr(step)] if step else []))
-    if lo is None:
-        every = F.array().cast(f"array<{kind.simpleString()}>")
-    small = F.broadcast(calendar) if rows <= BROADCAST_PERIODS else calendar
-    return entities.withColumn(period, F.explode(every)), small
-
-
-def dense_grid(
-    entities: DataFrame, calendar: DataFrame, period: str, step: str | None = None
-) -> DataFrame:
+def dense_grid(entities: DataFrame, calendar: DataFrame, period: str) -> DataFrame:
     """Every entity in every period of the calendar, without a cross join.
 
-    Each entity row unfolds over the calendar's span and then meets the calendar on an equality,
-    which drops period numbers the calendar lacks and adds the calendar's attributes. The size
-    of the result is entities x periods by definition; it is not shuffled.
+    Each entity row unfolds into the calendar's positions and meets the calendar on them, so
+    periods may lie as far apart as they like. The size of the result is entities x periods by
+    definition.
     """
-    spread, small = _spread(entities, calendar, period, step)
-    return spread.join(small, period)
+    numbered, rows = _positions(calendar, period)
+    spread = entities.withColumn("_place", F.explode(_upto(rows)))
+    return spread.join(numbered, "_place").select(period, *entities.columns, *[c for c in calendar.columns if c != period])
+
+
+def _upto(rows: int) -> Column:
+    if rows == 0:
+        return F.array().cast("array<int>")
+    return F.sequence(F.lit(0), F.lit(rows - 1))
 
 
 def dense_cells(
@@ -81,21 +77,29 @@ def dense_cells(
     entity: str,
     period: str,
     counts: Sequence[str],
-    step: str | None = None,
 ) -> DataFrame:
     """The dense grid with facts laid on it; a missing count is zero, other measures are NULL.
 
-    `cells` are facts already reduced to one row per entity and period. They move as one map per
-    entity, at most as long as the calendar, and the grid unfolds after that shuffle. So the
-    grid's rows are never shuffled, and a window over an entity's periods needs no exchange.
+    `cells` are facts already reduced to one row per entity and period; two of them in one place
+    stop the query. They move as one array per entity, in which a cell's place is its period's
+    position in the calendar, and the grid unfolds after that shuffle. So no grid row is looked up
+    or shuffled, and a window over an entity's periods needs no exchange.
     """
+    numbered, rows = _positions(calendar, period)
     measures = [c for c in cells.columns if c not in (entity, period)]
-    entry = F.struct(F.col(period), F.struct(*measures).alias("cell"))
-    maps = cells.groupBy(entity).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
-    spread, small = _spread(entities.join(maps, entity, "left"), calendar, period, step)
-    laid = spread.withColumn("cell", F.try_element_at("cells", F.col(period)))
-    grid = laid.select(*entities.columns, period, "cell.*").na.fill(0, subset=list(counts))
-    return grid.join(small, period)
+    placed = cells.join(numbered.select(period, "_place"), period).withColumn("_cell", F.struct(*measures))
+    none = f"CAST(NULL AS {placed.schema['_cell'].dataType.simpleString()})"
+    entries = placed.groupBy(entity).agg(F.array_sort(F.collect_list(F.struct("_place", "_cell"))).alias("_entries"))
+    until = f"coalesce(get(_entries, i + 1)._place, {rows})"
+    gap = f"if({until} > e._place, {until} - e._place - 1, raise_error('two cells of one entity and period'))"
+    laid = (
+        f"concat(array_repeat({none}, coalesce(get(_entries, 0)._place, {rows})),"
+        f" flatten(transform(coalesce(_entries, array()), (e, i) -> concat(array(e._cell), array_repeat({none}, {gap})))))"
+    )
+    wide = entities.join(entries, entity, "left").select(*entities.columns, F.posexplode(F.expr(laid)).alias("_place", "_cell"))
+    grid = wide.select(*entities.columns, "_place", "_cell.*").na.fill(0, subset=list(counts))
+    rest = [c for c in calendar.columns if c != period]
+    return grid.join(numbered, "_place").select(period, *entities.columns, *measures, *rest)
 
 
 def day_calendar(events: DataFrame, time: str, day: str = "day") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
+from tidemark.session import staged
 
 BUCKETS = 256
 # Distinct values one window task sorts, about.
@@ -228,16 +229,123 @@ def with_percent_rank(
     return with_positions(df, keys, value, {name: PERCENT_RANK}, descending, points)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """The exact median of each group, from the value positions; NULLs are ignored."""
-    positions = value_positions(df.filter(f"`{value}` IS NOT NULL"), keys, value)
+# Ranks in a sketch are right to one part in so many; brackets are a few parts wide.
+SKETCH_PARTS = 10_000
+BRACKET_PARTS = 4
+# Distinct values of one group that are looked through one by one at the end.
+FEW = 1 << 16
+CELLS = 256
+
 
-    def at(place: str) -> str:
-        return f"max(if(before <= {place} AND {place} < before + ties, `{value}`, NULL))"
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, outputs: dict[str, float], few: int = FEW, parts: int = SKETCH_PARTS
+) -> DataFrame:
+    """Exact quantiles of each group by selection, interpolated between neighbours; NULLs are
+    ignored, and so are groups without a value.
 
-    lower, upper = "(group_rows - 1) DIV 2", "group_rows DIV 2"
-    middle = f"({at(lower)} + {at(upper)}) / 2.0D AS `{name}`"
-    return positions.groupBy(*keys).agg(F.expr(middle))
+    `outputs` maps names to shares. No group is sorted: a sketch brackets the two neighbours of
+    each share, one hash aggregate counts the rows below each bracket and the distinct values in
+    it, and where these are still many, the bracket is cut into cells, the cells are weighed and
+    the one with the wanted rank becomes the bracket. At most `few` values of a group meet.
+    """
+    keys, known = list(keys), df.filter(f"`{value}` IS NOT NULL")
+    shares = list(outputs.values())
+    number = f"CAST(`{value}` AS DOUBLE)"
+    slack = BRACKET_PARTS / parts
+    ends = ", ".join(f"{max(0.0, q - slack)!r}D, {min(1.0, q + slack)!r}D" for q in shares)
+    sketch = known.groupBy(*keys).agg(
+        F.expr(f"percentile_approx({number}, array({ends}), {parts})").alias("_ends"), F.count(F.lit(1)).alias("_rows")
+    )
+    sketch = staged(sketch.select(*[F.col(k).alias(f"_{k}") for k in keys], "_ends", "_rows"), "quantile-sketch")
+    most = sketch.agg(F.max("_rows")).first()[0] or 0
+
+    # One row per group and share; a value counts where it is at or below the bracket's end.
+    bracket = "explode(transform(sequence(0, {n}), i -> named_struct('q', i, 'lo', _ends[2 * i], 'hi', _ends[2 * i + 1])))"
+    brackets = sketch.selectExpr("*", bracket.format(n=len(shares) - 1) + " AS _b").drop("_ends")
+    same = F.expr(_same_row(keys)) if keys else F.lit(True)
+    inside = F.when(F.expr(f"{number} >= _b.lo"), F.col(value))
+    counted = (
+        known.join(brackets, same & F.expr(f"{number} <= _b.hi"))
+        .groupBy(*keys, F.col("_b.q").alias("_q"), "_rows", inside.alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_ties"))
+    )
+    groups = [*keys, "_q", "_rows"]
+    if most * 2 * BRACKET_PARTS > few * parts:
+        counted = _narrowed(staged(counted, "quantile-cells"), groups, shares, few)
+    return _selected(counted, groups, keys, outputs)
+
+
+def _place(shares: Sequence[float]) -> str:
+    """The exact place of each share among `_rows` values, from 0; places may lie between two."""
+    cases = " ".join(f"WHEN {i} THEN {q!r}D" for i, q in enumerate(shares))
+    return f"((CASE _q {cases} END) * (_rows - 1))"
+
+
+def _narrowed(counted: DataFrame, groups: list[str], shares: Sequence[float], few: int) -> DataFrame:
+    """Brackets cut down to at most `few` distinct values each."""
+    while True:
+        sizes = counted.groupBy(*groups).agg(F.count("_value").alias("_values"))
+        if (sizes.agg(F.max("_values")).first()[0] or 0) <= few:
+            return counted
+        number = "CAST(_value AS DOUBLE)"
+        steps = ", ".join(f"{i / CELLS!r}D" for i in range(1, CELLS))
+        cuts = counted.filter("_value IS NOT NULL").groupBy(*[F.col(c).alias(f"_{c}") for c in groups]).agg(
+            F.expr(f"array_distinct(percentile_approx({number}, array({steps}), {4 * CELLS}))").alias("_cuts")
+        )
+        celled = counted.join(cuts, F.expr(_same_row(groups))).withColumn(
+            "_cell", F.expr(f"if(_value IS NULL, -1, size(filter(_cuts, p -> p <= {number})))")
+        ).select(*counted.columns, "_cell")
+        weights = celled.groupBy(*groups, "_cell").agg(F.sum("_ties").alias("_weight"))
+        # The cells of a group are few: their running weights say which hold the two neighbours.
+        listed = weights.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("_cell", "_weight"))).alias("_cells"))
+        low, high = f"CAST(floor({_place(shares)}) AS BIGINT)", f"CAST(ceil({_place(shares)}) AS BIGINT)"
+        running = "aggregate(slice(_cells, 1, i + 1), 0L, (s, c) -> s + c._weight)"
+        holds = f"element_at(filter(transform(_cells, (c, i) -> if({running} > {{at}}, c._cell, NULL)), c -> c IS NOT NULL), 1)"
+        kept = listed.select(
+            *[F.col(c).alias(f"_{c}") for c in groups],
+            F.expr(holds.format(at=low)).alias("_from"),
+            F.expr(holds.format(at=high)).alias("_to"),
+        )
+        within = F.when(F.col("_cell") >= F.col("_from"), F.col("_value"))
+        counted = staged(
+            celled.join(kept, F.expr(_same_row(groups)))
+            .filter("_cell <= _to")
+            .groupBy(*groups, within.alias("_value"))
+            .agg(F.sum("_ties").alias("_ties")),
+            "quantile-cells",
+        )
+
+
+def _selected(counted: DataFrame, groups: list[str], keys: list[str], outputs: dict[str, float]) -> DataFrame:
+    """The values at the wanted places; NULL stands for all rows below the bracket."""
+    place = _place(list(outputs.values()))
+    listed = counted.groupBy(*groups).agg(
+        F.expr("coalesce(sum(if(_value IS NULL, _ties, 0)), 0) AS _below"),
+        F.expr("array_sort(collect_list(if(_value IS NULL, NULL, struct(_value, _ties)))) AS _values"),
+    )
+    found = (
+        "aggregate(_values, named_struct('seen', _below, 'found', CAST(NULL AS {kind})),"
+        " (s, v) -> named_struct('seen', s.seen + v._ties, 'found',"
+        " coalesce(s.found, if(s.seen + v._ties > {at}, v._value, NULL))), s -> s.found)"
+    )
+    kind = counted.schema["_value"].dataType.simpleString()
+    sides = [found.format(kind=kind, at=f"CAST({f}({place}) AS BIGINT)") for f in ("floor", "ceil")]
+    sound = f"_below <= CAST(floor({place}) AS BIGINT)"
+    both = listed.selectExpr(
+        *[f"`{g}`" for g in groups], *[f"if({sound}, {x}, raise_error('bracket')) AS _{n}" for x, n in zip(sides, ("low", "high"))]
+    )
+    # Halfway is a plain mean of the two, as a median is defined.
+    share = f"({place} - floor({place}))"
+    number = f"if({share} = 0.5D, (_low + _high) / 2.0D, CAST(_low AS DOUBLE) + (CAST(_high AS DOUBLE) - CAST(_low AS DOUBLE)) * {share})"
+    each = both.withColumn("_at", F.expr(number))
+    return each.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_q") == i, F.col("_at"))).alias(n) for i, n in enumerate(outputs)]
+    )
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """The exact median of each group, by selection; NULLs are ignored."""
+    return exact_quantiles(df, keys, value, {name: 0.5})
 
 
 def extreme_fill(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import ratio
+from tidemark.operators.asof import as_of
 
 # What a metrics file may hold, and the step-duration cap in seconds.
 METRIC_KEYS = ("rows_processed", "peak_mem_mb", "detail")
@@ -134,6 +135,23 @@ def pair_runs(records: DataFrame, key: str = "run_key") -> DataFrame:
     )
 
 
+_DAY = 86_400_000_000
+# Finishes and deadlines of about ten years are one bucket of the as-of join.
+FRESH_BUCKET = 3650 * _DAY
+
+
+def _local_day(at: Column, zone: str) -> Column:
+    """The date of a moment in a zone."""
+    clock = F.unix_micros(F.from_utc_timestamp(at, zone))
+    return F.date_from_unix_date(((clock - F.pmod(clock, F.lit(_DAY))) / _DAY).cast("int"))
+
+
+def _instant(day: str, micros: int, zone: str) -> Column:
+    """The moment, in microseconds, when the clocks of a zone show a time of a day."""
+    clock = F.unix_date(day).cast("long") * _DAY + micros
+    return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(clock), zone))
+
+
 def daily_indicators(
     runs: DataFrame,
     expected_rows: float,
@@ -147,32 +165,46 @@ def daily_indicators(
     """Service indicators per calendar day: fresh or not, first-attempt success, completeness,
     duration and memory.
 
-    `runs` is what `pair_runs` returns. A day is fresh if a run finished with success on it, by
-    the `deadline` in `zone`. Every day from the first start to the last one is a row: a day
-    without any run is not fresh, which is the failure the indicator is for. `budget_spent` is
-    the share of missed days in the window over the share that may be missed. A run that
-    reported no rows and a run that reported zero rows are different: only reported ones count
-    for completeness. The windows cover one row per day.
+    `runs` is what `pair_runs` returns. Days are those of `zone`, whatever the session's zone is. At
+    the `deadline` of each day the newest success finished by then is looked up: a day is fresh if
+    that finish lies on the day itself, however long before the run began, and `data_age_seconds`
+    is how old the newest data is (null before the first success). Runs count on the day of their
+    start. Every day from the first start to the last start or finish is a row: a day without any
+    run is not fresh, which is the failure the indicator is for. `budget_spent` is the share of
+    missed days in the window over the share that may be missed. A run that reported no rows and a
+    run that reported zero rows are different: only reported ones count for completeness. The
+    windows cover one row per day.
     """
     first = F.col("attempt") == 1
     ok = F.col("status") == "success"
-    local = F.from_utc_timestamp(F.to_utc_timestamp(F.col("finished_at").cast("timestamp"), F.current_timezone()), zone)
-    in_time = ok & (local.cast("date") == F.col("day")) & (F.date_format(local, "HH:mm:ss.SSSSSS") <= f"{deadline}:00.000000")
-    daily = runs.groupBy("day").agg(
+    started, finished = (F.col(c).cast("timestamp") for c in ("started_at", "finished_at"))
+    daily = runs.groupBy(_local_day(started, zone).alias("day")).agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(first).alias("scheduled"),
         F.count_if(first & ok).alias("first_attempt_ok"),
-        F.coalesce(F.bool_or(in_time), F.lit(False)).alias("is_fresh"),
         F.sum("rows_processed").alias("rows_reported"),
         F.count("rows_processed").alias("runs_reporting"),
         F.max("duration_seconds").alias("longest_seconds"),
         F.max("peak_mem_mb").alias("peak_mem_mb"),
     )
-    calendar = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi")).alias("day")
+    span = runs.agg(
+        F.min(_local_day(started, zone)).alias("lo"),
+        F.max(F.greatest(_local_day(started, zone), _local_day(finished, zone))).alias("hi"),
+    )
+    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    hours, minutes = (int(x) for x in deadline.split(":"))
+    due = calendar.withColumns(
+        {"opens": _instant("day", 0, zone), "due": _instant("day", (60 * hours + minutes) * 60_000_000, zone)}
+    )
+    done = runs.filter(ok & F.col("finished_at").isNotNull()).select(F.unix_micros(finished).alias("finished"))
+    newest = as_of(due, done, "due", [], right_at="finished", width=FRESH_BUCKET)
+    calendar = newest.select(
+        "day",
+        F.coalesce(F.col("as_of") >= F.col("opens"), F.lit(False)).alias("is_fresh"),
+        F.expr("(due - as_of) div 1000000").alias("data_age_seconds"),
     )
     counts = ["runs", "scheduled", "first_attempt_ok", "runs_reporting"]
-    dense = calendar.join(daily, "day", "left").na.fill(0, subset=counts).na.fill(False, subset=["is_fresh"])
+    dense = calendar.join(daily, "day", "left").na.fill(0, subset=counts)
     # Rows are days: the window is as long as the history in days.
     last_days = Window.orderBy("day").rowsBetween(-(days - 1), 0)
     fresh = ratio(F.sum(F.col("is_fresh").cast("int")).over(last_days), F.count(F.lit(1)).over(last_days))

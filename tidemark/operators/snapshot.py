@@ -7,11 +7,13 @@ row per key: an entity that vanished from the source must vanish here as well.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import differs, epoch_text_to_timestamp
+from tidemark.session import staged
 
 # Fixed value: the ledger status of a load whose every file was written.
 COMMITTED = 0
@@ -74,16 +76,46 @@ def latest_per_key(
 
 
 def value_changes(
-    history: DataFrame, key: str, order: str, value: str
+    history: DataFrame, key: str, order: str, value: str, buckets: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows where a key's value differs from its previous one, the first row included.
-
-    `history` holds one row per key and load, so a key's window is as long as the load history.
+    """Rows where a key's value differs from its previous one, the first row included, and how long
+    each value held: `valid_from` is the row's own place, `valid_to` that of the next change (null
+    for the value that still holds).
+
+    `history` holds one row per key and load. `buckets` are columns that do not decrease along
+    `order` (month and day of a load, say): one task compares one bucket of one key, and the last
+    value of the buckets before, or the next change of those after, comes in as one row per bucket.
+    So a key with most of the history spreads over as many tasks as it has buckets.
     """
-    by_key = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
-    return (
-        history.withColumn("previous_value", F.lag(value).over(by_key))
-        .withColumn("is_first", F.row_number().over(by_key) == 1)
-        .filter(F.col("is_first") | differs(F.col(value), F.col("previous_value")))
-        .select(key, order, "previous_value", F.col(value), "is_first")
+    parts = [key, *buckets]
+    inside = Window.partitionBy(*parts).orderBy(F.col(order).asc_nulls_last())
+    along = Window.partitionBy(key).orderBy(*[F.col(b).asc_nulls_last() for b in buckets]) if buckets else None
+    seen = F.struct(F.col(value).alias("value"))
+
+    def carried(ends: DataFrame, name: str) -> tuple[DataFrame, Column]:
+        """One row per bucket, its part columns renamed, and the null-safe condition to join it."""
+        renamed = ends.select(*[F.col(c).alias(f"_{c}") for c in parts], name)
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in parts])
+        return renamed, same
+
+    rows = history.select(key, *buckets, order, value).withColumn("_previous", F.lag(seen).over(inside))
+    if buckets:
+        last = F.max_by(seen, F.struct(F.col(order).isNull(), F.col(order)))
+        ends = history.groupBy(*parts).agg(last.alias("_last"))
+        ends, same = carried(ends.withColumn("_carried", F.lag("_last").over(along)), "_carried")
+        rows = rows.join(ends, same, "left").withColumn("_previous", F.coalesce("_previous", "_carried"))
+    rows = rows.select(
+        *parts, order, F.col("_previous.value").alias("previous_value"), value, F.col("_previous").isNull().alias("is_first")
+    )
+    changes = rows.filter(F.col("is_first") | differs(F.col(value), F.col("previous_value")))
+    until = F.lead(order).over(inside)
+    if buckets:
+        changes = staged(changes, "changes")
+        starts, same = carried(
+            changes.groupBy(*parts).agg(F.min(order).alias("_start")).withColumn("_next", F.lead("_start").over(along)), "_next"
+        )
+        changes = changes.withColumn("_until", until).join(starts, same, "left")
+        until = F.coalesce("_until", "_next")
+    return changes.select(
+        key, order, "previous_value", value, "is_first", F.col(order).alias("valid_from"), until.alias("valid_to")
     )

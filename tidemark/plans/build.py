@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.snapshot import conform_ledger, latest_committed_load
 from tidemark.plans import checks, gold
 from tidemark.plans.silver import MODELS, raw_schema
-from tidemark.sources.bronze import dates_of, read_ledger, read_table
+from tidemark.sources.bronze import dates_of, files_of, read_ledger, read_table
 from tidemark.sources.layers import Lake
 
 
@@ -36,10 +36,11 @@ class BrokenChecks(RuntimeError):
 def build(
     spark: SparkSession, raw_root: str, lake: Lake, checked: bool = False
 ) -> dict[str, DataFrame]:
-    """Build every model, then publish all of them; returns them as read back from the lake.
+    """Build every model, then publish all of them at once; returns them as read back from the lake.
 
     The load id is resolved once, so all models see one snapshot even while another load
-    commits. Each model is written aside before the next one reads it: a mart scans Parquet
+    commits. Of raw tables exactly the files are opened that the load's commit lists; for a load
+    of another writer, those of its dates. Each model is written aside before the next one reads it: a mart scans Parquet
     columns instead of recomputing what is below it. Nothing is published before every model is
     written, has the columns that readers of the published one rely on, and, with `checked`, has
     passed its checks: the typed tables before any mart is built, then all the others.
@@ -48,25 +49,24 @@ def build(
     load_id = latest_committed_load(ledger)
     if load_id is None:
         raise NoCommittedLoad(raw_root)
-    dates = dates_of(ledger, load_id)
+    dates, files = dates_of(ledger, load_id), files_of(spark, raw_root, load_id)
+    published = lake.current(spark)
     work = lake.aside()
     built: dict[str, DataFrame] = {}
-    layers: dict[str, str] = {}
     contracts = {
-        name: lake.published_schema(spark, layer, name)
+        name: published.published_schema(spark, layer, name)
         for layer, names in (("silver", ["stg_fpl__loads", *MODELS]), ("gold", MARTS))
         for name in names
     }
 
     def put(layer: str, name: str, df: DataFrame) -> DataFrame:
         work.write(df, layer, name, contracts[name])
-        layers[name] = layer
         built[name] = work.read(spark, layer, name)
         return built[name]
 
     def put_typed(name: str) -> None:
         model = MODELS[name]
-        raw = read_table(spark, raw_root, model.raw, raw_schema(model), load_id, dates, model.optional)
+        raw = read_table(spark, raw_root, model.raw, raw_schema(model), load_id, dates, model.optional, files)
         put("silver", name, model.build(raw, load_id))
 
     # The typed tables do not depend on each other; small ones fill the gaps of large ones.
@@ -97,9 +97,7 @@ def build(
     if checked:
         known = checks.silver_checks(built)
         _stop_if_broken({n: df for n, df in checks.all_checks(built).items() if n not in known})
-    for name, layer in layers.items():
-        lake.publish(spark, work, layer, name)
-        built[name] = lake.read(spark, layer, name)
+    lake.publish(spark, work)
     return built
 
 

@@ -1,8 +1,9 @@
-"""The typed layers: one Parquet dataset per model, replaced as a whole on every build.
+"""The typed layers: one Parquet dataset per model, all models of a build in a folder of their own.
 
-A build writes all its models aside, in a folder of its own, and publishes them only when they
-are complete and checked: a dataset is replaced by renaming, so a job that dies while it writes
-leaves the old datasets as they were.
+A build writes its models into `_builds/<id>` and nothing is ever moved. What readers see is named
+by a pointer: an empty file in `_published` whose name ends in the build's id. Creating it is one
+step on any store, it is the last step of a build, and the greatest name counts. So a reader finds
+one whole build or the one before it, whenever the writer dies.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+BUILDS, POINTERS = "_builds", "_published"
+
 
 class ContractError(ValueError):
     """A frame does not have the columns and types its model promises."""
@@ -41,7 +44,8 @@ class Lake:
     def write(
         self, df: DataFrame, layer: str, model: str, contract: T.StructType | None = None
     ) -> None:
-        """Replace a model's dataset. Running the same build again gives the same files' content.
+        """Replace a model's dataset in this very folder. Running the same build again gives the
+        same files' content.
 
         A build reads raw tables and writes typed ones, so no dataset is read while replaced.
         """
@@ -50,11 +54,33 @@ class Lake:
         df.write.mode("overwrite").parquet(self.path(layer, model))
 
     def read(self, spark: SparkSession, layer: str, model: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, model))
+        """A model as it is published now. For several models of one build, ask `current` once and
+        read from what it gives."""
+        return spark.read.parquet(self.current(spark).path(layer, model))
 
     def aside(self) -> Lake:
-        """A lake of one build, inside this one."""
-        return Lake(f"{self.root.rstrip('/')}/_builds/{uuid.uuid4().hex}")
+        """The lake of a build to be, inside this one."""
+        return self._build(uuid.uuid4().hex)
+
+    def _build(self, name: str) -> Lake:
+        return Lake(f"{self.root.rstrip('/')}/{BUILDS}/{name}")
+
+    def _files(self, spark: SparkSession, *parts: str):
+        """A path below the root and the file system it is on."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.root.rstrip("/"), *parts]))
+        return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def pointers(self, spark: SparkSession) -> list[str]:
+        """Names of all publications, oldest first."""
+        folder, files = self._files(spark, POINTERS)
+        if not files.exists(folder):
+            return []
+        return sorted(s.getPath().getName() for s in files.listStatus(folder))
+
+    def current(self, spark: SparkSession) -> Lake:
+        """The lake of the build that is published; this lake itself if none is."""
+        names = self.pointers(spark)
+        return self._build(names[-1].split("-", 1)[1]) if names else self
 
     def published_schema(self, spark: SparkSession, layer: str, model: str) -> T.StructType | None:
         """The columns readers rely on, or None before the first build."""
@@ -65,19 +91,36 @@ class Lake:
                 return None
             raise
 
-    def publish(self, spark: SparkSession, built: Lake, layer: str, model: str) -> None:
-        """Put a dataset of a build in the place of the published one."""
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        new, place = hadoop(built.path(layer, model)), hadoop(self.path(layer, model))
-        old = hadoop(f"{built.path(layer, model)}.old")
-        files = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.mkdirs(place.getParent())
-        had_one = files.exists(place)
-        if had_one and not files.rename(place, old):
-            raise OSError(f"{place} cannot be set aside")
-        if not files.rename(new, place):
-            if had_one:
-                files.rename(old, place)
-            raise OSError(f"{new} cannot be put in place")
-        if had_one:
-            files.delete(old, True)
+    def publish(self, spark: SparkSession, built: Lake) -> None:
+        """Let readers see a build: all of its models at once.
+
+        Two builds published at the same moment leave one of them on top, whole.
+        """
+        name = built.root.rsplit("/", 1)[1]
+        if built != self._build(name):
+            raise ValueError(f"{built.root} is not a build of {self.root}")
+        names = self.pointers(spark)
+        number = int(names[-1].split("-", 1)[0]) + 1 if names else 1
+        pointer, files = self._files(spark, POINTERS, f"{number:012d}-{name}")
+        files.create(pointer, False).close()
+
+    def retire(self, spark: SparkSession, keep: int = 2) -> list[str]:
+        """Remove all published builds but the newest ones; returns the names of those removed.
+
+        A reader that resolved an older build before may still be at work: keep enough of them.
+        The pointer goes last, so a removal that died is taken up again by the next one.
+        """
+        if keep < 1:
+            raise ValueError("the published build is kept")
+        old = [name.split("-", 1)[1] for name in self.pointers(spark)]
+        last = set(old[-keep:])
+        gone = []
+        for pointer in self.pointers(spark)[:-keep]:
+            name = pointer.split("-", 1)[1]
+            if name not in last:
+                folder, files = self._files(spark, BUILDS, name)
+                files.delete(folder, True)
+                gone.append(name)
+            mark, files = self._files(spark, POINTERS, pointer)
+            files.delete(mark, False)
+        return gone

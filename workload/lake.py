@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -296,6 +297,73 @@ def load_row_counts(spark, sf_dir):
     return counted.na.fill("(total)", ["table_name"])
 
 
+# Statuses of orders, each landed as a load of its own on one date.
+STATUS_LOADS = {"F": "1706486400.5", "O": "1706490000.5", "P": "1706493600.5"}
+STATUS_DAY = "2024-01-29"
+_STATUS_LOAD = "CASE {} " + " ".join(f"WHEN '{s}' THEN '{i}'" for s, i in STATUS_LOADS.items()) + " END"
+
+
+LANDED_AT_ONCE = 4
+
+
+def _land_by_status(spark, sf_dir, label):
+    """Orders and lines of each status as one committed load, and a dead one beside them."""
+    root = scratch_path(spark, label)
+    orders = table(spark, sf_dir, "orders").select(*ORDERS_SCHEMA.fieldNames())
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    for status, load_id in STATUS_LOADS.items():
+        landed = [
+            bronze.append_load(orders.filter(F.col("o_orderstatus") == status), root, "orders", load_id, STATUS_DAY),
+            bronze.append_load(lines.filter(F.col("l_linestatus") == status), root, "lines", load_id, STATUS_DAY),
+        ]
+        bronze.commit_load(spark, root, load_id, "orders", f"{STATUS_DAY}T12:00:00Z", landed=landed)
+    bronze.append_load(orders, root, "orders", "1706497200.5", STATUS_DAY)
+    return root
+
+
+@query(
+    "load_row_counts_written",
+    f"""
+    WITH counted AS (
+      SELECT {_STATUS_LOAD.format("o_orderstatus")} AS load_id, 'orders' AS table_name, COUNT(*) AS row_count FROM orders GROUP BY 1
+      UNION ALL
+      SELECT load_id, 'lines', COUNT(l_orderkey)
+      FROM (SELECT DISTINCT {_STATUS_LOAD.format("o_orderstatus")} AS load_id, o_orderstatus FROM orders)
+      LEFT JOIN lineitem ON l_linestatus = o_orderstatus GROUP BY 1)
+    SELECT load_id, table_name, row_count FROM counted
+    UNION ALL
+    SELECT load_id, '(total)', CAST(SUM(row_count) AS BIGINT) FROM counted GROUP BY 1""",
+)
+def load_row_counts_written(spark, sf_dir):
+    """Rows per load and table, read off the ledger: the writes have counted them."""
+    ledger = bronze.read_ledger(spark, _land_by_status(spark, sf_dir, "counted"))
+    return bronze.ledger_row_counts(ledger).na.fill("(total)", ["table_name"])
+
+
+@query(
+    "load_files_scan",
+    f"""
+    SELECT {_STATUS_LOAD.format("o_orderstatus")} AS load_id, o_orderstatus, COUNT(*) AS row_count,
+           COUNT(DISTINCT o_orderkey) AS row_ids, CAST(SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+    FROM orders GROUP BY 1, 2""",
+)
+def load_files_scan(spark, sf_dir):
+    """Loads of one date, each read from the files that its commit lists."""
+    root = _land_by_status(spark, sf_dir, "files")
+    ledger = bronze.read_ledger(spark, root)
+    parts = [
+        bronze.read_table(
+            spark, root, "orders", ORDERS_SCHEMA, i, bronze.dates_of(ledger, i), files=bronze.files_of(spark, root, i)
+        )
+        for i in STATUS_LOADS.values()
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy(F.col(LOAD_ID).alias("load_id"), "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.countDistinct(bronze.ROW_ID).alias("row_ids"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"),
+    )
+
+
 # ---- Typing and scalar rules. ----
 
 BLANKED = "CASE WHEN c_nationkey = 3 THEN '' WHEN c_nationkey = 4 THEN '  ' ELSE CONCAT(' ', CAST(c_custkey AS STRING), ' ') END"
@@ -601,16 +669,21 @@ def newest_observation(spark, sf_dir):
       WHERE load_id IN (SELECT load_id FROM ledger WHERE status = 0) GROUP BY 1, 2),
     lagged AS (
       SELECT *, LAG(price) OVER w AS previous_value, ROW_NUMBER() OVER w = 1 AS is_first
-      FROM history WINDOW w AS (PARTITION BY user_id ORDER BY CAST(load_id AS DOUBLE)))
-    SELECT user_id, CAST(load_id AS DOUBLE) AS load_time, previous_value, price, is_first FROM lagged
-    WHERE is_first OR price IS DISTINCT FROM previous_value""",
+      FROM history WINDOW w AS (PARTITION BY user_id ORDER BY CAST(load_id AS DOUBLE))),
+    changed AS (
+      SELECT user_id, CAST(load_id AS DOUBLE) AS load_time, previous_value, price, is_first FROM lagged
+      WHERE is_first OR price IS DISTINCT FROM previous_value)
+    SELECT *, load_time AS valid_from,
+           (SELECT MIN(load_time) FROM changed later WHERE later.user_id = c.user_id AND later.load_time > c.load_time) AS valid_to
+    FROM changed c""",
 )
 def price_changes(spark, sf_dir):
     committed = committed_rows(loaded_events(spark, sf_dir), raw_ledger(spark, sf_dir))
     history = committed.groupBy("user_id", F.col(LOAD_ID).cast("double").alias("load_time")).agg(
         F.floor(F.max("value") / 50).cast("bigint").alias("price")
     )
-    return value_changes(history, "user_id", "load_time", "price")
+    history = history.withColumn("week", F.floor(F.col("load_time") / 604_800))
+    return value_changes(history, "user_id", "load_time", "price", ["week"])
 
 
 # ---- The whole build, from raw files to checked marts. ----
@@ -734,9 +807,15 @@ def _build(spark, sf_dir):
     ledger = raw_ledger(spark, sf_dir).filter("status = 0")
     load_id = newest_load(ledger).first()["load_id"]
     day = str(datetime.fromtimestamp(float(load_id), tz=timezone.utc).date())
-    for name, model in MODELS.items():
+
+    def land(name):
         rows = raw_frame(spark, sf_dir, name, load_id).drop(LOAD_ID)
-        bronze.append_load(rows, raw_root, model.raw, load_id, day)
+        return bronze.append_load(rows, raw_root, MODELS[name].raw, load_id, day)
+
+    # The tables do not depend on each other: they are landed side by side.
+    with ThreadPoolExecutor(LANDED_AT_ONCE) as pool:
+        landed = list(pool.map(land, MODELS))
+    bronze.list_files(spark, raw_root, load_id, landed)
     bronze.append_ledger(ledger.withColumn("load_dates", F.array(F.lit(day))), raw_root)
     return lake_plan.build(spark, raw_root, Lake(root))
 

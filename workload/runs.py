@@ -200,15 +200,20 @@ _RATE = "CAST(SUM(CAST(is_fresh AS INTEGER)) OVER w AS DOUBLE) / CAST(COUNT(*) O
 @query(
     "sli_daily",
     f"""WITH {PAIRED_SQL},
-    days AS (SELECT CAST(unnest(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY)) AS DATE) AS day FROM paired),
+    days AS (
+      SELECT CAST(unnest(generate_series(MIN(day), MAX(GREATEST(day, COALESCE(CAST(finished_at AS DATE), day))),
+                                         INTERVAL 1 DAY)) AS DATE) AS day FROM paired),
+    newest AS (
+      SELECT day, (SELECT MAX(finished_at) FROM paired p
+                   WHERE p.status = 'success' AND p.finished_at <= days.day + INTERVAL 8 HOUR) AS at FROM days),
     daily AS (
       SELECT d.day, COUNT(p.run_key) AS runs, COUNT(p.run_key) FILTER (WHERE attempt = 1) AS scheduled,
              COUNT(p.run_key) FILTER (WHERE attempt = 1 AND status = 'success') AS first_attempt_ok,
-             COUNT(p.run_key) FILTER (WHERE status = 'success' AND finished_at >= d.day
-                                      AND finished_at <= d.day + INTERVAL 8 HOUR) > 0 AS is_fresh,
+             COALESCE(any_value(n.at) >= d.day, FALSE) AS is_fresh,
+             CAST((epoch_us(d.day + INTERVAL 8 HOUR) - epoch_us(any_value(n.at))) // 1000000 AS BIGINT) AS data_age_seconds,
              CAST(SUM(rows_processed) AS BIGINT) AS rows_reported, COUNT(rows_processed) AS runs_reporting,
              MAX(duration_seconds) AS longest_seconds, MAX(peak_mem_mb) AS peak_mem_mb
-      FROM days d LEFT JOIN paired p ON p.day = d.day GROUP BY 1)
+      FROM days d JOIN newest n USING (day) LEFT JOIN paired p ON p.day = d.day GROUP BY d.day)
     SELECT * REPLACE (CAST(day AS VARCHAR) AS day),
            CAST(SUM(first_attempt_ok) OVER w AS DOUBLE)
              / NULLIF(CAST(SUM(scheduled) OVER w AS DOUBLE), 0) AS success_rate_30d,
