@@ -39,6 +39,7 @@ MOST_STATES = 1 << 20
 # Occurrences of words for each range of prefixes, and the fewest ranges.
 RANGE_WORDS = 1 << 18
 LEAST_RANGES = 64
+RANGES_OF_A_TASK = 8
 # Words drawn in proportion to their weight, whose order gives the limits of the ranges.
 LIMITS = 4096
 _SPACE = pa.scalar(" ", pa.large_string())
@@ -399,6 +400,7 @@ class Phrases:
         words = self.words.filter(F.col("n") >= least)
         context = spark.sparkContext
         total = self.words.agg(F.sum("n")).first()[0] or 0
+        self.ranges = max(LEAST_RANGES, total // RANGE_WORDS)
         limits = context.broadcast(self._limits(words, total))
         frequent = context.broadcast(_filter_of(words))
         pairs = self._counted(limits, frequent, None, 2, 2)
@@ -410,14 +412,15 @@ class Phrases:
         share = F.col("n") * LIMITS / F.lit(float(max(1, total)))
         chance = F.pmod(F.xxhash64("lang", "phrase"), F.lit(1 << 32)) / F.lit(float(1 << 32))
         drawn = words.filter(chance < share).groupBy("phrase").agg(F.sum(F.greatest(F.col("n").cast("double"), F.lit(total / LIMITS))).alias("n"))
-        ranges = max(LEAST_RANGES, total // RANGE_WORDS)
-        return Limits([(r["phrase"], float(r["n"])) for r in drawn.collect()], ranges)
+        return Limits([(r["phrase"], float(r["n"])) for r in drawn.collect()], self.ranges)
 
     def _counted(self, limits, words, pairs, shortest: int, longest: int) -> DataFrame:
         shard = _shard(limits, words, pairs, shortest, longest, self.shard_bytes, self.states)
         shards = map_arrow(self.rows, shard, "range long, body binary")
         unite = _unite(self.least, self.states)
-        united = shards.groupBy("range").applyInArrow(unite, "lang string, phrase string, n long")
+        # Tasks grow in number with the corpus, not in size.
+        dealt = shards.repartition(self.ranges // RANGES_OF_A_TASK, "range")
+        united = dealt.groupBy("range").applyInArrow(unite, "lang string, phrase string, n long")
         return staged(united, f"phrase-{shortest}")
 
     def scored(self) -> DataFrame:
