@@ -45,9 +45,9 @@ DENSE_PART = 4
 COMMON_IDS = 2048
 _TABLE = byte_values("token-piece", lower=False)
 # Pieces remembered by a task's process: at most so many, with so many ids in all.
-_SLOT_BITS = 21
+_SLOT_BITS = 19
 _SLOTS = 1 << _SLOT_BITS
-_POOL = 1 << 24
+_POOL = 1 << 22
 
 
 def _vocabulary(raw: bytes) -> tuple[dict[bytes, int], np.ndarray, list[tuple[str, int]]]:
