@@ -39,6 +39,22 @@ def test_the_grid_is_not_shuffled(spark):
     assert "Window" in above and "Exchange hashpartitioning" not in above
 
 
+def test_periods_may_lie_far_apart(spark):
+    """Two periods a thousand million apart are two rows per entity, not what lies between."""
+    teams = spark.createDataFrame([(1,), (2,), (3,)], "team long")
+    weeks = spark.createDataFrame([(1, "a"), (10**9, "z"), (None, "?")], "gw long, name string")
+    cells = spark.createDataFrame([(1, 10**9, 4, 2.5), (2, 1, 1, None), (2, 10**9, 2, 0.5), (3, 77, 9, 9.0)], "team long, gw long, n long, x double")
+    assert rows(grain.dense_grid(teams, weeks, "gw")) == sorted((g, t, n) for g, n in ((1, "a"), (10**9, "z")) for t in (1, 2, 3))
+    grid = grain.dense_cells(teams, cells, weeks, "team", "gw", ["n"])
+    assert rows(grid.select("team", "gw", "n", "x", "name")) == sorted([
+        (1, 1, 0, None, "a"), (1, 10**9, 4, 2.5, "z"), (2, 1, 1, None, "a"), (2, 10**9, 2, 0.5, "z"),
+        (3, 1, 0, None, "a"), (3, 10**9, 0, None, "z"),
+    ], key=repr)
+    twice = cells.unionByName(cells)
+    with pytest.raises(Exception, match="two cells"):
+        grain.dense_cells(teams, twice, weeks, "team", "gw", ["n"]).collect()
+
+
 def test_an_empty_calendar_gives_an_empty_grid(spark):
     teams = spark.createDataFrame([(1,)], "team long")
     none = spark.createDataFrame([], "gw long")
@@ -300,6 +316,69 @@ def test_as_of_by_brute_force(spark, width):
     assert alone.filter("as_of IS NULL").count() == 300
 
 
+@pytest.mark.parametrize("buckets", [[], ["b"], ["b", "c"]])
+def test_value_spans_by_brute_force(spark, buckets):
+    """Changes and how long values held, over buckets of any size, with unknown values."""
+    rng = random.Random(len(buckets))
+    history = [(k, t, t // 10, t // 3, rng.choice([None, 1, 1, 2])) for k in ("hot", "a", None) for t in range(60) if k == "hot" or rng.random() < 0.2]
+    df = spark.createDataFrame(history, "k string, t long, b long, c long, v int").repartition(4)
+    want = []
+    for key in ("hot", "a", None):
+        mine, last, changes = [h for h in history if h[0] == key], (), []
+        for _, t, _, _, v in mine:
+            if last != (v,):
+                changes.append((key, t, last[0] if last else None, v, not last))
+            last = (v,)
+        starts = [c[1] for c in changes]
+        want += [(*c, c[1], e) for c, e in zip(changes, [*starts[1:], None])]
+    got = snapshot.value_changes(df, "k", "t", "v", buckets)
+    assert rows(got.select("k", "t", "previous_value", "v", "is_first", "valid_from", "valid_to")) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("span", [2, 3, 64])
+def test_transfers_over_long_calendars(spark, span):
+    """Maps composed over several tiers give what playing week by week gives."""
+    rng = random.Random(span)
+    weeks, want = [], []
+    for manager, first, count in (("a", 0, 100), ("b", 30, 5), ("c", 95, 1)):
+        free = 1
+        for week in range(first, first + count):
+            made = rng.choice([0, 0, 1, 2, 5])
+            weeks.append((manager, week, made))
+            want.append((manager, week, made, free, -4 * max(0, made - free)))
+            free = min(free - min(free, made) + 1, 3)
+    df = spark.createDataFrame(weeks, "m string, gw int, transfers int").repartition(4)
+    got = game.transfer_hits(df, "m", "gw", banked_most=3, span=span)
+    assert rows(got.select("m", "gw", "transfers", "free_transfers", "hit_points")) == sorted(want, key=repr)
+    nothing = game.transfer_hits(df.limit(0), "m", "gw", span=span)
+    assert nothing.count() == 0
+
+
+def test_phases_are_differences_of_running_totals(spark):
+    """Phases that overlap, lie apart or hold nothing; weeks far apart, unknown points."""
+    rng = random.Random(4)
+    points = [(m, w, rng.choice([None, 1, 2, 9])) for m in "abc" for w in (1, 2, 3, 70, 71, 200) for _ in range(rng.randint(0, 2))]
+    points.append(("d", 500, None))
+    phases = [(1, 1, 200), (2, 2, 70), (3, 4, 60), (4, 71, 71), (5, 500, 600)]
+    got = game.league_table(
+        spark.createDataFrame(points, "m string, gw int, points long"),
+        spark.createDataFrame(phases, "phase_id int, first_gameweek_id int, last_gameweek_id int"),
+        "m", "gw",
+    )
+    want = []
+    for phase, first, last in phases:
+        totals = {}
+        for m in "abcd":
+            mine = [p for x, w, p in points if x == m and first <= w <= last]
+            if mine:
+                known = [p for p in mine if p is not None]
+                totals[m] = sum(known) if known else None
+        for m, total in totals.items():
+            better = sum(1 for t in totals.values() if t is not None and (total is None or t > total))
+            want.append((phase, m, total, better + 1))
+    assert rows(got.select("phase_id", "m", "points", "league_rank")) == sorted(want, key=repr)
+
+
 def test_start_and_finish_are_separate_files(spark, tmp_path):
     records = spark.createDataFrame([("k", "start"), ("k", "finish")], "run_key string, event string")
     records = records.withColumn("load_date", F.lit("2026-01-01").cast("date"))

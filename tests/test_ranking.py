@@ -156,3 +156,37 @@ def test_running_total_over_buckets(spark, buckets):
     assert rows(got) == sorted(want, key=repr)
     windows = [line for line in plan_of(got).splitlines() if "Window [sum(v" in line]
     assert windows and all("windowspecdefinition(k#" in line and "day" in line.split("id#")[0] for line in windows)
+
+
+def test_quantiles_by_brute_force(spark):
+    """One group with most rows, ties, one value alone, unknown values; brackets cut again and again."""
+    rng = random.Random(11)
+    data = [("hot", rng.gauss(0, 1e3)) for _ in range(3000)] + [("hot", 7.0)] * 500
+    data += [("ties", rng.choice([1.0, 1.0, 2.0, 5e300])) for _ in range(99)]
+    data += [("one", 4.5), ("two", 1.0), ("two", 2.0), ("none", None), (None, 3.0), (None, None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    shares = {"lowest": 0.0, "tenth": 0.1, "median": 0.5, "most": 0.995, "highest": 1.0}
+    want = {}
+    for g in {g for g, v in data if v is not None}:
+        values = sorted(v for h, v in data if h == g and v is not None)
+        for name, q in shares.items():
+            at = q * (len(values) - 1)
+            low, high = values[int(at)], values[min(int(at) + (at > int(at)), len(values) - 1)]
+            part = at - int(at)
+            want[g, name] = (low + high) / 2 if part == 0.5 else low + (high - low) * part
+    for more in ({}, {"few": 20, "parts": 50}):
+        got = ranking.exact_quantiles(df, ["g"], "v", shares, **more).collect()
+        assert {(r["g"], n): r[n] for r in got for n in shares} == pytest.approx(want, rel=1e-12)
+    whole = ranking.exact_quantiles(df.filter("g = 'hot'"), [], "v", {"median": 0.5}).collect()
+    assert [r["median"] for r in whole] == [want["hot", "median"]]
+
+
+def test_a_median_needs_no_sort_of_the_values(spark):
+    """Three passes that combine on the map side, and no window."""
+    df = spark.range(100_000).selectExpr("id % 3 AS g", "CAST(id * 7919 % 100003 AS DOUBLE) AS v")
+    plan = plan_of(ranking.exact_median(df, ["g"], "v", "m"))
+    assert "Window" not in plan and "SinglePartition" not in plan
+    assert plan.count("Scan parquet") <= 2 and plan.count("partial_count(1)") == 1
+    got = {r["g"]: r["m"] for r in ranking.exact_median(df, ["g"], "v", "m").collect()}
+    values = {g: sorted(float(i * 7919 % 100003) for i in range(100_000) if i % 3 == g) for g in range(3)}
+    assert got == {g: (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2 for g, v in values.items()}

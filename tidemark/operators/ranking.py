@@ -259,18 +259,21 @@ def exact_quantiles(
     sketch = staged(sketch.select(*[F.col(k).alias(f"_{k}") for k in keys], "_ends", "_rows"), "quantile-sketch")
     most = sketch.agg(F.max("_rows")).first()[0] or 0
 
-    # One row per group and share; a value counts where it is at or below the bracket's end.
-    bracket = "explode(transform(sequence(0, {n}), i -> named_struct('q', i, 'lo', _ends[2 * i], 'hi', _ends[2 * i + 1])))"
-    brackets = sketch.selectExpr("*", bracket.format(n=len(shares) - 1) + " AS _b").drop("_ends")
+    # One row per group and share; a value counts where it is at or below the bracket's end. In a
+    # small group a bracket is less than a few rows wide, so there it is the whole group.
+    small = 2 * parts
+    ends = ", ".join(f"'{n}', if(_rows <= {small}, NULL, _ends[2 * i + {j}])" for j, n in enumerate(("lo", "hi")))
+    bracket = f"explode(transform(sequence(0, {len(shares) - 1}), i -> named_struct('q', i, {ends})))"
+    brackets = sketch.selectExpr("*", f"{bracket} AS _b").drop("_ends")
     same = F.expr(_same_row(keys)) if keys else F.lit(True)
-    inside = F.when(F.expr(f"{number} >= _b.lo"), F.col(value))
+    inside = F.when(F.expr(f"_b.lo IS NULL OR {number} >= _b.lo"), F.col(value))
     counted = (
-        known.join(brackets, same & F.expr(f"{number} <= _b.hi"))
+        known.join(brackets, same & F.expr(f"_b.hi IS NULL OR {number} <= _b.hi"))
         .groupBy(*keys, F.col("_b.q").alias("_q"), "_rows", inside.alias("_value"))
         .agg(F.count(F.lit(1)).alias("_ties"))
     )
     groups = [*keys, "_q", "_rows"]
-    if most * 2 * BRACKET_PARTS > few * parts:
+    if max(min(most, small), 2 * BRACKET_PARTS * most // parts) > few:
         counted = _narrowed(staged(counted, "quantile-cells"), groups, shares, few)
     return _selected(counted, groups, keys, outputs)
 

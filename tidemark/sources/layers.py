@@ -84,10 +84,14 @@ class Lake:
 
     def published_schema(self, spark: SparkSession, layer: str, model: str) -> T.StructType | None:
         """The columns readers rely on, or None before the first build."""
+        now = self.current(spark)
+        path, files = now._files(spark, layer, model)
+        if not files.exists(path):
+            return None
         try:
-            return self.read(spark, layer, model).schema
+            return spark.read.parquet(now.path(layer, model)).schema
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return None
             raise
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import game
 from tidemark.operators.grain import dense_cells
+from tidemark.operators.ranking import running_total
+from tidemark.session import staged
 from workload.inputs import MONTH, table
 from workload.registry import query
 
@@ -150,6 +152,8 @@ ROLES_OF = "CASE c_mktsegment " + " ".join(
 ) + f" ELSE '{OTHER_FORMATION}' END"
 MINUTES = "CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_quantity AS BIGINT) END"
 POINTS = "CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_linenumber END"
+# Orders whose lines one task numbers.
+LINES_SPAN = 1 << 16
 PICK_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 PICKS_SQL = f"""
@@ -239,7 +243,6 @@ def manager_score(spark, sf_dir):
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("manager_id")
     )
     size = game.SQUAD_SIZE
-    place = f"row_number() OVER (PARTITION BY manager_id ORDER BY {PICK_ORDER}) - 1 AS place"
     lines = (
         table(spark, sf_dir, "lineitem")
         .selectExpr(
@@ -247,8 +250,11 @@ def manager_score(spark, sf_dir):
             f"{MINUTES} AS minutes", f"{POINTS} AS points", "if(l_returnflag = 'R', 1L, 0L) AS moved",
         )
         .join(orders, "l_orderkey")
-        .selectExpr("manager_id", "minutes", "points", "moved", place)
+        .withColumns({"span": F.expr(f"l_orderkey DIV {LINES_SPAN}"), "one": F.lit(1)})
     )
+    # Numbered in two levels: inside spans of orders, and by one row per span before.
+    lines = running_total(staged(lines, "lines"), ["manager_id"], ["span"], PICK_ORDER.split(", "), "one", "place")
+    lines = lines.selectExpr("manager_id", "minutes", "points", "moved", "place - 1 AS place")
     gaps = f"filter(sequence(n, n + {size}), p -> p < (n + {size - 1}) DIV {size} * {size})"
     missing = (
         orders.join(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey")

@@ -55,7 +55,7 @@ from workload.inputs import (
     typed,
     with_typed,
 )
-from workload.registry import query
+from workload.registry import ORACLES, query
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -741,12 +741,11 @@ _DIGESTED = [
 )
 def lake_build_values(spark, sf_dir):
     """The values of built models, as they are read back from the published datasets."""
-    built = _build(spark, sf_dir)
     parts = []
     for model, _, column, total in _DIGESTED:
         value = F.col(column)
         parts.append(
-            built[model].agg(
+            _published(spark, sf_dir, "silver" if model.startswith("stg_") else "gold", model).agg(
                 F.count(value).alias("present"),
                 F.countDistinct(value).alias("distinct_values"),
                 (F.sum(value.cast("bigint")) if total != "NULL" else F.lit(None)).cast("bigint").alias("total"),
@@ -817,7 +816,32 @@ def _build(spark, sf_dir):
         landed = list(pool.map(land, MODELS))
     bronze.list_files(spark, raw_root, load_id, landed)
     bronze.append_ledger(ledger.withColumn("load_dates", F.array(F.lit(day))), raw_root)
-    return lake_plan.build(spark, raw_root, Lake(root))
+    built = lake_plan.build(spark, raw_root, Lake(root))
+    _LAKES[spark.sparkContext.applicationId, sf_dir] = root
+    return built
+
+
+# Lakes that a query of this session has built, by application and tables.
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _published(spark, sf_dir, layer, model):
+    """A model as readers find it in the lake of this session, which is built if none is."""
+    if (spark.sparkContext.applicationId, sf_dir) not in _LAKES:
+        _build(spark, sf_dir)
+    return Lake(_LAKES[spark.sparkContext.applicationId, sf_dir]).read(spark, layer, model)
+
+
+@query("built_player_value", ORACLES["player_value"])
+def built_player_value(spark, sf_dir):
+    """Every value of the players' mart, as read back from the published build."""
+    return portable(_published(spark, sf_dir, "gold", "mart_player_value"))
+
+
+@query("built_position_scarcity", ORACLES["position_scarcity"])
+def built_position_scarcity(spark, sf_dir):
+    """Every value of the positions' mart, as read back from the published build."""
+    return portable(_published(spark, sf_dir, "gold", "mart_position_scarcity"))
 
 
 @query(
