@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import sums_before
 
 START, END = "<|im_start|>", "<|im_end|>\n"
+TEMPLATE_NAMES = ("im_start", "im_end")
 # Tokens per unit: an image tile, a second of audio, a page of a document.
 RATES = {"image": 85, "audio": 25, "document": 600}
 PART = "struct<type:string,text:string,ref:string,units:bigint>"
@@ -87,10 +88,11 @@ def _joined(parts: Column) -> Column:
 
 
 def _written(part: Column) -> Column:
-    """What a part writes: its escaped text, or a placeholder of its kind."""
-    return F.when(part["type"] == "text", escape(part["text"])).otherwise(
-        F.concat(F.lit("<|"), part["type"], F.lit("|>"))
-    )
+    """What a part writes: its escaped text, or a placeholder of its kind. A type that is no plain
+    name, or is one of the template's own, gives a placeholder that is escaped like a text."""
+    shown = F.concat(F.lit("<|"), part["type"], F.lit("|>"))
+    plain = part["type"].rlike(r"\A[A-Za-z0-9_.-]+\z") & ~part["type"].isin(*TEMPLATE_NAMES)
+    return F.when(part["type"] == "text", escape(part["text"])).when(plain, shown).otherwise(escape(shown))
 
 
 def format_chats(
@@ -106,7 +108,8 @@ def format_chats(
 
     `loss` lists the spans (start, end in code points, end exclusive; turn) of the learnt role's texts;
     `attachments` lists turn (from 0), part, type, ref, start and tokens of the other parts. A
-    type without a rate counts one token per unit; null units are one.
+    type without a rate counts one token per unit; null units are one. A type that is not a plain name
+    of [A-Za-z0-9_.-], or is a control string's own, is written escaped: it can not end a turn.
 
     Messages are in the order of their turn; equal turns, and repeated rows, by role and content;
     a null turn comes first. A null text or role is empty, a null or empty list of parts is an
