@@ -281,7 +281,7 @@ class Manifest:
 
     def root(self) -> DataFrame:
         """One row with the root of all, none for an empty table."""
-        return self.crown.tops().select(F.hex("subroot").alias("root"))
+        return self.crown.tops().select(F.lower(F.hex("subroot")).alias("root"))
 
     def _proved(self, full: bool) -> DataFrame:
         kind = _kind(self.crown.tiers[0].select(F.explode("keys").alias("k")), "k")
