@@ -19,8 +19,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_one_query_per_operator():
-    names = [f"op{i}_" for i in range(1, 11)]
-    assert [sum(q.startswith(n) for q in entry_module.queries()) for n in names] == [1] * 10
+    names = [f"op{i}_" for i in range(1, 14)]
+    assert [sum(q.startswith(n) for q in entry_module.queries()) for n in names] == [1] * 13
     assert "pipeline" in entry_module.queries() and len(corpus_pipeline.STAGES) == 5
 
 
@@ -33,6 +33,11 @@ def test_queries_return_every_row(spark, key):
         assert out.num_rows == rows.select("conv_id").distinct().count() + 1
     elif key.startswith("op6"):
         assert len(set(out.column("doc_id").to_pylist())) == rows.count()
+    elif key.startswith("op12"):  # the first phrases of each language, not rows of documents
+        ranks = collections.defaultdict(list)
+        for lang, rank in zip(out.column("lang").to_pylist(), out.column("rank").to_pylist()):
+            ranks[lang].append(rank)
+        assert ranks and all(sorted(r) == list(range(1, len(r) + 1)) and len(r) <= 2000 for r in ranks.values())
     else:
         assert out.num_rows == rows.count()
     assert len(set(out.column_names)) == len(out.column_names)
