@@ -189,6 +189,35 @@ def test_changes_and_latest(spark):
     assert rows(latest) == [("p", 5.0, None), ("q", 2.0, 9)]
 
 
+def test_latest_reads_whole_rows_only_at_the_newest_place(spark, tmp_path):
+    # One key with a third of the rows, all of them tied; a null key; null places; repeated rows.
+    data = [("hot", 7, i % 50, f"v{i % 40}") for i in range(400)]
+    data += [(f"k{i % 90}", i % 11, i % 3, f"w{i}") for i in range(700)]
+    data += [(None, 1, 1, "a"), (None, 2, 1, "b"), ("none", None, 4, "c"), ("none", None, None, "d"), ("part", None, 9, "e"), ("part", 0, 0, "f")]
+    spark.createDataFrame(data * 2, "k string, t int, u int, v string").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    got = {r["k"]: (r["t"], r["u"], r["v"]) for r in snapshot.latest_per_key(df, ["k"], [F.col("t"), F.col("u")], ["t", "u", "v"]).collect()}
+
+    def place(row):
+        return tuple((x is not None, x or 0) for x in row[1:3])
+
+    best = {}
+    for row in data:
+        best[row[0]] = max(best.get(row[0], place(row)), place(row))
+    assert len(got) == len(best)
+    for key, place_of_best in best.items():
+        assert (key, *got[key]) in data and place((key, *got[key])) == place_of_best
+    # The same rows in another order and other partitions give the same winners of ties.
+    again = snapshot.latest_per_key(df.repartition(7, "v"), ["k"], [F.col("t"), F.col("u")], ["t", "u", "v"])
+    assert {r["k"]: (r["t"], r["u"], r["v"]) for r in again.collect()} == got
+    assert snapshot.latest_per_key(df.limit(0), ["k"], F.col("t"), ["v"]).count() == 0
+    # A key may be a value as well, and all that is asked for may be the key.
+    assert snapshot.latest_per_key(df, ["k"], F.col("t"), ["k"]).count() == len(best)
+    text = plan_of(snapshot.latest_per_key(df, ["k"], [F.col("t"), F.col("u")], ["v"]))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "LeftSemi" in text
+    assert "ReadSchema: struct<k:string,t:int>" in text
+
+
 # ---- Run ledger. ----
 
 

@@ -67,12 +67,47 @@ def committed_rows(
     return table.join(committed, load_column, "left_semi")
 
 
+# Rows of one key that tie for the newest place are compared in so many tasks first.
+TIE_SALTS = 64
+
+
 def latest_per_key(
-    observations: DataFrame, keys: list[str], order: Column, columns: list[str]
+    observations: DataFrame, keys: list[str], order: Column | Sequence[Column], columns: list[str]
 ) -> DataFrame:
-    """The newest observation of each key: one aggregate that combines map-side, no window."""
-    newest = F.max_by(F.struct(*columns), order).alias("newest")
-    return observations.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    """The newest observation of each key, whole rows read only for the newest place.
+
+    `order` is one column or several, the most significant first; the first should have a fixed
+    width (a number, date or timestamp). The first pass reads keys and this column alone and keeps
+    the greatest one per key, a hash aggregate that combines map-side. The second pass reads
+    `columns` and keeps the rows at that place by a semi join, which AQE turns into a broadcast
+    where the keys are few. Only these rows, about one per key, are compared by what is left of
+    the order, in two levels, so a key whose rows all tie spreads over `TIE_SALTS` tasks. Nulls in
+    the order come before all values and a null key is a key; rows that tie in all of the order
+    are decided by the hash of their `columns` (no maps), so the result does not depend on how they
+    are read; repeated rows count once.
+    """
+    first, *rest = [order] if isinstance(order, Column) else order
+    # A key column may be asked for again as a value, so places in the row stand for names.
+    cells = [F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]
+    names = [f"k{i}" for i in range(len(keys))]
+    narrow = observations.select(*cells, first.alias("o"))
+    newest = narrow.groupBy(*names).agg(F.max("o").alias("best")).toDF(*[f"_{n}" for n in names], "best")
+    rows = observations.select(
+        *cells,
+        first.alias("o"),
+        *[c.alias(f"r{i}") for i, c in enumerate(rest)],
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
+    )
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names])
+    tied = rows.join(newest, same & F.col("o").eqNullSafe(F.col("best")), "left_semi").distinct()
+    values = [f"c{i}" for i in range(len(columns))]
+    tied = tied.withColumn("address", F.xxhash64(*values) if values else F.lit(0).cast("long"))
+    falling = [*[F.col(f"r{i}").desc_nulls_last() for i in range(len(rest))], F.col("address").desc()]
+    salted = tied.withColumn("salt", F.pmod(F.hash(*[f"r{i}" for i in range(len(rest))], "address"), F.lit(TIE_SALTS)))
+    for within in ([*names, "salt"], names):
+        place = F.row_number().over(Window.partitionBy(*within).orderBy(*falling))
+        salted = salted.withColumn("place", place).filter("place = 1")
+    return salted.select(*names, *values).toDF(*keys, *columns)
 
 
 def value_changes(

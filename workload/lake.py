@@ -655,7 +655,7 @@ def newest_observation(spark, sf_dir):
     return latest_per_key(
         table(spark, sf_dir, "events"),
         ["user_id", "event_type"],
-        F.struct("ts", "event_id"),
+        [F.col("ts"), F.col("event_id")],
         ["event_id", "value"],
     )
 
