@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests import season
 from tests.conftest import rows
+from tidemark.operators import runs
 from tidemark.plans import checks, gold, silver
 from tidemark.plans.build import MARTS, BrokenChecks, NoCommittedLoad, build, build_checked, run_checks
 from tidemark.plans.silver import MODELS
@@ -144,6 +145,37 @@ def test_every_model_check_can_fail(spark, built):
                     assert broken.limit(1).count() == 1, name
 
 
+def test_checks_have_names_without_tables(built):
+    assert set(checks.all_checks(built)) == checks.check_names()
+
+
+def test_warnings_are_recorded_and_stop_nothing(spark, tmp_path):
+    """One broken rule: as a warning it is published and written down, as a critical one it stops."""
+    raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
+    players = season.elements()
+    players[1]["status"] = "x"
+    season.land(spark, raw, season.NEW, season.season(elements=players))
+    with pytest.raises(ValueError, match="stg_fpl__players.acepted"):
+        build_checked(spark, raw, lake, warn=["stg_fpl__players.acepted"])
+    built = build_checked(spark, raw, lake, warn=["stg_fpl__players.accepted"])
+    assert lake.current(spark) != lake and built["mart_player_value"].count() > 0
+    first = runs.read_check_results(spark, lake.root)
+    assert {r["check_name"] for r in first.collect()} == checks.check_names()
+    assert first.count() == len(checks.check_names())
+    bad = rows(first.filter("NOT passed").select("check_name", "grade", "violations"))
+    assert bad == [("stg_fpl__players.accepted", "warn", 1)]
+    [day] = runs.correctness_daily(first).collect()
+    assert day["holds"] and day["critical_share"] == 1.0 and (day["warnings"], day["warnings_failed"]) == (1, 1)
+    with pytest.raises(BrokenChecks, match="stg_fpl__players.accepted"):
+        build_checked(spark, raw, lake)
+    # The stopped build left its results too; it got no further than the typed tables.
+    both = runs.read_check_results(spark, lake.root)
+    assert both.select("build").distinct().count() == 2
+    [day] = runs.correctness_daily(both).collect()
+    assert not day["holds"] and day["critical_passed"] == day["critical"] - 1
+    assert day["critical"] == len(checks.check_names()) - 1 + both.count() - first.count()
+
+
 def test_failed_checks_stop_the_build(spark, tmp_path):
     raw = f"{tmp_path}/bronze"
     players = season.elements()

@@ -1,6 +1,7 @@
 """Raw loads, the ledger, snapshots, typing and envelopes."""
 
 import functools
+import json
 import os
 import random
 import re
@@ -350,3 +351,17 @@ def test_no_tables_is_success(spark):
 def test_path_not_found_is_the_only_error_taken_for_absence(spark, tmp_path):
     with pytest.raises(AnalysisException):
         spark.read.schema(SCHEMA).json(f"{tmp_path}/none")
+
+
+def test_nulls_inside_nested_values_are_landed(spark, tmp_path):
+    """Only columns that are null as a whole are left out of a file; what lies inside them stays."""
+    schema = "id long, gone string, doc struct<b:string,a:long>, many array<struct<n:long,s:string>>, free map<string,string>"
+    data = [(1, None, (None, 2), [(None, "x"), (3, None)], {"k": None}), (2, None, None, [], {})]
+    bronze.append_load(spark.createDataFrame(data, schema), str(tmp_path), "t", "1.0", "2024-01-01")
+    lines = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/t").collect()]
+    first, second = sorted(lines, key=lambda x: x["id"])
+    assert first["doc"] == {"a": 2, "b": None} and first["free"] == {"k": None} and "gone" not in first
+    assert first["many"] == [{"n": None, "s": "x"}, {"n": 3, "s": None}]
+    assert "doc" not in second and second["many"] == [] and second["free"] == {}
+    back = bronze.read_table(spark, str(tmp_path), "t", T._parse_datatype_string(schema), "1.0")
+    assert rows(back.select("id", "gone", "doc", "many", "free")) == rows(spark.createDataFrame(data, schema))

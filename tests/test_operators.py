@@ -221,6 +221,23 @@ def test_latest_reads_whole_rows_only_at_the_newest_place(spark, tmp_path):
 # ---- Run ledger. ----
 
 
+def test_only_critical_checks_make_the_share(spark):
+    at = datetime.datetime(2024, 1, 1, 12)
+    data = [
+        ("a", "critical", 0, True, at), ("b", "critical", 2, False, at), ("c", "warn", 1, False, at),
+        ("d", None, 0, True, at), ("e", "critical", None, None, at),
+        ("a", "warn", 0, True, at + datetime.timedelta(days=1)), ("a", "critical", 0, True, at + datetime.timedelta(days=5)),
+    ]
+    df = spark.createDataFrame(data, "check_name string, grade string, violations long, passed boolean, recorded_at timestamp")
+    got = runs.correctness_daily(df, days=2).orderBy("day").collect()
+    assert [(r["critical"], r["critical_passed"], r["warnings"], r["warnings_failed"], r["holds"]) for r in got] == [
+        (4, 2, 1, 1, False), (0, 0, 1, 0, None), (1, 1, 0, 0, True),
+    ]
+    assert [r["critical_share"] for r in got] == [0.5, None, 1.0]
+    assert [r["critical_share_30d"] for r in got] == [0.5, 0.5, 1.0]
+    assert runs.correctness_daily(df.limit(0)).count() == 0
+
+
 def test_run_key(spark):
     df = spark.createDataFrame([(42, 1, "load: raw & typed?")], "r long, a long, j string")
     assert df.select(runs.run_key(F.col("r"), F.col("a"), F.col("j"))).first()[0] == "42.1.load-raw-typed-"

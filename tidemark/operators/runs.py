@@ -18,6 +18,8 @@ FRESH_BY = "08:00"
 FRESH_BUDGET = 0.01
 MEMORY_LIMIT_MB = 2048
 MEMORY_ALERT_SHARE = 0.70
+# Grades of checks: a failed critical one stops a build, a failed warning is only recorded.
+CRITICAL, WARNING = "critical", "warn"
 
 METRICS_SCHEMA = T.StructType(
     [
@@ -232,7 +234,56 @@ def daily_indicators(
     )
 
 
-RECORDS = "ops_runs"
+def correctness_daily(results: DataFrame, days: int = 30) -> DataFrame:
+    """The share of critical checks that passed, per day and over the last `days` days with results.
+
+    `results` have check_name, grade, violations, passed and recorded_at; days are those of the
+    session's zone. All critical checks must pass: `holds` says so for the day. Warnings are
+    counted beside them and have no part in the share. A result without a grade is critical, and
+    one that does not say that it passed has failed: what is unknown does not pass. A day with
+    warnings only has no share and neither holds nor fails. Two numbers a day reach the window.
+    """
+    critical = F.coalesce(F.col("grade") != WARNING, F.lit(True))
+    passed = F.coalesce("passed", F.lit(False))
+    daily = results.groupBy(F.col("recorded_at").cast("date").alias("day")).agg(
+        F.count_if(critical).alias("critical"),
+        F.count_if(critical & passed).alias("critical_passed"),
+        F.count_if(~critical).alias("warnings"),
+        F.count_if(~critical & ~passed).alias("warnings_failed"),
+        F.sum("violations").alias("violations"),
+    )
+    last_days = Window.orderBy("day").rowsBetween(-(days - 1), 0)
+    return daily.withColumns(
+        {
+            "critical_share": ratio(F.col("critical_passed"), F.col("critical")),
+            "critical_share_30d": ratio(F.sum("critical_passed").over(last_days), F.sum("critical").over(last_days)),
+            "holds": F.when(F.col("critical") > 0, F.col("critical_passed") == F.col("critical")),
+        }
+    )
+
+
+RECORDS, CHECK_RESULTS = "ops_runs", "ops_checks"
+CHECK_RESULT = T.StructType(
+    [
+        T.StructField("build", T.StringType()),
+        T.StructField("check_name", T.StringType()),
+        T.StructField("grade", T.StringType()),
+        T.StructField("violations", T.LongType()),
+        T.StructField("passed", T.BooleanType()),
+        T.StructField("recorded_at", T.TimestampType()),
+    ]
+)
+
+
+def append_check_results(results: DataFrame, root: str) -> None:
+    """Append what the checks of a build found, one JSON line each, below the day of the record."""
+    dated = results.withColumn("load_date", F.col("recorded_at").cast("date"))
+    dated.coalesce(1).write.mode("append").partitionBy("load_date").json(f"{root}/{CHECK_RESULTS}")
+
+
+def read_check_results(spark: SparkSession, root: str) -> DataFrame:
+    dated = T.StructType(CHECK_RESULT.fields + [T.StructField("load_date", T.DateType())])
+    return spark.read.schema(dated).option("mode", "FAILFAST").json(f"{root}/{CHECK_RESULTS}")
 
 
 def append_run_records(records: DataFrame, root: str) -> None:

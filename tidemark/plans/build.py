@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.runs import CHECK_RESULT, CRITICAL, append_check_results
 from tidemark.operators.snapshot import conform_ledger, latest_committed_load
 from tidemark.plans import checks, gold
 from tidemark.plans.silver import MODELS, raw_schema
@@ -34,7 +36,7 @@ class BrokenChecks(RuntimeError):
 
 
 def build(
-    spark: SparkSession, raw_root: str, lake: Lake, checked: bool = False
+    spark: SparkSession, raw_root: str, lake: Lake, checked: bool = False, warn: Iterable[str] = ()
 ) -> dict[str, DataFrame]:
     """Build every model, then publish all of them at once; returns them as read back from the lake.
 
@@ -43,8 +45,14 @@ def build(
     of another writer, those of its dates. Each model is written aside before the next one reads it: a mart scans Parquet
     columns instead of recomputing what is below it. Nothing is published before every model is
     written, has the columns that readers of the published one rely on, and, with `checked`, has
-    passed its checks: the typed tables before any mart is built, then all the others.
+    passed its critical checks: the typed tables before any mart is built, then all the others.
+    The checks that `warn` names are recorded like the others but stop nothing. What every check
+    found is appended to the lake's check results (`runs.correctness_daily` reads them), also that
+    of a build that was stopped.
     """
+    mild = frozenset(warn)
+    if unknown := mild - checks.check_names():
+        raise ValueError(f"no such checks: {', '.join(sorted(unknown))}")
     ledger = read_ledger(spark, raw_root)
     load_id = latest_committed_load(ledger)
     if load_id is None:
@@ -75,7 +83,7 @@ def build(
         list(pool.map(put_typed, MODELS))
         loads.result()
     if checked:
-        _stop_if_broken(checks.silver_checks(built))
+        _stop_if_broken(spark, lake, work, checks.silver_checks(built), mild)
 
     silver = {name.removeprefix("stg_fpl__"): df for name, df in built.items()}
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
@@ -96,7 +104,8 @@ def build(
         worth.result()
     if checked:
         known = checks.silver_checks(built)
-        _stop_if_broken({n: df for n, df in checks.all_checks(built).items() if n not in known})
+        others = {n: df for n, df in checks.all_checks(built).items() if n not in known}
+        _stop_if_broken(spark, lake, work, others, mild)
     lake.publish(spark, work)
     return built
 
@@ -108,12 +117,21 @@ def run_checks(built: dict[str, DataFrame], but: Iterable[str] = ()) -> DataFram
     return checks.violations(found)
 
 
-def _stop_if_broken(found: dict[str, DataFrame]) -> None:
-    failed = checks.violations(found).collect()
-    if failed:
-        raise BrokenChecks(", ".join(f"{row.check_name} ({row.violations})" for row in failed))
+def _stop_if_broken(
+    spark: SparkSession, lake: Lake, work: Lake, found: dict[str, DataFrame], warn: frozenset[str]
+) -> None:
+    """Record what the checks found, one row per check, and stop at critical ones that failed."""
+    results = checks.graded(found, warn & set(found)).collect()
+    name = work.root.rsplit("/", 1)[1]
+    at = datetime.now(timezone.utc)
+    rows = [(name, r.check_name, r.grade, r.violations, r.passed, at) for r in results]
+    append_check_results(spark.createDataFrame(rows, CHECK_RESULT), lake.root)
+    if failed := [r for r in results if r.grade == CRITICAL and not r.passed]:
+        raise BrokenChecks(", ".join(f"{r.check_name} ({r.violations})" for r in failed))
 
 
-def build_checked(spark: SparkSession, raw_root: str, lake: Lake) -> dict[str, DataFrame]:
-    """Build, check, and publish only what has passed."""
-    return build(spark, raw_root, lake, checked=True)
+def build_checked(
+    spark: SparkSession, raw_root: str, lake: Lake, warn: Iterable[str] = ()
+) -> dict[str, DataFrame]:
+    """Build, check, and publish only what has passed all checks but those that may warn."""
+    return build(spark, raw_root, lake, checked=True, warn=warn)

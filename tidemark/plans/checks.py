@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks
+from tidemark.operators.runs import CRITICAL, WARNING
 from tidemark.plans.gold import points_are_prior_season
 
 
@@ -183,6 +184,17 @@ RULES: dict[str, Rules] = {
     ),
 }
 
+# The checks that span models.
+INVARIANTS = (
+    "one_snapshot",
+    "optional_types",
+    "rules_agree",
+    "sides_balance",
+    "grid_complete",
+    "budget_holds",
+    "prior_flag_holds",
+)
+
 # Columns that may be missing from every raw file and must still be there, with these types.
 OPTIONAL_TYPES = {
     "stg_fpl__fixtures.home_score": "bigint",
@@ -249,10 +261,37 @@ def all_checks(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return found
 
 
-def violations(found: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per failed check with its number of violating rows, from a single query."""
+def check_names() -> set[str]:
+    """The names of all checks, without any table."""
+    names = set(INVARIANTS)
+    for model, rules in RULES.items():
+        kinds = {"unique": rules.unique, "not_null": rules.present, "accepted": rules.accepted, "grain": rules.grain}
+        names.update(f"{model}.{kind}" for kind, columns in kinds.items() if columns)
+        names.update(f"{model}.{column}.parent" for column in rules.parents)
+    return names
+
+
+def _counted(found: Mapping[str, DataFrame]) -> DataFrame:
     parts = [
         df.agg(F.expr("count(1) AS violations")).selectExpr(f"'{name}' AS check_name", "violations")
         for name, df in found.items()
     ]
-    return reduce(DataFrame.union, parts).filter("violations > 0")
+    return reduce(DataFrame.union, parts)
+
+
+def violations(found: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per failed check with its number of violating rows, from a single query."""
+    return _counted(found).filter("violations > 0")
+
+
+def graded(found: Mapping[str, DataFrame], warn: Iterable[str] = ()) -> DataFrame:
+    """One row per check, passed or not: check_name, grade, violations, passed.
+
+    A check is critical unless `warn` names it. A name in `warn` that is no check is refused: a
+    misspelt one would leave its check critical unseen.
+    """
+    mild = set(warn)
+    if unknown := mild - set(found):
+        raise ValueError(f"no such checks: {', '.join(sorted(unknown))}")
+    grade = F.when(F.col("check_name").isin(*sorted(mild)), WARNING).otherwise(CRITICAL)
+    return _counted(found).select("check_name", grade.alias("grade"), "violations", F.expr("violations = 0 AS passed"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import nested_text
 from tidemark.operators.snapshot import COMMITTED, LOAD_ID
 
 ROW_ID = "_dlt_id"
@@ -164,9 +165,20 @@ def files_of(spark: SparkSession, root: str, load_id: str) -> dict[str, list[str
 
 
 def append_rows(df: DataFrame, root: str, table: str, prefix: str = "part") -> None:
-    """Append rows that already carry their lineage and `load_date`. NULL fields are left out."""
+    """Append rows that already carry their lineage and `load_date`.
+
+    Columns that are NULL are left out. Nulls inside nested values are data of the source and stay:
+    the writer's own rule would drop them too, so nested values go through VARIANT, which holds at
+    most 16 MiB per value and orders the keys of objects.
+    """
+    kept = {
+        f.name: F.parse_json(nested_text(F.col(f"`{f.name}`")))
+        for f in df.schema
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+    }
     (
-        df.write.mode("append")
+        df.withColumns(kept)
+        .write.mode("append")
         .option("mapreduce.output.basename", prefix)
         .partitionBy("load_date")
         .option("compression", "gzip")

@@ -33,7 +33,7 @@ from tidemark.operators.snapshot import (
 )
 from tidemark.plans.gold import planning_gameweek, points_are_prior_season
 from tidemark.plans import build as lake_plan
-from tidemark.plans.checks import model_checks, violations
+from tidemark.plans.checks import check_names, graded, model_checks, violations
 from tidemark.plans.silver import MODELS
 from tidemark.session import scratch_path, staged
 from tidemark.sources import bronze
@@ -832,16 +832,76 @@ def _published(spark, sf_dir, layer, model):
     return Lake(_LAKES[spark.sparkContext.applicationId, sf_dir]).read(spark, layer, model)
 
 
-@query("built_player_value", ORACLES["player_value"])
-def built_player_value(spark, sf_dir):
-    """Every value of the players' mart, as read back from the published build."""
-    return portable(_published(spark, sf_dir, "gold", "mart_player_value"))
+# Every value of every model, as it is read back from the published build, against the SQL of the
+# query that computes the model. The build's ledger holds committed loads only.
+_READ_BACK = {
+    **{
+        f"built_{key}": ("silver", f"stg_fpl__{short}", key)
+        for key, short in (
+            ("stg_teams", "teams"),
+            ("stg_positions", "positions"),
+            ("stg_gameweeks", "gameweeks"),
+            ("stg_fixtures", "fixtures"),
+            ("stg_players", "players"),
+            ("stg_chips", "chips"),
+            ("phase_span", "phases"),
+            ("stg_stat_types", "stat_types"),
+            ("game_settings", "game_settings"),
+        )
+    },
+    "built_dim_team": ("gold", "dim_team", "dim_team"),
+    "built_dim_player": ("gold", "dim_player", "dim_player"),
+    "built_team_fixture": ("gold", "fct_team_fixture", "team_fixture_result"),
+    "built_fixture_run": ("gold", "mart_team_fixture_run", "fixture_run"),
+    "built_player_value": ("gold", "mart_player_value", "player_value"),
+    "built_position_scarcity": ("gold", "mart_position_scarcity", "position_scarcity"),
+}
+
+
+# The order of an object's keys is no part of its value; the lake keeps them sorted.
+_SORTED_KEYS = """
+    SELECT * REPLACE (CONCAT('{', array_to_string(list_transform(list_sort(json_keys(game_settings_json)),
+                      lambda k: CONCAT('"', k, '":', json_extract(game_settings_json, CONCAT('$.', k)))), ','), '}')
+                      AS game_settings_json)"""
+
+
+def _register_read_back(key, layer, model, computed):
+    def run(spark, sf_dir):
+        return portable(_published(spark, sf_dir, layer, model))
 
+    sql = ORACLES[computed]
+    query(key, f"{_SORTED_KEYS} FROM ({sql})" if computed == "game_settings" else sql)(run)
 
-@query("built_position_scarcity", ORACLES["position_scarcity"])
-def built_position_scarcity(spark, sf_dir):
-    """Every value of the positions' mart, as read back from the published build."""
-    return portable(_published(spark, sf_dir, "gold", "mart_position_scarcity"))
+
+for _key, _place in _READ_BACK.items():
+    _register_read_back(_key, *_place)
+
+
+# The rules that these tables break by what their columns stand for may only warn.
+_MILD = ("dim_player.accepted", "mart_position_scarcity.accepted", "budget_holds")
+
+
+@query(
+    "checks_graded",
+    marts.SCARCITY_WITH
+    + f""",
+    failed AS (
+      SELECT 'dim_player.accepted' AS check_name, COUNT(DISTINCT position_short_name) AS violations
+      FROM dim_player WHERE {_FOREIGN}
+      UNION ALL SELECT 'mart_position_scarcity.accepted', COUNT(DISTINCT position_short_name) FROM positions WHERE {_FOREIGN}
+      UNION ALL SELECT 'budget_holds', CAST(COUNT(*) AS BIGINT) FROM (
+        SELECT 1 FROM scarcity HAVING MAX(minimum_squad_gbp_m) > {FLOOR_SHARE} * MAX(budget_gbp_m)
+                                   OR SUM(squad_required) <> MAX(squad_size))),
+    named AS (SELECT UNNEST({sorted(check_names())!r}) AS check_name)
+    SELECT check_name, CASE WHEN check_name IN {_MILD!r} THEN 'warn' ELSE 'critical' END AS grade,
+           COALESCE(violations, 0) AS violations, COALESCE(violations, 0) = 0 AS passed
+    FROM named LEFT JOIN failed USING (check_name)""",
+)
+def checks_graded(spark, sf_dir):
+    """Every check of a published build with its grade, passed or not."""
+    models = {"silver": ["stg_fpl__loads", *MODELS], "gold": lake_plan.MARTS}
+    built = {n: _published(spark, sf_dir, layer, n) for layer, names in models.items() for n in names}
+    return graded(lake_plan.checks.all_checks(built), _MILD)
 
 
 @query(

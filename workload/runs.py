@@ -231,6 +231,41 @@ def sli_daily(spark, sf_dir):
     return portable(runs.daily_indicators(paired, expected_rows=50, budget=0.25))
 
 
+# Events stand for results of checks: their type is the check, errors and views may only warn.
+_MILD_SQL = "event_type IN ('error', 'view')"
+
+
+@query(
+    "sli_correctness",
+    f"""WITH daily AS (
+      SELECT CAST(ts AS DATE) AS day, COUNT(*) FILTER (WHERE NOT {_MILD_SQL}) AS critical,
+             COUNT(*) FILTER (WHERE NOT {_MILD_SQL} AND event_id % 23 <> 0) AS critical_passed,
+             COUNT(*) FILTER (WHERE {_MILD_SQL}) AS warnings,
+             COUNT(*) FILTER (WHERE {_MILD_SQL} AND event_id % 23 = 0) AS warnings_failed,
+             CAST(SUM(CASE WHEN event_id % 23 = 0 THEN 1 + event_id % 4 ELSE 0 END) AS BIGINT) AS violations
+      FROM events GROUP BY 1),
+    shares AS (
+      SELECT d.*, (SELECT CAST(SUM(critical_passed) AS DOUBLE) / NULLIF(CAST(SUM(critical) AS DOUBLE), 0)
+                   FROM (SELECT * FROM daily e WHERE e.day <= d.day ORDER BY e.day DESC LIMIT 30)) AS critical_share_30d
+      FROM daily d)
+    SELECT * REPLACE (CAST(day AS VARCHAR) AS day),
+           CAST(critical_passed AS DOUBLE) / NULLIF(CAST(critical AS DOUBLE), 0) AS critical_share,
+           CASE WHEN critical > 0 THEN critical = critical_passed END AS holds
+    FROM shares""",
+)
+def sli_correctness(spark, sf_dir):
+    """The share of critical checks that passed, by day; every 23rd result is a failed one."""
+    failed = F.col("event_id") % 23 == 0
+    results = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("check_name"),
+        F.when(F.expr(_MILD_SQL), runs.WARNING).otherwise(runs.CRITICAL).alias("grade"),
+        F.when(failed, 1 + F.col("event_id") % 4).otherwise(0).cast("bigint").alias("violations"),
+        (~failed).alias("passed"),
+        F.col("ts").alias("recorded_at"),
+    )
+    return portable(runs.correctness_daily(results))
+
+
 # ---- Identity: customers have accounts; events carry the account or an anonymous id. ----
 
 DISTINCT_ID = "CASE WHEN event_type IN ('purchase', 'error') THEN CAST(user_id AS {text}) ELSE CONCAT('anon-', CAST(user_id AS {text}), '-', CAST({k} AS {text})) END"
