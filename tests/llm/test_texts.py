@@ -235,6 +235,29 @@ def test_contamination(spark, awkward, part_words):
     assert job.kept().columns == df.columns
 
 
+def test_contamination_by_a_benchmark_of_many_parts(spark):
+    """One id has a third of the words, one item is longer than a part, and items repeat."""
+    rng = random.Random(5)
+
+    def text(n):
+        return " ".join(rng.choice("abcdefghij") + str(rng.randrange(40)) for _ in range(n))
+
+    long_one = text(900)
+    items = [(1, text(30)) for _ in range(30)] + [(2, long_one)] + [(3, text(12))] * 40 + [(10 + i, text(25)) for i in range(20)]
+    words = long_one.split()
+    # Passages around every place where the long item may have been cut, and whole items.
+    docs = [(i, "x " + " ".join(words[i : i + 40]) + " y") for i in range(0, 880, 7)]
+    docs += [(1000 + i, f"{t} {text(60)}") for i, (_, t) in enumerate(items[::3])] + [(5000, text(300)), (5001, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    job = Decontamination(df, bench, part_words=600)
+    assert len(job.parts) > 2
+    assert all(len(part.value.words) <= 600 for part, _ in job.parts)
+    assert got(digest(job.report())) == brute_hits(docs, items)
+    # What is sent holds nothing but words, windows and prefixes.
+    assert all(not hasattr(part.value, "by_size") for part, _ in job.parts)
+
+
 def test_contamination_of_and_by_nothing(awkward, nothing, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     job = Decontamination(awkward[0], none)

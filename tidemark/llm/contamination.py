@@ -8,7 +8,10 @@ A match proposes a start; it must lie inside the document with room for the whol
 (position and length bounds), and then all words of the window are compared.
 
 The benchmark goes to the tasks in parts of at most `PART_WORDS` words, so what is broadcast is
-bounded; a larger benchmark takes more passes, and the parts' hits are united per document.
+bounded (some 45 bytes a word); a larger benchmark takes more passes, and the parts' hits are united
+per document. Parts are dealt by a running sum of words, whatever the items' ids are, and an item
+longer than an eighth of a part is cut into pieces that overlap by a window less one word, so that
+every window of it lies in one piece.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import byte_values, map_arrow, random_words, slices, span_hashes, windows, word_spans
@@ -26,7 +29,7 @@ from tidemark.session import staged
 
 WINDOW = 13
 SHINGLE = 4
-PART_WORDS = 1 << 21
+PART_WORDS = 1 << 19
 
 _TABLE = byte_values("benchmark-word")
 _INSIDE = np.zeros(256, bool)
@@ -91,10 +94,10 @@ class _Part:
             key[here] += self.words[start[here] + j] * f
         key = key * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64)
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
-        self.start, self.size = start[first], size[first]
+        self.start, self.size = start[first].astype(np.int32), size[first].astype(np.int32)
         pairs = np.unique(np.stack([which.reshape(-1), own], 1), axis=0) if len(start) else np.zeros((0, 2), np.int64)
-        self.owner = pairs[:, 1]
-        self.owner_at = np.searchsorted(pairs[:, 0], np.arange(len(self.start) + 1))
+        self.owner = pairs[:, 1].astype(np.int32)
+        self.owner_at = np.searchsorted(pairs[:, 0], np.arange(len(self.start) + 1)).astype(np.int32)
         # The shingles of each window: hash and offset.
         self.by_size = {}
         for q in sorted(set(np.minimum(self.size, shingle).tolist())):
@@ -125,29 +128,74 @@ class _Part:
             best = best[seen[best] > 0]
             best = best[np.argsort(value[best], kind="stable")]
             keys, at = np.unique(value[best], return_index=True)
-            out[q] = (keys, np.append(at, len(best)), window_of[best], offset[best])
+            at = np.append(at, len(best)).astype(np.int32)
+            out[q] = (keys, at, window_of[best].astype(np.int32), offset[best].astype(np.int32))
         return out
 
 
-def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for low, high, data, offsets in slices(batch.column(1)):
-            words, _, first = words_of(data, offsets)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(low, high - low),
-                    pa.array(np.diff(first)),
-                    pa.array([words[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
-                ],
-                names=["item", "n", "words"],
-            )
+def _item_words(most: int, window: int):
+    """Items as words, in pieces of at most `most` words; each window of an item is in one piece."""
+    step = most - window + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, _, data, offsets in slices(batch.column(1)):
+                words, _, first = words_of(data, offsets)
+                owner, pieces = [], []
+                for i, (a, b) in enumerate(zip(first, first[1:])):
+                    starts = range(a, max(b - window + 1, a + 1), step) if b - a > most else (a,)
+                    pieces += [words[x : min(x + most, b)] for x in starts]
+                    owner += [low + i] * len(starts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(owner, pa.int64())),
+                        pa.array([len(x) for x in pieces], pa.int64()),
+                        pa.array([x.tobytes() for x in pieces], pa.binary()),
+                    ],
+                    names=["item", "n", "words"],
+                )
+
+    return run
+
+
+def _dealt(items: DataFrame, part_words: int, most: int) -> Iterator[DataFrame]:
+    """The pieces in parts of at most `part_words` words; none is longer than `most` words.
+
+    Pieces are spread over buckets by their content and laid into cells along a running sum inside
+    each bucket; the driver sees the cells' sizes, a handful for each part, and fills parts with
+    them. Repeated pieces of an item count once.
+    """
+    total = items.agg(F.sum("n")).first()[0] or 0
+    if total <= part_words:
+        yield items
+        return
+    spread = F.pmod(F.xxhash64("item", "words"), F.lit(max(1, total // part_words)))
+    along = Window.partitionBy("bucket").orderBy("item", "words").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(along), F.lit(0))
+    cells = staged(
+        items.distinct()
+        .withColumn("bucket", spread)
+        .withColumn("cell", F.col("bucket") * (1 << 31) + F.floor(before / most).cast("long"))
+        .select("item", "n", "words", "cell"),
+        "benchmark-cells",
+    )
+    parts: list[list[int]] = []
+    room = 0
+    for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect():
+        if not parts or r["n"] > room:
+            parts.append([])
+            room = part_words
+        parts[-1].append(r["cell"])
+        room -= r["n"]
+    for mine in parts:
+        yield cells.filter(F.col("cell").isin(*mine))
 
 
-def _count(part):
-    """How often each of the part's shingles occurs in the corpus, summed per task."""
+def _count(shingles):
+    """How often each of a part's shingles occurs in the corpus, summed per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookups = {q: _Lookup(v[0]) for q, v in part.value.by_size.items()}
+        lookups = {q: _Lookup(values) for q, values in shingles.value.items()}
         totals = {q: np.zeros(len(x.values), np.int64) for q, x in lookups.items()}
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
@@ -278,28 +326,30 @@ class Decontamination:
         self.docs, self.id_col, self.text_col, self.share = docs, id_col, text_col, share
         context = docs.sparkSession.sparkContext
         name = F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null"))
+        # A cell of pieces has less than twice the words of the longest one: four of them fit.
+        most = max(part_words // 8, window)
         items = staged(
             map_arrow(
                 benchmark.select(name.alias("item"), F.col(f"`{item_text_col}`").alias("text")),
-                _item_words,
+                _item_words(most, window),
                 "item string, n long, words binary",
             ),
             "benchmark-items",
         )
-        total = items.agg(F.sum("n")).first()[0] or 0
-        parts = max(1, -(-total // part_words))
         self.narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
         self.parts = []
-        for p in range(parts):
-            mine = items.filter(F.pmod(F.xxhash64("item"), F.lit(parts)) == p)
+        for mine in _dealt(items, part_words, most):
             part = _Part([(r["item"], bytes(r["words"])) for r in mine.collect()], window, shingle)
-            sent = context.broadcast(part)
             counts = {q: np.zeros(len(v[0]), np.int64) for q, v in part.by_size.items()}
             if counts:
-                seen = map_arrow(self.narrow.select("text"), _count(sent), "q long, at long, n long")
+                shingles = context.broadcast({q: v[0] for q, v in part.by_size.items()})
+                seen = map_arrow(self.narrow.select("text"), _count(shingles), "q long, at long, n long")
                 for r in seen.groupBy("q", "at").agg(F.sum("n").alias("n")).collect():
                     counts[r["q"]][r["at"]] = r["n"]
-            self.parts.append((sent, context.broadcast(part.prefixes(counts))))
+                shingles.unpersist()
+            plan = part.prefixes(counts)
+            del part.by_size
+            self.parts.append((context.broadcast(part), context.broadcast(plan)))
 
     def _marked(self) -> DataFrame:
         """More parts than one: hits of all parts, united per document (its id and text)."""
