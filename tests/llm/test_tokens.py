@@ -265,6 +265,19 @@ def test_toxicity_of_awkward_rows(awkward, nothing, labelled, spark):
     assert {(r["score"], r["predicted"]) for r in unlabelled} == {(0.0, 0)}
 
 
+def test_examples_of_repeated_ids_do_not_depend_on_the_order(spark):
+    """Every id has a toxic-looking and a clean-looking text; whatever comes first, scores are equal."""
+    bad, good = "grumble snarl wretch", "meadow linen harbour"
+    data = [(i, f"{bad} n{i}" if (i + turn) % 2 else f"{good} m{i}") for turn in (0, 1) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    scores = []
+    for mixed in (data, data[::-1]):
+        df = spark.createDataFrame(mixed, "doc_id long, text string").repartition(3 + len(scores))
+        out = toxicity.Toxicity(df, labels).report().select("doc_id", "score", F.to_json("evidence"))
+        scores.append(sorted(map(tuple, out.collect())))
+    assert scores[0] == scores[1] and len(scores[0]) == 400
+
+
 def test_held_out_recall_in_every_language(spark):
     """Given labels: markers of a language with few examples, each seen a few times, count too."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))

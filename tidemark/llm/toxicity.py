@@ -317,7 +317,8 @@ class Toxicity:
     """A scorer fitted on `labels` (id, 0/1) of `docs`.
 
     Only the text makes a score; labels are learnt from rows that are not held out. Null labels
-    and labels of unknown ids are ignored; of rows that repeat an example's id one is taken. A
+    and labels of unknown ids are ignored; of rows that repeat an example's id the least text is
+    taken. A
     null or empty text, and any text without a kept term, has the share of toxic rows among
     examples without one. Equal texts have equal scores. Without labels every score is 0.
     """
@@ -346,7 +347,14 @@ class Toxicity:
             known.filter(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(examples) for c in (0, 1)
         ]
         chosen = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * examples rows of two numbers
-        sample = narrow.join(chosen, "id").dropDuplicates(["id"]).select("text", "toxic", F.col("id").cast("string").alias("id"))
+        # One text for each example, whatever the order of rows; it is read twice, so it is written.
+        sample = staged(
+            narrow.join(chosen, "id")
+            .groupBy("id", "toxic")
+            .agg(F.min("text").alias("text"))
+            .select("text", "toxic", F.col("id").cast("string").alias("id")),
+            "toxicity-examples",
+        )
         kinds = map_arrow(sample.select("text", "toxic"), _class_counts, "code long, clean long, toxic long")
         sizes = {c: min(examples, totals.get(c, 0)) for c in (0, 1)}
         tables = staged(
