@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import season
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from tidemark.operators import runs
 from tidemark.plans import checks, gold, silver
 from tidemark.plans.build import MARTS, BrokenChecks, NoCommittedLoad, build, build_checked, run_checks
@@ -320,3 +320,29 @@ def test_only_builds_of_a_lake_are_published(spark, tmp_path):
     assert lake.current(spark) == one and len(lake.pointers(spark)) == 3
     assert lake.retire(spark, keep=2) == []
     assert lake.current(spark) == one
+
+
+def test_a_text_that_many_players_share_is_stored_once(spark, built, tmp_path):
+    """Fixtures of a club x its players: the text is joined when the mart is read, and only then."""
+    value, run = built["mart_player_value"], built["mart_team_fixture_run"]
+    assert not any(
+        "next_opponents" in spark.read.parquet(f.rsplit("/", 1)[0]).columns
+        for f in value.select("player_id").inputFiles()
+    )
+    soon = {r["team_id"]: r["opponents"] for r in run.filter("gameweek_id = 1").collect()}
+    told = value.select("team_id", "next_opponents").collect()
+    assert len(told) == 48 and any(r["next_opponents"] for r in told)
+    assert all(r["next_opponents"] == soon[r["team_id"]] for r in told)
+    names = value.columns
+    assert names.index("next_opponents") == names.index("is_blank_next_gameweek") - 1
+    assert "Join" not in plan_of(value.select("player_id", "is_differential"))
+    # A build of before, which stored the text, is read as it is, and its columns are the same contract.
+    raw, lake = f"{tmp_path}/bronze", Lake(str(tmp_path))
+    season.land(spark, raw, season.NEW, season.season())
+    old = lake.aside()
+    value.withColumn("next_opponents", F.lit("old")).write.parquet(old.path("gold", "mart_player_value"))
+    lake.publish(spark, old)
+    assert rows(lake.read(spark, "gold", "mart_player_value").select("next_opponents").distinct()) == [("old",)]
+    build(spark, raw, lake)
+    assert rows(lake.read(spark, "gold", "mart_player_value").drop("load_id")) == rows(value.drop("load_id"))
+    assert lake.published_schema(spark, "gold", "mart_player_value").fieldNames() == names
