@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -489,6 +490,34 @@ def test_squad_validity(spark):
     ]
 
 
+def test_squad_validity_deals_picks_by_their_number(spark, monkeypatch):
+    """A task's share of the picks is fixed; a squad of most picks is spread over its cells."""
+    monkeypatch.setattr(game, "PICKS_OF_A_TASK", 100)
+    positions = spark.createDataFrame([("GK", 1), ("DEF", 2)], "position_id string, squad_required long")
+    small = spark.range(2000).selectExpr("id % 500 AS squad", "id", "id DIV 500 AS k")
+    hot = spark.range(2000).selectExpr("-1L AS squad", "id", "id % 7 AS k")
+    picks = small.union(hot).selectExpr(
+        "squad", "IF(k = 0, 'GK', 'DEF') AS position_id", "k % 3 AS team_id", "1 + id % 5 AS price_tenths"
+    )
+    got = game.squad_validity(picks, positions, "squad", squad_size=4, budget_tenths=12, per_club=2)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^()]*), (\d+)\), REPARTITION_BY_NUM", plan_of(got))
+    assert [n for _, n in dealt] == ["40", "40"]
+    assert sorted(re.sub(r"#\d+L?", "", keys) for keys, _ in dealt) == ["squad", "squad, position_id, team_id"]
+    assert plan_of(got).count("Exchange hashpartitioning(squad") == 2 and "SortMergeJoin" not in plan_of(got)
+    found = {r["squad"]: r for r in got.collect()}
+    held = {}
+    for r in picks.collect():
+        held.setdefault(r["squad"], []).append(r)
+    assert len(found) == 501 and set(found) == set(held)
+    for squad, mine in held.items():
+        clubs = [p["team_id"] for p in mine]
+        assert found[squad]["picks"] == len(mine)
+        assert found[squad]["cost_tenths"] == sum(p["price_tenths"] for p in mine)
+        assert found[squad]["most_from_one_club"] == max(clubs.count(t) for t in clubs)
+    told = game.squad_validity(picks, positions, "squad", squad_size=4, budget_tenths=12, per_club=2, pick_count=5000)
+    assert ", 50), REPARTITION_BY_NUM" in plan_of(told) and rows(told) == rows(got)
+
+
 def test_limits_come_from_the_settings(spark):
     names = "squad_size long, budget_tenths long, max_players_per_club long, max_extra_free_transfers long"
     told = game.limits(spark.createDataFrame([(11, 900, None, 4)], names))

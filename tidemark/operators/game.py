@@ -40,6 +40,9 @@ ACTION_POINTS = {
 GROUPED_POINTS = {"saves": (3, (1, 0, 0, 0)), "goals_conceded": (2, (-1, -1, 0, 0))}
 FULL_MATCH_MINUTES = 60
 
+# Picks that one task of `squad_validity` counts.
+PICKS_OF_A_TASK = 1 << 19
+
 
 def limits(settings: DataFrame) -> dict[str, dict[str, int]]:
     """The game's limits from its one settings row, as arguments of the operators they bound.
@@ -74,15 +77,29 @@ def squad_validity(
     squad_size: int = SQUAD_SIZE,
     budget_tenths: int = STARTING_BUDGET_TENTHS,
     per_club: int = PER_CLUB,
+    pick_count: int | None = None,
 ) -> DataFrame:
     """Each squad against the four rules at once: budget, size, quota per position, club limit.
 
     `picks` has the squad key, `position_id`, `team_id`, `price_tenths`; `positions` states
-    `squad_required`. Picks are counted per (squad, position, club) once, map-side, and the
-    rules are folds of that.
+    `squad_required`. Picks are counted per (squad, position, club) once, and the rules are folds
+    of that.
+
+    Squads are small, so counting before a shuffle would hold nearly every pick of a task and
+    reduce nothing. Picks go to the cells they count for, and cells to their squads, in as many
+    tasks as the picks ask for: what a task holds does not grow with the table. A squad that has
+    a large share of all picks is spread over its cells, and arrives as these. The quotas, one row
+    per position, are sent to every task: a join on positions would gather all squads in a few.
+    `pick_count` is the number of picks, or a bound, where one is known; else they are counted.
     """
-    cells = picks.groupBy(squad, "position_id", "team_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("price_tenths").alias("cost")
+    known = picks.count() if pick_count is None else pick_count
+    tasks = max(-(-known // PICKS_OF_A_TASK), picks.sparkSession.sparkContext.defaultParallelism)
+    cell = [squad, "position_id", "team_id"]
+    cells = (
+        picks.repartition(tasks, *cell)
+        .groupBy(*cell)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("price_tenths").alias("cost"))
+        .repartition(tasks, squad)
     )
     # Each cell counts for its club and for its position: one aggregate over both.
     sides = F.explode(
@@ -103,7 +120,7 @@ def squad_validity(
     # A position without a pick is not there: all quotas hold when the met ones add up.
     met = of_position & (F.col("n") == F.col("squad_required"))
     totals = (
-        counted.join(rules, ["is_club", "part"], "left")
+        counted.join(F.broadcast(rules), ["is_club", "part"], "left")
         .groupBy(squad)
         .agg(
             F.sum(F.when(of_position, F.col("n"))).alias("picks"),

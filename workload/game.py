@@ -57,8 +57,10 @@ def squad_validity(spark, sf_dir):
         .groupBy(F.col("p_type").alias("position_id"))
         .agg(F.first(F.length("p_type") - 4).alias("squad_required"))
     )
+    # Lines are counted from the files' footers; the joins keep at most one pick of each.
+    lines = table(spark, sf_dir, "lineitem").count()
     return game.squad_validity(
-        picks, quotas, "squad_id", squad_size=4, budget_tenths=38000, per_club=1
+        picks, quotas, "squad_id", squad_size=4, budget_tenths=38000, per_club=1, pick_count=lines
     )
 
 
