@@ -1,5 +1,7 @@
 """The whole build over hand-made raw loads, its checks, and how it fails."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -346,3 +348,24 @@ def test_a_text_that_many_players_share_is_stored_once(spark, built, tmp_path):
     build(spark, raw, lake)
     assert rows(lake.read(spark, "gold", "mart_player_value").drop("load_id")) == rows(value.drop("load_id"))
     assert lake.published_schema(spark, "gold", "mart_player_value").fieldNames() == names
+
+
+def test_texts_of_fixtures_are_collected_after_the_shuffle(built):
+    """Collecting them before it as well reduces nothing: the text has every fixture."""
+    sides, teams = built["fct_team_fixture"], built["dim_team"]
+    run = gold.mart_team_fixture_run(teams, built["stg_fpl__gameweeks"], sides)
+    plan = re.sub(r"#\d+L?", "", plan_of(run))
+    assert re.search(r"Exchange hashpartitioning\(team_id, gameweek_id, \d+\), REPARTITION_BY_COL", plan)
+    assert not re.search(r"Exchange hashpartitioning\(team_id, gameweek_id, \d+\), ENSURE", plan)
+    names = {r["team_id"]: r["team_short_name"] for r in teams.collect()}
+    cells = {}
+    for r in sides.filter("gameweek_id IS NOT NULL").collect():
+        label = f"{names[r['opponent_team_id']]} ({r['venue']})"
+        order = (r["kickoff_time"] is None, str(r["kickoff_time"]), r["fixture_id"])
+        cells.setdefault((r["team_id"], r["gameweek_id"]), []).append((order, label))
+    found = {(r["team_id"], r["gameweek_id"]): r for r in run.collect()}
+    assert cells and set(cells) <= set(found)
+    for cell, row in found.items():
+        mine = sorted(cells.get(cell, []))
+        assert row["fixture_count"] == len(mine)
+        assert row["opponents"] == (", ".join(label for _, label in mine) or None)
